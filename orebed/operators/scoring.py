@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,23 +21,29 @@ def risk_features(loans: DataFrame, customer: str, amount: str, past_due: Column
     )
 
 
-def train_score(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:
-    """Logistic regression on scaled features; only coefficients reach the driver."""
-    steps = [
-        VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="skip"),
-        StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True),
-        LogisticRegression(featuresCol="_scaled", labelCol=label, maxIter=20, probabilityCol="_p"),
-    ]
-    return Pipeline(stages=steps).fit(train)
-
-
-def credit_score(model: PipelineModel, apply: DataFrame, out: str = "score") -> DataFrame:
-    """Probability of the bad outcome per row. Rows with a missing feature score null."""
-    assembler = model.stages[0].copy()
-    assembler.setHandleInvalid("keep")
-    scored = apply
-    for stage in [assembler, *model.stages[1:]]:
-        scored = stage.transform(scored)
-    risk = vector_to_array("_p")[1]
-    score = F.when(F.isnan(risk), None).otherwise(risk)
-    return scored.select(*apply.columns, score.alias(out))
+@dataclass(frozen=True)
+class ScoreCard:
+    """A fitted logistic score: one weight per feature and an intercept."""
+
+    weights: dict[str, float]
+    intercept: float
+
+    def probability(self) -> Column:
+        """The score as an expression; a missing feature gives a null score."""
+        terms = [F.col(name).cast("double") * F.lit(weight) for name, weight in self.weights.items()]
+        margin = reduce(lambda a, b: a + b, terms, F.lit(self.intercept))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+
+
+def train_score(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 20) -> ScoreCard:
+    """Fit on all rows without missing values; only the weights reach the driver."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
+    rows = assembler.transform(train.na.drop(subset=[label, *features])).select("_features", label)
+    model = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_iter).fit(rows)
+    weights = {name: float(weight) for name, weight in zip(features, model.coefficients)}
+    return ScoreCard(weights, float(model.intercept))
+
+
+def credit_score(card: ScoreCard, apply: DataFrame, out: str = "score") -> DataFrame:
+    """Probability of the bad outcome for every row."""
+    return apply.withColumn(out, card.probability())

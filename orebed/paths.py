@@ -36,3 +36,29 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _resolve(spark, path)
     files.delete(target, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, or None if there is none."""
+    files, target = _resolve(spark, path)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place whole: written aside, then renamed."""
+    files, target = _resolve(spark, path)
+    aside = _resolve(spark, f"{path}.part")[1]
+    stream = files.create(aside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files.delete(target, False)
+    if not files.rename(aside, target):
+        raise OSError(f"cannot write {path}")

@@ -179,7 +179,7 @@ select n_regionkey, cast(o_orderdate as date) as kpi_date, round(sum(o_totalpric
        round(sum(case when o_orderstatus = 'P' then o_totalprice else 0 end) / sum(o_totalprice), 4) as npl_ratio,
        round(sum(case when o_orderstatus = 'O' then o_totalprice else 0 end), 2) as new_disbursements,
        round(sum(case when o_orderstatus = 'F' then o_totalprice else 0 end), 2) as collections,
-       round(sum(case when o_orderstatus = 'P' then o_totalprice else 0 end) * cast(0.25 as double), 1) as provision_expense,
+       round(sum(case when o_orderstatus = 'P' then o_totalprice else 0 end) * cast(0.2 as double), 2) as provision_expense,
        count(distinct o_custkey) as active_customers
 from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
 group by n_regionkey, cast(o_orderdate as date)

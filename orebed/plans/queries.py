@@ -510,7 +510,7 @@ def a8_kpi_daily(spark, sf_dir):
         F.round(F.try_divide("overdue", "portfolio"), 4).alias("npl_ratio"),
         F.round("new", 2).alias("new_disbursements"),
         F.round("paid", 2).alias("collections"),
-        F.round(F.col("overdue") * 0.25, 1).alias("provision_expense"),
+        F.round(F.col("overdue") * 0.2, 2).alias("provision_expense"),
         "active_customers",
     )
 
@@ -809,8 +809,8 @@ def m5_credit_score(spark, sf_dir):
     people = joins.star_join(
         table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), [(loans, ["c_custkey"])]
     ).withColumn("late", (F.col("n_past_due") * 3 > F.col("n_loans")).cast("double"))
-    model = scoring.train_score(people, ["n_loans", "max_amount", "c_acctbal"], "late")
-    return scoring.credit_score(model, people).select("c_custkey", "late", F.round("score", 6).alias("score"))
+    card = scoring.train_score(people, ["n_loans", "max_amount", "c_acctbal"], "late")
+    return scoring.credit_score(card, people).select("c_custkey", "late", F.round("score", 6).alias("score"))
 
 
 @query

@@ -18,16 +18,16 @@ def with_ingest_metadata(df: DataFrame) -> DataFrame:
     )
 
 
-def _field_lost(text: Column, typed: Column, field: T.StructField, path: str) -> Column:
-    """Whether a value present in the text did not make it into the typed field."""
-    raw = F.get_json_object(text, path)
-    lost = raw.isNotNull() & typed.isNull()
-    if isinstance(field.dataType, T.StructType):
-        names = F.array(*[F.lit(inner.name) for inner in field.dataType])
-        extra = F.size(F.array_except(F.json_object_keys(raw), names)) > 0
-        lost = lost | F.coalesce(extra, F.lit(False))
-        for inner in field.dataType:
-            lost = lost | _field_lost(text, typed[inner.name], inner, f"{path}['{inner.name}']")
+def _lost(raw: Column, typed: Column, kind: T.DataType) -> Column:
+    """Whether a present raw JSON value did not (wholly) make it into its field."""
+    lost = typed.isNull()
+    if not isinstance(kind, T.StructType):
+        return lost
+    names = F.array(*[F.lit(inner.name) for inner in kind])
+    lost = lost | F.coalesce(F.size(F.array_except(F.json_object_keys(raw), names)) > 0, F.lit(False))
+    for inner in kind:
+        value = F.get_json_object(raw, f"$['{inner.name}']")
+        lost = lost | (value.isNotNull() & _lost(value, typed[inner.name], inner.dataType))
     return lost
 
 
@@ -36,40 +36,25 @@ def parse_json_rescued(df: DataFrame, column: str, schema: T.StructType) -> Data
 
     The rescue column holds, as JSON, fields outside the schema and fields whose
     value does not have the declared type; a line that is no JSON goes there
-    whole. It is null when nothing was left over.
+    whole. It is null when nothing was left over. Each line is parsed twice,
+    once to the schema and once to a map of raw values.
     """
-    text = F.col(column)
-    typed = F.from_json(text, schema)
-    raw = F.from_json(text, "map<string,string>")
-    known = F.array(*[F.lit(field.name) for field in schema])
-    parsed = df.withColumn("_typed", typed).withColumn("_raw", raw)
-    lost = F.filter(
-        F.array(
-            *[
-                F.when(_field_lost(text, F.col("_typed")[field.name], field, f"$['{field.name}']"), F.lit(field.name))
-                for field in schema
-            ]
-        ),
-        lambda name: name.isNotNull(),
-    )
-    left = F.map_filter(
-        "_raw",
-        lambda key, value: value.isNotNull()
-        & (~F.array_contains(known, key) | F.array_contains(F.col("_lost"), key)),
-    )
-    rescued = (
-        F.when(F.col("_raw").isNull(), F.nullif(F.trim(text), F.lit("")))
-        .when(F.size(F.col("_left")) > 0, F.to_json("_left"))
+    text, typed = F.col(column), F.col("_typed")
+
+    def left_over(name: Column, raw: Column) -> Column:
+        odd = F.when(raw.isNull(), False)
+        for field in schema:
+            odd = odd.when(name == field.name, _lost(raw, typed[field.name], field.dataType))
+        return odd.otherwise(True)
+
+    rescued = F.when(F.col("_raw").isNull(), F.nullif(F.trim(text), F.lit(""))).when(
+        F.size("_left") > 0, F.to_json("_left")
     )
     others = [name for name in df.columns if name != column]
     return (
-        parsed.withColumn("_lost", lost)
-        .withColumn("_left", left)
-        .select(
-            *[F.col("_typed")[field.name].alias(field.name) for field in schema],
-            *others,
-            rescued.alias(RESCUED),
-        )
+        df.withColumns({"_typed": F.from_json(text, schema), "_raw": F.from_json(text, "map<string,string>")})
+        .withColumn("_left", F.map_filter("_raw", left_over))
+        .select(*[typed[field.name].alias(field.name) for field in schema], *others, rescued.alias(RESCUED))
     )
 
 

@@ -53,9 +53,10 @@ def note_path(
     spark: SparkSession, notes: str, table: str, comment: str, properties: Mapping[str, str] | None = None
 ) -> None:
     """Keep comment and properties of a folder table in a notes folder."""
-    line = [(table, comment, json.dumps(dict(properties or {}), sort_keys=True))]
-    frame = spark.createDataFrame(line, "table_name string, comment string, properties string")
-    frame.coalesce(1).write.mode("overwrite").json(f"{notes}/{table}")
+    text = json.dumps({"comment": comment, "properties": dict(properties or {})}, sort_keys=True)
+    path = f"{notes}/{table}.json"
+    if paths.read_text(spark, path) != text:
+        paths.write_text(spark, path, text)
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> bool:

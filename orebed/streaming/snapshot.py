@@ -8,6 +8,7 @@ from the one before it, so a retry changes nothing.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,17 +32,14 @@ def _manifest_dir(root: str) -> str:
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Finished versions, oldest first."""
-    found = []
-    for name in paths.list_names(spark, _manifest_dir(root)):
-        if name.startswith("v") and paths.exists(spark, f"{_manifest_dir(root)}/{name}/_SUCCESS"):
-            found.append(int(name[1:]))
-    return sorted(found)
+    names = paths.list_names(spark, _manifest_dir(root))
+    return sorted(int(name[1:-5]) for name in names if name.startswith("v") and name.endswith(".json"))
 
 
 def _manifest(spark: SparkSession, root: str, version: int) -> dict[int, int]:
     """Bucket number to the version holding it. At most one entry per bucket."""
-    rows = spark.read.schema("bucket int, version bigint").json(f"{_manifest_dir(root)}/v{version}").collect()
-    return {row["bucket"]: row["version"] for row in rows}
+    text = paths.read_text(spark, f"{_manifest_dir(root)}/v{version}.json")
+    return {int(bucket): held for bucket, held in json.loads(text).items()}
 
 
 def _bucket_path(root: str, bucket: int, version: int) -> str:
@@ -89,19 +87,19 @@ def _apply_batch(
         old = [_bucket_path(root, number, manifest[number]) for number in touched if number in manifest]
         merged = news
         if old:
-            held = spark.read.option("basePath", f"{root}/data").schema(news.drop(BUCKET).schema).parquet(*old)
+            held = spark.read.schema(news.drop(BUCKET).schema).parquet(*old)
             held = held.select(*news.drop(BUCKET).columns).withColumn(BUCKET, bucket)
             merged = latest_events(news.unionByName(held), keys, sequence_by)
         if touched:
             (
-                merged.repartition(BUCKET, F.pmod(F.xxhash64(*keys, F.lit(1)), F.lit(8)))
+                # Sized at run time: small buckets share a task, large ones are split.
+                merged.hint("rebalance", BUCKET)
                 .write.mode("overwrite")
                 .partitionBy(BUCKET)
                 .parquet(f"{root}/data/v{batch_id}")
             )
-        entries = sorted({**manifest, **{number: batch_id for number in touched}}.items())
-        frame = spark.createDataFrame(entries, "bucket int, version bigint")
-        frame.coalesce(1).write.mode("overwrite").json(f"{_manifest_dir(root)}/v{batch_id}")
+        entries = {**manifest, **{number: batch_id for number in touched}}
+        paths.write_text(spark, f"{_manifest_dir(root)}/v{batch_id}.json", json.dumps(entries))
     finally:
         news.unpersist()
 
@@ -121,11 +119,11 @@ def apply_scd1_stream(
     finished table is a few hundred MB.
     """
     spark = events.sparkSession
-    settled = f"{root}/buckets"
-    if paths.exists(spark, f"{settled}/_SUCCESS"):
-        buckets = spark.read.schema("buckets int").json(settled).first()["buckets"]
+    settled = paths.read_text(spark, f"{root}/buckets.json")
+    if settled is None:
+        paths.write_text(spark, f"{root}/buckets.json", json.dumps(buckets))
     else:
-        spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").json(settled)
+        buckets = json.loads(settled)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         _apply_batch(batch, batch_id, root, keys, sequence_by, delete_when, buckets)
@@ -141,7 +139,7 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> None:
     live = {held for _, held in in_use} | set(kept)
     for version in known:
         if version not in kept:
-            paths.remove(spark, f"{_manifest_dir(root)}/v{version}")
+            paths.remove(spark, f"{_manifest_dir(root)}/v{version}.json")
     for name in paths.list_names(spark, f"{root}/data"):
         version = int(name[1:])
         if version > kept[-1]:

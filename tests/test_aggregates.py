@@ -1,0 +1,171 @@
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from orebed.functions.scalars import DPD_EDGES, on_calendar
+from orebed.operators import aggregates as A
+from orebed.operators import alerts, joins, sets
+from tests.conftest import rows
+
+
+@pytest.fixture(scope="module")
+def movements(spark):
+    rng = random.Random(5)
+    data = [
+        (
+            rng.choice(["hot"] * 10 + [f"c{i}" for i in range(8)]),
+            dt.datetime(2025, rng.randrange(1, 4), rng.randrange(1, 4), rng.randrange(24)),
+            float(rng.randrange(1, 1000)),
+            rng.choice(["App", "ATM", "Web", None]),
+        )
+        for _ in range(800)
+    ]
+    return data, spark.createDataFrame(data, "customer string, at timestamp, amount double, channel string").repartition(4)
+
+
+def test_daily_counts(movements):
+    data, df = movements
+    per_day = defaultdict(list)
+    for customer, at, *_ in data:
+        per_day[at.date()].append(customer)
+    expected = sorted((day, len(names), len(set(names))) for day, names in per_day.items())
+    assert rows(A.daily_counts(df, "at", "customer")) == expected
+
+
+def test_daily_counts_nulls(spark):
+    df = spark.createDataFrame([(None, dt.datetime(2025, 1, 1)), ("a", dt.datetime(2025, 1, 1)), ("a", None)], "customer string, at timestamp")
+    assert rows(A.daily_counts(df, "at", "customer")) == sorted([(dt.date(2025, 1, 1), 2, 1), (None, 1, 1)], key=repr)
+
+
+def test_monthly_fact(movements):
+    data, df = movements
+    groups = defaultdict(list)
+    for customer, at, amount, channel in data:
+        groups[(customer, f"{at:%Y-%m}")].append((amount, channel))
+    expected = []
+    for (customer, month), items in groups.items():
+        names = Counter(channel for _, channel in items if channel)
+        top = min(names, key=lambda name: (-names[name], name)) if names else None
+        total = sum(amount for amount, _ in items)
+        expected.append((customer, month, len(items), total, round(total / len(items), 6), top))
+    found = rows(A.monthly_fact(df, "customer", "at", "amount", "channel"))
+    for here, there in zip(found, sorted(expected, key=repr), strict=True):
+        assert here[:4] == there[:4] and here[5] == there[5]
+        assert here[4] == pytest.approx(there[4])
+
+
+def test_monthly_fact_without_channel(spark):
+    df = spark.createDataFrame([("a", dt.date(2025, 1, 1), None, None)], "c string, d date, m double, ch string")
+    assert rows(A.monthly_fact(df, "c", "d", "m", "ch")) == [("a", "2025-01", 1, None, None, None)]
+
+
+def test_npl_and_buckets(spark):
+    df = spark.createDataFrame([("N", 100.0, 0), ("N", 50.0, 91), ("S", 0.0, 200), ("N", 50.0, 90)], "r string, balance double, days int")
+    assert rows(A.npl_ratio(df, ["r"], "balance", "days")) == [("N", 200.0, 0.25), ("S", 0.0, None)]
+    assert rows(A.bucket_mix(df, "days", "balance", DPD_EDGES)) == [
+        ("61-90", 1, 50.0), ("Al_Dia", 1, 100.0), ("Mayor_90", 2, 50.0)
+    ]
+
+
+def test_yoy(spark):
+    df = spark.createDataFrame([(2024, 1, 100.0), (2025, 1, 150.0), (2025, 2, 10.0)], "y bigint, m bigint, t double")
+    assert rows(A.yoy(df, "y", "m", "t")) == [(2024, 1, None), (2025, 1, 0.5), (2025, 2, None)]
+
+
+def test_kpi_daily(spark, movements):
+    data, df = movements
+    dim = spark.createDataFrame([("hot", "N"), *[(f"c{i}", "S" if i % 2 else "N") for i in range(8)]], "customer string, region string")
+    regions = {row["customer"]: row["region"] for row in dim.collect()}
+    expected = defaultdict(lambda: [0.0, set()])
+    for customer, at, amount, _ in data:
+        slot = expected[(regions[customer], at.date())]
+        slot[0] += amount
+        slot[1].add(customer)
+    found = A.kpi_daily(df, dim, "customer", "region", "at", {"total": F.col("amount")})
+    assert rows(found) == sorted((region, day, total, len(names)) for (region, day), (total, names) in expected.items())
+
+
+def test_rollup_and_calendar(spark):
+    df = spark.createDataFrame([("N", "a", 1.0), ("N", "b", 2.0), ("S", "a", 4.0)], "r string, s string, v double")
+    out = A.metric(df, ["r", "s"], {"v": F.sum("v")}, rollup=True)
+    assert rows(out) == sorted(
+        [("N", "a", 1.0), ("N", "b", 2.0), ("N", None, 3.0), ("S", "a", 4.0), ("S", None, 4.0), (None, None, 7.0)], key=repr
+    )
+    assert rows(A.metric(df, ["r"], {"v": F.sum("v")})) == [("N", 3.0), ("S", 4.0)]
+    daily = spark.createDataFrame([(dt.date(2025, 1, 2), 5)], "day date, n bigint")
+    assert [row["n"] for row in on_calendar(daily, "day", "2025-01-01", "2025-01-03", ["n"]).orderBy("day").collect()] == [0, 5, 0]
+
+
+def test_table_counts_and_distinct(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2)], "k string, n int")
+    assert rows(A.table_counts({"t": df, "u": df.limit(0)})) == [("t", 3), ("u", 0)]
+    assert rows(A.distinct_values(df, ["k"])) == [("a",), (None,)]
+    assert "last_refreshed" in A.profile_summary(df, ["k"]).columns
+
+
+def test_joins(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "z")], "id int, k string")
+    dim = spark.createDataFrame([("a", 1, "old"), ("a", 2, "new"), ("b", 1, None)], "k string, v int, name string")
+    unique = joins.unique_on(dim, ["k"], ["v"])
+    assert rows(joins.star_join(fact, [(unique, ["k"])]).select("id", "name")) == [(1, "new"), (2, None)]
+    assert rows(joins.left_on_unique(fact, unique, ["k"]).select("id", "v")) == [(1, 2), (2, 1), (3, None), (4, None)]
+    assert rows(joins.lookup_default(fact, unique, ["k"], "name", "none").select("id", "name")) == [
+        (1, "new"), (2, "none"), (3, "none"), (4, "none")
+    ]
+    assert rows(joins.keep_matching(fact, dim, ["k"]).select("id")) == [(1,), (2,)]
+    assert joins.unique_on(dim, ["k"]).count() == 2
+
+
+def test_sets(spark):
+    left = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "n int")
+    right = spark.createDataFrame([(2,), (2,), (3,)], "n int")
+    assert rows(sets.except_distinct(left, right)) == [(1,), (None,)]
+    assert rows(sets.except_distinct(right, left)) == [(3,)]
+    assert rows(sets.except_distinct(left, spark.createDataFrame([(None,)], "n int"))) == [(1,), (2,)]
+    assert sets.union_all([left, right]).count() == 8
+    assert [row["n"] for row in sets.top_k(right, [F.desc("n")], 2).collect()] == [3, 2]
+    assert sets.first_rows(left, 3).count() == 3
+    assert [row["n"] for row in sets.sorted_view(right, ["n"]).collect()] == [2, 2, 3]
+
+
+def test_outliers_and_movements(spark, movements):
+    data, df = movements
+    by_key = defaultdict(list)
+    for customer, _, amount, _ in data:
+        by_key[customer].append(amount)
+    expected = 0
+    for amounts in by_key.values():
+        mean = sum(amounts) / len(amounts)
+        spread = (sum((x - mean) ** 2 for x in amounts) / (len(amounts) - 1)) ** 0.5
+        expected += sum(x > mean + 1.5 * spread for x in amounts)
+    found = alerts.amount_outliers(df, "customer", "amount", 1.5)
+    assert found.count() == expected > 0
+    assert found.columns == df.columns
+    busy = Counter((customer, at.date()) for customer, at, *_ in data)
+    movements = alerts.frequent_movements(df, "customer", "at", "amount", 10)
+    assert {(row[0], row[1]): row[2] for row in movements.collect()} == {key: n for key, n in busy.items() if n >= 10}
+
+
+def test_tier_alerts(spark):
+    orders = spark.createDataFrame([(1, "CAT-DIG-08"), (2, "CAT-DIG-01"), (3, None)], "id int, category string")
+    tiers = spark.createDataFrame([("CAT-DIG-08", "Alto"), ("CAT-DIG-01", "Bajo")], "category string, tier string")
+    assert [row["id"] for row in alerts.tier_alerts(orders, tiers, "category", "tier", ["Alto"]).collect()] == [1]
+
+
+def test_group_stats_merge_batches(spark, movements):
+    data, df = movements
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = rows(alerts.group_stats(df, ["customer", "channel"], "amount"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    groups = defaultdict(list)
+    for customer, _, amount, channel in data:
+        groups[(customer, channel)].append(amount)
+    expected = [(*key, len(v), sum(v) / len(v), max(v)) for key, v in groups.items()]
+    for here, there in zip(found, sorted(expected, key=repr), strict=True):
+        assert here[:3] == there[:3] and here[4] == there[4]
+        assert here[3] == pytest.approx(there[3])

@@ -1,0 +1,78 @@
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from orebed.functions import scalars as S
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+@pytest.mark.parametrize(
+    "text, ok",
+    [
+        ("a.b-c_1@shop.example.com", True),
+        ("a@b.co", True),
+        ("a@b.c", False),
+        ("a@b.toolong", False),
+        ("no at sign", False),
+        ("a@@b.com", False),
+        ("", False),
+    ],
+)
+def test_valid_email(spark, text, ok):
+    assert value(spark, S.valid_email(F.lit(text))) is ok
+
+
+def test_valid_email_null(spark):
+    assert value(spark, S.valid_email(F.lit(None).cast("string"))) is None
+
+
+def test_epoch_to_ts(spark):
+    epoch = F.lit(1735689600.75)
+    assert value(spark, S.epoch_to_ts(epoch).cast("string")) == "2025-01-01 00:00:00"
+    assert value(spark, S.epoch_to_ts(epoch, "exact").cast("string")) == "2025-01-01 00:00:00.75"
+    with pytest.raises(ValueError):
+        S.epoch_to_ts(epoch, "other")
+
+
+def test_to_ts(spark):
+    assert value(spark, S.to_ts(F.lit("2025-03-01T08:00:00")).cast("string")) == "2025-03-01 08:00:00"
+    assert value(spark, S.to_ts(F.lit("soon"), "lenient")) is None
+    with pytest.raises(PySparkException):
+        value(spark, S.to_ts(F.lit("soon")))
+
+
+def test_text_helpers(spark):
+    assert value(spark, S.slug(F.lit("Ana.María-9"))) == "ana_mar_a_9"
+    assert value(spark, S.padded_id("ORD", F.lit(7), 5)) == "ORD00007"
+    assert value(spark, S.padded_id("ORD", F.lit(1234567), 5)) == "ORD1234567"
+    assert value(spark, S.text_prefix(F.lit("Consumo"), 3)) == "Con"
+    assert value(spark, S.iso_text(F.lit(dt.datetime(2025, 1, 2, 3, 4, 5)))) == "2025-01-02T03:04:05"
+    assert "@" not in value(spark, S.user_slug())
+
+
+def test_map_default(spark):
+    mapping = {"Retail": 8, "PYME": 15}
+    assert value(spark, S.map_default(F.lit("PYME"), mapping, 1)) == 15
+    assert value(spark, S.map_default(F.lit("x"), mapping, 1)) == 1
+
+
+@pytest.mark.parametrize(
+    "days, bucket",
+    [(-3, "Al_Dia"), (0, "Al_Dia"), (1, "1-30"), (30, "1-30"), (31, "31-60"), (90, "61-90"), (91, "Mayor_90")],
+)
+def test_ladder(spark, days, bucket):
+    assert value(spark, S.ladder(F.lit(days), S.DPD_EDGES)) == bucket
+
+
+def test_ladder_null(spark):
+    assert value(spark, S.ladder(F.lit(None).cast("int"), S.DPD_EDGES)) is None
+
+
+def test_calendar(spark):
+    days = [row["day"] for row in S.calendar(spark, "2024-02-27", "2024-03-01").collect()]
+    assert days == [dt.date(2024, 2, 27), dt.date(2024, 2, 28), dt.date(2024, 2, 29), dt.date(2024, 3, 1)]

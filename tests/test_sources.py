@@ -1,0 +1,170 @@
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import types as T
+
+from orebed import paths
+from orebed.session import shared_root
+from orebed.plans.customers import EVENT_SCHEMA
+from orebed.plans.orders import ORDER_SCHEMA
+from orebed.sources import files, tables
+from orebed.sources.files import parse_json_rescued
+from tests.conftest import rows
+
+
+def put(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as out:
+        out.write("\n".join(line if isinstance(line, str) else json.dumps(line) for line in lines))
+
+
+def order(number, **more):
+    return {
+        "order_id": f"ORD{number:05d}",
+        "order_timestamp": "2024-01-05T00:00:00",
+        "customer_id": f"CUST{number % 100:04d}",
+        "notifications": {"email": True, "sms": False},
+        **more,
+    }
+
+
+def test_ingest_reads_each_file_once(spark, folder):
+    def ingest():
+        return files.ingest_json(spark, f"{folder}/orders", ORDER_SCHEMA, f"{folder}/out", f"{folder}/cp")
+
+    put(f"{folder}/orders", "00.json", [order(i) for i in range(174)])
+    assert ingest().rows_added == 174
+    assert ingest().rows_added == 0
+    put(f"{folder}/orders", "01.json", [order(2000 + i) for i in range(25)])
+    assert ingest().rows_added == 25
+    out = spark.read.parquet(f"{folder}/out")
+    assert out.count() == 199
+    assert {row["source_file"] for row in out.select("source_file").distinct().collect()} == {"00.json", "01.json"}
+    assert out.filter("processing_time IS NULL").count() == 0
+    assert out.filter("notifications.email AND NOT notifications.sms").count() == 199
+
+
+def test_small_batches_are_summed(spark, folder):
+    for number in range(5):
+        put(f"{folder}/orders", f"{number:02d}.json", [order(10 * number + i) for i in range(3)])
+    report = files.ingest_json(spark, f"{folder}/orders", ORDER_SCHEMA, f"{folder}/out", f"{folder}/cp", max_files=2)
+    assert (report.batches, report.rows_read) == (3, 15)
+
+
+SMALL = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("wishes", T.StructType([T.StructField("email", T.BooleanType())])),
+    ]
+)
+
+
+@pytest.mark.parametrize(
+    "line, typed, rescued",
+    [
+        ('{"id":"a","n":1,"wishes":{"email":true}}', ("a", 1, (True,)), None),
+        ('{"id":"a","extra":5}', ("a", None, None), {"extra": "5"}),
+        ('{"id":"a","n":"many"}', ("a", None, None), {"n": "many"}),
+        ('{"id":"a","n":null,"extra":null}', ("a", None, None), None),
+        ('{"id":"a","n":2,"wishes":{"email":"yes"}}', ("a", 2, (None,)), {"wishes": '{"email":"yes"}'}),
+        ('{"id":"a","n":2,"wishes":{"email":true,"fax":1}}', ("a", 2, (True,)), {"wishes": '{"email":true,"fax":1}'}),
+        ('{"id":"a","wishes":7}', ("a", None, None), {"wishes": "7"}),
+        ("not json at all", (None, None, None), "not json at all"),
+        ("", (None, None, None), None),
+    ],
+)
+def test_rescue(spark, line, typed, rescued):
+    df = spark.createDataFrame([(line, 9)], "value string, other int")
+    out = parse_json_rescued(df, "value", SMALL)
+    assert out.columns == ["id", "n", "wishes", "other", "_rescued_data"]
+    row = out.first()
+    assert (row["id"], row["n"], tuple(row["wishes"]) if row["wishes"] else None) == typed
+    found = row["_rescued_data"]
+    assert (json.loads(found) if isinstance(rescued, dict) else found) == rescued
+
+
+def test_rescue_in_a_stream(spark, folder):
+    full = {field.name: "x" for field in EVENT_SCHEMA if field.name != "timestamp"}
+    put(f"{folder}/c", "00.json", [{**full, "timestamp": 1.5}, {**full, "timestamp": 2, "phone": "1"}, "oops"])
+    files.ingest_json(spark, f"{folder}/c", EVENT_SCHEMA, f"{folder}/out", f"{folder}/cp", rescue=True)
+    found = spark.read.parquet(f"{folder}/out")
+    assert rows(found.select("_rescued_data", "source_file")) == [
+        ("oops", "00.json"), ('{"phone":"1"}', "00.json"), (None, "00.json")
+    ]
+
+
+def test_csv_round_trip(spark, folder):
+    df = spark.createDataFrame(
+        [("a,b", 1.5, dt.date(2025, 1, 2)), ('say "hi"', None, None)], "name string, amount double, day date"
+    )
+    path = tables.export_csv(df, f"{folder}/csv")
+    assert rows(files.read_csv(spark, path, df.schema)) == rows(df)
+    single = tables.export_csv(df.repartition(3), f"{folder}/tmp", single_file="handover.csv")
+    assert single == f"{folder}/handover.csv" and os.path.isfile(single)
+    tables.export_csv(df, f"{folder}/tmp", single_file="handover.csv")
+    assert rows(files.read_csv(spark, single, df.schema)) == rows(df)
+    with open(single) as text:
+        assert text.readline() == "name,amount,day\n"
+
+
+def test_jsonl_export(spark, folder):
+    df = spark.createDataFrame(
+        [("a", dt.datetime(2025, 1, 2, 3, 4, 5), (True, None)), ("b", None, None)],
+        "id string, at timestamp, wishes struct<email:boolean,sms:boolean>",
+    )
+    path = tables.export_jsonl(df.coalesce(1), f"{folder}/j")
+    found = [json.loads(row["value"]) for row in spark.read.text(path).collect()]
+    assert found == [{"id": "a", "at": "2025-01-02T03:04:05.000000", "wishes": {"email": True}}, {"id": "b"}]
+
+
+def test_tables(spark, folder):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    assert tables.ensure_table(spark, "t_ensure", schema, f"{folder}/t") is True
+    spark.range(3).write.insertInto("t_ensure")
+    assert tables.ensure_table(spark, "t_ensure", schema) is False
+    assert spark.table("t_ensure").count() == 3
+    for _ in range(2):
+        tables.write_table(spark.range(5), "t_write", "It's a table", {"quality": "gold", "domain": "it's"}, f"{folder}/w")
+        assert spark.table("t_write").count() == 5
+    assert spark.catalog.getTable("t_write").description == "It's a table"
+    found = {row["key"]: row["value"] for row in spark.sql("SHOW TBLPROPERTIES t_write").collect()}
+    assert (found["quality"], found["domain"]) == ("gold", "it's")
+    spark.sql("DROP TABLE t_write")
+    spark.sql("DROP TABLE t_ensure")
+
+
+def test_layout(spark, folder):
+    for _ in range(2):
+        places = tables.ensure_layout(spark, folder, ["orders", "status"])
+        tables.ensure_namespaces(spark, ["bronze_x"])
+    assert all(os.path.isdir(place) for place in places.values())
+    assert places["status"].endswith("ingest/raw/status")
+    assert spark.catalog.databaseExists("bronze_x")
+    spark.sql("DROP DATABASE bronze_x")
+
+
+def test_notes(spark, folder):
+    tables.note_path(spark, f"{folder}/notes", "t", "A table", {"quality": "gold"})
+    tables.note_path(spark, f"{folder}/notes", "t", "A table", {"quality": "gold"})
+    assert json.loads(paths.read_text(spark, f"{folder}/notes/t.json"))["properties"] == {"quality": "gold"}
+    assert paths.read_text(spark, f"{folder}/notes/u.json") is None
+
+
+def test_shared_root_needs_a_setting_on_a_cluster():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
