@@ -42,22 +42,23 @@ def apply_expectations(
     The observed fields are ``rows`` (seen), ``rows_kept`` and ``failed_<rule>``.
     Give an ``Observation`` for a batch frame and a name for a streaming one.
     """
+    # Each predicate is evaluated once; everything after reads the flag.
+    flags = {f"_ok_{i}": rule for i, rule in enumerate(rules)}
+    checked = df.withColumns({flag: rule.holds() for flag, rule in flags.items()})
     kept = F.lit(True)
-    for rule in rules:
+    for flag, rule in flags.items():
         if rule.action == "drop":
-            kept = kept & rule.holds()
+            kept = kept & F.col(flag)
+        if rule.action == "fail":
+            # Part of the filter: an unused column would be pruned with its error.
+            message = F.lit(f"expectation {rule.name} failed: {rule.predicate}")
+            checked = checked.filter(F.when(F.col(flag), True).otherwise(F.raise_error(message)))
     counts = [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(kept).alias("rows_kept"),
-        *[F.count_if(~rule.holds()).alias(f"failed_{rule.name}") for rule in rules],
+        *[F.count_if(~F.col(flag)).alias(f"failed_{rule.name}") for flag, rule in flags.items()],
     ]
-    checked = df
-    for rule in rules:
-        if rule.action == "fail":
-            # Part of the filter: an unused column would be pruned with its error.
-            message = F.lit(f"expectation {rule.name} failed: {rule.predicate}")
-            checked = checked.filter(F.when(rule.holds(), True).otherwise(F.raise_error(message)))
-    return checked.observe(observation, *counts).filter(kept)
+    return checked.observe(observation, *counts).filter(kept).drop(*flags)
 
 
 def expectation_metrics(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:

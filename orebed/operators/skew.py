@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from orebed.session import shared_root
+
 # A key with more rows than this is hot.
 HOT_ROWS = "spark.orebed.hotRows"
 DEFAULT_HOT_ROWS = 2_000_000
@@ -78,20 +80,28 @@ def skew_join(
     the remaining keys are joined by shuffle. Passing ``hot_rows`` forces the
     count of hot keys whatever the sizes.
     """
+    return split_join(left, right, keys, how, hot_rows)[0]
+
+
+def split_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot_rows: int | None = None
+) -> tuple[DataFrame, bool]:
+    """The join of :func:`skew_join`, and whether hot keys were treated apart."""
     keys = list(keys)
-    right = right.na.drop(subset=keys)
+    for key in keys:  # a null key matches nothing, and there may be many
+        right = right.filter(F.col(key).isNotNull())
     if hot_rows is None:
         if plan_bytes(right) <= _broadcast_limit(right) or not _is_large(left):
-            return left.join(right, keys, how)
+            return left.join(right, keys, how), False
         hot_rows = _hot_limit(left)
     hot = hot_keys(left, keys, hot_rows)
     if not hot:
-        return left.join(right, keys, how)
+        return left.join(right, keys, how), False
     marks = _mark_frame(left, keys, hot)
     few = F.broadcast(_pick(right, keys, marks, "left_semi"))
     spread = _pick(left, keys, marks, "left_semi").join(few, keys, how)
     rest = _pick(left, keys, marks, "left_anti").join(right, keys, how)
-    return spread.unionByName(rest)
+    return spread.unionByName(rest), True
 
 
 def lead_by_key(
@@ -118,6 +128,7 @@ def lead_by_key(
     if not hot:
         return df.withColumn(out, F.lead(order[0]).over(plain))
 
+    shared_root(df.sparkSession)
     marks = _mark_frame(df, keys, hot)
     slices = math.ceil(sum(row["_rows"] for row in hot) / hot_rows) + 1
     sliced = (

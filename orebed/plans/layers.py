@@ -49,7 +49,7 @@ def open_layers(
     everything again needs ``allow_reset``. It starts a new generation and
     leaves the old tables and checkpoints as they are.
     """
-    home = f"{root}/{job}"
+    home = f"{root}/medallion/{job}"
     numbers = [int(name[1:]) for name in paths.list_names(spark, home) if name.startswith("g")]
     current = max(numbers, default=0)
     if full_refresh and numbers:

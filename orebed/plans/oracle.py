@@ -311,6 +311,7 @@ SAME_RESULT = {
     "l1_medallion_orders": "a1_daily_orders",
     "l3_csv_medallion": "a2_monthly_fact",
     "s9_ensure_table": "a2_monthly_fact",
+    "s12_status_feed": "s12_latest_status",
 }
 
 

@@ -12,8 +12,9 @@ from orebed.operators.aggregates import daily_counts
 from orebed.operators.expectations import Expectation, apply_expectations
 from orebed.plans.layers import JobReport, Layers, open_layers
 from orebed.sources.files import ingest_json, read_stream_table, stream_json
-from orebed.sources.tables import note_path, write_path
+from orebed.sources.tables import export_jsonl, note_path
 from orebed.streaming.run import RunReport, run_available
+from orebed.streaming.touched import read_days, refresh_days
 
 # The fields of an order file and the rules of the checked table.
 ORDER_SCHEMA = T.StructType(
@@ -27,6 +28,14 @@ ORDER_SCHEMA = T.StructType(
         ),
     ]
 )
+CLEAN_SCHEMA = T.StructType(
+    [
+        ORDER_SCHEMA["order_id"],
+        T.StructField("order_timestamp", T.TimestampType()),
+        ORDER_SCHEMA["customer_id"],
+        ORDER_SCHEMA["notifications"],
+    ]
+)
 ORDER_RULES = [
     Expectation("valid_order_id", "order_id IS NOT NULL", "fail"),
     Expectation("valid_customer_id", "customer_id IS NOT NULL"),
@@ -60,10 +69,28 @@ def silver(spark: SparkSession, layers: Layers, mode: str = "strict") -> RunRepo
     return run_available(checked_orders(raw, mode), layers.table("silver", CLEAN), layers.checkpoint(CLEAN))
 
 
-def gold(spark: SparkSession, layers: Layers) -> None:
+def daily_of(clean: DataFrame) -> DataFrame:
+    return daily_counts(clean, "order_timestamp", "customer_id", day="order_date")
+
+
+def gold(spark: SparkSession, layers: Layers) -> RunReport:
+    """Recompute the days that have new orders."""
     path = layers.table("silver", CLEAN)
-    if paths.exists(spark, path):
-        write_path(daily_counts(spark.read.parquet(path), "order_timestamp", "customer_id"), layers.table("gold", DAILY))
+    if not paths.exists(spark, path):
+        return RunReport()
+    return refresh_days(
+        read_stream_table(spark, path, CLEAN_SCHEMA),
+        path,
+        "order_timestamp",
+        "order_date",
+        daily_of,
+        layers.table("gold", DAILY),
+        layers.checkpoint(DAILY),
+    )
+
+
+def read_daily(spark: SparkSession, layers: Layers) -> DataFrame | None:
+    return read_days(spark, layers.table("gold", DAILY))
 
 
 def run(
@@ -80,12 +107,11 @@ def run(
     if validate:
         raw = stream_json(spark, f"{source}/orders", ORDER_SCHEMA)
         clean = checked_orders(raw, mode)
-        daily = daily_counts(clean, "order_timestamp", "customer_id")
-        frames = {RAW: raw, CLEAN: clean, DAILY: daily}
+        frames = {RAW: raw, CLEAN: clean, DAILY: daily_of(clean)}
         return JobReport(schemas={name: frame.schema.simpleString() for name, frame in frames.items()})
     layers = open_layers(spark, root, "orders", full_refresh, allow_reset)
     steps = {RAW: bronze(spark, source, layers, max_files), CLEAN: silver(spark, layers, mode)}
-    gold(spark, layers)
+    steps[DAILY] = gold(spark, layers)
     note_path(spark, layers.notes, RAW, "Order files as they came", {"quality": "bronze", "reset.allowed": "false"})
     note_path(spark, layers.notes, CLEAN, "Typed and checked orders", {"quality": "silver"})
     note_path(spark, layers.notes, DAILY, "Orders and customers per day", {"quality": "gold", "domain": "marketplace"})
@@ -94,8 +120,6 @@ def run(
 
 def land_orders(orders: DataFrame, source: str, mode: str = "overwrite") -> None:
     """Write orders as a landing feed, with the notification wishes as a struct."""
-    from orebed.sources.tables import export_jsonl
-
     wishes = F.struct(F.col("wants_email").alias("email"), F.col("wants_sms").alias("sms"))
     export_jsonl(
         orders.select("order_id", "order_timestamp", "customer_id", wishes.alias("notifications")),

@@ -12,7 +12,7 @@ from orebed.functions import scalars as S
 from orebed.operators import aggregates as A
 from orebed.operators import alerts, cdc, governance, joins, rules, scoring, sets
 from orebed.operators import expectations as E
-from orebed.plans import customers, orders, transactions
+from orebed.plans import customers, orders, status, transactions
 from orebed.session import configure, fresh_dir
 from orebed.sources import files, tables
 from orebed.streaming.interval_join import interval_stream_join
@@ -139,6 +139,24 @@ def s12_latest_status(spark, sf_dir):
     return cdc.scd1(feed, ["order_id"], ["status_ts", "event_id"], F.lit(False), ["event_id"])
 
 
+@query
+def s12_status_feed(spark, sf_dir):
+    """The latest status by way of JSON files and the status job."""
+    root = fresh_dir(spark, "status")
+    feed = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("order_id"),
+        F.col("event_type").alias("order_status"),
+        (F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("status_timestamp"),
+    )
+    tables.export_jsonl(feed, f"{root}/landing/status")
+    status.run(spark, f"{root}/landing", root)
+    return status.read_status(spark, root).select(
+        F.col("order_id").cast("bigint").alias("order_id"),
+        "order_status",
+        F.col("status_time").cast("timestamp_ntz").alias("status_ts"),
+    )
+
+
 # Projections and filters
 
 
@@ -707,7 +725,7 @@ def l1_medallion_orders(spark, sf_dir):
     root = fresh_dir(spark, "orders")
     orders.land_orders(_order_feed(spark, sf_dir), f"{root}/landing")
     layers = orders.run(spark, f"{root}/landing", root).layers
-    return spark.read.parquet(layers.table("gold", orders.DAILY))
+    return orders.read_daily(spark, layers)
 
 
 def _customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from orebed import paths
-from orebed.plans import customers, orders, transactions
+from orebed.plans import customers, orders, status, transactions
 from orebed.plans.layers import ResetNotAllowed
 from orebed.streaming.interval_join import interval_stream_join
 from orebed.streaming.run import run_available
@@ -27,7 +27,7 @@ def test_orders_job(spark, folder):
     assert first.steps[orders.CLEAN].rows_added == 174
     counts = first.steps[orders.CLEAN].observed[orders.CLEAN]
     assert [counts[f"failed_{rule.name}"] for rule in orders.ORDER_RULES] == [0, 0, 0]
-    daily = spark.read.parquet(first.layers.table("gold", orders.DAILY))
+    daily = orders.read_daily(spark, first.layers)
     assert daily.count() == 12 and daily.agg(F.sum("total_daily_orders")).first()[0] == 174
 
     again = orders.run(spark, landing, folder)
@@ -38,7 +38,7 @@ def test_orders_job(spark, folder):
     assert (third.steps[orders.RAW].rows_added, third.steps[orders.CLEAN].rows_added) == (25, 25)
     counts = third.steps[orders.CLEAN].observed[orders.CLEAN]
     assert (counts["failed_valid_customer_id"], counts["failed_valid_timestamp"]) == (25, 25)
-    daily = spark.read.parquet(third.layers.table("gold", orders.DAILY))
+    daily = orders.read_daily(spark, third.layers)
     assert daily.filter("order_date = '2019-01-01'").first()[1:] == (25, 0)
     note = json.loads(paths.read_text(spark, f"{third.layers.notes}/{orders.RAW}.json"))
     assert note["properties"]["reset.allowed"] == "false"
@@ -50,7 +50,7 @@ def test_failed_rule_commits_nothing(spark, folder):
     with pytest.raises(StreamingQueryException, match="valid_order_id"):
         layers_run = orders.run(spark, folder, folder)
     assert layers_run is None
-    silver = f"{folder}/orders/g0/silver/{orders.CLEAN}"
+    silver = f"{folder}/medallion/orders/g0/silver/{orders.CLEAN}"
     assert not os.path.isdir(silver) or not [n for n in os.listdir(silver) if n.startswith("part-")]
 
 
@@ -72,7 +72,7 @@ def test_validate_reads_no_data(spark, folder):
         "struct<customer_id:string,name:string,email:string,address:string,city:string,state:string,"
         "zip_code:string,timestamp_datetime:timestamp>"
     )
-    assert not os.path.exists(f"{folder}/orders/g0") and not os.path.exists(f"{folder}/customers/g0")
+    assert not os.path.exists(f"{folder}/medallion/orders/g0") and not os.path.exists(f"{folder}/medallion/customers/g0")
 
 
 def test_full_refresh_guard(spark, folder):
@@ -82,7 +82,7 @@ def test_full_refresh_guard(spark, folder):
         orders.run(spark, f"{folder}/landing", folder, full_refresh=True)
     fresh = orders.run(spark, f"{folder}/landing", folder, full_refresh=True, allow_reset=True)
     assert fresh.steps[orders.RAW].rows_added == 3
-    assert fresh.layers.base.endswith("/g1") and os.path.isdir(f"{folder}/orders/g0")
+    assert fresh.layers.base.endswith("/g1") and os.path.isdir(f"{folder}/medallion/orders/g0")
     assert orders.run(spark, f"{folder}/landing", folder).steps[orders.RAW].rows_added == 0
 
 
@@ -173,3 +173,52 @@ def test_interval_join_against_brute_force(spark, folder):
     )
     assert rows(found.select("click", "buy")) == sorted(expected, key=repr)
     assert sorted(found.columns) == ["b_at", "buy", "c_at", "click", "user"]
+
+
+def test_gold_recomputes_only_changed_days(spark, folder, monkeypatch):
+    def at(day, hour):
+        return f"2025-01-{day:02d}T{hour:02d}:00:00"
+
+    landing = f"{folder}/landing"
+    put(f"{landing}/orders", "00.json", [order(i, order_timestamp=at(i % 9 + 1, i % 24)) for i in range(90)])
+    layers = orders.run(spark, landing, folder).layers
+    assert orders.read_daily(spark, layers).count() == 9
+    seen = []
+    plain = orders.daily_of
+
+    def watched(rows_of_days):
+        seen.append({str(row[0]) for row in rows_of_days.select(F.to_date("order_timestamp")).distinct().collect()})
+        return plain(rows_of_days)
+
+    monkeypatch.setattr(orders, "daily_of", watched)
+    put(f"{landing}/orders", "01.json", [
+        order(500, order_timestamp=at(3, 1)), order(501, order_timestamp=at(7, 23)), order(502, order_timestamp=None)
+    ])
+    orders.run(spark, landing, folder)
+    assert seen == [{"2025-01-03", "2025-01-07", "None"}]
+    expected = plain(spark.read.parquet(layers.table("silver", orders.CLEAN)))
+    assert rows(orders.read_daily(spark, layers)) == rows(expected)
+    orders.run(spark, landing, folder)
+    assert len(seen) == 1
+    for number in range(2, 5):
+        put(f"{landing}/orders", f"{number:02d}.json", [order(600 + number, order_timestamp=at(number, 2))])
+        orders.run(spark, landing, folder)
+    expected = plain(spark.read.parquet(layers.table("silver", orders.CLEAN)))
+    assert rows(orders.read_daily(spark, layers)) == rows(expected)
+    assert len(paths.list_names(spark, layers.table("gold", orders.DAILY) + "/data")) == 2
+
+
+def test_status_job(spark, folder):
+    base = 1735689600.0
+    put(f"{folder}/status", "00.json", [
+        {"order_id": f"ORD{i % 50:05d}", "order_status": f"s{i}", "status_timestamp": base + i * 3600} for i in range(536)
+    ])
+    assert status.run(spark, folder, folder).steps[status.RAW].rows_added == 536
+    put(f"{folder}/status", "01.json", [
+        {"order_id": "ORD00000", "order_status": "late", "status_timestamp": base},
+        {"order_id": "ORD00001", "order_status": "newest", "status_timestamp": base + 9e6},
+    ])
+    status.run(spark, folder, folder)
+    latest = {row["order_id"]: row["order_status"] for row in status.read_status(spark, folder).collect()}
+    assert len(latest) == 50
+    assert (latest["ORD00000"], latest["ORD00001"], latest["ORD00002"]) == ("s500", "newest", "s502")
