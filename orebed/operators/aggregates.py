@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orebed.functions.scalars import ladder
-from orebed.operators.skew import as_column
+from orebed.operators.projections import tagged
+from orebed.operators.skew import as_column, will_broadcast
 
 
 def daily_counts(
@@ -34,25 +35,25 @@ def monthly_fact(df: DataFrame, customer: str, ts: str, amount: str, channel: st
     Channel ties go to the smallest name. Counting per channel first keeps the
     state fixed-size and needs a single scan.
     """
-    month = F.date_format(ts, "yyyy-MM").alias("year_month")
+    month = F.trunc(ts, "MM").alias("_month")
     per_channel = df.groupBy(F.col(customer).alias("customer_id"), month, F.col(channel).alias("_channel")).agg(
         F.count(F.lit(1)).alias("_n"), F.count(amount).alias("_priced"), F.sum(amount).alias("_sum")
     )
     # A null channel is counted in the totals but cannot be the top one.
     rank = F.when(F.col("_channel").isNotNull(), F.struct(-F.col("_n"), F.col("_channel")))
-    return per_channel.groupBy("customer_id", "year_month").agg(
+    monthly = per_channel.groupBy("customer_id", "_month").agg(
         F.sum("_n").alias("total_transactions"),
         F.round(F.sum("_sum"), 2).alias("total_amount"),
         F.round(F.try_divide(F.sum("_sum"), F.sum("_priced")), 6).alias("avg_ticket"),
         F.min_by("_channel", rank).alias("top_channel"),
     )
+    named = F.date_format("_month", "yyyy-MM").alias("year_month")
+    return monthly.select("customer_id", named, "total_transactions", "total_amount", "avg_ticket", "top_channel")
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
-    ]
+    counts = {name: df.agg(F.count(F.lit(1)).alias("row_count")) for name, df in tables.items()}
+    parts = [tagged(count, "table_name", name) for name, count in counts.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -71,16 +72,24 @@ def sums_by_dimension(
 ) -> DataFrame:
     """Sums of fact measures per dimension attribute (and fact column ``within``).
 
-    ``dim`` holds ``key`` once. The facts are summed per key before the join, so
-    the join moves one row per key (and ``within``) whatever the skew.
-    ``members`` names a column counting the distinct keys, which after that
-    first sum is a plain row count.
+    ``dim`` holds ``key`` once; ``members`` names a column counting the distinct
+    keys. A dimension Spark will broadcast is joined where the facts are read.
+    A larger one is joined to the facts already summed per key, so the join
+    moves one row per key (and ``within``) whatever the skew. Either way a row
+    per key is made before members are counted, which is then a plain count.
     """
-    parts = facts.groupBy(key, *within).agg(*[F.sum(value).alias(name) for name, value in measures.items()])
+    first = [F.sum(value).alias(name) for name, value in measures.items()]
     totals = [F.sum(name).alias(name) for name in measures]
     if members:
         totals.append(F.count(F.lit(1)).alias(members))
-    return parts.join(dim, key).groupBy(*by, *within).agg(*totals)
+    if will_broadcast(dim):
+        joined = facts.join(dim, key)
+        if not members:
+            return joined.groupBy(*by, *within).agg(*first)
+        parts = joined.groupBy(*by, *within, key).agg(*first)
+    else:
+        parts = facts.groupBy(key, *within).agg(*first).join(dim, key)
+    return parts.groupBy(*by, *within).agg(*totals)
 
 
 def npl_ratio(df: DataFrame, dims: Sequence[str], balance: str, days: str, threshold: int = 90) -> DataFrame:

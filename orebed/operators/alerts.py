@@ -60,7 +60,7 @@ def group_apply(
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Row count, mean and maximum per group by way of pandas."""
+    """Rows, known values, their sum, mean and maximum per group by way of pandas."""
     names = list(keys)
 
     def partial(frame: pd.DataFrame) -> pd.DataFrame:
@@ -79,6 +79,8 @@ def group_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
     merge = {
         "n": F.sum("n"),
+        "n_known": F.sum("known"),
+        "total_value": F.sum("total"),
         "mean_value": F.try_divide(F.sum("total"), F.sum("known")),
         "max_value": F.max("top"),
     }

@@ -41,6 +41,11 @@ def _broadcast_limit(df: DataFrame) -> int:
     return int(number)
 
 
+def will_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's estimate is within its own limit for a broadcast."""
+    return plan_bytes(df) <= _broadcast_limit(df)
+
+
 def _hot_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS, str(DEFAULT_HOT_ROWS)))
 
@@ -91,7 +96,7 @@ def split_join(
     for key in keys:  # a null key matches nothing, and there may be many
         right = right.filter(F.col(key).isNotNull())
     if hot_rows is None:
-        if plan_bytes(right) <= _broadcast_limit(right) or not _is_large(left):
+        if will_broadcast(right) or not _is_large(left):
             return left.join(right, keys, how), False
         hot_rows = _hot_limit(left)
     hot = hot_keys(left, keys, hot_rows)

@@ -274,7 +274,7 @@ from orders group by 1, 2 having count(*) >= 2
 -- m2_high_tier_alert
 select l_orderkey, l_linenumber, p_partkey, p_type from lineitem join part on l_partkey = p_partkey where p_type = 'PROMO'
 -- m3_group_stats_pandas
-select c_mktsegment, c_nationkey, count(*) as n, round(avg(c_acctbal), 4) as mean_bal, round(max(c_acctbal), 2) as max_bal
+select c_mktsegment, c_nationkey, count(*) as n, round(sum(c_acctbal), 2) / count(c_acctbal) as mean_bal, round(max(c_acctbal), 2) as max_bal
 from customer group by c_mktsegment, c_nationkey
 -- m4_risk_features
 select o_custkey, count(*) as n_loans, round(max(o_totalprice), 2) as max_amount,
