@@ -1,10 +1,11 @@
 """Joins and ordered look-ahead that hold up when one key has very many rows.
 
 A join or a window sends all rows of a key to one task. The helpers here first
-count rows per key (map-side combined, key columns only). Keys above a row
-limit are *hot*: their number is at most ``total rows / limit``, so a list of
-them is small by construction and may be broadcast. Hot rows then stay where
-they are and everything else takes the ordinary shuffle.
+estimate the rows per key from a thin sample of the key columns. Keys above a
+row limit are *hot*: there can only be about ``total rows / limit`` of them, so
+the list is small and may be broadcast. Hot rows then stay where they are and
+everything else takes the ordinary shuffle. The estimate decides the way a row
+takes, never the result: all rows take part on either way.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from orebed.session import shared_root
+from orebed.session import plan_bytes, shared_root
 
 # A key with more rows than this is hot.
 HOT_ROWS = "spark.orebed.hotRows"
@@ -25,11 +26,8 @@ PROBE_BYTES = "spark.orebed.probeBytes"
 DEFAULT_PROBE_BYTES = 256 * 1024 * 1024
 # No more hot keys than this are treated apart; the rest take the shuffle.
 MAX_HOT_KEYS = 100_000
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate for a plan. Starts no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+# A key at the limit is expected this often in the sample; half of it is hot.
+SAMPLE_HITS = 200
 
 
 def _broadcast_limit(df: DataFrame) -> int:
@@ -55,9 +53,19 @@ def _is_large(df: DataFrame) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[Row]:
-    """Keys with more than ``hot_rows`` rows and their counts, largest first."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS).collect()
+    """Keys with more than ``hot_rows`` rows and their (estimated) count in ``_rows``.
+
+    Counted on a sample, so that nearly unique keys cost no shuffle of their
+    own. Limits below the sample size are counted exactly.
+    """
+    picked = df.select(*keys)
+    fraction, least = 1.0, hot_rows
+    if hot_rows > SAMPLE_HITS:
+        fraction, least = SAMPLE_HITS / hot_rows, SAMPLE_HITS // 2
+        picked = picked.sample(fraction, seed=17)
+    counts = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > least)
+    rows = (F.col("_n") / fraction).cast("bigint").alias("_rows")
+    return counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).select(*keys, rows).collect()
 
 
 def _mark_frame(df: DataFrame, keys: Sequence[str], hot: Sequence[Row]) -> DataFrame:
@@ -103,7 +111,11 @@ def split_join(
     if not hot:
         return left.join(right, keys, how), False
     marks = _mark_frame(left, keys, hot)
-    few = F.broadcast(_pick(right, keys, marks, "left_semi"))
+    # Read once: as a list this short it need not be worked out again below.
+    matches = _pick(right, keys, marks, "left_semi").limit(MAX_HOT_KEYS + 1).collect()
+    if len(matches) > MAX_HOT_KEYS:
+        return left.join(right, keys, how), False  # not unique: leave it to the shuffle
+    few = F.broadcast(left.sparkSession.createDataFrame(matches, right.schema))
     spread = _pick(left, keys, marks, "left_semi").join(few, keys, how)
     rest = _pick(left, keys, marks, "left_anti").join(right, keys, how)
     return spread.unionByName(rest), True

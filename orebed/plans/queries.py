@@ -13,7 +13,7 @@ from orebed.operators import aggregates as A
 from orebed.operators import alerts, cdc, governance, joins, projections, rules, scoring, sets
 from orebed.operators import expectations as E
 from orebed.plans import customers, orders, status, transactions
-from orebed.session import configure, fresh_dir
+from orebed.session import configure, fit_shuffle, fresh_dir
 from orebed.sources import files, tables
 from orebed.streaming.interval_join import interval_stream_join
 from orebed.streaming.run import run_available
@@ -37,7 +37,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return fit_shuffle(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def overdue() -> Column:

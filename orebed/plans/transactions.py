@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from orebed.operators.aggregates import monthly_fact
 from orebed.operators.expectations import Expectation, apply_expectations
 from orebed.plans.layers import JobReport, Layers, open_layers
+from orebed.session import fit_shuffle
 from orebed.sources.files import read_csv, with_ingest_metadata
 from orebed.sources.tables import note_path, write_path
 from orebed.streaming.run import RunReport
@@ -63,7 +64,8 @@ def silver(spark: SparkSession, layers: Layers) -> RunReport:
 
 
 def gold(spark: SparkSession, layers: Layers) -> None:
-    write_path(monthly(spark.read.parquet(layers.table("silver", CLEAN))), layers.table("gold", MONTHLY))
+    clean = fit_shuffle(spark.read.parquet(layers.table("silver", CLEAN)))
+    write_path(monthly(clean), layers.table("gold", MONTHLY))
 
 
 def run(spark: SparkSession, source: str, root: str, validate: bool = False) -> JobReport:

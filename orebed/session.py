@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job needs, all changeable on a running session. Shuffle width
 # and memory are left to the cluster.
@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on a session made elsewhere."""
     for name, value in RUNTIME_SETTINGS.items():
@@ -29,6 +32,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fit_shuffle(df: DataFrame, bytes_per_partition: int = 128 * 1024 * 1024) -> DataFrame:
+    """Let shuffles start with enough partitions for this input.
+
+    Raises the starting number only; adaptive execution merges what turns out
+    small. Returns the frame unchanged.
+    """
+    conf = df.sparkSession.conf
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    have = int(conf.get(name, None) or conf.get("spark.sql.shuffle.partitions"))
+    need = min(plan_bytes(df) // bytes_per_partition, MAX_SHUFFLE_PARTITIONS)
+    if need > have:
+        conf.set(name, str(need))
+    return df
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate for a plan. Starts no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def local_session(cores: int = 8, **settings: str) -> SparkSession:
     """A single-machine session for tests and bench."""
     builder = (

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebed import paths
+from orebed.session import fit_shuffle
 from orebed.streaming.run import RunReport, run_batches
 from orebed.streaming.snapshot import versions
 
@@ -38,7 +39,7 @@ def _refresh(
             # A plain range on the column, so that files and row groups are skipped.
             changed = changed | ((F.col(ts) >= F.lit(first)) & (F.col(ts) < F.date_add(F.lit(last), 1)))
         marks = F.broadcast(days)
-        rows = spark.read.parquet(source).filter(changed)
+        rows = fit_shuffle(spark.read.parquet(source).filter(changed))
         rows = rows.join(marks, F.to_date(ts).eqNullSafe(F.col("_day")), "left_semi")
         result = compute(rows)
         before = [version for version in versions(spark, root) if version < batch_id]

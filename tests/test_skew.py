@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orebed.operators.skew import hot_keys, lead_by_key, plan_bytes, skew_join, _broadcast_limit
+from orebed.operators.skew import _broadcast_limit, hot_keys, lead_by_key, skew_join
+from orebed.session import fit_shuffle, plan_bytes
 from tests.conftest import rows
 
 
@@ -88,6 +89,62 @@ def test_slices_bound_the_window(spark):
     assert "hashpartitioning(_slice" in plan
 
 
+def test_sampled_hot_keys(spark):
+    """Nearly unique keys beside one key with a third of all rows."""
+    df = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    found = hot_keys(df, ["k"], 20_000)
+    assert [row["k"] for row in found] == [-1]
+    assert 60_000 < found[0]["_rows"] < 140_000
+    dim = spark.range(0, 300_000, 2).withColumnRenamed("id", "k").union(spark.createDataFrame([(-1,)], "k bigint"))
+    joined = skew_join(df, dim, ["k"], "inner", hot_rows=20_000)
+    assert joined.count() == 100_000 + 100_000
+    out = lead_by_key(df, ["k"], ["id"], "nxt", hot_rows=20_000)
+    assert out.filter("nxt = id + 3 AND k = -1").count() == 99_999
+    assert out.filter("nxt IS NULL").count() == 200_001
+
+
+def test_repeated_right_keys_are_not_broadcast(spark, monkeypatch):
+    from orebed.operators import skew
+
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 5)
+    left = spark.createDataFrame([("a", i) for i in range(30)], "k string, n int")
+    right = spark.createDataFrame([("a", i) for i in range(9)], "k string, v int")
+    joined, split = skew.split_join(left, right, ["k"], "inner", hot_rows=10)
+    assert not split and joined.count() == 270
+
+
+def test_fit_shuffle_only_raises(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    df = spark.range(100_000)
+    try:
+        assert fit_shuffle(df) is df and spark.conf.get(name, None) is None
+        fit_shuffle(df, 8_000)
+        assert spark.conf.get(name) == "100"
+        fit_shuffle(df, 80_000)
+        assert spark.conf.get(name) == "100"
+        fit_shuffle(df, 1)
+        assert spark.conf.get(name) == "50000"
+    finally:
+        spark.conf.unset(name)
+
+
+def test_star_join_with_two_hot_dimensions(spark):
+    from orebed.operators.joins import star_join
+
+    fact = spark.createDataFrame([("hot", i % 3, i) for i in range(90)] + [(f"c{i}", 7 + i, i) for i in range(9)], "a string, b int, n int")
+    first = spark.createDataFrame([("hot", 1), *[(f"c{i}", i) for i in range(9)]], "a string, x int")
+    second = spark.range(20).selectExpr("cast(id as int) as b", "id * 2 as y")
+    expected = rows(fact.join(first, "a").join(second, "b").select("a", "b", "n", "x", "y"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.orebed.probeBytes": "0", "spark.orebed.hotRows": "20"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assert rows(star_join(fact, [(first, ["a"]), (second, ["b"])]).select("a", "b", "n", "x", "y")) == expected
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_size_helpers(spark):
     assert plan_bytes(spark.range(1000)) == 8000
     for text, number in [("10MB", 10 << 20), ("10485760b", 10485760), ("-1", -1), ("2g", 2 << 30), ("512", 512)]:
