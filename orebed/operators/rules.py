@@ -49,17 +49,25 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return skew_join(df, duplicate_key(df, keys).select(*keys), keys, "left_semi")
 
 
+def wrong_case_when(column: str, codes: Sequence[str]) -> Column:
+    """A code that is in the list only when letter case is ignored."""
+    folded = sorted({code.lower() for code in codes})
+    return ~F.col(column).isin(list(codes)) & F.lower(column).isin(folded)
+
+
+def outside_domain_when(column: str, codes: Sequence[str]) -> Column:
+    return ~F.col(column).isin(list(codes))
+
+
 def case_inconsistent(df: DataFrame, column: str, domain: DataFrame | Sequence[str]) -> DataFrame:
     """Codes that are in the domain only when letter case is ignored."""
     values = known_values(domain, limit=10_000)
-    lowered = F.lower(column)
     if values is not None:
-        folded = sorted({value.lower() for value in values})
-        return df.filter(~F.col(column).isin(values) & lowered.isin(folded))
+        return df.filter(wrong_case_when(column, values))
     name = domain.columns[0]
     codes = domain.select(F.col(name).alias("_code")).na.drop().distinct()
     folded = codes.select(F.lower("_code").alias("_folded")).distinct()
-    marked = df.withColumn("_folded", lowered).withColumn("_code", F.col(column))
+    marked = df.withColumn("_folded", F.lower(column)).withColumn("_code", F.col(column))
     unknown = skew_join(marked, codes, ["_code"], "left_anti")
     return skew_join(unknown, folded, ["_folded"], "left_semi").select(*df.columns)
 
@@ -87,6 +95,14 @@ def orphan_fk(df: DataFrame, ref: DataFrame, keys: Mapping[str, str] | Sequence[
     return skew_join(df, known, list(pairs), "left_anti").select(*df.columns)
 
 
+def orphan_count(df: DataFrame, ref: DataFrame, keys: Mapping[str, str] | Sequence[str]) -> DataFrame:
+    """How many rows have no match in ``ref`` (one number); counted per key first."""
+    pairs = dict(keys) if isinstance(keys, Mapping) else {key: key for key in keys}
+    known = ref.select(*[F.col(there).alias(here) for here, there in pairs.items()]).distinct()
+    per_key = df.groupBy(*pairs).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.join(known, list(pairs), "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+
+
 def negative_when(column: str) -> Column:
     return F.col(column) < 0
 
@@ -132,7 +148,7 @@ def unknown_code(df: DataFrame, column: str, domain: DataFrame | Sequence[str])
     """Codes outside the domain. A null code is the null rule's concern."""
     values = known_values(domain)
     if values is not None:
-        return df.filter(~F.col(column).isin(values))
+        return df.filter(outside_domain_when(column, values))
     codes = domain.select(F.col(domain.columns[0]).alias(column)).distinct()
     return skew_join(df.filter(F.col(column).isNotNull()), codes, [column], "left_anti").select(*df.columns)
 
@@ -163,10 +179,6 @@ def surplus_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return duplicate_key(df, keys).agg(F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("n"))
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n"))
-
-
 def dq_report(checks: Sequence[TableChecks], total: str | None = None) -> DataFrame:
     """Violations per table and rule; ``total`` names an extra line over all."""
     parts: list[DataFrame] = []

@@ -113,6 +113,43 @@ with r as (
   union all select 'lineitem', 'orphan_order', count(*) from lineitem
     where not exists (select 1 from orders where o_orderkey = l_orderkey and o_orderstatus <> 'P'))
 select * from r union all select 'all', 'all', cast(sum(n_violations) as bigint) from r
+-- q16_bank_report
+with d as (select date_diff('day', cast(l_shipdate as date), date '2001-01-01') as days, l_quantity, l_discount, l_tax,
+                  l_extendedprice from lineitem),
+k as (select cast(o_orderdate as date) as day, sum(case when o_orderstatus = 'P' then o_totalprice else 0 end) as late,
+             sum(case when o_orderstatus <> 'P' then o_totalprice else 0 end) as total
+      from orders group by 1),
+r as (
+  select 'customers' as table_name, 'missing_region' as rule, count(*) as n_violations from customer where c_acctbal < 0
+  union all select 'customers', 'future_acquisition', count(*) from customer
+    where date '2000-01-01' + c_nationkey * 30 > date '2001-01-01'
+  union all select 'customers', 'segment_case', count(*) from customer where c_acctbal > 9000
+  union all select 'customers', 'score_range', count(*) from customer where not floor(c_acctbal / 10) between 300 and 850
+  union all select 'customers', 'duplicate_id', count(*) - count(distinct c_custkey) from customer
+  union all select 'branches', 'missing_region', count(*) from supplier where s_acctbal < 0
+  union all select 'branches', 'type_case', count(*) from supplier where s_acctbal > 9000
+  union all select 'branches', 'duplicate_id', count(*) - count(distinct s_name) from supplier
+  union all select 'transactions', 'zero_approved', count(*) from orders where o_orderpriority = '5-LOW' and o_orderstatus = 'F'
+  union all select 'transactions', 'missing_date', count(*) from orders where o_totalprice <= 5000
+  union all select 'transactions', 'negative_amount', count(*) from orders
+    where o_orderpriority <> '5-LOW' and o_orderstatus = 'P' and o_totalprice > 0
+  union all select 'transactions', 'orphan_customer', count(*) from orders where o_orderpriority = '1-URGENT'
+  union all select 'transactions', 'orphan_branch', count(*) from orders
+    where 'Supplier#000000001' not in (select s_name from supplier)
+  union all select 'loans', 'negative_days', count(*) from d where days < 0
+  union all select 'loans', 'ends_before_start', count(*) from d where l_quantity < 5
+  union all select 'loans', 'balance_above_original', count(*) from d
+    where l_extendedprice * (l_discount * 4 + cast(0.9 as double)) > l_extendedprice * cast(1.2 as double)
+  union all select 'loans', 'missing_rate', count(*) from d where l_tax <= 0
+  union all select 'loans', 'bucket_mismatch', count(*) from d
+    where case when days - 30 <= 0 then 0 when days - 30 <= 30 then 1 when days - 30 <= 60 then 2
+               when days - 30 <= 90 then 3 else 4 end
+          <> case when days <= 0 then 0 when days <= 30 then 1 when days <= 60 then 2 when days <= 90 then 3 else 4 end
+  union all select 'kpis', 'ratio_above_one', count(*) from k where total > 0 and late > total
+  union all select 'kpis', 'zero_with_disbursements', count(*) from k where total = 0
+  union all select 'kpis', 'growth_sentinel', count(*) from k where month(day) = 2
+  union all select 'kpis', 'unknown_region', count(*) from k where dayofweek(day) = 0)
+select * from r union all select 'all', 'all', cast(sum(n_violations) as bigint) from r
 -- c1_scd1
 select user_id, ts, value
 from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) t
@@ -249,6 +286,29 @@ select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from eve
 select c.d as kpi_date, coalesce(e.n, 0) as n
 from (select cast(unnest(generate_series(timestamp '2023-12-30', timestamp '2024-02-02', interval 1 day)) as date) as d) c
      left join (select cast(ts as date) as d, count(*) as n from events group by 1) e on c.d = e.d
+-- l1_verify_counts
+select 'orders' as table_name, count(*) as row_count from orders
+union all select 'orders_clean', count(*) from orders
+union all select 'order_summary', count(distinct cast(o_orderdate as date)) from orders
+-- l2_verify_counts
+with w as (select event_type, row_number() over (partition by user_id order by ts desc) as rn
+           from events where event_type = 'error' or value >= 5)
+select 'customers_raw' as table_name, count(*) as row_count from events
+union all select 'customers_clean', count(*) from events where event_type = 'error' or value >= 5
+union all select 'customers (current)', count(*) from w where rn = 1 and event_type <> 'error'
+-- l2_verify_deleted
+with w as (select user_id, event_type, row_number() over (partition by user_id order by ts desc) as rn
+           from events where event_type = 'error' or value >= 5)
+select concat('CUS-', lpad(cast(user_id as varchar), 6, '0')) as customer_id from events where event_type = 'error'
+except
+select concat('CUS-', lpad(cast(user_id as varchar), 6, '0')) from w where rn = 1 and event_type <> 'error'
+-- l2_verify_city
+with w as (select *, row_number() over (partition by user_id order by ts desc) as rn
+           from events where event_type = 'error' or value >= 5)
+select concat('CUS-', lpad(cast(user_id as varchar), 6, '0')) as customer_id,
+       concat('User ', cast(user_id as varchar)) as name,
+       concat('user', cast(user_id as varchar), '@example.com') as email, event_type as city, 'PU' as state
+from w where rn = 1 and event_type = 'purchase'
 -- l2_medallion_customers
 with e as (
   select concat('CUS-', lpad(cast(user_id as varchar), 6, '0')) as customer_id,

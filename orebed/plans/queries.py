@@ -12,7 +12,8 @@ from orebed.functions import scalars as S
 from orebed.operators import aggregates as A
 from orebed.operators import alerts, cdc, governance, joins, projections, rules, scoring, sets
 from orebed.operators import expectations as E
-from orebed.plans import customers, orders, status, transactions
+from orebed.plans import customers, orders, quality, status, transactions, verify
+from orebed.plans.layers import Layers
 from orebed.session import configure, fit_shuffle, fresh_dir
 from orebed.sources import files, tables
 from orebed.streaming.interval_join import interval_stream_join
@@ -376,9 +377,7 @@ def q16_dq_report(spark, sf_dir):
                 {"zero_discount": rules.zero_while_when("l_discount", F.col("l_returnflag") == "R")},
                 {
                     "duplicate_key": rules.surplus_rows(lines, ["l_orderkey", "l_linenumber"]),
-                    "orphan_order": rules.row_count(
-                        rules.orphan_fk(lines.select("l_orderkey"), settled, {"l_orderkey": "o_orderkey"})
-                    ),
+                    "orphan_order": rules.orphan_count(lines, settled, {"l_orderkey": "o_orderkey"}),
                 },
             ),
         ],
@@ -386,6 +385,59 @@ def q16_dq_report(spark, sf_dir):
     )
 
 
+@query
+def q16_bank_report(spark, sf_dir):
+    """All rules of the bank tables, which are derived from the given ones."""
+    people, book = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    rich = F.col("c_acctbal") > 9000
+    segment = F.when(F.col("c_nationkey") < 12, "Retail").otherwise("PYME")
+    account = people.select(
+        F.col("c_custkey").alias("customer_id"),
+        F.when(F.col("c_acctbal") >= 0, "GY").alias("country_code"),
+        F.when(rich, F.lower(segment)).otherwise(segment).alias("segment"),
+        F.floor(F.col("c_acctbal") / 10).alias("credit_score"),
+        F.date_add(F.lit("2000-01-01").cast("date"), F.col("c_nationkey") * 30).alias("acquisition_date"),
+    )
+    branch_type = F.when(F.col("s_nationkey") < 12, "Agencia").otherwise("Digital")
+    branches = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("branch_id"),
+        F.when(F.col("s_acctbal") >= 0, "PI").alias("country_code"),
+        F.when(F.col("s_acctbal") > 9000, F.lower(branch_type)).otherwise(branch_type).alias("branch_type"),
+    )
+    urgent, price = F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")
+    moves = book.select(
+        F.when(urgent, -F.col("o_custkey") - 1).otherwise(F.col("o_custkey")).alias("customer_id"),
+        F.lit("Supplier#000000001").alias("branch_id"),
+        F.when(price > 5000, F.to_date("o_orderdate")).alias("transaction_date"),
+        F.when(F.col("o_orderpriority") == "5-LOW", 0.0).when(overdue(), -price).otherwise(price).alias("amount"),
+        F.when(F.col("o_orderstatus") == "F", "Aprobada").otherwise("Pendiente").alias("status"),
+    )
+    days = F.datediff(F.lit(AS_OF).cast("date"), F.to_date("l_shipdate"))
+    loans = table(spark, sf_dir, "lineitem").select(
+        days.alias("days_past_due"),
+        S.ladder(days - 30, S.DPD_EDGES).alias("dpd_bucket"),
+        F.to_date("l_shipdate").alias("disbursement_date"),
+        F.date_add(F.to_date("l_shipdate"), F.col("l_quantity").cast("int") - 5).alias("maturity_date"),
+        F.col("l_extendedprice").alias("original_amount"),
+        (F.col("l_extendedprice") * (F.col("l_discount") * 4 + 0.9)).alias("outstanding_balance"),
+        F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("interest_rate"),
+    )
+    daily = book.groupBy(F.to_date("o_orderdate").alias("kpi_date")).agg(
+        F.sum(F.when(overdue(), price).otherwise(0.0)).alias("late"),
+        F.sum(F.when(~overdue(), price).otherwise(0.0)).alias("total_portfolio"),
+        F.count(F.lit(1)).alias("new_disbursements"),
+    )
+    kpis = daily.select(
+        F.try_divide("late", "total_portfolio").alias("npl_ratio"),
+        "total_portfolio",
+        "new_disbursements",
+        F.when(F.month("kpi_date") == 2, 999.99).otherwise(0.04).alias("yoy_portfolio_growth"),
+        F.when(F.dayofweek("kpi_date") == 1, "DESCONOCIDO").otherwise("LO").alias("country_code"),
+    )
+    names = (quality.CUSTOMERS, quality.BRANCHES, quality.TRANSACTIONS, quality.LOANS, quality.KPIS)
+    return quality.bank_report(dict(zip(names, (account, branches, moves, loans, kpis))), AS_OF)
+
+
 # Change data capture
 
 EVENT_KEYS, EVENT_ORDER, EVENT_DELETE = ["user_id"], ["ts", "event_id"], "event_type = 'error'"
@@ -724,12 +776,20 @@ def f15_calendar(spark, sf_dir):
 # Jobs
 
 
-@query
-def l1_medallion_orders(spark, sf_dir):
+def _orders_run(spark: SparkSession, sf_dir: str) -> Layers:
     root = fresh_dir(spark, "orders")
     orders.land_orders(_order_feed(spark, sf_dir), f"{root}/landing")
-    layers = orders.run(spark, f"{root}/landing", root).layers
-    return orders.read_daily(spark, layers)
+    return orders.run(spark, f"{root}/landing", root).layers
+
+
+@query
+def l1_medallion_orders(spark, sf_dir):
+    return orders.read_daily(spark, _orders_run(spark, sf_dir))
+
+
+@query
+def l1_verify_counts(spark, sf_dir):
+    return verify.order_counts(spark, _orders_run(spark, sf_dir))
 
 
 def _customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -755,18 +815,38 @@ def _customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def l2_medallion_customers(spark, sf_dir):
+def _customers_run(spark: SparkSession, sf_dir: str) -> Layers:
+    """Two arrivals: inserts and deletes first, then all updates, many of them late."""
     root = fresh_dir(spark, "customers")
     feed = _customer_feed(spark, sf_dir)
     for late in (False, True):
         arrival = feed.filter(F.col("operation").isin("UPDATE") == late)
         tables.export_jsonl(arrival, f"{root}/landing/customers", "append")
         layers = customers.run(spark, f"{root}/landing", root).layers
-    current = customers.read_customers(spark, layers)
+    return layers
+
+
+@query
+def l2_medallion_customers(spark, sf_dir):
+    current = customers.read_customers(spark, _customers_run(spark, sf_dir))
     return current.withColumn("timestamp_datetime", F.col("timestamp_datetime").cast("timestamp_ntz"))
 
 
+@query
+def l2_verify_counts(spark, sf_dir):
+    return verify.customer_counts(spark, _customers_run(spark, sf_dir))
+
+
+@query
+def l2_verify_deleted(spark, sf_dir):
+    return verify.deleted_customers(spark, _customers_run(spark, sf_dir))
+
+
+@query
+def l2_verify_city(spark, sf_dir):
+    return verify.customers_in(spark, _customers_run(spark, sf_dir), "purchase")
+
+
 @query
 def l3_csv_medallion(spark, sf_dir):
     root = fresh_dir(spark, "transactions")

@@ -93,7 +93,7 @@ def customer_feed():
     for j in range(24):
         events.append({
             "customer_id": f"C{j:02d}", "name": f"Name {j}", "email": f"user{j:04d}@shop.example.com",
-            "address": f"Street {j}", "city": "Guayaquil", "state": "GY", "zip_code": f"{10000 + j}",
+            "address": f"Street {j}", "city": "Loja", "state": "LO", "zip_code": f"{10000 + j}",
             "operation": "INSERT", "timestamp": base + (j + 1) * 1000,
         })
     for u, j in enumerate([0, 4, 8, 12, 16]):

@@ -84,6 +84,9 @@ def test_orphans(spark):
     ref = spark.createDataFrame([("a", "x"), ("a", "x"), ("c", "y")], "cid string, bid string")
     assert ids(R.orphan_fk(df, ref, {"customer": "cid"})) == [2, 3]
     assert ids(R.orphan_fk(df, ref, {"customer": "cid", "branch": "bid"})) == [2, 3, 4]
+    assert R.orphan_count(df, ref, {"customer": "cid"}).first()["n"] == 2
+    assert R.orphan_count(df, ref, {"customer": "cid", "branch": "bid"}).first()["n"] == 3
+    assert R.orphan_count(df.limit(0), ref, {"customer": "cid"}).first()["n"] == 0
 
 
 def test_zero_with_activity(spark):
