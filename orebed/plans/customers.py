@@ -77,20 +77,22 @@ def bronze(spark: SparkSession, source: str, layers: Layers, max_files: int | No
     )
 
 
-def silver(spark: SparkSession, layers: Layers) -> RunReport:
+def silver(spark: SparkSession, layers: Layers, max_files: int | None = None) -> RunReport:
     path = layers.table("bronze", RAW)
     if not paths.exists(spark, path):
         return RunReport()
-    raw = read_stream_table(spark, path, RAW_SCHEMA)
+    raw = read_stream_table(spark, path, RAW_SCHEMA, max_files)
     return run_available(checked_events(raw), layers.table("silver", CLEAN), layers.checkpoint(CLEAN))
 
 
-def current(spark: SparkSession, layers: Layers, buckets: int = DEFAULT_BUCKETS) -> RunReport:
+def current(
+    spark: SparkSession, layers: Layers, buckets: int = DEFAULT_BUCKETS, max_files: int | None = None
+) -> RunReport:
     path = layers.table("silver", CLEAN)
     if not paths.exists(spark, path):
         return RunReport()
     schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("timestamp_datetime", T.TimestampType())])
-    events = read_stream_table(spark, path, schema)
+    events = read_stream_table(spark, path, schema, max_files)
     state = layers.table("gold", CURRENT)
     report = apply_scd1_stream(
         events, state, layers.checkpoint(CURRENT), KEYS, SEQUENCE_BY, DELETE_WHEN, buckets
@@ -129,8 +131,8 @@ def run(
     layers = open_layers(spark, root, "customers", full_refresh, allow_reset)
     steps = {
         RAW: bronze(spark, source, layers, max_files),
-        CLEAN: silver(spark, layers),
-        CURRENT: current(spark, layers, buckets),
+        CLEAN: silver(spark, layers, max_files),
+        CURRENT: current(spark, layers, buckets, max_files),
     }
     summary(spark, layers)
     note_path(spark, layers.notes, RAW, "Change events as they came", {"quality": "bronze", "reset.allowed": "false"})

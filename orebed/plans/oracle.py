@@ -135,7 +135,7 @@ r as (
     where o_orderpriority <> '5-LOW' and o_orderstatus = 'P' and o_totalprice > 0
   union all select 'transactions', 'orphan_customer', count(*) from orders where o_orderpriority = '1-URGENT'
   union all select 'transactions', 'orphan_branch', count(*) from orders
-    where 'Supplier#000000001' not in (select s_name from supplier)
+    where concat('Supplier#', lpad(cast(o_custkey as varchar), 9, '0')) not in (select s_name from supplier)
   union all select 'loans', 'negative_days', count(*) from d where days < 0
   union all select 'loans', 'ends_before_start', count(*) from d where l_quantity < 5
   union all select 'loans', 'balance_above_original', count(*) from d

@@ -61,11 +61,13 @@ def bronze(spark: SparkSession, source: str, layers: Layers, max_files: int | No
     )
 
 
-def silver(spark: SparkSession, layers: Layers, mode: str = "strict") -> RunReport:
+def silver(
+    spark: SparkSession, layers: Layers, mode: str = "strict", max_files: int | None = None
+) -> RunReport:
     path = layers.table("bronze", RAW)
     if not paths.exists(spark, path):
         return RunReport()
-    raw = read_stream_table(spark, path, ORDER_SCHEMA)
+    raw = read_stream_table(spark, path, ORDER_SCHEMA, max_files)
     return run_available(checked_orders(raw, mode), layers.table("silver", CLEAN), layers.checkpoint(CLEAN))
 
 
@@ -110,7 +112,7 @@ def run(
         frames = {RAW: raw, CLEAN: clean, DAILY: daily_of(clean)}
         return JobReport(schemas={name: frame.schema.simpleString() for name, frame in frames.items()})
     layers = open_layers(spark, root, "orders", full_refresh, allow_reset)
-    steps = {RAW: bronze(spark, source, layers, max_files), CLEAN: silver(spark, layers, mode)}
+    steps = {RAW: bronze(spark, source, layers, max_files), CLEAN: silver(spark, layers, mode, max_files)}
     steps[DAILY] = gold(spark, layers)
     note_path(spark, layers.notes, RAW, "Order files as they came", {"quality": "bronze", "reset.allowed": "false"})
     note_path(spark, layers.notes, CLEAN, "Typed and checked orders", {"quality": "silver"})

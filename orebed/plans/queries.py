@@ -407,7 +407,7 @@ def q16_bank_report(spark, sf_dir):
     urgent, price = F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")
     moves = book.select(
         F.when(urgent, -F.col("o_custkey") - 1).otherwise(F.col("o_custkey")).alias("customer_id"),
-        F.lit("Supplier#000000001").alias("branch_id"),
+        S.padded_id("Supplier#", "o_custkey", 9).alias("branch_id"),
         F.when(price > 5000, F.to_date("o_orderdate")).alias("transaction_date"),
         F.when(F.col("o_orderpriority") == "5-LOW", 0.0).when(overdue(), -price).otherwise(price).alias("amount"),
         F.when(F.col("o_orderstatus") == "F", "Aprobada").otherwise("Pendiente").alias("status"),

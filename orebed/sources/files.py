@@ -86,9 +86,14 @@ def ingest_json(
     return run_available(stream_json(spark, src, schema, rescue, max_files), dst, checkpoint)
 
 
-def read_stream_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """An append-only parquet table as a stream."""
-    return spark.readStream.schema(schema).parquet(path)
+def read_stream_table(
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
+) -> DataFrame:
+    """An append-only parquet table as a stream, in batches of ``max_files`` if given."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

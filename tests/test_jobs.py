@@ -128,6 +128,17 @@ def test_customers_job(spark, folder):
     assert state.filter("customer_id = 'C98'").first()["_rescued_data"] == '{"phone":"1"}'
 
 
+def test_many_small_batches_give_the_same_customers(spark, folder):
+    events = customer_feed()
+    for number in range(8):
+        put(f"{folder}/landing/customers", f"{number:02d}.json", events[7 - number :: 8])
+    whole = customers.run(spark, f"{folder}/landing", f"{folder}/whole")
+    steps = customers.run(spark, f"{folder}/landing", f"{folder}/parts", max_files=3, buckets=3)
+    assert steps.steps[customers.RAW].batches == 3 and steps.steps[customers.RAW].rows_added == 31
+    assert steps.steps[customers.CLEAN].rows_added == 31
+    assert rows(customers.read_customers(spark, steps.layers)) == rows(customers.read_customers(spark, whole.layers))
+
+
 def test_transactions_job(spark, folder):
     day = dt.date(2025, 1, 5)
     data = [
