@@ -48,7 +48,8 @@ def _hot_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS, str(DEFAULT_HOT_ROWS)))
 
 
-def _is_large(df: DataFrame) -> bool:
+def is_large(df: DataFrame) -> bool:
+    """Whether it pays to look at the data before planning."""
     return plan_bytes(df) >= int(df.sparkSession.conf.get(PROBE_BYTES, str(DEFAULT_PROBE_BYTES)))
 
 
@@ -104,7 +105,7 @@ def split_join(
     for key in keys:  # a null key matches nothing, and there may be many
         right = right.filter(F.col(key).isNotNull())
     if hot_rows is None:
-        if will_broadcast(right) or not _is_large(left):
+        if will_broadcast(right) or not is_large(left):
             return left.join(right, keys, how), False
         hot_rows = _hot_limit(left)
     hot = hot_keys(left, keys, hot_rows)
@@ -138,7 +139,7 @@ def lead_by_key(
     keys, order = list(keys), list(order)
     plain = Window.partitionBy(*keys).orderBy(*order)
     if hot_rows is None:
-        if not _is_large(df):
+        if not is_large(df):
             return df.withColumn(out, F.lead(order[0]).over(plain))
         hot_rows = _hot_limit(df)
     hot = hot_keys(df, keys, hot_rows)

@@ -134,6 +134,8 @@ def apply_scd1_stream(
 def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> None:
     """Remove what only versions older than the last ``keep`` use."""
     known = versions(spark, root)
+    if not known:
+        return
     kept = known[-keep:]
     in_use = {(bucket, held) for version in kept for bucket, held in _manifest(spark, root, version).items()}
     live = {held for _, held in in_use} | set(kept)

@@ -157,14 +157,21 @@ def test_shared_root_needs_a_setting_on_a_cluster():
     class Context:
         master = "spark://somewhere:7077"
 
-        def getConf(self):
-            return {}
+        folder = None
 
         def getCheckpointDir(self):
-            return None
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
 
     class Session:
-        sparkContext = Context()
+        def __init__(self, **conf):
+            self.conf = conf
+            self.sparkContext = Context()
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(Session())
+    named = Session(**{"spark.checkpoint.dir": "hdfs://shared/cp/"})
+    assert shared_root(named) == "hdfs://shared/cp"
+    assert named.sparkContext.folder == "hdfs://shared/cp/"
