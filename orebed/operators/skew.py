@@ -156,6 +156,8 @@ def lead_by_key(
         # Slice numbers are read twice below and must not change in between.
         .checkpoint()
     )
+    # Each key fills a run of slices, so there are at most ``slices`` plus the
+    # number of hot keys of these rows, few enough to broadcast.
     heads = (
         sliced.groupBy("_slice", *keys)
         .agg(F.min(F.struct(*order)).alias("_head"))
@@ -167,7 +169,7 @@ def lead_by_key(
         "_last", F.lead(F.lit(True)).over(last).isNull()
     )
     same = [stepped[key].eqNullSafe(heads[f"_k_{key}"]) for key in keys] + [stepped["_slice"] == heads["_s"]]
-    spread = stepped.join(heads, same, "left").select(
+    spread = stepped.join(F.broadcast(heads), same, "left").select(
         *df.columns, F.when(F.col("_last"), F.col("_next")).otherwise(F.col(out)).alias(out)
     )
     rest = _pick(df, keys, marks, "left_anti").withColumn(out, F.lead(order[0]).over(plain))

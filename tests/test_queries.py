@@ -61,7 +61,10 @@ def test_large_scale_way_matches_sql(spark, sf_dir, duck, name):
     for key, value in AS_IF_LARGE.items():
         spark.conf.set(key, value)
     try:
-        compare(REGISTRY[name](spark, sf_dir), duck, name)
+        df = REGISTRY[name](spark, sf_dir)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+        compare(df, duck, name)
     finally:
         for key in AS_IF_LARGE:
             spark.conf.unset(key)
