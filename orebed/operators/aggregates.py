@@ -44,12 +44,14 @@ def monthly_fact(df: DataFrame, customer: str, ts: str, amount: str, channel: st
     names = known_values(df, channel, limit=MAX_NUMBERED_CHANNELS) if is_large(df) else None
     slot = F.col(channel)
     if names:
+        names.sort(reverse=True)
         size = len(names)
         slot = F.when(slot.isNull(), None)
-        for number, name in enumerate(sorted(names, reverse=True)):
+        for number, name in enumerate(names):
             slot = slot.when(F.col(channel) == name, F.lit(number))
         best = F.max(F.col("_n") * size + F.col("_channel"))
-        top = F.element_at(F.array(*[F.lit(name) for name in sorted(names, reverse=True)]), (F.col("_best") % size + 1).cast("int"))
+        place = (F.col("_best") % size + 1).cast("int")
+        top = F.element_at(F.array(*[F.lit(name) for name in names]), place)
     else:
         rank = F.when(F.col("_channel").isNotNull(), F.struct(-F.col("_n"), F.col("_channel")))
         best, top = F.min_by("_channel", rank), F.col("_best")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -30,8 +31,6 @@ def mask_columns(df: DataFrame, masks: Mapping[str, Column], cleared: bool = Fal
 
 def schema_hash(df: DataFrame) -> str:
     """A fingerprint of names and types."""
-    import hashlib
-
     return hashlib.sha256(df.schema.simpleString().encode()).hexdigest()
 
 

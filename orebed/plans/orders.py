@@ -46,7 +46,8 @@ RAW, CLEAN, DAILY = "orders_raw", "orders_clean", "orders_daily"
 
 def checked_orders(raw: DataFrame, mode: str = "strict") -> DataFrame:
     """The silver projection with its expectations, on a stream or a batch."""
-    typed = raw.select("order_id", to_ts("order_timestamp", mode).alias("order_timestamp"), "customer_id", "notifications")
+    time = to_ts("order_timestamp", mode).alias("order_timestamp")
+    typed = raw.select("order_id", time, "customer_id", "notifications")
     return apply_expectations(typed, ORDER_RULES, CLEAN)
 
 

@@ -195,13 +195,15 @@ def d1_expect_warn(spark, sf_dir):
 @query
 def d2_expect_drop(spark, sf_dir):
     rule = E.Expectation("valid_price", "o_totalprice > 50000", "drop")
-    return E.apply_expectations(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), [rule], Observation())
+    priced = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return E.apply_expectations(priced, [rule], Observation())
 
 
 @query
 def d3_expect_fail(spark, sf_dir):
     rule = E.Expectation("valid_key", "o_orderkey IS NOT NULL", "fail")
-    return E.apply_expectations(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), [rule], Observation())
+    priced = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return E.apply_expectations(priced, [rule], Observation())
 
 
 @query
@@ -467,9 +469,9 @@ def c2_scd1_incremental(spark, sf_dir):
 @query
 def c5_scd2(spark, sf_dir):
     events = table(spark, sf_dir, "events").drop("props")
-    return cdc.scd2(
-        events, EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, ["event_id", "event_type", "ts"], "start_at", "end_at", "is_current"
-    )
+    hidden = ["event_id", "event_type", "ts"]
+    names = {"start": "start_at", "end": "end_at", "current": "is_current"}
+    return cdc.scd2(events, EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, hidden, **names)
 
 
 @query
@@ -682,7 +684,8 @@ def u2_except_distinct(spark, sf_dir):
 
 @query
 def o1_sort(spark, sf_dir):
-    return sets.sorted_view(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"])
+    book = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return sets.sorted_view(book, ["o_orderdate", "o_orderkey"])
 
 
 @query
@@ -759,12 +762,14 @@ def f11_numeric(spark, sf_dir):
 @query
 def f12_map_default(spark, sf_dir):
     frequency = {"1-URGENT": 25, "2-HIGH": 15, "3-MEDIUM": 12}
-    return table(spark, sf_dir, "orders").select("o_orderkey", S.map_default("o_orderpriority", frequency, 8).alias("freq"))
+    known = S.map_default("o_orderpriority", frequency, 8).alias("freq")
+    return table(spark, sf_dir, "orders").select("o_orderkey", known)
 
 
 @query
 def f13_json_extract(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    number = F.get_json_object("props", "$.k").cast("bigint").alias("k")
+    return table(spark, sf_dir, "events").select("event_id", number)
 
 
 @query

@@ -25,7 +25,13 @@ def read_days(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def _refresh(
-    batch: DataFrame, batch_id: int, source: str, ts: str, day: str, compute: Callable[[DataFrame], DataFrame], root: str
+    batch: DataFrame,
+    batch_id: int,
+    source: str,
+    ts: str,
+    day: str,
+    compute: Callable[[DataFrame], DataFrame],
+    root: str,
 ) -> None:
     spark = batch.sparkSession
     # There are fewer than four million dates, so a list of days can be broadcast.
