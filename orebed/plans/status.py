@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from orebed import paths
 from orebed.functions.scalars import epoch_to_ts
-from orebed.plans.layers import JobReport, open_layers
+from orebed.plans.layers import JobReport, Layers, open_layers
 from orebed.sources.files import ingest_json, read_stream_table
 from orebed.sources.tables import note_path
 from orebed.streaming.snapshot import DEFAULT_BUCKETS, apply_scd1_stream, prune_versions, read_current
@@ -46,6 +46,10 @@ def run(spark: SparkSession, source: str, root: str, buckets: int = DEFAULT_BUCK
     return JobReport(steps=steps, layers=layers)
 
 
-def read_status(spark: SparkSession, root: str) -> DataFrame | None:
-    latest = read_current(spark, open_layers(spark, root, "status").table("gold", LATEST))
+def latest_in(spark: SparkSession, layers: Layers) -> DataFrame | None:
+    latest = read_current(spark, layers.table("gold", LATEST))
     return None if latest is None else latest.withColumn("status_time", epoch_to_ts("status_timestamp", "exact"))
+
+
+def read_status(spark: SparkSession, root: str) -> DataFrame | None:
+    return latest_in(spark, open_layers(spark, root, "status"))

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from orebed import paths
@@ -174,3 +174,33 @@ def test_dedupe_latest(spark):
     df = spark.createDataFrame([("a", 1, 5), ("a", 2, 6), ("b", 1, 7), (None, 1, 1), (None, 3, 2)], "k string, t int, v int")
     assert rows(dedupe_latest(df, ["k"], ["t"])) == [("a", 2, 6), ("b", 1, 7), (None, 3, 2)]
     assert rows(dedupe_latest(df, ["k"], [-F.col("t")])) == [("a", 1, 5), ("b", 1, 7), (None, 1, 1)]
+
+
+@pytest.mark.parametrize("crash_at", ["before_manifest", "after_manifest"])
+def test_a_crashed_batch_is_redone(spark, folder, monkeypatch, crash_at):
+    """Whether the run dies before or after its manifest, the next run repairs it."""
+    paths.make_dirs(spark, f"{folder}/in")
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/in")
+
+    def land(data):
+        feed(spark, data).write.mode("append").parquet(f"{folder}/in")
+
+    def apply():
+        return apply_scd1_stream(stream, f"{folder}/t", f"{folder}/cp", ["id"], ORDER, DELETE, buckets=3)
+
+    land(EVENTS[:6])
+    apply()
+    land(EVENTS[6:])
+    plain = paths.write_text
+
+    def broken(session, path, text):
+        if crash_at == "after_manifest":
+            plain(session, path, text)
+        raise OSError("lost connection")
+
+    monkeypatch.setattr(paths, "write_text", broken)
+    with pytest.raises(StreamingQueryException, match="lost connection"):
+        apply()
+    monkeypatch.setattr(paths, "write_text", plain)
+    apply()
+    assert rows(read_current(spark, f"{folder}/t", EXCEPT)) == EXPECTED

@@ -7,7 +7,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from orebed import paths
-from orebed.plans import customers, orders, status, transactions
+from orebed.plans import customers, orders, status, transactions, verify, views
 from orebed.plans.layers import ResetNotAllowed
 from orebed.streaming.interval_join import interval_stream_join
 from orebed.streaming.run import run_available
@@ -233,3 +233,32 @@ def test_status_job(spark, folder):
     latest = {row["order_id"]: row["order_status"] for row in status.read_status(spark, folder).collect()}
     assert len(latest) == 50
     assert (latest["ORD00000"], latest["ORD00001"], latest["ORD00002"]) == ("s500", "newest", "s502")
+
+
+def test_views_answer_plain_sql(spark, folder):
+    put(f"{folder}/orders", "00.json", [order(i, order_timestamp=f"2025-01-{i % 20 + 1:02d}T{i % 24:02d}:00:00") for i in range(174)])
+    put(f"{folder}/customers", "00.json", customer_feed())
+    assert views.register(spark, orders.run(spark, folder, folder).layers) == [orders.RAW, orders.CLEAN, orders.DAILY]
+    layers = customers.run(spark, folder, folder).layers
+    assert set(views.register(spark, layers)) == {customers.RAW, customers.CLEAN, customers.CURRENT, customers.SUMMARY}
+
+    assert spark.sql("SELECT * FROM orders_raw LIMIT 10").count() == 10
+    latest = spark.sql("SELECT order_id, order_timestamp, customer_id FROM orders_clean ORDER BY order_timestamp DESC LIMIT 10")
+    times = [row["order_timestamp"] for row in latest.collect()]
+    assert len(times) == 10 and times == sorted(times, reverse=True)
+    days = [row["order_date"] for row in spark.sql("SELECT * FROM orders_daily ORDER BY order_date").collect()]
+    assert len(days) == 20 and days == sorted(days)
+    counts = spark.sql("""
+        SELECT 'customers_raw' AS table_name, COUNT(*) AS row_count FROM customer_events_raw
+        UNION ALL SELECT 'customers_clean', COUNT(*) FROM customer_events_clean
+        UNION ALL SELECT 'customers (current)', COUNT(*) FROM customers""")
+    assert rows(counts) == rows(verify.customer_counts(spark, layers)) == [
+        ("customers (current)", 22), ("customers_clean", 31), ("customers_raw", 31)
+    ]
+    gone = spark.sql("""
+        SELECT customer_id FROM customer_events_raw WHERE operation = 'DELETE'
+        EXCEPT SELECT customer_id FROM customers""")
+    assert rows(gone) == rows(verify.deleted_customers(spark, layers)) == [("C02",), ("C10",)]
+    moved = spark.sql("SELECT customer_id, name, email, city, state FROM customers WHERE city = 'Quito' ORDER BY customer_id")
+    assert [tuple(row) for row in moved.collect()] == [tuple(row) for row in verify.customers_in(spark, layers, "Quito").collect()]
+    assert moved.count() == 5

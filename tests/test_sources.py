@@ -175,3 +175,35 @@ def test_shared_root_needs_a_setting_on_a_cluster():
     named = Session(**{"spark.checkpoint.dir": "hdfs://shared/cp/"})
     assert shared_root(named) == "hdfs://shared/cp"
     assert named.sparkContext.folder == "hdfs://shared/cp/"
+
+
+def test_rescue_loses_nothing(spark):
+    """Every value of a random object is either typed as declared or rescued."""
+    import random
+
+    rng = random.Random(4)
+    values = [None, True, False, 0, 7, -3, 2.5, "x", "7", "", [1, 2], {"email": True}, {"email": None}, {"email": "no"}, {"fax": 1}, {}]
+    objects = []
+    for _ in range(600):
+        names = rng.sample(["id", "n", "wishes", "extra", "more"], rng.randrange(6))
+        objects.append({name: rng.choice(values) for name in names})
+    lines = [(i, json.dumps(item)) for i, item in enumerate(objects)]
+    df = spark.createDataFrame(lines, "line int, value string").repartition(4)
+    found = {row["line"]: row.asDict(recursive=True) for row in parse_json_rescued(df, "value", SMALL).collect()}
+    for number, item in enumerate(objects):
+        row = found[number]
+        rescued = json.loads(row["_rescued_data"]) if row["_rescued_data"] else {}
+        for name, value in item.items():
+            if value is None:
+                assert name not in rescued
+            elif name in ("extra", "more"):
+                assert name in rescued
+            elif name == "id":  # text takes any value
+                assert row["id"] is not None and name not in rescued
+            elif name == "n":
+                fits = isinstance(value, int) and not isinstance(value, bool)
+                assert (row["n"] == value and name not in rescued) if fits else name in rescued, (value, row)
+            else:
+                fits = isinstance(value, dict) and set(value) <= {"email"} and value.get("email") in (None, True, False)
+                assert (name not in rescued) == fits, (value, row)
+        assert set(rescued) <= set(item)
