@@ -27,12 +27,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(target))
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    files, start = _resolve(spark, source)
-    if not files.rename(start, _resolve(spark, target)[1]):
-        raise OSError(f"cannot move {source} to {target}")
-
-
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _resolve(spark, path)
     files.delete(target, True)

@@ -84,23 +84,10 @@ def ensure_layout(spark: SparkSession, root: str, feeds: Sequence[str] = ()) ->
     return places
 
 
-def export_csv(df: DataFrame, path: str, single_file: str | None = None) -> str:
-    """CSV with a header line in every part file.
-
-    ``single_file`` writes through one task to one file of that name beside the
-    folder; meant for small hand-overs only.
-    """
-    plain = df.coalesce(1) if single_file else df
-    plain.write.mode("overwrite").option("header", True).option("compression", "none").csv(path)
-    if not single_file:
-        return path
-    spark = df.sparkSession
-    part = next(name for name in paths.list_names(spark, path) if name.startswith("part-"))
-    target = f"{path.rstrip('/').rsplit('/', 1)[0]}/{single_file}"
-    if paths.exists(spark, target):
-        paths.remove(spark, target)
-    paths.move(spark, f"{path}/{part}", target)
-    return target
+def export_csv(df: DataFrame, path: str) -> str:
+    """Uncompressed CSV below ``path``, with a header line in every part file."""
+    df.write.mode("overwrite").option("header", True).option("compression", "none").csv(path)
+    return path
 
 
 def export_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orebed import paths
 from orebed.plans import customers, orders, status, transactions, verify, views
 from orebed.plans.layers import ResetNotAllowed
+from orebed.sources.files import read_stream_table
 from orebed.streaming.interval_join import interval_stream_join
 from orebed.streaming.run import run_available
 from orebed.streaming.snapshot import read_state
@@ -161,7 +162,8 @@ def test_transactions_job(spark, folder):
     assert transactions.MONTHLY in transactions.run(spark, f"{folder}/csv", folder, validate=True).schemas
 
 
-def test_interval_join_against_brute_force(spark, folder):
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_interval_join_against_brute_force(spark, folder, max_files):
     import random
 
     rng = random.Random(9)
@@ -169,10 +171,12 @@ def test_interval_join_against_brute_force(spark, folder):
     clicks = [("hot" if rng.random() < 0.5 else f"u{rng.randrange(9)}", i, start + dt.timedelta(seconds=rng.randrange(40_000))) for i in range(200)]
     buys = [("hot" if rng.random() < 0.5 else f"u{rng.randrange(9)}", i, start + dt.timedelta(seconds=rng.randrange(40_000))) for i in range(200)]
     buys += [(key, 900 + i, at + dt.timedelta(seconds=gap)) for i, ((key, _, at), gap) in enumerate(zip(clicks, [0, 600, 601, -1]))]
-    spark.createDataFrame(clicks, "user string, click int, c_at timestamp").write.parquet(f"{folder}/c")
-    spark.createDataFrame(buys, "user string, buy int, b_at timestamp").write.parquet(f"{folder}/b")
-    left = spark.readStream.schema("user string, click int, c_at timestamp").parquet(f"{folder}/c")
-    right = spark.readStream.schema("user string, buy int, b_at timestamp").parquet(f"{folder}/b")
+    click_schema, buy_schema = "user string, click int, c_at timestamp", "user string, buy int, b_at timestamp"
+    # In four files each, so that pairs may meet in different batches.
+    spark.createDataFrame(clicks, click_schema).repartition(4).write.parquet(f"{folder}/c")
+    spark.createDataFrame(buys, buy_schema).repartition(4).write.parquet(f"{folder}/b")
+    left = read_stream_table(spark, f"{folder}/c", click_schema, max_files)
+    right = read_stream_table(spark, f"{folder}/b", buy_schema, max_files)
     pairs = interval_stream_join(left, right, "user", "c_at", "b_at", 600, "1 day")
     run_available(pairs, f"{folder}/out", f"{folder}/cp")
     found = spark.read.parquet(f"{folder}/out")

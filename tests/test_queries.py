@@ -121,7 +121,6 @@ def test_library_keeps_data_on_executors():
     allowed = {
         ("operators/skew.py", ".collect("): 3,  # hot keys, their matches, code domains: all limited
         ("streaming/snapshot.py", ".collect("): 1,  # touched bucket numbers
-        ("sources/tables.py", ".coalesce("): 1,  # the single-file export on request
     }
     found = {}
     for path in LIBRARY.rglob("*.py"):
