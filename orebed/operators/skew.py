@@ -25,7 +25,7 @@ DEFAULT_HOT_ROWS = 2_000_000
 PROBE_BYTES = "spark.orebed.probeBytes"
 DEFAULT_PROBE_BYTES = 256 * 1024 * 1024
 # No more hot keys than this are treated apart; the rest take the shuffle.
-MAX_HOT_KEYS = 100_000
+MAX_HOT_KEYS = 20_000
 # A key at the limit is expected this often in the sample; half of it is hot.
 SAMPLE_HITS = 200
 

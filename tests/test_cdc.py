@@ -204,3 +204,32 @@ def test_a_crashed_batch_is_redone(spark, folder, monkeypatch, crash_at):
     monkeypatch.setattr(paths, "write_text", plain)
     apply()
     assert rows(read_current(spark, f"{folder}/t", EXCEPT)) == EXPECTED
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_merge_against_brute_force(spark, large):
+    rng = random.Random(12)
+    target = [(rng.choice([None, 1, 2, 3, *range(4, 200)]), float(i)) for i in range(400)]
+    source, changed = [], set()
+    for i in range(300):
+        key, op = rng.choice([None, *range(-40, 200)]), rng.choice(["INSERT", "INSERT", "UPDATE", "DELETE", "OTHER", None])
+        if op in ("UPDATE", "DELETE"):
+            if key in changed:
+                continue
+            changed.add(key)
+        source.append((key, float(1000 + i), op))
+    present = {key for key, _ in target if key is not None}
+    change = {key: (op, v) for key, v, op in source if op in ("UPDATE", "DELETE") and key is not None}
+    expected = [(key, change[key][1] if key in change else v) for key, v in target if change.get(key, ("",))[0] != "DELETE"]
+    expected += [(key, v) for key, v, op in source if op == "INSERT" and key not in present]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.orebed.probeBytes": "0", "spark.orebed.hotRows": "3"}
+    for name, value in settings.items() if large else ():
+        spark.conf.set(name, value)
+    try:
+        merged = merge_into(
+            spark.createDataFrame(target, "k int, v double"), spark.createDataFrame(source, "k int, v double, op string"), ["k"], "op"
+        )
+        assert rows(merged) == sorted(expected, key=repr)
+    finally:
+        for name in settings if large else ():
+            spark.conf.unset(name)
