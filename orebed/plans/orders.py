@@ -58,6 +58,7 @@ def bronze(spark: SparkSession, source: str, layers: Layers, max_files: int | No
         ORDER_SCHEMA,
         layers.table("bronze", RAW),
         layers.checkpoint(RAW),
+        rescue=True,
         max_files=max_files,
     )
 
@@ -108,7 +109,7 @@ def run(
 ) -> JobReport:
     """One triggered run over all new files; ``validate`` only checks the plans."""
     if validate:
-        raw = stream_json(spark, f"{source}/orders", ORDER_SCHEMA)
+        raw = stream_json(spark, f"{source}/orders", ORDER_SCHEMA, rescue=True)
         clean = checked_orders(raw, mode)
         frames = {RAW: raw, CLEAN: clean, DAILY: daily_of(clean)}
         return JobReport(schemas={name: frame.schema.simpleString() for name, frame in frames.items()})

@@ -28,7 +28,8 @@ def run(spark: SparkSession, source: str, root: str, buckets: int = DEFAULT_BUCK
     """One triggered run over all new status files."""
     layers = open_layers(spark, root, "status")
     raw = layers.table("bronze", RAW)
-    steps = {RAW: ingest_json(spark, f"{source}/status", STATUS_SCHEMA, raw, layers.checkpoint(RAW))}
+    feed = f"{source}/status"
+    steps = {RAW: ingest_json(spark, feed, STATUS_SCHEMA, raw, layers.checkpoint(RAW), rescue=True)}
     if paths.exists(spark, raw):
         state = layers.table("gold", LATEST)
         steps[LATEST] = apply_scd1_stream(

@@ -67,7 +67,8 @@ def stream_json(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if not rescue:
         return with_ingest_metadata(reader.schema(schema).json(src))
-    lines = with_ingest_metadata(reader.text(src))
+    # Blank lines are no records, as in Spark's own JSON reader.
+    lines = with_ingest_metadata(reader.text(src)).filter(F.trim("value") != "")
     parsed = parse_json_rescued(lines, "value", schema)
     names = [field.name for field in schema]
     return parsed.select(*names, RESCUED, "processing_time", "source_file")

@@ -55,6 +55,22 @@ def test_failed_rule_commits_nothing(spark, folder):
     assert not os.path.isdir(silver) or not [n for n in os.listdir(silver) if n.startswith("part-")]
 
 
+def test_unknown_fields_stay_in_the_raw_tables(spark, folder):
+    put(f"{folder}/orders", "00.json", [order(1, coupon="X1"), order(2, notifications={"email": "often", "sms": True})])
+    put(f"{folder}/status", "00.json", [{"order_id": "a", "order_status": "placed", "status_timestamp": "today", "by": "me"}])
+    layers = orders.run(spark, folder, folder).layers
+    raw = spark.read.parquet(layers.table("bronze", orders.RAW))
+    assert rows(raw.select("order_id", "_rescued_data")) == [
+        ("ORD00001", '{"coupon":"X1"}'),
+        ("ORD00002", '{"notifications":"{\\"email\\":\\"often\\",\\"sms\\":true}"}'),
+    ]
+    clean = spark.read.parquet(layers.table("silver", orders.CLEAN))
+    assert clean.columns == ["order_id", "order_timestamp", "customer_id", "notifications"] and clean.count() == 2
+    layers = status.run(spark, folder, folder).layers
+    raw = spark.read.parquet(layers.table("bronze", status.RAW))
+    assert raw.first()["_rescued_data"] == '{"status_timestamp":"today","by":"me"}'
+
+
 def test_strict_and_lenient_time(spark, folder):
     put(f"{folder}/orders", "00.json", [order(1), order(2, order_timestamp="soon")])
     with pytest.raises(StreamingQueryException):

@@ -88,7 +88,7 @@ def test_rescue(spark, line, typed, rescued):
 
 def test_rescue_in_a_stream(spark, folder):
     full = {field.name: "x" for field in EVENT_SCHEMA if field.name != "timestamp"}
-    put(f"{folder}/c", "00.json", [{**full, "timestamp": 1.5}, {**full, "timestamp": 2, "phone": "1"}, "oops"])
+    put(f"{folder}/c", "00.json", [{**full, "timestamp": 1.5}, {**full, "timestamp": 2, "phone": "1"}, "oops", "", "  "])
     files.ingest_json(spark, f"{folder}/c", EVENT_SCHEMA, f"{folder}/out", f"{folder}/cp", rescue=True)
     found = spark.read.parquet(f"{folder}/out")
     assert rows(found.select("_rescued_data", "source_file")) == [
