@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where that costs one more exchange afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The older form of timestamps in Parquet has no minimum and maximum, so
+    # that a time range could not skip row groups.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # The progress reports of a run are summed at its end, so keep them all.
     "spark.sql.streaming.numRecentProgressUpdates": "100000",
 }

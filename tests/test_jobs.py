@@ -239,6 +239,18 @@ def test_gold_recomputes_only_changed_days(spark, folder, monkeypatch):
     assert len(paths.list_names(spark, layers.table("gold", orders.DAILY) + "/data")) == 2
 
 
+def test_silver_keeps_time_statistics(spark, folder):
+    """The daily refresh skips row groups by time, so their bounds must be there."""
+    import pyarrow.parquet as pq
+
+    put(f"{folder}/orders", "00.json", [order(i) for i in range(5)])
+    silver = orders.run(spark, folder, folder).layers.table("silver", orders.CLEAN)
+    part = next(name for name in os.listdir(silver) if name.startswith("part-"))
+    group = pq.ParquetFile(f"{silver}/{part}").metadata.row_group(0)
+    columns = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
+    assert columns["order_timestamp"].statistics.has_min_max
+
+
 def test_status_job(spark, folder):
     base = 1735689600.0
     put(f"{folder}/status", "00.json", [
