@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +38,17 @@ def parse_json_rescued(df: DataFrame, column: str, schema: T.StructType) -> Data
 
     The rescue column holds, as JSON, fields outside the schema and fields whose
     value does not have the declared type; a line that is no JSON goes there
-    whole. It is null when nothing was left over. Each line is parsed twice,
-    once to the schema and once to a map of raw values.
+    whole. It is null when nothing was left over. Most lines fit: there the
+    number of keys equals the number of typed values, and the line is not taken
+    apart any further.
     """
     text, typed = F.col(column), F.col("_typed")
+    filled = reduce(lambda a, b: a + b, [F.when(typed[field.name].isNotNull(), 1).otherwise(0) for field in schema])
+    odd_line = F.coalesce(F.size(F.json_object_keys(text)) != filled, F.lit(True))
+    for field in schema:
+        if isinstance(field.dataType, T.StructType):
+            raw = F.get_json_object(text, f"$['{field.name}']")
+            odd_line = odd_line | (raw.isNotNull() & _lost(raw, typed[field.name], field.dataType))
 
     def left_over(name: Column, raw: Column) -> Column:
         odd = F.when(raw.isNull(), False)
@@ -47,13 +56,15 @@ def parse_json_rescued(df: DataFrame, column: str, schema: T.StructType) -> Data
             odd = odd.when(name == field.name, _lost(raw, typed[field.name], field.dataType))
         return odd.otherwise(True)
 
-    rescued = F.when(F.col("_raw").isNull(), F.nullif(F.trim(text), F.lit(""))).when(
+    rescued = F.when(F.col("_odd") & F.col("_raw").isNull(), F.nullif(F.trim(text), F.lit(""))).when(
         F.size("_left") > 0, F.to_json("_left")
     )
     others = [name for name in df.columns if name != column]
     return (
-        df.withColumns({"_typed": F.from_json(text, schema), "_raw": F.from_json(text, "map<string,string>")})
-        .withColumn("_left", F.map_filter("_raw", left_over))
+        df.withColumn("_typed", F.from_json(text, schema))
+        .withColumn("_odd", odd_line)
+        .withColumn("_raw", F.when(F.col("_odd"), F.from_json(text, "map<string,string>")))
+        .withColumn("_left", F.when(F.col("_odd"), F.map_filter("_raw", left_over)))
         .select(*[typed[field.name].alias(field.name) for field in schema], *others, rescued.alias(RESCUED))
     )
 
