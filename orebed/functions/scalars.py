@@ -24,7 +24,7 @@ def valid_email(value: Column | str) -> Column:
 def epoch_to_ts(value: Column | str, mode: str = "seconds") -> Column:
     """Epoch seconds to a timestamp; ``seconds`` cuts fractions, ``exact`` keeps them."""
     if mode == "seconds":
-        return F.from_unixtime(_col(value)).cast("timestamp")
+        return F.timestamp_seconds(_col(value).cast("bigint"))
     if mode == "exact":
         return F.timestamp_micros(F.round(_col(value) * 1_000_000).cast("bigint"))
     raise ValueError(f"unknown mode {mode!r}")

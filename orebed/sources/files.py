@@ -33,6 +33,18 @@ def _lost(raw: Column, typed: Column, kind: T.DataType) -> Column:
     return lost
 
 
+def _may_be_odd(raw: Column, typed: Column, fields: list[T.StructField]) -> Column:
+    """False only if every key of the raw object has its value in a typed field."""
+    filled = reduce(lambda a, b: a + b, [F.when(typed[field.name].isNotNull(), 1).otherwise(0) for field in fields])
+    odd = F.coalesce(F.size(F.json_object_keys(raw)) != filled, F.lit(True))
+    for field in fields:
+        if isinstance(field.dataType, T.StructType):
+            inner = F.get_json_object(raw, f"$['{field.name}']")
+            value = typed[field.name]
+            odd = odd | (value.isNotNull() & _may_be_odd(inner, value, field.dataType.fields))
+    return odd
+
+
 def parse_json_rescued(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     """Parse JSON text to ``schema``; what does not fit goes to ``_rescued_data``.
 
@@ -43,12 +55,6 @@ def parse_json_rescued(df: DataFrame, column: str, schema: T.StructType) -> Data
     apart any further.
     """
     text, typed = F.col(column), F.col("_typed")
-    filled = reduce(lambda a, b: a + b, [F.when(typed[field.name].isNotNull(), 1).otherwise(0) for field in schema])
-    odd_line = F.coalesce(F.size(F.json_object_keys(text)) != filled, F.lit(True))
-    for field in schema:
-        if isinstance(field.dataType, T.StructType):
-            raw = F.get_json_object(text, f"$['{field.name}']")
-            odd_line = odd_line | (raw.isNotNull() & _lost(raw, typed[field.name], field.dataType))
 
     def left_over(name: Column, raw: Column) -> Column:
         odd = F.when(raw.isNull(), False)
@@ -62,7 +68,7 @@ def parse_json_rescued(df: DataFrame, column: str, schema: T.StructType) -> Data
     others = [name for name in df.columns if name != column]
     return (
         df.withColumn("_typed", F.from_json(text, schema))
-        .withColumn("_odd", odd_line)
+        .withColumn("_odd", _may_be_odd(text, typed, schema.fields))
         .withColumn("_raw", F.when(F.col("_odd"), F.from_json(text, "map<string,string>")))
         .withColumn("_left", F.when(F.col("_odd"), F.map_filter("_raw", left_over)))
         .select(*[typed[field.name].alias(field.name) for field in schema], *others, rescued.alias(RESCUED))

@@ -34,6 +34,9 @@ def test_valid_email_null(spark):
 def test_epoch_to_ts(spark):
     epoch = F.lit(1735689600.75)
     assert value(spark, S.epoch_to_ts(epoch).cast("string")) == "2025-01-01 00:00:00"
+    for number in (1735689600.75, 0.0, -0.5, -86400.5, 4102444799.999):
+        text = F.from_unixtime(F.lit(number)).cast("timestamp")
+        assert value(spark, (S.epoch_to_ts(F.lit(number)) == text)) is True
     assert value(spark, S.epoch_to_ts(epoch, "exact").cast("string")) == "2025-01-01 00:00:00.75"
     with pytest.raises(ValueError):
         S.epoch_to_ts(epoch, "other")
