@@ -96,3 +96,11 @@ def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
         for place in range(length):
             total = total * np.uint64(0x9E3779B97F4A7C15) + words[place : place + count]
     return mix(total + np.uint64(length))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have yet."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name

@@ -6,9 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orebed.llm.common import table
+from orebed.llm.near_dup import near_duplicates
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
     REGISTRY[fn.__name__] = fn
     return fn
+
+
+@query
+def op7_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
