@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orebed.session import fresh_dir
@@ -104,3 +104,20 @@ def free_name(df: DataFrame, name: str) -> str:
     while name in taken:
         name = f"_{name}"
     return name
+
+
+def ranked(df: DataFrame, order: Sequence[Column], name: str, label: str) -> DataFrame:
+    """The frame with a column ``name``: the place of each row in the order, from 0.
+
+    Rows are dealt to partitions by ranges of the order and written, so that the
+    ranges hold; rows are numbered within each and the partitions' counts,
+    one row per partition, give the number to start from.
+    """
+    part = free_name(df, "_part")
+    dealt = stored(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), label)
+    counts = dealt.groupBy(part).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumnRenamed(part, "_p").select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1
+    numbered = dealt.withColumn(name, within.cast("bigint")).join(starts, F.col(part) == F.col("_p"))
+    return numbered.select(*df.columns, (F.col(name) + F.col("_before")).alias(name))

@@ -2,6 +2,73 @@
 
 from __future__ import annotations
 
+from orebed.llm.secrets import BASE_RULES, RULES, Rule
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _matches(rule: Rule, rank: int) -> str:
+    """Spans of one rule: the lengths of matches and of the text between them add up to places."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+    {rule.kind}_parts AS (
+      SELECT place, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS g,
+             regexp_split_to_array(t, '{pattern}') AS p
+      FROM d),
+    {rule.kind}_at AS (
+      SELECT place, i, length(m[i]) AS long, length(g[i]) AS n,
+             list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s
+      FROM {rule.kind}_parts, unnest(range(1, len(m) + 1)) AS u(i)),
+    {rule.kind}_spans AS (
+      SELECT place, '{rule.kind}' AS kind, {rank} AS rank, CAST(s AS BIGINT) AS s, CAST(s + long AS BIGINT) AS e
+      FROM {rule.kind}_at WHERE n >= {rule.least})"""
+
+
+def _secrets() -> str:
+    base = ", ".join(f"'{rule.kind}'" for rule in BASE_RULES)
+    counts = ", ".join(f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in BASE_RULES)
+    listed = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank)"
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS t FROM documents),
+    {",".join(_matches(rule, rank) for rank, rule in enumerate(RULES))},
+    spans AS ({" UNION ALL ".join(f"SELECT * FROM {rule.kind}_spans" for rule in RULES)}),
+    listed AS (
+      SELECT place, {counts}, {listed} FILTER (kind IN ({base})) AS base, {listed} AS spans FROM spans GROUP BY place)
+    SELECT doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0) AS n_{rule.kind}" for rule in BASE_RULES)},
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN listed USING (place)"""
+
+
+def _mix() -> str:
+    return rf"""
+    WITH d AS (
+      SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+             md5(coalesce(CAST(doc_id AS VARCHAR), 'none') || ':17') AS draw
+      FROM documents),
+    s AS (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+      FROM d GROUP BY source),
+    -- Sources in the order in which a rising level reaches their caps.
+    r AS (
+      SELECT *, 2.0::DOUBLE * source_size / w AS ratio, 1.5::DOUBLE * sum(source_size) OVER () AS total,
+             coalesce(sum(2 * source_size) OVER before, 0) AS capped, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS open
+      FROM s
+      WINDOW before AS (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    level AS (SELECT (total - capped) / open AS level FROM r WHERE (total - capped) / open < ratio ORDER BY ratio, source NULLS LAST LIMIT 1),
+    t AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, coalesce(level, 1e300) * w) AS target FROM r LEFT JOIN level ON true),
+    q AS (
+      SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS times FROM t),
+    b AS (
+      SELECT d.doc_id, d.size, q.source_size, q.target, q.times,
+             CAST(round(q.target - CAST(q.times * q.source_size AS DOUBLE)) AS BIGINT)
+               - coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id, d.size
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+    SELECT doc_id, size, source_size, target,
+           CAST(times * size + greatest(0, least(size, room)) AS BIGINT) AS taken
+    FROM b"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op4_secret_scan": _secrets(), "op9_mixing": _mix()}

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orebed.llm.common import table
+from orebed.llm.mixing import mix
 from orebed.llm.near_dup import near_duplicates
+from orebed.llm.secrets import BASE_RULES, find_secrets, span_list
+from orebed.llm.substring import remove_repeats
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -20,3 +24,29 @@ def query(fn):
 @query
 def op7_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=13)
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda x: x["kind"].isin([rule.kind for rule in BASE_RULES]))
+    return found.select(
+        "doc_id",
+        *[of(rule.kind) for rule in BASE_RULES],
+        F.sha2(span_list(base), 256).alias("base_sha256"),
+        span_list(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0)
