@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from orebed.llm.secrets import BASE_RULES, RULES, Rule
+from orebed.llm.sketch import BELOW, DIGITS, SHINGLE
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -70,5 +71,36 @@ def _mix() -> str:
     FROM b"""
 
 
+def _sketch() -> str:
+    def hashes(words: str) -> str:
+        return f"""list_sort(list_distinct(list_transform(list_filter(
+          list_transform(range(1, greatest(len({words}) - {SHINGLE - 1}, least(len({words}), 1)) + 1),
+                         lambda i: md5(array_to_string({words}[i:i + {SHINGLE - 1}], ' '))),
+          lambda h: h < '{BELOW}'), lambda h: left(h, {DIGITS}))))"""
+
+    def near(one: str, two: str) -> str:
+        union = f"len(list_distinct(list_concat({one}, {two})))"
+        return f"CASE WHEN {union} = 0 THEN 0.0 ELSE len(list_intersect({one}, {two}))::DOUBLE / {union} END"
+
+    return rf"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    o AS (SELECT *, row_number() OVER (ORDER BY doc_id DESC NULLS LAST, t) AS place, count(*) OVER () AS n FROM d),
+    e AS (
+      SELECT a.place, a.doc_id, a.t, b.t AS next_t,
+             left(a.t, length(a.t) - length(a.t) // 3) || left(b.t, length(a.t) // 3) AS edited
+      FROM o a JOIN o b ON b.place = a.place % a.n + 1),
+    w AS (
+      SELECT *, regexp_extract_all(t, '{WORD}') AS tw, regexp_extract_all(next_t, '{WORD}') AS nw,
+             regexp_extract_all(edited, '{WORD}') AS ew
+      FROM e),
+    h AS (SELECT *, {hashes("tw")} AS th, {hashes("nw")} AS nh, {hashes("ew")} AS eh FROM w)
+    SELECT doc_id, length(t) AS n_chars, sha256(edited) AS edited_sha256,
+           left(md5(t), 16) || ':' || array_to_string(th, '.') AS fingerprint,
+           left(md5(edited), 16) || ':' || array_to_string(eh, '.') AS edited_fingerprint,
+           CASE WHEN t = edited THEN 1.0 ELSE {near("th", "eh")} END AS near_edited,
+           CASE WHEN t = next_t THEN 1.0 ELSE {near("th", "nh")} END AS near_next
+    FROM h"""
+
+
 def statements() -> dict[str, str]:
-    return {"op4_secret_scan": _secrets(), "op9_mixing": _mix()}
+    return {"op2_scaled_sketch": _sketch(), "op4_secret_scan": _secrets(), "op9_mixing": _mix()}

@@ -11,6 +11,7 @@ from orebed.llm.common import table
 from orebed.llm.mixing import mix
 from orebed.llm.near_dup import near_duplicates
 from orebed.llm.secrets import BASE_RULES, find_secrets, span_list
+from orebed.llm.sketch import compare_with_edit
 from orebed.llm.substring import remove_repeats
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,8 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0)
+
+
+@query
+def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edit(table(spark, sf_dir, "documents"))
