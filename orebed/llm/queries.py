@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebed.llm.common import table
+from orebed.llm.decontaminate import find_leaks
 from orebed.llm.mixing import mix
 from orebed.llm.near_dup import near_duplicates
 from orebed.llm.secrets import BASE_RULES, find_secrets, span_list
 from orebed.llm.sketch import compare_with_edit
 from orebed.llm.substring import remove_repeats
+from orebed.llm.tokens import read_documents, write_tokens
+from orebed.session import fresh_dir
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -56,3 +59,22 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edit(table(spark, sf_dir, "documents"))
+
+
+def word_tokenizer() -> str:
+    """Where the tokenizer of the token queries lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, word_tokenizer(), end_id=1)
+    return read_documents(spark, path)
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

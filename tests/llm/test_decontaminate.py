@@ -1,0 +1,126 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from orebed.llm import decontaminate
+from orebed.llm.decontaminate import Items, clean_documents, find_leaks
+from orebed.llm.queries import REGISTRY
+
+
+def split(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        words = words.replace(c, " ")
+    return [w for w in words.split(" ") if w]
+
+
+def bag(words, run):
+    return Counter(tuple(words[i : i + run]) for i in range(len(words) - run + 1))
+
+
+def alike(one, two):
+    weigh = lambda shingle: sum(len(w.encode()) for w in shingle)
+    shared = sum(weigh(s) * min(n, two[s]) for s, n in one.items())
+    total = sum(weigh(s) * max(one[s], two[s]) for s in one.keys() | two.keys())
+    return shared / total if total else 0
+
+
+def brute(docs, items):
+    """The best window of every document for every item, over all windows."""
+    return sorted((row for doc in docs for row in leaks_of(*doc, items)), key=repr)
+
+
+def leaks_of(doc_id, text, items):
+    result = []
+    words = split(text)
+    for item_id, item in items:
+        wanted = split(item)
+        size, run = min(len(wanted), len(words)), min(len(wanted), 5)
+        if not size:
+            continue
+        target = bag(wanted, run)
+        best = max((alike(bag(words[i : i + size], run), target), -i) for i in range(len(words) - size + 1))
+        if best[0] >= 0.8:
+            result.append((doc_id, item_id, -best[1], size, round(best[0], 9)))
+    return result
+
+
+def found(df):
+    return sorted(((r.doc_id, r.item_id, r.start, r.n_words, round(r.similarity, 9)) for r in df.collect()), key=repr)
+
+
+def case():
+    rng = random.Random(11)
+    word = lambda: rng.choice(["the", "of", "and", "a"]) if rng.random() < 0.3 else f"w{rng.randrange(4000)}"
+    items = [(i, " ".join(word() for _ in range(rng.choice([14, 20, 36, 59])))) for i in range(25)]
+    items += [(50, "just three words"), (51, "five words make one shingle"), (52, ""), (53, None), (54, items[0][1]), (None, items[1][1])]
+    docs = []
+    for i in range(40):
+        parts = [" ".join(word() for _ in range(rng.randrange(60)))]
+        for _ in range(rng.randrange(3)):
+            passage = rng.choice(items[:25])[1].split()
+            kind = rng.randrange(4)
+            if kind == 1:
+                passage[rng.randrange(len(passage))] = "changed"
+            if kind == 2:
+                passage = passage[: int(len(passage) * rng.choice([0.5, 0.85, 0.95]))]
+            if kind == 3:
+                passage.insert(len(passage) // 2, "added")
+            parts += [rng.choice([" ", "\n"]).join(passage).upper(), " ".join(word() for _ in range(rng.randrange(30)))]
+        docs.append((i, " ".join(parts)))
+    docs += [(100, ""), (101, None), (102, items[3][1]), (103, " ".join(items[4][1].split()[1:])), (104, "Just three\twords here")]
+    docs += [(105, "five words make one shingle"), (None, items[5][1]), (106, (items[6][1] + " ") * 12), (100, items[2][1])]
+    docs += [docs[3], docs[3], (107, " ".join(word() for _ in range(1_500)) + " " + items[7][1])]
+    return docs, items
+
+
+@pytest.mark.parametrize("most", [1000, 8])
+def test_against_all_windows(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "ITEMS", most)
+    monkeypatch.setattr(decontaminate, "SPAN", 64)
+    docs, items = case()
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("item_id", F.lit("x")).withColumn("start", F.lit(1))
+    bench = spark.createDataFrame(items, "item_id bigint, text string").withColumn("doc_id", F.lit(5))
+    by_doc = {doc: leaks_of(*doc, items) for doc in set(docs)}
+    expected = sorted((row for doc in docs for row in by_doc[doc]), key=repr)
+    assert found(find_leaks(frame, bench)) == expected
+    clean = clean_documents(frame, bench)
+    assert clean.columns == frame.columns
+    leaky = Counter(doc for doc in docs if by_doc[doc])
+    kept = Counter((r.doc_id, r.text) for r in clean.collect())
+    assert kept == Counter(docs) - leaky
+
+
+def test_multi_index_finds_all_within_the_radius():
+    rng = np.random.default_rng(1)
+    items = Items([(i, f"word{i} of item number {i}".encode()) for i in range(60)])
+    prints = np.repeat(items.prints, 40)
+    for row in range(len(prints)):
+        for bit in rng.choice(64, row % 25, replace=False):
+            prints[row] ^= np.uint64(1) << np.uint64(bit)
+    windows, numbers = items.candidates(prints)
+    near = {(w, n) for w, p in enumerate(prints) for n, q in enumerate(items.prints) if int(p ^ q).bit_count() <= 19}
+    assert set(zip(windows.tolist(), numbers.tolist())) == near
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id bigint, text string")
+    some = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
+    assert find_leaks(none, bench).count() == clean_documents(none, bench).count() == 0
+    assert find_leaks(some, bench.limit(0)).count() == 0
+    assert clean_documents(some, bench.limit(0)).count() == 1
+
+
+def test_query(spark, sf_dir):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    # Windows that share no shingle with an item have similarity 0, so brute force need only look at the others.
+    shingles = {s for _, t in items for s in bag(split(t), 5)}
+    some = [(d, t) for d, t in docs if shingles & set(bag(split(t), 5))]
+    expected = brute(some, items)
+    assert expected
+    assert found(REGISTRY["op6_decontamination"](spark, sf_dir)) == expected
