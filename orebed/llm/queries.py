@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orebed.llm import quality, toxicity
 from orebed.llm.common import table
 from orebed.llm.decontaminate import find_leaks
 from orebed.llm.mixing import mix
@@ -78,3 +79,13 @@ def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, fold=0)
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, fold=1)
