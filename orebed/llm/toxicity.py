@@ -1,9 +1,10 @@
 """Toxic text by a support vector machine over a subsequence string kernel, with Nyström landmarks.
 
 The kernel of two strings sums over all four-letter subsequences they share,
-each weighted by ``DECAY`` per letter skipped, up to three skips in all. An insult with letters
+each weighted by ``DECAY`` per letter skipped, up to three skips in all; the edge of a word
+counts as a letter at either end of one. An insult with letters
 put in or with marks between its letters so keeps most of its kernel value
-with the insult itself. Landmarks are words of the training texts; the kernel
+with the insult itself. Landmarks are words, and parts of words, of the training texts; the kernel
 values with them, whitened by their own kernel matrix, are the features of a linear
 machine trained on pieces of sentences.
 
@@ -59,9 +60,9 @@ def _subsequences(codes: np.ndarray):
 
 
 def _real() -> np.ndarray:
-    """Which subsequence numbers have letters only; gaps stand for nothing."""
-    digits = np.arange(LETTERS) > 0
-    return np.logical_and.reduce(np.meshgrid(digits, digits, digits, digits, indexing="ij")).ravel()
+    """Which subsequence numbers count: letters, of which the first or the last may be the edge of a word."""
+    first, second, third, last = np.meshgrid(*[np.arange(LETTERS) > 0] * ORDER, indexing="ij")
+    return (second & third & (first | last)).ravel()
 
 
 def features(text: bytes, real: np.ndarray) -> Counter:
@@ -130,14 +131,27 @@ def _logistic(values: np.ndarray) -> np.ndarray:
 
 
 def _landmarks(sample: list[tuple[bytes, int]]) -> list[bytes]:
-    """Words of the texts: those that tell the labels apart best, and as many of the commonest of clean texts."""
-    seen = {0: Counter(), 1: Counter()}
+    """Word parts that tell the labels apart best, none within another, and the commonest words of clean texts."""
+    parts, words = {0: Counter(), 1: Counter()}, Counter()
     for text, label in sample:
-        seen[label].update(set(re.findall(rb"[a-z]{4,}", text.lower())))
+        own = set(re.findall(rb"[a-z\x80-\xff]{4,}", text.lower()))
+        edged = [b" " + word + b" " for word in own]
+        parts[label].update({word[at : at + n] for word in edged for n in (4, 5, 6, 7, 8) for at in range(len(word) - n + 1)})
+        if not label:
+            words.update(own)
     many = {label: max(1, sum(one == label for _, one in sample)) for label in (0, 1)}
-    odds = {w: np.log((n + 0.5) / (many[1] + 1)) - np.log((seen[0][w] + 0.5) / (many[0] + 1)) for w, n in seen[1].items() if n > 1}
-    worst = sorted(odds, key=lambda w: (-odds[w], w))[: LANDMARKS // 2]
-    usual = sorted((w for w in seen[0] if w not in set(worst)), key=lambda w: (-seen[0][w], w))
+    telling = {
+        g: n / many[1] * (np.log((n + 0.5) / (many[1] + 1)) - np.log((parts[0][g] + 0.5) / (many[0] + 1)))
+        for g, n in parts[1].items()
+        if n > 2
+    }
+    worst: list[bytes] = []
+    for part in sorted(telling, key=lambda g: (-telling[g], -len(g), g)):
+        if not any(part in other or other in part for other in worst):
+            worst.append(part)
+        if len(worst) == LANDMARKS // 2:
+            break
+    usual = sorted((w for w in words if w not in set(worst)), key=lambda w: (-words[w], w))
     return worst + usual[: LANDMARKS - len(worst)]
 
 
@@ -238,9 +252,18 @@ def _worst(model: Model, text: bytes) -> bytes:
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int) -> Model:
-    """Train on at most 1,000 texts of each label, of up to 6,000 characters, picked by hash."""
+    """Train on at most 1,000 texts of each label, of up to 6,000 characters, picked by hash.
+
+    The curve's odds, those of the sample, are then set to those of all training labels.
+    """
     usable = ~held_out(F.col("doc_id"), folds, fold)
-    return train(labelled_sample(docs, labels, "toxic", usable, PER_CLASS, MAX_CHARS))
+    sample = labelled_sample(docs, labels, "toxic", usable, PER_CLASS, MAX_CHARS)
+    model = train(sample)
+    clean, toxic = labels.filter(usable).agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)).first()
+    ones = sum(label for _, label in sample)
+    if clean and toxic and 0 < ones < len(sample):
+        model.shift += float(np.log(toxic / clean) - np.log(ones / (len(sample) - ones)))
+    return model
 
 
 # Bytes of text scored together.
