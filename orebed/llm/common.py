@@ -17,6 +17,9 @@ from orebed.session import fresh_dir
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+# Spark's setting to remove a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,11 +29,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     Cuts the lineage: what follows reads files that outlive any executor, and
-    expensive work above is done once.
+    expensive work above is done once. The shuffles of the write serve nothing
+    else, so their files go at its end.
     """
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = fresh_dir(spark, label)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(df: DataFrame, text: str = "text") -> Column:

@@ -65,9 +65,13 @@ def _place() -> Column:
     return F.struct(F.col("none"), F.when(F.col("none"), 0).otherwise(F.col("doc")).alias("doc"))
 
 
-def _with_sets(docs: DataFrame, rows: DataFrame, value: str) -> DataFrame:
-    """The documents with the set of values that ``rows`` (value, none, doc) hold for them."""
-    sets = rows.groupBy("none", "doc").agg(F.collect_set(value).alias(value))
+def _sets(rows: DataFrame, value: str) -> DataFrame:
+    """The set of values per document of ``rows`` (value, none, doc)."""
+    return rows.groupBy("none", "doc").agg(F.collect_set(value).alias(value))
+
+
+def _joined(docs: DataFrame, sets: DataFrame, value: str) -> DataFrame:
+    """The documents with their sets."""
     sets = sets.withColumnRenamed("none", "_none").withColumnRenamed("doc", "_doc")
     joined = docs.join(sets, (F.col("none") == F.col("_none")) & (F.col("doc") == F.col("_doc")), "left")
     return joined.select("none", "doc", "doc_id", "text", value)
@@ -122,10 +126,12 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
         return _emit("window", found, batch)
 
     # Written once: the windows are read for their smallest document, and again to be compared with it.
-    windows = stored(_with_sets(keyed, shared, "anchor").mapInArrow(by_batch(extended), f"window bigint, {KEY}"), "windows")
+    windows = stored(_joined(keyed, _sets(shared, "anchor"), "anchor").mapInArrow(by_batch(extended), f"window bigint, {KEY}"), "windows")
     first = windows.groupBy("window").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
     first = first.filter("first < last").select(F.col("window").alias("_window"), "first")
     later = windows.join(first, F.col("window") == F.col("_window")).filter(_place() > F.col("first"))
+    # Written by document, so that the shuffles of windows are gone before texts move again.
+    gone = stored(_sets(later.select("window", "none", "doc"), "window"), "repeats")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, removed, kept, spans = [], [], [], []
@@ -156,4 +162,4 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "n_removed", "kept_sha256", "repeats"])
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, repeats array<struct<start bigint, length bigint>>"
-    return _with_sets(keyed, later.select("window", "none", "doc"), "window").mapInArrow(by_batch(cut), schema)
+    return _joined(keyed, gone, "window").mapInArrow(by_batch(cut), schema)
