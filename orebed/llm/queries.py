@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orebed.llm import quality, toxicity
+from orebed.llm.chat import format_conversations
 from orebed.llm.common import table
 from orebed.llm.decontaminate import find_leaks
 from orebed.llm.mixing import mix
@@ -15,7 +17,7 @@ from orebed.llm.near_dup import near_duplicates
 from orebed.llm.secrets import BASE_RULES, find_secrets, span_list
 from orebed.llm.sketch import compare_with_edit
 from orebed.llm.substring import remove_repeats
-from orebed.llm.tokens import read_documents, write_tokens
+from orebed.llm.tokens import read_documents, word_tokenizer, write_tokens
 from orebed.session import fresh_dir
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,13 +64,6 @@ def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edit(table(spark, sf_dir, "documents"))
 
 
-def word_tokenizer() -> str:
-    """Where the tokenizer of the token queries lies."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 @query
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "tokens")
@@ -89,3 +84,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, fold=1)
+
+
+@query
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_conversations(table(spark, sf_dir, "conversations"))
+
+
+REGISTRY["pipeline"] = corpus_pipeline.run
