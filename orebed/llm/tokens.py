@@ -41,6 +41,13 @@ MAX_KNOWN = 400_000
 TOGETHER = 64
 
 
+def word_tokenizer() -> str:
+    """Where the tokenizer that the queries use lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 # --- minimal perfect hash -------------------------------------------------
 
 

@@ -110,7 +110,8 @@ class Model:
 
     def answers(self, texts: list[bytes]) -> np.ndarray:
         """The largest answer over the pieces of each text."""
-        data = b"\0".join(texts) + b"\0" * REACH
+        gap = b"\0" * REACH  # wide enough that no subsequence spans two texts
+        data = gap.join(texts) + gap
         sums = np.zeros(len(data), np.float32)
         for numbers, weight in _subsequences(CODES[np.frombuffer(data, np.uint8)]):
             sums += self.table[numbers] * np.float32(weight)
@@ -119,7 +120,7 @@ class Model:
         for row, text in enumerate(texts):
             starts, ends = _piece_bounds(text)
             result[row] = (total[base + ends] - total[base + starts]).max()
-            base += len(text) + 1
+            base += len(text) + REACH
         return result
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
