@@ -86,7 +86,7 @@ def _sketch() -> str:
     WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
     o AS (SELECT *, row_number() OVER (ORDER BY doc_id DESC NULLS LAST, t) AS place, count(*) OVER () AS n FROM d),
     e AS (
-      SELECT a.place, a.doc_id, a.t, b.t AS next_t,
+      SELECT a.place, a.doc_id, a.t, b.t AS next_t, b.doc_id AS next_doc_id,
              left(a.t, length(a.t) - length(a.t) // 3) || left(b.t, length(a.t) // 3) AS edited
       FROM o a JOIN o b ON b.place = a.place % a.n + 1),
     w AS (
@@ -98,7 +98,8 @@ def _sketch() -> str:
            left(md5(t), 16) || ':' || array_to_string(th, '.') AS fingerprint,
            left(md5(edited), 16) || ':' || array_to_string(eh, '.') AS edited_fingerprint,
            CASE WHEN t = edited THEN 1.0 ELSE {near("th", "eh")} END AS near_edited,
-           CASE WHEN t = next_t THEN 1.0 ELSE {near("th", "nh")} END AS near_next
+           CASE WHEN t = next_t THEN 1.0 ELSE {near("th", "nh")} END AS near_next,
+           next_doc_id
     FROM h"""
 
 

@@ -19,7 +19,7 @@ BELOW = "4"
 
 
 def sketch(text: Column, shingle: int = SHINGLE, below: str = BELOW) -> Column:
-    """The retained hashes of a text's word shingles, distinct and in order.
+    """The retained hashes of a text's word shingles as numbers, distinct and in order.
 
     A text of fewer words than a shingle is one shingle; one without words has none.
     """
@@ -36,7 +36,8 @@ def sketch(text: Column, shingle: int = SHINGLE, below: str = BELOW) -> Column:
         ).otherwise(F.array().cast("array<string>")),
     )[0]
     kept = F.filter(parts, lambda digest: digest < below)
-    return F.array_sort(F.array_distinct(F.transform(kept, lambda digest: F.substring(digest, 1, DIGITS))))
+    numbers = F.transform(kept, lambda digest: F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("int"))
+    return F.array_sort(F.array_distinct(numbers))
 
 
 def merged(sketches: DataFrame, keys: list[str], column: str) -> DataFrame:
@@ -57,11 +58,13 @@ def likeness(one: Column, two: Column) -> Column:
 
 def fingerprint(text: Column, hashes: Column) -> Column:
     """A hash of the whole text, which tells short texts apart, and the sketch."""
-    return F.concat(F.substring(F.md5(text), 1, 16), F.lit(":"), F.array_join(hashes, "."))
+    digits = F.transform(hashes, lambda number: F.lpad(F.lower(F.hex(number)), DIGITS, "0"))
+    return F.concat(F.substring(F.md5(text), 1, 16), F.lit(":"), F.array_join(digits, "."))
 
 
 def compare_with_edit(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every document.
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    next_doc_id) of every document.
 
     The edited text has the last third of the code points, rounded down, replaced by as many
     from the start of the next document (all, if it is shorter). Next is the next smaller id,
@@ -73,7 +76,8 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
     the edited text and of the next document; texts that are equal have likeness 1.
 
     Only ids and lengths are put in order. Texts move once, by a hash of id and text, and
-    the replacing part of each moves to the document before it.
+    the replacing part of each moves to the document before it. Both sides of that join
+    take the same columns, so that Spark shuffles the texts once for both.
     """
     texts = docs.select(docs["doc_id"], F.coalesce(docs["text"], F.lit("")).alias("text"))
     row = F.xxhash64("doc_id", "text")
@@ -95,6 +99,7 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
     wanted = steps.select(F.col("next_row").alias("_row"), F.col("row").alias("for_row"), "third", "copies")
     lead = rows.join(wanted, F.col("row") == F.col("_row")).select(
         "for_row",
+        F.col("doc_id").alias("next_doc_id"),
         "copies",
         F.expr("substring(text, 1, third)").alias("lead"),
         F.substring(F.md5("text"), 1, 16).alias("next_whole"),
@@ -107,10 +112,11 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
         (F.col("copies") - 1).alias("times"),
         F.expr("substring(text, 1, cast(floor(length(text) / 3) as int))").alias("lead"),
         F.lit(1.0).alias("near_next"),
+        F.col("doc_id").alias("next_doc_id"),
     )
     equal = F.substring(F.md5("text"), 1, 16) == F.col("next_whole")
     near_next = F.when(equal, F.lit(1.0)).otherwise(likeness(F.col("hashes"), F.col("next_hashes")))
-    last = F.struct(F.lit(1).cast("bigint").alias("times"), F.col("lead"), near_next.alias("near_next"))
+    last = F.struct(F.lit(1).cast("bigint").alias("times"), F.col("lead"), near_next.alias("near_next"), F.col("next_doc_id"))
     cases = F.when(F.col("copies") > 1, F.array(same, last)).otherwise(F.array(last))
     each = pairs.select("doc_id", "text", "hashes", F.explode(cases).alias("case"))
     kept = "substring(text, 1, cast(length(text) - floor(length(text) / 3) as int))"
@@ -125,6 +131,7 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
         fingerprint(F.col("edited"), F.col("edited_hashes")).alias("edited_fingerprint"),
         F.when(unchanged, F.lit(1.0)).otherwise(likeness(F.col("hashes"), F.col("edited_hashes"))).alias("near_edited"),
         F.col("case.near_next").alias("near_next"),
+        F.col("case.next_doc_id").alias("next_doc_id"),
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("case.times"))).alias("_copy"),
     )
     return result.drop("_copy")
