@@ -83,7 +83,15 @@ def calendar(spark: SparkSession, start: str, end: str, name: str = "day") -> Da
     return spark.range(1).select(F.explode(days).alias(name))
 
 
-def on_calendar(counts: DataFrame, day: str, start: str, end: str, zero: Sequence[str]) -> DataFrame:
-    """Daily rows with every day of the range present; missing numbers are 0."""
+def on_calendar(
+    counts: DataFrame, day: str, start: str | None = None, end: str | None = None, zero: Sequence[str] = ()
+) -> DataFrame:
+    """Daily rows with every day of the range present; missing numbers are 0.
+
+    Without bounds the range goes from the first day of the rows to the last.
+    """
+    if start is None or end is None:
+        first, last = counts.agg(F.min(day).cast("string"), F.max(day).cast("string")).first()
+        start, end = start or first, end or last
     days = calendar(counts.sparkSession, start, end, day)
     return days.join(counts, day, "left").na.fill(0, list(zero))

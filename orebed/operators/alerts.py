@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from orebed.operators.skew import skew_join
 
@@ -48,14 +50,17 @@ def group_apply(
 
     ``partial`` turns one Arrow batch into partial rows per key; Spark merges
     those with the ``merge`` aggregates. Any group size works, as only partial
-    rows are shuffled.
+    rows are shuffled. Its frames have Arrow types, so that nulls leave whole numbers whole.
     """
+    fields = partial_schema if isinstance(partial_schema, T.StructType) else T.StructType.fromDDL(partial_schema)
+    kinds = to_arrow_schema(fields)
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield partial(frame)
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            table = pa.Table.from_pandas(partial(part.to_pandas(types_mapper=pd.ArrowDtype)), preserve_index=False)
+            yield from table.select(kinds.names).cast(kinds).to_batches()
 
-    parts = df.mapInPandas(batches, partial_schema)
+    parts = df.mapInArrow(batches, fields)
     return parts.groupBy(*keys).agg(*[value.alias(name) for name, value in merge.items()])
 
 
@@ -65,7 +70,8 @@ def group_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
     def partial(frame: pd.DataFrame) -> pd.DataFrame:
         grouped = frame.groupby(names, dropna=False)[value]
-        return grouped.agg(n="size", known="count", total="sum", top="max").reset_index()
+        counts = grouped.agg(n="size", known="count", top="max")
+        return counts.assign(total=grouped.sum(min_count=1)).reset_index()
 
     fields = [df.schema[name] for name in names]
     schema = T.StructType(

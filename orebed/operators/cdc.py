@@ -11,12 +11,18 @@ from orebed.operators.skew import as_column, lead_by_key, skew_join
 
 DELETED = "_deleted"
 TIE = "_tie"
+# Columns that tell how an event came in. They differ from one ingest to the next, so they settle nothing.
+BOOKKEEPING = ("processing_time", "source_file")
 
 
-def prepare_events(df: DataFrame, delete_when: Column | str) -> DataFrame:
-    """Add the delete mark and a row hash that settles equal sequence values."""
+def prepare_events(df: DataFrame, delete_when: Column | str, tie_columns: Sequence[str] | None = None) -> DataFrame:
+    """Add the delete mark and a row hash that settles equal sequence values.
+
+    The hash is over ``tie_columns``, all but the bookkeeping columns if not given.
+    """
     deleted = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
-    return df.withColumns({DELETED: F.coalesce(deleted, F.lit(False)), TIE: F.xxhash64(*df.columns)})
+    payload = list(tie_columns or [name for name in df.columns if name not in BOOKKEEPING])
+    return df.withColumns({DELETED: F.coalesce(deleted, F.lit(False)), TIE: F.xxhash64(*payload)})
 
 
 def latest_events(prepared: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -> DataFrame:

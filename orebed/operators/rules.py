@@ -148,7 +148,7 @@ def unknown_code(df: DataFrame, column: str, domain: DataFrame | Sequence[str])
     """Codes outside the domain. A null code is the null rule's concern."""
     values = known_values(domain)
     if values is not None:
-        return df.filter(outside_domain_when(column, values))
+        return df.filter(F.col(column).isNotNull() & outside_domain_when(column, values))
     codes = domain.select(F.col(domain.columns[0]).alias(column)).distinct()
     return skew_join(df.filter(F.col(column).isNotNull()), codes, [column], "left_anti").select(*df.columns)
 

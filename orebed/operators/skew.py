@@ -31,12 +31,7 @@ SAMPLE_HITS = 200
 
 
 def _broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    number = text.lower().removesuffix("b") if text.lower()[-2:-1] in "kmg" else text.lower()
-    if number[-1] in units:
-        return int(number[:-1]) * units[number[-1]]
-    return int(number)
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def will_broadcast(df: DataFrame) -> bool:

@@ -284,7 +284,7 @@ from orders
 select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events
 -- f15_calendar
 select c.d as kpi_date, coalesce(e.n, 0) as n
-from (select cast(unnest(generate_series(timestamp '2023-12-30', timestamp '2024-02-02', interval 1 day)) as date) as d) c
+from (select cast(unnest(generate_series(min(ts)::date::timestamp, max(ts)::date::timestamp, interval 1 day)) as date) as d from events) c
      left join (select cast(ts as date) as d, count(*) as n from events group by 1) e on c.d = e.d
 -- l1_verify_counts
 select 'orders' as table_name, count(*) as row_count from orders
@@ -340,6 +340,10 @@ from customer group by c_mktsegment, c_nationkey
 select o_custkey, count(*) as n_loans, round(max(o_totalprice), 2) as max_amount,
        count(*) filter (where o_orderstatus = 'P') as n_past_due
 from orders group by o_custkey
+-- m4_fixed_score
+select o_custkey, round(1.0 / (1.0 + exp(-(-1.0 + 0.05 * count(*) - 0.00001 * round(max(o_totalprice), 2)
+                                           + 0.5 * count(*) filter (where o_orderstatus = 'P')))), 6) as score
+from orders group by o_custkey
 -- g1_row_filter
 select c_custkey, r_name, c_acctbal
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey

@@ -775,7 +775,7 @@ def f13_json_extract(spark, sf_dir):
 @query
 def f15_calendar(spark, sf_dir):
     daily = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("kpi_date")).agg(F.count(F.lit(1)).alias("n"))
-    return S.on_calendar(daily, "kpi_date", "2023-12-30", "2024-02-02", ["n"])
+    return S.on_calendar(daily, "kpi_date", zero=["n"])
 
 
 # Jobs
@@ -921,6 +921,14 @@ def m5_credit_score(spark, sf_dir):
     return scoring.credit_score(card, people).select("c_custkey", "late", F.round("score", 6).alias("score"))
 
 
+@query
+def m4_fixed_score(spark, sf_dir):
+    """A score card with given weights."""
+    card = scoring.ScoreCard({"n_loans": 0.05, "max_amount": -0.00001, "n_past_due": 0.5}, -1.0)
+    scored = scoring.credit_score(card, m4_risk_features(spark, sf_dir))
+    return scored.select("o_custkey", F.round("score", 6).alias("score"))
+
+
 @query
 def g1_row_filter(spark, sf_dir):
     seen = governance.row_filter(_customer_regions(spark, sf_dir), "r_name", ["ASIA", "EUROPE"])

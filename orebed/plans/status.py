@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from orebed import paths
 from orebed.functions.scalars import epoch_to_ts
+from orebed.operators.expectations import Expectation, apply_expectations
 from orebed.plans.layers import JobReport, Layers, open_layers
 from orebed.sources.files import ingest_json, read_stream_table
 from orebed.sources.tables import note_path
@@ -21,19 +22,23 @@ STATUS_SCHEMA = T.StructType(
         T.StructField("status_timestamp", T.DoubleType()),
     ]
 )
+# A line that is no JSON has no order; the raw table keeps it.
+STATUS_RULES = [Expectation("valid_order", "order_id IS NOT NULL", "drop")]
 RAW, LATEST = "status_raw", "order_status"
 
 
-def run(spark: SparkSession, source: str, root: str, buckets: int = DEFAULT_BUCKETS) -> JobReport:
-    """One triggered run over all new status files."""
+def run(
+    spark: SparkSession, source: str, root: str, buckets: int = DEFAULT_BUCKETS, max_files: int | None = None
+) -> JobReport:
+    """One triggered run over all new status files, in batches of ``max_files`` if given."""
     layers = open_layers(spark, root, "status")
     raw = layers.table("bronze", RAW)
     feed = f"{source}/status"
-    steps = {RAW: ingest_json(spark, feed, STATUS_SCHEMA, raw, layers.checkpoint(RAW), rescue=True)}
+    steps = {RAW: ingest_json(spark, feed, STATUS_SCHEMA, raw, layers.checkpoint(RAW), rescue=True, max_files=max_files)}
     if paths.exists(spark, raw):
         state = layers.table("gold", LATEST)
         steps[LATEST] = apply_scd1_stream(
-            read_stream_table(spark, raw, STATUS_SCHEMA),
+            apply_expectations(read_stream_table(spark, raw, STATUS_SCHEMA, max_files), STATUS_RULES, LATEST),
             state,
             layers.checkpoint(LATEST),
             ["order_id"],

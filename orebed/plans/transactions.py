@@ -9,7 +9,7 @@ from orebed.operators.aggregates import monthly_fact
 from orebed.operators.expectations import Expectation, apply_expectations
 from orebed.plans.layers import JobReport, Layers, open_layers
 from orebed.session import fit_shuffle
-from orebed.sources.files import read_csv, with_ingest_metadata
+from orebed.sources.files import RESCUED, read_csv, with_ingest_metadata
 from orebed.sources.tables import note_path, write_path
 from orebed.streaming.run import RunReport
 
@@ -52,12 +52,12 @@ def monthly(clean: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, source: str, layers: Layers) -> None:
-    write_path(with_ingest_metadata(read_csv(spark, source, TRANSACTION_SCHEMA)), layers.table("bronze", RAW))
+    write_path(with_ingest_metadata(read_csv(spark, source, TRANSACTION_SCHEMA, rescue=True)), layers.table("bronze", RAW))
 
 
 def silver(spark: SparkSession, layers: Layers) -> RunReport:
     observation = Observation(CLEAN)
-    raw = spark.read.parquet(layers.table("bronze", RAW))
+    raw = spark.read.parquet(layers.table("bronze", RAW)).drop(RESCUED)
     write_path(apply_expectations(raw, TRANSACTION_RULES, observation), layers.table("silver", CLEAN))
     counts = dict(observation.get)
     return RunReport(rows_read=counts["rows"], batches=1, observed={CLEAN: counts})
@@ -71,8 +71,8 @@ def gold(spark: SparkSession, layers: Layers) -> None:
 def run(spark: SparkSession, source: str, root: str, validate: bool = False) -> JobReport:
     """Rebuild all three tables from the CSV below ``source``."""
     if validate:
-        raw = with_ingest_metadata(read_csv(spark, source, TRANSACTION_SCHEMA))
-        clean = apply_expectations(raw, TRANSACTION_RULES, CLEAN)
+        raw = with_ingest_metadata(read_csv(spark, source, TRANSACTION_SCHEMA, rescue=True))
+        clean = apply_expectations(raw.drop(RESCUED), TRANSACTION_RULES, CLEAN)
         frames = {RAW: raw, CLEAN: clean, MONTHLY: monthly(clean)}
         return JobReport(schemas={name: frame.schema.simpleString() for name, frame in frames.items()})
     layers = open_layers(spark, root, "transactions")

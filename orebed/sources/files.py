@@ -114,5 +114,13 @@ def read_stream_table(
     return reader.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, rescue: bool = False) -> DataFrame:
+    """CSV files whose headers must be the schema's names in its order; others are an error.
+
+    With ``rescue`` a last column keeps the lines that hold a value of the wrong type.
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if not rescue:
+        return reader.schema(schema).csv(path)
+    fields = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
+    return reader.option("columnNameOfCorruptRecord", RESCUED).schema(fields).csv(path)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orebed import paths
 from orebed.session import fit_shuffle
 from orebed.streaming.run import RunReport, run_batches
-from orebed.streaming.snapshot import versions
+from orebed.streaming.snapshot import SnapshotMismatch, versions
 
 
 def read_days(spark: SparkSession, root: str) -> DataFrame | None:
@@ -34,6 +34,9 @@ def _refresh(
     root: str,
 ) -> None:
     spark = batch.sparkSession
+    known = versions(spark, root)
+    if known and known[-1] > batch_id:
+        raise SnapshotMismatch(f"{root} is at version {known[-1]}, but the checkpoint resumes at {batch_id}")
     # There are fewer than four million dates, so a list of days can be broadcast.
     days = batch.select(F.to_date(ts).alias("_day")).distinct().persist()
     try:
@@ -48,7 +51,7 @@ def _refresh(
         rows = fit_shuffle(spark.read.parquet(source).filter(changed))
         rows = rows.join(marks, F.to_date(ts).eqNullSafe(F.col("_day")), "left_semi")
         result = compute(rows)
-        before = [version for version in versions(spark, root) if version < batch_id]
+        before = [version for version in known if version < batch_id]
         if before:
             held = spark.read.parquet(f"{root}/data/v{before[-1]}")
             result = held.join(marks, held[day].eqNullSafe(F.col("_day")), "left_anti").unionByName(result)

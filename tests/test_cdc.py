@@ -233,3 +233,15 @@ def test_merge_against_brute_force(spark, large):
     finally:
         for name in settings if large else ():
             spark.conf.unset(name)
+
+
+def test_ties_do_not_depend_on_the_ingest(spark):
+    """Equal key and sequence: the payload alone decides, whenever and from whatever file it came."""
+    from orebed.operators.cdc import scd1
+
+    winners = set()
+    for hour in range(12):
+        rows = [("k", 1, name, f"2024-01-01 {(hour * (place + 5)) % 24:02d}:00:00", f"f{hour}{place}") for place, name in enumerate("AB")]
+        df = spark.createDataFrame(rows, "id string, seq int, name string, processing_time string, source_file string")
+        winners.add(scd1(df, ["id"], ["seq"], "false").first().name)
+    assert len(winners) == 1

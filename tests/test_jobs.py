@@ -294,3 +294,27 @@ def test_views_answer_plain_sql(spark, folder):
     moved = spark.sql("SELECT customer_id, name, email, city, state FROM customers WHERE city = 'Quito' ORDER BY customer_id")
     assert [tuple(row) for row in moved.collect()] == [tuple(row) for row in verify.customers_in(spark, layers, "Quito").collect()]
     assert moved.count() == 5
+
+
+def test_lost_checkpoint_of_the_daily_table(spark, folder):
+    """A daily table ahead of its checkpoint is an error, as for the keyed table."""
+    from orebed.streaming.snapshot import SnapshotMismatch
+    from orebed.streaming.touched import _refresh
+
+    silver = f"{folder}/silver"
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "id int, ts timestamp").write.parquet(silver)
+    batch = spark.read.parquet(silver)
+    count = lambda df: df.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    for number in (0, 1, 1):
+        _refresh(batch, number, silver, "ts", "day", count, f"{folder}/daily")
+    with pytest.raises(SnapshotMismatch):
+        _refresh(batch, 0, silver, "ts", "day", count, f"{folder}/daily")
+
+
+def test_broken_status_lines_stay_out_of_the_table(spark, folder):
+    os.makedirs(f"{folder}/landing/status")
+    with open(f"{folder}/landing/status/1.json", "w") as file:
+        file.write('{"order_id": "A", "order_status": "open", "status_timestamp": 1.0}\nno json at all\n{"order_status": "x"}\n')
+    report = status.run(spark, f"{folder}/landing", folder)
+    assert [r.order_id for r in status.read_status(spark, folder).collect()] == ["A"]
+    assert report.steps[status.RAW].rows_read == 3

@@ -75,3 +75,20 @@ def test_bank_report(spark):
 def test_no_total(spark):
     report = Q.bank_report(bank(spark), dt.date(2026, 4, 30), total=None)
     assert report.count() == sum(len(part) for part in EXPECTED.values())
+
+
+def test_unknown_code_of_an_empty_domain(spark):
+    from orebed.operators.rules import unknown_code
+
+    df = spark.createDataFrame([("a",), (None,)], "code string")
+    assert [r.code for r in unknown_code(df, "code", []).collect()] == ["a"]
+    assert [r.code for r in unknown_code(df, "code", spark.createDataFrame([], "c string")).collect()] == ["a"]
+
+
+def test_group_stats_keeps_whole_numbers(spark):
+    from orebed.operators.alerts import group_stats
+
+    keys = [9007199254740993, 9007199254740992, None]
+    df = spark.createDataFrame([(key, None) for key in keys], "k bigint, v double")
+    found = sorted((r.k or 0, r.n, r.total_value, r.mean_value) for r in group_stats(df, ["k"], "v").collect())
+    assert found == [(0, 1, None, None), (9007199254740992, 1, None, None), (9007199254740993, 1, None, None)]

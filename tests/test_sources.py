@@ -208,3 +208,16 @@ def test_rescue_loses_nothing(spark):
                 fits = isinstance(value, dict) and set(value) <= {"email"} and value.get("email") in (None, True, False)
                 assert (name not in rescued) == fits, (value, row)
         assert set(rescued) <= set(item)
+
+
+def test_csv_header_must_match(spark, folder):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("n", T.IntegerType())])
+    for name, text in (("good", "a,n\nx,1\ny,abc\n"), ("swapped", "n,a\n1,x\n")):
+        with open(f"{folder}/{name}.csv", "w") as file:
+            file.write(text)
+    found = files.read_csv(spark, f"{folder}/good.csv", schema, rescue=True).collect()
+    assert [(r.a, r.n, r[files.RESCUED]) for r in found] == [("x", 1, None), ("y", None, "y,abc")]
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, f"{folder}/swapped.csv", schema).collect()
