@@ -31,7 +31,7 @@ LETTERS = 28  # none, a to z, any byte beyond ASCII
 ORDER, SKIPS, DECAY = 4, 3, 0.8
 # Sentences are scored by pieces that start every STEP bytes and are PIECE long.
 PIECE, STEP = 48, 16
-LANDMARKS = 192
+LANDMARKS = 256
 # The training sample: texts of each label, and the longest text taken.
 PER_CLASS, MAX_CHARS = 1000, 6000
 ROUNDS, PENALTY = 3, 1e-3
@@ -96,10 +96,6 @@ def _piece_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.minimum(starts + PIECE, np.repeat(highs, counts))
 
 
-def pieces(text: bytes) -> list[bytes]:
-    return [text[low:high] for low, high in zip(*(edge.tolist() for edge in _piece_bounds(text)))]
-
-
 @dataclass
 class Model:
     """Folded weights of subsequences, and the logistic curve that turns an answer into a probability."""
@@ -108,23 +104,26 @@ class Model:
     slope: float
     shift: float
 
-    def answers(self, texts: list[bytes]) -> np.ndarray:
-        """The largest answer over the pieces of each text."""
+    def worst(self, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+        """The largest answer over the pieces of each text, and the piece that gives it."""
         gap = b"\0" * REACH  # wide enough that no subsequence spans two texts
         data = gap.join(texts) + gap
         sums = np.zeros(len(data), np.float32)
         for numbers, weight in _subsequences(CODES[np.frombuffer(data, np.uint8)]):
             sums += self.table[numbers] * np.float32(weight)
         total = np.r_[0.0, np.cumsum(sums, dtype=np.float64)]
-        result, base = np.empty(len(texts)), 0
+        result, found, base = np.empty(len(texts)), [], 0
         for row, text in enumerate(texts):
             starts, ends = _piece_bounds(text)
-            result[row] = (total[base + ends] - total[base + starts]).max()
+            answers = total[base + ends] - total[base + starts]
+            most = int(answers.argmax())
+            result[row] = answers[most]
+            found.append(text[starts[most] : ends[most]])
             base += len(text) + REACH
-        return result
+        return result, found
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        return _logistic(self.slope * self.answers(texts) + self.shift)
+        return _logistic(self.slope * self.worst(texts)[0] + self.shift)
 
 
 def _logistic(values: np.ndarray) -> np.ndarray:
@@ -132,28 +131,44 @@ def _logistic(values: np.ndarray) -> np.ndarray:
 
 
 def _landmarks(sample: list[tuple[bytes, int]]) -> list[bytes]:
-    """Word parts that tell the labels apart best, none within another, and the commonest words of clean texts."""
-    parts, words = {0: Counter(), 1: Counter()}, Counter()
-    for text, label in sample:
-        own = set(re.findall(rb"[a-z\x80-\xff]{4,}", text.lower()))
-        edged = [b" " + word + b" " for word in own]
-        parts[label].update({word[at : at + n] for word in edged for n in (4, 5, 6, 7, 8) for at in range(len(word) - n + 1)})
+    """Word parts that tell the labels apart best, no two of them much alike, and clean words.
+
+    Half of the clean words are the commonest that have four letters in a row from such a part: what
+    toxic words are most easily taken for. The others are the commonest of all.
+    """
+    own = [(set(re.findall(rb"[a-z\x80-\xff]{4,}", text.lower())), label) for text, label in sample]
+
+    def parts_of(chosen: set[bytes]) -> set[bytes]:
+        edged = [b" " + word + b" " for word in chosen]
+        return {word[at : at + n] for word in edged for n in (4, 5, 6, 7, 8) for at in range(len(word) - n + 1)}
+
+    toxic, clean, words = Counter(), Counter(), Counter()
+    for chosen, label in own:
+        if label:
+            toxic.update(parts_of(chosen))
+    toxic = Counter({part: n for part, n in toxic.items() if n > 2})
+    for chosen, label in own:
         if not label:
-            words.update(own)
+            clean.update(part for part in parts_of(chosen) if part in toxic)
+            words.update(chosen)
     many = {label: max(1, sum(one == label for _, one in sample)) for label in (0, 1)}
     telling = {
-        g: n / many[1] * (np.log((n + 0.5) / (many[1] + 1)) - np.log((parts[0][g] + 0.5) / (many[0] + 1)))
-        for g, n in parts[1].items()
-        if n > 2
+        g: n / many[1] * (np.log((n + 0.5) / (many[1] + 1)) - np.log((clean[g] + 0.5) / (many[0] + 1)))
+        for g, n in toxic.items()
     }
     worst: list[bytes] = []
+    used: set[bytes] = set()
     for part in sorted(telling, key=lambda g: (-telling[g], -len(g), g)):
-        if not any(part in other or other in part for other in worst):
+        runs = {part[at : at + 5] for at in range(max(1, len(part) - 4))}
+        if not runs & used:
             worst.append(part)
+            used |= runs
         if len(worst) == LANDMARKS // 2:
             break
+    near = {part[at : at + 4] for part in worst for at in range(len(part) - 3)}
     usual = sorted((w for w in words if w not in set(worst)), key=lambda w: (-words[w], w))
-    return worst + usual[: LANDMARKS - len(worst)]
+    alike = [w for w in usual if any(w[at : at + 4] in near for at in range(len(w) - 3))][: LANDMARKS // 4]
+    return list(dict.fromkeys(worst + alike + usual))[:LANDMARKS]
 
 
 def _machine(values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
@@ -218,38 +233,40 @@ def train(sample: list[tuple[bytes, int]]) -> Model:
 
     def mapped(texts: list[bytes]) -> np.ndarray:
         """Whitened kernel values of strings with the landmarks."""
-        result = np.zeros((len(texts), len(marks)), np.float32)
-        for place, text in enumerate(texts):
-            for spots, weight in _subsequences(CODES[np.frombuffer(text, np.uint8)]):
+        result, gap = np.zeros((len(texts), len(marks)), np.float32), b"\0" * REACH
+        for low in range(0, len(texts), 500):
+            group = texts[low : low + 500]
+            ends = np.cumsum([len(text) + REACH for text in group])
+            data = np.frombuffer(gap.join(group) + gap, np.uint8)
+            for spots, weight in _subsequences(CODES[data]):
                 rows = row_of[spots]
-                rows = rows[rows >= 0]
-                if len(rows):
-                    result[place] += np.float32(weight) * columns[rows].sum(axis=0)
+                hits = np.flatnonzero(rows >= 0)
+                if len(hits):
+                    owners, starts = np.unique(np.searchsorted(ends, hits, "right"), return_index=True)
+                    result[low + owners] += np.float32(weight) * np.add.reduceat(columns[rows[hits]], starts, axis=0)
         return result @ whiten
 
     # Which piece makes a text toxic is not labelled: it is the one the machine finds worst, and clean
     # texts are to stay clean at their worst. The first guess is the piece nearest a telling landmark.
     table[numbers] = columns[:, : LANDMARKS // 2].max(axis=1)
-    model, worst, kinds = Model(table, 1.0, 0.0), [], []
+    model = Model(table, 1.0, 0.0)
+    texts, chosen = [text for text, _ in sample], {}
     for _ in range(ROUNDS):
-        for text, label in sample:
-            worst.append(_worst(model, text))
-            kinds.append(label)
-        chosen = dict.fromkeys(zip(worst[-len(sample) :], kinds[-len(sample) :]))
-        chosen |= {(piece, 0): None for piece, kind in zip(worst, kinds) if kind == 0}
+        found = _grouped(model, texts)[1]
+        # Pieces of clean texts found earlier stay, so that they do not come back.
+        chosen = {pair: None for pair in chosen if not pair[1]} | dict.fromkeys(zip(found, labels.tolist()))
         points, marked = zip(*chosen)
         weights, _ = _machine(mapped(list(points)), np.array(marked))
         table = np.zeros(LETTERS**ORDER, np.float32)
         table[numbers] = columns @ (whiten @ weights)
         model = Model(table, 1.0, 0.0)
-    texts = [text for text, _ in sample]
-    answers = np.concatenate([model.answers(texts[place : place + 100]) for place in range(0, len(texts), 100)])
-    return Model(table, *_curve(answers, labels))
+    return Model(table, *_curve(_grouped(model, texts)[0], labels))
 
 
-def _worst(model: Model, text: bytes) -> bytes:
-    parts = pieces(text)
-    return parts[int(np.argmax(model.answers(parts)))] if parts else b""
+def _grouped(model: Model, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """Answers and worst pieces of many texts, a hundred at a time."""
+    parts = [model.worst(texts[place : place + 100]) for place in range(0, len(texts), 100)]
+    return np.concatenate([answers for answers, _ in parts]), [piece for _, pieces in parts for piece in pieces]
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int) -> Model:
