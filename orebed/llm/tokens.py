@@ -2,7 +2,7 @@
 
 A written set is a folder:
 
-``ids/part-00000-...``  one file per shard, in ascending order of ids (null ids last):
+``ids/part-00000-...-c000``  one file per shard, in ascending order of ids (null ids last) by name:
     the ids of its documents one after the other, as unsigned little-endian numbers of ``width``
     bytes, each document closed by the end id; then the shard's index; then the end id once more.
 ``shards``  a Parquet table with one row per shard: its file, range of ids, numbers and first place.
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orebed.llm.common import by_batch, mix, stored
+from orebed.llm.common import CLEANUP, by_batch, mix, settings, stored
 
 MAGIC = b"ORETOK01"
 # Footer: documents, ids, levels, bytes of the index, width, magic.
@@ -34,11 +34,15 @@ FOOTER = "<QQIQI8s"
 # Bits per key on each level of the hash, and the most levels tried.
 GAMMA = 2
 MAX_LEVELS = 64
-# Text per shard; shards are read whole.
-SHARD_BYTES = 16 << 20
-# Chunks of text whose ids a task remembers, and how many are encoded together.
-MAX_KNOWN = 400_000
+# Text per task and per shard; shards are read whole, a task writes several.
+TASK_BYTES, SHARD_BYTES = 32 << 20, 6 << 20
+# Rows that a task takes in at a time.
+ROWS = 500
+# Chunks of text whose ids a task remembers (at most twice as many), words encoded
+# together, and text worked on at a time.
+MAX_KNOWN = 250_000
 TOGETHER = 64
+GROUP_BYTES = 1 << 20
 
 
 def word_tokenizer() -> str:
@@ -181,10 +185,10 @@ def _repeats(ids: np.ndarray, none: np.ndarray) -> np.ndarray:
 class Encoder:
     """Texts to id bytes, by a tokenizer whose words end at white space.
 
-    Chunks between ASCII white space are encoded once per task and remembered. That
-    gives the ids of the whole text because white space always ends a word of
-    this kind of tokenizer and is dropped. Plain words, which are the bulk, are encoded
-    many at a time and told apart by their end tokens.
+    Chunks between ASCII white space are encoded once and remembered for a while. That gives the ids of
+    the whole text because white space always ends a word of this kind of tokenizer
+    and is dropped. Plain words, which are the bulk, are encoded many at a time, in lower
+    case as the tokenizer has them, and told apart by their end tokens.
     """
 
     def __init__(self, definition: str, width: int):
@@ -194,56 +198,83 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.kind = f"<u{width}"
-        self.known: dict[bytes, bytes] = {}
+        # Chunks met lately, and before that: when the first is full it takes the place of the second.
+        self.now: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[number] = token.endswith("</w>")
         # Letters of Latin-1 make one word, punctuation after them another.
-        self.plain = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]*)").fullmatch
+        self.plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, self.kind) for one in found]
 
-    def learn(self, chunks: set[bytes]) -> None:
-        plain, odd = [], []
-        for chunk in chunks:
-            text = chunk.decode()
-            match = self.plain(text)
-            (plain if match else odd).append((chunk, text, 1 + bool(match and match[1])))
-        groups = [plain[place : place + TOGETHER] for place in range(0, len(plain), TOGETHER)]
-        for group, ids in zip(groups, self._ids([" ".join(text for _, text, _ in group) for group in groups])):
+    def _recall(self, chunks: set[bytes]) -> set[bytes]:
+        """Chunks that are not remembered."""
+        unknown = chunks.difference(self.now)
+        again = {chunk for chunk in unknown if chunk in self.old}
+        self.now.update((chunk, self.old[chunk]) for chunk in again)
+        return unknown - again
+
+    def _learn(self, words: set[bytes], others: set[bytes]) -> None:
+        """Encode words of plain lower-case letters together, other chunks one by one."""
+        listed = list(self._recall(words))
+        groups = [listed[place : place + TOGETHER] for place in range(0, len(listed), TOGETHER)]
+        for group, ids in zip(groups, self._ids([b" ".join(group).decode() for group in groups])):
             stops = np.flatnonzero(self.ends[ids]) + 1
-            last = np.cumsum([words for _, _, words in group])
-            if len(stops) != last[-1] or stops[-1] != len(ids):
-                odd += group  # not the words expected: one by one
+            if len(stops) != len(group) or stops[-1] != len(ids):
+                others.update(group)  # not one end token for each word
                 continue
-            cuts = [0, *stops[last - 1].tolist()]
-            for (chunk, _, _), low, high in zip(group, cuts, cuts[1:]):
-                self.known[chunk] = ids[low:high].tobytes()
-        for (chunk, _, _), ids in zip(odd, self._ids([text for _, text, _ in odd])):
-            self.known[chunk] = ids.tobytes()
+            data, low = ids.tobytes(), 0
+            for word, high in zip(group, (stops * ids.itemsize).tolist()):
+                self.now[word] = data[low:high]
+                low = high
+        rest = list(self._recall(others))
+        for chunk, ids in zip(rest, self._ids([chunk.decode() for chunk in rest])):
+            self.now[chunk] = ids.tobytes()
+
+    def _know(self, chunks: set[bytes]) -> None:
+        """See to it that all chunks are in ``now``."""
+        split, others = [], set()
+        for chunk in self._recall(chunks):
+            if chunk.isalpha():  # ASCII letters alone: no need to decode
+                split.append((chunk, chunk.lower(), b""))
+            elif chunk[:-1].isalpha() and chunk[-1:] in b".,;:!?":
+                split.append((chunk, chunk[:-1].lower(), chunk[-1:]))
+            elif match := self.plain(chunk.decode()):
+                split.append((chunk, match[1].lower().encode(), match[2].encode()))
+            else:
+                others.add(chunk)
+        others.update({mark for _, _, mark in split if mark})
+        self._learn({word for _, word, _ in split}, others)
+        for chunk, word, mark in split:
+            self.now[chunk] = self.now[word] + self.now[mark] if mark else self.now[word]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Id bytes of each text."""
+        """Id bytes of each text; the texts are taken together."""
         chunked = [text.split() for text in texts]
-        result, place = [], 0
-        while place < len(chunked):
-            stop, new = place, set()
-            while stop < len(chunked) and (stop == place or len(new) < MAX_KNOWN // 2):
-                new.update(chunk for chunk in chunked[stop] if chunk not in self.known)
-                stop += 1
-            if len(self.known) + len(new) > MAX_KNOWN:
-                # Forget, then learn anew all that this group needs.
-                new = {chunk for chunks in chunked[place:stop] for chunk in chunks}
-                self.known.clear()
-            self.learn(new)
-            for chunks in chunked[place:stop]:
-                result.append(b"".join(map(self.known.__getitem__, chunks)))
-            place = stop
+        self._know(set().union(*chunked))
+        result = [b"".join(map(self.now.__getitem__, chunks)) for chunks in chunked]
+        if len(self.now) > MAX_KNOWN:
+            self.old, self.now = self.now, {}
         return result
 
 
+def _groups(rows: Iterable[tuple[int | None, bytes]]) -> Iterator[list[tuple[int | None, bytes]]]:
+    """Runs of rows whose texts have about ``GROUP_BYTES``."""
+    group, size = [], 0
+    for row in rows:
+        group.append(row)
+        size += len(row[1])
+        if size >= GROUP_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 # --- writing and reading ------------------------------------------------------
 
 
@@ -263,8 +294,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
     text has the end id alone. Rows that share an id are written in the order of a hash of their
     text; repeated rows are written as often as they occur. Other columns are ignored.
 
-    Each task makes one shard in one pass over its range of ids, index included;
-    Spark's own commit of the task makes it appear whole or not at all.
+    Each task makes the shards of its range of ids in one pass, indexes included: two rows a file.
+    Spark's own commit of the task makes them appear whole or not at all.
     """
     from tokenizers import Tokenizer
 
@@ -276,27 +307,34 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    dealt = rows.repartitionByRange(total // shard_bytes + 1, *order[:2]).sortWithinPartitions(*order)
+    dealt = rows.repartitionByRange(total // max(shard_bytes, TASK_BYTES) + 1, *order[:2]).sortWithinPartitions(*order)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ids, none, counts = Encoder(definition, width), [], [], []
-        close = mark.encode("ascii")
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            parts = encoder.encode([text.encode() for text in batch.column("text").to_pylist()])
-            keys = batch.column("doc_id")
-            none.append(keys.is_null().to_numpy(zero_copy_only=False))
-            ids.append(keys.fill_null(0).to_numpy())
-            counts.append(np.array([len(part) // width + 1 for part in parts]))
-            # The writer closes a row with the end id, as it does each document here.
-            yield pa.RecordBatch.from_arrays([pa.array([close.join(parts)], pa.binary())], names=["value"])
+        encoder, close = Encoder(definition, width), mark.encode("ascii")
+        ids, parts, size = [], [], 0
+
+        def written() -> pa.RecordBatch:
+            """The two rows of a shard. The writer closes a row with the end id, as each document is closed here."""
+            none = np.array([key is None for key in ids])
+            keys = np.array([key or 0 for key in ids], np.int64)
+            index = Index.build(keys, none, np.array([len(part) // width + 1 for part in parts]), width)
+            return pa.RecordBatch.from_arrays([pa.array([close.join(parts), index.pack()], pa.binary())], names=["value"])
+
+        rows = (row for batch in batches for row in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()))
+        for group in _groups(rows):
+            ids += [key for key, _ in group]
+            parts += encoder.encode([text for _, text in group])
+            size += sum(len(text) for _, text in group)
+            if size >= shard_bytes:
+                yield written()
+                ids, parts, size = [], [], 0
         if ids:
-            index = Index.build(np.concatenate(ids), np.concatenate(none), np.concatenate(counts), width)
-            yield pa.RecordBatch.from_arrays([pa.array([index.pack()], pa.binary())], names=["value"])
+            yield written()
 
+    dealt = dealt.select("doc_id", F.col("text").cast("binary").alias("text"))
     raw = dealt.mapInArrow(shard, "value binary").select(F.col("value").cast("string"))
-    raw.write.option("lineSep", mark).text(f"{path}/ids")
+    with settings(spark, {CLEANUP: "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS)}):
+        raw.write.option("lineSep", mark).option("maxRecordsPerFile", 2).text(f"{path}/ids")
 
     def summary(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [(place, Index.unpack(content)) for place, content in enumerate(batch.column("content").to_pylist())]
@@ -314,17 +352,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
 
     fields = "file string, low bigint, high bigint, documents bigint, ids bigint"
     shards = stored(_files(spark, path).mapInArrow(by_batch(summary), fields), "shards")
-    # The first place of a shard, by way of sums over groups of 1,024 shards.
-    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint")
-    shards = shards.withColumn("shard", number).withColumn("part", F.floor(F.col("shard") / 1024))
+    # The first place of a shard, by way of sums over groups of 1,024 tasks. A task's files are numbered by name.
+    number = F.regexp_extract("file", r"-c(\d+)", 1).cast("bigint")
+    shards = shards.withColumn("task", F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint"))
+    shards = shards.withColumn("shard", number).withColumn("part", F.floor(F.col("task") / 1024))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = shards.groupBy("part").agg(F.sum("ids").alias("n"))
     parts = parts.select(F.col("part").alias("_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inner = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("part").orderBy("task", "shard").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("ids").over(inner), F.lit(0))
     placed = shards.withColumn("inner", start).join(parts, F.col("part") == F.col("_part"))
     placed = placed.withColumn("start", F.col("base") + F.col("inner"))
-    placed.select("shard", "file", "start", "low", "high", "documents", "ids").write.parquet(f"{path}/shards")
+    placed.select("task", "shard", "file", "start", "low", "high", "documents", "ids").write.parquet(f"{path}/shards")
 
 
 def _files(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
@@ -349,12 +388,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             at, number = index.find(*index.keys())
             if (number < 0).any():
                 raise ValueError(f"{file}: a key is missing from its index")
-            payload = np.frombuffer(content, f"<u{index.width}", int(index.counts.sum())).astype("<u4")
+            payload = np.frombuffer(content, f"<u{index.width}", int(index.counts.sum()))
             files += [file] * len(at)
             ids += [None if none else key for key, none in zip(index.ids.tolist(), index.none.tolist())]
             places += at.tolist()
             counts += number.tolist()
-            sums += [zlib.crc32(payload[low : low + n]) for low, n in zip(at.tolist(), number.tolist())]
+            sums += [zlib.crc32(payload[low : low + n].astype("<u4")) for low, n in zip(at.tolist(), number.tolist())]
         arrays = [pa.array(files, pa.string()), *(pa.array(values, pa.int64()) for values in (ids, places, counts, sums))]
         return pa.RecordBatch.from_arrays(arrays, names=["file", "doc_id", "place", "n_tokens", "ids_crc32"])
 
