@@ -20,6 +20,8 @@ LEAST = 0.8
 # Windows this many bits apart and closer are candidates. A weighted similarity of 0.8 makes bits
 # differ with a chance of 15 %, so that more than 19 of 64 do once in a thousand windows.
 RADIUS = 19
+# Votes are whole numbers, so that sums over windows are exact: roots of weights times this.
+SCALE = 1 << 10
 BLOCKS, BLOCK_BITS = 4, 16
 # Benchmark items compared in one pass over the documents; longer benchmarks take more passes.
 ITEMS = 1000
@@ -27,10 +29,48 @@ ITEMS = 1000
 SPAN = 1 << 14
 
 
-def _spread(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The votes of weighted shingles: one row of 64 signed weights each."""
+def _force(weights: np.ndarray) -> np.ndarray:
+    """The root of a weight: the angle between sums of random signs goes by squared votes, the similarity by weights."""
+    return np.rint(np.sqrt(weights) * SCALE).astype(np.int64)
+
+
+def _spread(hashes: np.ndarray, forces: np.ndarray) -> np.ndarray:
+    """The votes of shingles: one row of 64 signed forces each."""
     bits = np.unpackbits(hashes.astype(">u8").view(np.uint8)).reshape(-1, 64)
-    return np.where(bits == 1, weights[:, None], -weights[:, None]).astype(np.int64)
+    return np.where(bits == 1, forces[:, None], -forces[:, None]).astype(np.int64)
+
+
+def _sums(rows: np.ndarray) -> np.ndarray:
+    return np.vstack([np.zeros((1, 64), np.int64), np.cumsum(rows, axis=0)])
+
+
+class Votes:
+    """Votes of all windows of a run of shingles. A shingle votes once in a window, with the root of its whole weight there."""
+
+    def __init__(self, hashes: np.ndarray, weights: np.ndarray):
+        self.hashes, self.weights = hashes, weights
+        self.single = _sums(_spread(hashes, _force(weights)))
+        order = np.argsort(hashes, kind="stable")
+        kind = np.r_[0, np.cumsum(np.diff(hashes[order]) != 0)] if len(hashes) else order
+        # Shingles in order, and within one its places.
+        self.width = 2 * len(hashes) + 2
+        self.keys = kind * self.width + order
+        self.rank = np.empty_like(order)
+        self.rank[order] = np.arange(len(order))
+        gaps = np.diff(order)[np.diff(kind) == 0]
+        self.closest = int(gaps.min()) if len(gaps) else len(hashes)
+
+    def of(self, starts: np.ndarray, span: int) -> np.ndarray:
+        """One row of 64 sums for each window of ``span`` shingles."""
+        if span <= self.closest:
+            return self.single[starts + span] - self.single[starts]
+        keys = self.keys[self.rank]
+        entered = self.rank - np.searchsorted(self.keys, np.maximum(keys - span + 1, keys // self.width * self.width)) + 1
+        left = np.searchsorted(self.keys, np.minimum(keys + span, (keys // self.width + 1) * self.width)) - self.rank
+        # What a shingle adds as the window's last, and takes along as its first, by how often the window holds it.
+        gains = [_force(count * self.weights) - _force((count - 1) * self.weights) for count in (entered, left)]
+        into, out = [_sums(_spread(self.hashes, gain)) for gain in gains]
+        return into[starts + span] - out[starts]
 
 
 def _prints(votes: np.ndarray) -> np.ndarray:
@@ -84,7 +124,7 @@ class Items:
         self.runs = np.minimum(self.sizes, SHINGLE)
         parts = [text.shingles(int(run)) for (_, text), run in zip(texts, self.runs)]
         self.bags = [_bag(*part) for part in parts]
-        votes = [_spread(*part).sum(axis=0) for part in parts]
+        votes = [Votes(*part).of(np.zeros(1, np.int64), len(part[0]))[0] for part in parts]
         self.prints = _prints(np.array(votes)) if votes else np.empty(0, np.uint64)
         # By length of shingle: known shingles in order, and the items each occurs in.
         self.anchors: dict[int, tuple[np.ndarray, list[np.ndarray]]] = {}
@@ -159,7 +199,7 @@ class Items:
         pieces = [part for group in groups for part in np.split(group, np.flatnonzero(np.diff(group // SPAN)) + 1)]
         for part in pieces:
             low, high = max(0, part[0] + run - reach), min(len(hashes), part[-1] + reach - run + 1)
-            votes = np.vstack([np.zeros((1, 64), np.int64), np.cumsum(_spread(hashes[low:high], weights[low:high]), axis=0)])
+            votes = Votes(hashes[low:high], weights[low:high])
             for size in sizes.tolist():
                 span = size - run + 1
                 # Windows that hold one of the known shingles; others share nothing with any item.
@@ -167,7 +207,7 @@ class Items:
                 first = first[(first >= low) & (first + span <= high)]
                 if not len(first):
                     continue
-                prints = _prints(votes[first - low + span] - votes[first - low])
+                prints = _prints(votes.of(first - low, span))
                 windows, items = self.candidates(prints)
                 fits = (np.minimum(self.sizes[items], len(text.words)) == size) & (self.runs[items] == run)
                 for window, item in zip(windows[fits].tolist(), items[fits].tolist()):

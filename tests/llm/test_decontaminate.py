@@ -106,6 +106,51 @@ def test_multi_index_finds_all_within_the_radius():
     assert set(zip(windows.tolist(), numbers.tolist())) == near
 
 
+def votes_of(words):
+    """The 64 sums of a window, shingle by shingle."""
+    text = decontaminate.Text.of(" ".join(words).encode())
+    hashes, weights = text.shingles(5)
+    total = np.zeros(64, np.int64)
+    for shingle, count in Counter(hashes.tolist()).items():
+        weight = int(weights[hashes.tolist().index(shingle)])
+        force = round((count * weight) ** 0.5 * decontaminate.SCALE)
+        total += [force if shingle >> bit & 1 else -force for bit in range(63, -1, -1)]
+    return total
+
+
+def test_a_shingle_votes_with_the_root_of_its_weight_in_the_window():
+    rng = random.Random(5)
+    words = [rng.choice(["a", "bb"]) for _ in range(60)] + [f"w{rng.randrange(9)}" * rng.randrange(1, 30) for _ in range(40)]
+    text = decontaminate.Text.of(" ".join(words).encode())
+    votes = decontaminate.Votes(*text.shingles(5))
+    for span in (1, 2, 7, 40, len(words) - 4):
+        starts = np.arange(len(words) - 4 - span + 1)
+        expected = [votes_of(words[start : start + span + 4]) for start in starts]
+        assert votes.of(starts, span).tolist() == np.array(expected).tolist()
+
+
+def test_long_items_with_a_long_token_or_a_repeated_line():
+    rng = random.Random(13)
+    line = "one line that comes again and again".split()
+    missed = []
+    for number in range(60):
+        item = [f"w{rng.randrange(9000)}" for _ in range(rng.choice([200, 400]))]
+        copy = list(item)
+        at = rng.randrange(5, len(item) - 5)
+        if number % 3:
+            copy[at:at] = ["x" * (len(item) // 200 * rng.randrange(120, 190))]
+        else:
+            copy[at:at] = line * (len(item) // 100)
+        text, wanted = " ".join(copy), bag(split(" ".join(item)), 5)
+        windows = (bag(copy[i : i + len(item)], 5) for i in range(len(copy) - len(item) + 1))
+        if max(alike(window, wanted) for window in windows) < 0.8:
+            continue
+        items = Items([(number, " ".join(item).encode())])
+        got = [items.search(decontaminate.Text.of(text.encode()), 5, *hit[1:]) for hit in items.hits([decontaminate.Text.of(text.encode())], 5)]
+        missed.append(not any(got))
+    assert len(missed) > 40 and not any(missed)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     some = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
