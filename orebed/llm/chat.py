@@ -11,20 +11,25 @@ paths, which lets one long conversation be solved by many tasks.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orebed.llm.common import stored
+
 ROLES = ("system", "user", "assistant")
 # States: nothing yet (0), or the number of the role of the last turn plus 1.
 LEGAL = {0: (1, 2), 1: (2,), 2: (3,), 3: (2,)}
 MERGE, INSERT, RELABEL, UNKNOWN = 1, 3, 4, 1
 STATES, OTHER, NEVER = 4, 4, 1 << 40
-# Turn numbers that one task holds together.
+# Turns that a task holds together, and blocks of turns whose matrices it holds together.
 BLOCK = 512
+# Bits of Spark's increasing id that count rows within a partition.
+WITHIN = 33
 CLOSE = "<|end|>\n"
 
 
@@ -61,6 +66,7 @@ def _steps(code: int) -> dict[tuple[int, int], tuple[int, tuple[int, ...], str]]
 STEPS = {code: _steps(code) for code in range(1, OTHER + 1)}
 # Empty turns that end a conversation in each state.
 ENDING = {0: (), 1: (2, 3), 2: (3,), 3: ()}
+ENDINGS = np.array([INSERT * len(ENDING[state]) for state in range(STATES)])
 
 
 def _matrix(code: int) -> np.ndarray:
@@ -86,33 +92,23 @@ def stretch(codes: list[int]) -> np.ndarray:
     return total
 
 
-def route(matrices: list[np.ndarray]) -> list[int]:
-    """The states before, between and after stretches on the cheapest way through a conversation."""
+def _states(matrices: list[np.ndarray], entry: int, leave: int | None) -> list[int]:
+    """The states before, between and after stretches on the cheapest way; without ``leave`` the conversation ends there."""
     costs, before = np.full(STATES, NEVER, np.int64), []
-    costs[0] = 0
+    costs[entry] = 0
     for matrix in matrices:
         step = costs[:, None] + matrix
         before.append(step.argmin(axis=0))
         costs = np.minimum(step.min(axis=0), NEVER)
-    last = int(np.argmin(costs + np.array([INSERT * len(ENDING[state]) for state in range(STATES)])))
-    states = [last]
+    states = [int(np.argmin(costs + ENDINGS)) if leave is None else leave]
     for back in reversed(before):
         states.append(int(back[states[-1]]))
     return states[::-1]
 
 
-def repair(codes: list[int], entry: int, leave: int) -> list[tuple[int, tuple[int, ...], str, int]]:
+def repair(codes: list[int], entry: int, leave: int | None) -> list[tuple[int, tuple[int, ...], str, int]]:
     """For each source turn of a stretch: state before, empty turns, action, state after."""
-    costs, before = np.full(STATES, NEVER, np.int64), []
-    costs[entry] = 0
-    for code in codes:
-        step = costs[:, None] + MATRICES[code]
-        before.append(step.argmin(axis=0))
-        costs = np.minimum(step.min(axis=0), NEVER)
-    states = [leave]
-    for back in reversed(before):
-        states.append(int(back[states[-1]]))
-    states.reverse()
+    states = _states([MATRICES[code] for code in codes], entry, leave)
     return [(a, *STEPS[code][a, b][1:], b) for code, a, b in zip(codes, states, states[1:])]
 
 
@@ -132,13 +128,24 @@ def render(text: str, state: int, empties: tuple[int, ...], action: str, new: in
     return part
 
 
-def _by_key(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Runs of rows that agree in the first ``width`` columns, from sorted batches."""
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list[tuple]]]:
+    """Runs of rows that agree in the first column, from sorted batches."""
     rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
-    for key, group in groupby(rows, key=lambda row: row[:width]):
+    for key, group in groupby(rows, key=lambda row: row[0]):
         yield key, list(group)
 
 
+def _conversations(group: list[tuple]) -> list[list[tuple]]:
+    """The rows of a group by conversation, which is the second column."""
+    return [list(rows) for _, rows in groupby(group, key=lambda row: row[1])]
+
+
+def _edges(group: list[tuple]) -> list[list[tuple]]:
+    """The first and the last conversation of a group; only these can go on in other groups."""
+    found = _conversations(group)
+    return found if len(found) < 3 else [found[0], found[-1]]
+
+
 def _out(results: Iterator[tuple], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     for row in results:
@@ -150,9 +157,80 @@ def _out(results: Iterator[tuple], schema: pa.Schema, size: int = 2000) -> Itera
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
-def _mapped(df: DataFrame, work: Callable[[Iterator[tuple[tuple, list[tuple]]]], Iterator[tuple]], width: int, schema: str, arrow: list):
+def _mapped(df: DataFrame, work: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str, arrow: list):
     kinds = pa.schema(arrow)
-    return df.mapInArrow(lambda batches: _out(work(_by_key(batches, width)), kinds), schema)
+    return df.mapInArrow(lambda batches: _out(work(_by_key(batches)), kinds), schema)
+
+
+def _ordered(turns: DataFrame) -> DataFrame:
+    """(conv_id, turn, code, role, text, place) of all turns; ``place`` counts them in the order of the result.
+
+    Rows are dealt by ranges of the order and written. Rows that tie are alike, so a running number may spread them.
+    """
+    code = F.lit(OTHER)
+    for number, name in enumerate(ROLES, 1):
+        code = F.when(F.lower(F.trim("role")) == name, number).otherwise(code)
+    rows = turns.select("conv_id", "turn", code.alias("code"), "role", F.xxhash64("text").alias("mark"), "text")
+    order = [F.col(name).asc_nulls_first() for name in ("conv_id", "turn", "code", "role", "mark", "tie")]
+    dealt = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = stored(dealt.select("conv_id", "turn", "code", "role", "text").withColumn("at", F.monotonically_increasing_id()), "turns")
+    part = F.shiftright("at", WITHIN)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # one row per partition
+    placed = dealt.withColumn("part", part).join(F.broadcast(starts), "part")
+    place = F.col("start") + F.col("at").bitwiseAND((1 << WITHIN) - 1)
+    return placed.select("conv_id", "turn", "code", "role", "text", place.alias("place"))
+
+
+def _ways(narrow: DataFrame) -> DataFrame:
+    """(block, conv_id, entry, leave, last) of the first and last conversation of each block of (block, conv_id, code, place).
+
+    Blocks are combined in groups of as many, and groups by conversation.
+    """
+
+    def costs(groups):
+        for block, group in groups:
+            for rows in _edges(group):
+                yield block, rows[0][1], stretch([row[2] for row in rows]).ravel().tolist()
+
+    def matrices(rows):
+        return [np.array(row[-1], np.int64).reshape(STATES, STATES) for row in rows]
+
+    def combined(groups):
+        for group, blocks in groups:
+            for rows in _edges(blocks):
+                yield group, rows[0][1], reduce(_through, matrices(rows)).ravel().tolist()
+
+    def through(groups):
+        for conv, rows in groups:
+            states = _states(matrices(rows), 0, None)
+            for number, row in enumerate(rows):
+                yield row[1], conv, states[number], states[number + 1], number == len(rows) - 1
+
+    def within(groups):
+        for _, rows in groups:
+            # The ways of groups come before their blocks.
+            known = {row[1]: row[3:6] for row in rows if row[2] is None}
+            for blocks in _conversations([row for row in rows if row[2] is not None]):
+                entry, leave, last = known.get(blocks[0][1], (0, None, True))
+                states = _states(matrices(blocks), entry, leave)
+                for number, row in enumerate(blocks):
+                    yield row[2], row[1], states[number], states[number + 1], last and number == len(blocks) - 1
+
+    conv, cost = ("conv_id", pa.int64()), ("costs", pa.list_(pa.int64()))
+    way = [("entry", pa.int32()), ("leave", pa.int32()), ("last", pa.bool_())]
+    fields = "bigint, conv_id bigint, costs array<bigint>"
+    dealt = narrow.repartition("block").sortWithinPartitions("block", "place").select("block", "conv_id", "code")
+    blocks = _mapped(dealt, costs, f"block {fields}", [("block", pa.int64()), conv, cost])
+    blocks = stored(blocks.withColumn("group", F.floor(F.col("block") / BLOCK)), "blocks")
+    dealt = blocks.repartition("group").sortWithinPartitions("group", "block", "conv_id").select("group", "conv_id", "costs")
+    groups = _mapped(dealt, combined, f"group {fields}", [("group", pa.int64()), conv, cost])
+    dealt = groups.repartition("conv_id").sortWithinPartitions("conv_id", "group").select("conv_id", "group", "costs")
+    outer = _mapped(dealt, through, "group bigint, conv_id bigint, entry int, leave int, last boolean", [("group", pa.int64()), conv, *way])
+    both = blocks.unionByName(outer, allowMissingColumns=True).repartition("group").sortWithinPartitions("group", "block", "conv_id")
+    both = both.select("group", "conv_id", "block", "entry", "leave", "last", "costs")
+    return _mapped(both, within, "block bigint, conv_id bigint, entry int, leave int, last boolean", [("block", pa.int64()), conv, *way])
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
@@ -166,50 +244,32 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     be relabelled, at a lower cost. Null texts are empty and kept as turns. Rows without conversation id
     make one conversation. Repeated rows are turns of their own. Other columns are ignored; an empty table gives no rows.
 
-    A conversation is solved by blocks of 512 turn numbers: a cost matrix per block, the cheapest way
-    through its blocks, then each block between its two states. Only a conversation that repeats a turn number very
-    often puts more than that into one task.
+    All turns of the table are put in order and cut into blocks of 512 by their place, whatever their conversations
+    and turn numbers. Conversations within a block are solved there. One that crosses blocks has a cost
+    matrix per block, combined in groups of 512 blocks; the cheapest way leads through its groups, then
+    through the blocks of each, then through the turns of each block between its two states.
     """
-    code = F.lit(OTHER)
-    for number, name in enumerate(ROLES, 1):
-        code = F.when(F.lower(F.trim("role")) == name, number).otherwise(code)
-    block = F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 62))).cast("bigint")
-    order = ["conv_id", "block", F.col("turn").asc_nulls_first(), "code", "role", "mark"]
-    rows = turns.select("conv_id", block.alias("block"), "turn", code.alias("code"), "role", F.xxhash64("text").alias("mark"), "text")
-    narrow = rows.select("conv_id", "block", "turn", "code", "role", "mark")
-    narrow = narrow.repartition("conv_id", "block").sortWithinPartitions(*order).select("conv_id", "block", "code")
-
-    def costs(groups):
-        for (conv, place), group in groups:
-            yield conv, place, stretch([row[2] for row in group]).ravel().tolist()
-
-    pair = [("conv_id", pa.int64()), ("block", pa.int64())]
-    blocks = _mapped(narrow, costs, 2, "conv_id bigint, block bigint, costs array<bigint>", [*pair, ("costs", pa.list_(pa.int64()))])
-    blocks = blocks.repartition("conv_id").sortWithinPartitions("conv_id", "block")
-
-    def routes(groups):
-        for (conv,), group in groups:
-            states = route([np.array(row[2], np.int64).reshape(STATES, STATES) for row in group])
-            for number, row in enumerate(group):
-                yield conv, row[1], states[number], states[number + 1], number == len(group) - 1
-
-    fields = "conv_id bigint, block bigint, entry int, leave int, last boolean"
-    ways = _mapped(blocks, routes, 1, fields, [*pair, ("entry", pa.int32()), ("leave", pa.int32()), ("last", pa.bool_())])
-    ways = ways.withColumnRenamed("conv_id", "_conv").withColumnRenamed("block", "_block")
-    joined = rows.join(ways, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("block") == F.col("_block")))
-    dealt = joined.repartition("conv_id", "block").sortWithinPartitions(*order)
-    dealt = dealt.select("conv_id", "block", "turn", "code", "role", "text", "entry", "leave", "last")
+    rows = _ordered(turns).withColumn("block", F.floor(F.col("place") / BLOCK))
+    ways = _ways(rows.select("block", "conv_id", "code", "place"))
+    # The ways of a block come before its turns.
+    both = rows.unionByName(ways, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "place")
+    both = both.select("block", "conv_id", "place", "turn", "code", "role", "text", "entry", "leave", "last")
 
     def repaired(groups):
-        for (conv, place), group in groups:
-            steps = repair([row[3] for row in group], group[0][6], group[0][7])
-            for seq, (row, (state, empties, action, new)) in enumerate(zip(group, steps)):
-                last = row[8] and seq == len(group) - 1
-                inserted = len(empties) + (len(ENDING[new]) if last else 0)
-                text = render(row[5] or "", state, empties, action, new, last)
-                yield conv, place, seq, row[2], row[4], ROLES[new - 1], action, inserted, text
-
+        for block, group in groups:
+            known = {row[1]: row[7:] for row in group if row[2] is None}
+            for held in _conversations([row for row in group if row[2] is not None]):
+                conv = held[0][1]
+                entry, leave, ends = known.get(conv, (0, None, True))
+                steps = repair([row[4] for row in held], entry, leave)
+                for seq, (row, (state, empties, action, new)) in enumerate(zip(held, steps)):
+                    last = ends and seq == len(held) - 1
+                    inserted = len(empties) + (len(ENDING[new]) if last else 0)
+                    text = render(row[6] or "", state, empties, action, new, last)
+                    yield conv, block, seq, row[3], row[5], ROLES[new - 1], action, inserted, text
+
+    numbers = [(name, pa.int64()) for name in ("conv_id", "block", "seq", "turn")]
     strings = [(name, pa.string()) for name in ("role", "repaired_role", "action")]
-    kinds = [*pair, ("seq", pa.int64()), ("turn", pa.int64()), *strings, ("inserted", pa.int64()), ("rendered", pa.string())]
+    kinds = [*numbers, *strings, ("inserted", pa.int64()), ("rendered", pa.string())]
     schema = "conv_id bigint, block bigint, seq bigint, turn bigint, role string, repaired_role string, action string, inserted bigint, rendered string"
-    return _mapped(dealt, repaired, 2, schema, kinds)
+    return _mapped(both, repaired, schema, kinds)

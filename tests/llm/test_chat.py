@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from itertools import groupby
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orebed.llm import chat
 from orebed.llm.chat import format_conversations
+from orebed.llm.common import settings, stored
 from orebed.llm.queries import REGISTRY
 
 ROLES = ["system", "user", "assistant", "tool", None]
@@ -77,6 +79,34 @@ def test_least_cost(spark, monkeypatch, block):
         assert bodies == [f"text {conv} {t}" for t in range(len(convs[conv]))]
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_no_block_grows_with_rows_that_share_a_turn(spark, monkeypatch, block):
+    monkeypatch.setattr(chat, "BLOCK", block)
+    rows = [(None, t, r, f"{r} {t} {i}") for t in range(5) for r in ROLES[1:4] for i in range(80)]
+    rows += [(7, None, "user", "same")] * 900 + [(8, 3, "assistant", f"{i}") for i in range(700)]
+    rows += [(i, 0, "user", "short") for i in range(10, 100)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = format_conversations(df).collect()
+    assert Counter((r.conv_id, r.turn, r.role) for r in found) == Counter(row[:3] for row in rows)
+    assert max(Counter(r.block for r in found).values()) <= block
+    wanted = {None: [r for _ in range(5) for r in ROLES[1:4] for _ in range(80)], 7: ["user"] * 900, 8: ["assistant"] * 700, 10: ["user"]}
+    for conv, roles in wanted.items():
+        assert check([r for r in found if r.conv_id == conv])[0] == least(roles)
+
+
+def test_rows_that_tie_go_to_many_partitions(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(chat, "stored", lambda df, label: written.append(stored(df, label)) or written[-1])
+    rows = [(None, None, "user", "same")] * 3000 + [(i, 0, "user", "short") for i in range(3000)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4)
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}):
+        placed = chat._ordered(df)
+    parts = Counter(r.at >> chat.WITHIN for r in written[0].select("at").collect())
+    assert sorted(r.place for r in placed.select("place").collect()) == list(range(6000))
+    assert max(parts.values()) < 1500
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "user", "null turn"), (1, 0, " USER ", None), (1, 0, "assistant", ""), (1, 1, "user", "a<|end|>b"),
             (1, 1, "user", "a<|end|>b"), (2, -5, None, None), (3, 2**40, "system", "x" * 100_000), (4, 7, "", "blank role")]
