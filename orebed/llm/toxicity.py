@@ -2,9 +2,9 @@
 
 The kernel of two strings sums over all four-letter subsequences they share,
 each weighted by ``DECAY`` per letter skipped, up to three skips in all; the edge of a word
-counts as a letter at either end of one. An insult with letters
-put in or with marks between its letters so keeps most of its kernel value
-with the insult itself. Landmarks are words, and parts of words, of the training texts; the kernel
+counts as a letter at either end of one. Marks in a row, white space
+included, count as one, and as none between four or more single letters. An insult with letters put in
+or with marks between its letters, however many, so keeps much of its kernel value with the insult itself. Landmarks are words, and parts of words, of the training texts; the kernel
 values with them, whitened by their own kernel matrix, are the features of a linear
 machine trained on pieces of sentences.
 
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from orebed.llm.common import by_batch, held_out, labelled_sample, text_bytes
 
-LETTERS = 28  # none, a to z, any byte beyond ASCII
+BEYOND = 13  # codes that characters beyond ASCII share
+LETTERS = 27 + BEYOND  # none, a to z, and these
 ORDER, SKIPS, DECAY = 4, 3, 0.8
 # Sentences are scored by pieces that start every STEP bytes and are PIECE long.
 PIECE, STEP = 48, 16
@@ -46,7 +47,30 @@ REACH = SKIPS + ORDER - 1
 
 CODES = np.zeros(256, np.int32)
 CODES[ord("a") : ord("z") + 1] = CODES[ord("A") : ord("Z") + 1] = np.arange(1, 27)
-CODES[128:] = 27
+# Between texts; no UTF-8 text has this byte.
+APART = b"\xff" * REACH
+
+
+def _letters(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of a text's characters, and the place of the last byte of each.
+
+    Marks in a row are one, and those between the letters of a word spelled out by single letters are none.
+    """
+    data = np.frombuffer(text, np.uint8)
+    before, after = np.r_[np.uint8(0), data[:-1]], np.r_[data[1:], np.uint8(0)]
+    inner = (data & 0xC0) == 0x80
+    codes = CODES[data]
+    codes[inner] = 27 + (data[inner] + 5 * before[inner].astype(np.int32)) % BEYOND
+    mark = (data < 128) & (codes == 0)
+    again = np.r_[False, mark[:-1]] & mark
+    kept = np.flatnonzero((data < 128) & ~again | inner & ((after & 0xC0) != 0x80) | (data == APART[0]))
+    # Letters that stand alone, and those of them that follow each other.
+    gap = np.r_[True, codes[kept] == 0, True]
+    alone = np.flatnonzero(gap[:-2] & ~gap[1:-1] & gap[2:])
+    runs = np.split(np.arange(len(alone)), np.flatnonzero(np.diff(alone) != 2) + 1)
+    spelled = [alone[run[:-1]] + 1 for run in runs if len(run) >= ORDER]
+    kept = np.delete(kept, np.concatenate(spelled)) if spelled else kept
+    return codes[kept], kept
 
 
 def _subsequences(codes: np.ndarray):
@@ -68,7 +92,7 @@ def _real() -> np.ndarray:
 def features(text: bytes, real: np.ndarray) -> Counter:
     """The weight of each subsequence of a string."""
     found: Counter = Counter()
-    for numbers, weight in _subsequences(CODES[np.frombuffer(text, np.uint8)]):
+    for numbers, weight in _subsequences(_letters(text)[0]):
         for number in numbers[real[numbers]].tolist():
             found[number] += weight
     return found
@@ -106,11 +130,13 @@ class Model:
 
     def worst(self, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         """The largest answer over the pieces of each text, and the piece that gives it."""
-        gap = b"\0" * REACH  # wide enough that no subsequence spans two texts
-        data = gap.join(texts) + gap
+        data = APART.join(texts) + APART  # wide enough that no subsequence spans two texts
+        codes, places = _letters(data)
+        answers = np.zeros(len(codes), np.float32)
+        for numbers, weight in _subsequences(codes):
+            answers += self.table[numbers] * np.float32(weight)
         sums = np.zeros(len(data), np.float32)
-        for numbers, weight in _subsequences(CODES[np.frombuffer(data, np.uint8)]):
-            sums += self.table[numbers] * np.float32(weight)
+        sums[places] = answers
         total = np.r_[0.0, np.cumsum(sums, dtype=np.float64)]
         result, found, base = np.empty(len(texts)), [], 0
         for row, text in enumerate(texts):
@@ -136,10 +162,11 @@ def _landmarks(sample: list[tuple[bytes, int]]) -> list[bytes]:
     Half of the clean words are the commonest that have four letters in a row from such a part: what
     toxic words are most easily taken for. The others are the commonest of all.
     """
-    own = [(set(re.findall(rb"[a-z\x80-\xff]{4,}", text.lower())), label) for text, label in sample]
+    found = [(re.findall(r"[a-z\x80-\U0010ffff]{3,}", text.lower().decode("utf-8", "replace")), label) for text, label in sample]
+    own = [({word for word in words if len(word.encode()) > 3}, label) for words, label in found]
 
-    def parts_of(chosen: set[bytes]) -> set[bytes]:
-        edged = [b" " + word + b" " for word in chosen]
+    def parts_of(chosen: set[str]) -> set[str]:
+        edged = [f" {word} " for word in chosen]
         return {word[at : at + n] for word in edged for n in (4, 5, 6, 7, 8) for at in range(len(word) - n + 1)}
 
     toxic, clean, words = Counter(), Counter(), Counter()
@@ -156,8 +183,8 @@ def _landmarks(sample: list[tuple[bytes, int]]) -> list[bytes]:
         g: n / many[1] * (np.log((n + 0.5) / (many[1] + 1)) - np.log((clean[g] + 0.5) / (many[0] + 1)))
         for g, n in toxic.items()
     }
-    worst: list[bytes] = []
-    used: set[bytes] = set()
+    worst: list[str] = []
+    used: set[str] = set()
     for part in sorted(telling, key=lambda g: (-telling[g], -len(g), g)):
         runs = {part[at : at + 5] for at in range(max(1, len(part) - 4))}
         if not runs & used:
@@ -168,7 +195,7 @@ def _landmarks(sample: list[tuple[bytes, int]]) -> list[bytes]:
     near = {part[at : at + 4] for part in worst for at in range(len(part) - 3)}
     usual = sorted((w for w in words if w not in set(worst)), key=lambda w: (-words[w], w))
     alike = [w for w in usual if any(w[at : at + 4] in near for at in range(len(w) - 3))][: LANDMARKS // 4]
-    return list(dict.fromkeys(worst + alike + usual))[:LANDMARKS]
+    return [mark.encode() for mark in dict.fromkeys(worst + alike + usual)][:LANDMARKS]
 
 
 def _machine(values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
@@ -233,16 +260,16 @@ def train(sample: list[tuple[bytes, int]]) -> Model:
 
     def mapped(texts: list[bytes]) -> np.ndarray:
         """Whitened kernel values of strings with the landmarks."""
-        result, gap = np.zeros((len(texts), len(marks)), np.float32), b"\0" * REACH
+        result = np.zeros((len(texts), len(marks)), np.float32)
         for low in range(0, len(texts), 500):
             group = texts[low : low + 500]
             ends = np.cumsum([len(text) + REACH for text in group])
-            data = np.frombuffer(gap.join(group) + gap, np.uint8)
-            for spots, weight in _subsequences(CODES[data]):
+            codes, places = _letters(APART.join(group) + APART)
+            for spots, weight in _subsequences(codes):
                 rows = row_of[spots]
                 hits = np.flatnonzero(rows >= 0)
                 if len(hits):
-                    owners, starts = np.unique(np.searchsorted(ends, hits, "right"), return_index=True)
+                    owners, starts = np.unique(np.searchsorted(ends, places[hits], "right"), return_index=True)
                     result[low + owners] += np.float32(weight) * np.add.reduceat(columns[rows[hits]], starts, axis=0)
         return result @ whiten
 

@@ -123,6 +123,41 @@ def test_insults_with_gaps_are_caught():
     assert (model.scores([b"the on ing sting er on", b"there is nothing"]) < 0.5).all()
 
 
+def test_marks_in_a_row_count_as_one_or_none():
+    for marks in ("-", "--", " - ", "...", "* * ", " "):
+        spelled = toxicity.kernel(b"idiot", marks.join("idiot").encode())
+        assert spelled == pytest.approx(1)
+        parted = toxicity.kernel(b"worthless", marks.join(["wor", "thl", "ess"]).encode())
+        assert parted == pytest.approx(toxicity.kernel(b"worthless", b"wor-thl-ess")) and parted > 0.3
+
+
+def test_insults_with_many_marks_or_in_another_script_are_caught():
+    rng = random.Random(4)
+    for insults, parts in (
+        (["worthless", "disgusting", "pathetic"], ["th", "er", "on", "ing", "st", "ti"]),
+        (["ничтожество", "мерзавец", "дурак"], ["ст", "ра", "но", "ени", "про", "то"]),
+    ):
+        def word():
+            return "".join(rng.choice(parts) for _ in range(rng.randrange(2, 5)))
+
+        sample = []
+        for i in range(300):
+            words = [word() for _ in range(30)]
+            if i % 3 == 0:
+                bad = rng.choice(insults)
+                if rng.random() < 0.5:
+                    bad = rng.choice(["-", ".", "*"]).join(bad)
+                words[rng.randrange(30)] = bad
+            sample.append((" ".join(words).encode(), int(i % 3 == 0)))
+        model = toxicity.train(sample)
+        spelled = [marks.join(insult) for insult in insults for marks in ("", "--", " - ", "***")]
+        tests = [f"{word()} {word()} {text} {word()} {word()}".encode() for text in spelled]
+        assert (model.scores(tests) > 0.5).mean() > 0.9
+        # Words as long as the insults, of the same script.
+        clean = [" ".join(word() for _ in range(30)).encode() for _ in range(100)]
+        assert (model.scores(clean) < 0.5).mean() > 0.9
+
+
 def test_pieces_cover_a_text():
     rng = random.Random(6)
     for _ in range(100):
