@@ -43,6 +43,8 @@ ROWS = 500
 MAX_KNOWN = 250_000
 TOGETHER = 64
 GROUP_BYTES = 1 << 20
+# What a row counts for besides its text: its id, end id and place in the index.
+ROW_BYTES = 64
 
 
 def word_tokenizer() -> str:
@@ -263,11 +265,11 @@ class Encoder:
 
 
 def _groups(rows: Iterable[tuple[int | None, bytes]]) -> Iterator[list[tuple[int | None, bytes]]]:
-    """Runs of rows whose texts have about ``GROUP_BYTES``."""
+    """Runs of rows that have about ``GROUP_BYTES``, texts and rows counted."""
     group, size = [], 0
     for row in rows:
         group.append(row)
-        size += len(row[1])
+        size += len(row[1]) + ROW_BYTES
         if size >= GROUP_BYTES:
             yield group
             group, size = [], 0
@@ -305,9 +307,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
     mark = _end_mark(end_id, width)
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = rows.agg(F.sum(F.octet_length("text") + ROW_BYTES)).first()[0] or 0
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    dealt = rows.repartitionByRange(total // max(shard_bytes, TASK_BYTES) + 1, *order[:2]).sortWithinPartitions(*order)
+    # Rows that tie have the same id and text, so a running number may spread them.
+    ranges = [*order[:2], F.col("_tie")]
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(total // max(shard_bytes, TASK_BYTES) + 1, *ranges).sortWithinPartitions(*order)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, close = Encoder(definition, width), mark.encode("ascii")
@@ -324,7 +329,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
         for group in _groups(rows):
             ids += [key for key, _ in group]
             parts += encoder.encode([text for _, text in group])
-            size += sum(len(text) for _, text in group)
+            size += sum(len(text) + ROW_BYTES for _, text in group)
             if size >= shard_bytes:
                 yield written()
                 ids, parts, size = [], [], 0

@@ -86,6 +86,17 @@ def test_repeated_and_null_ids(spark, tmp_path):
     assert sorted(r.repeat for r in lookup(spark, str(tmp_path / "set"), [5, 6]).collect()) == [0, 1, 2]
 
 
+def test_empty_texts_weigh_something(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokens, "TASK_BYTES", 40_000)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 2000)
+    rows = [(None, "")] * 2000 + [(i, None) for i in range(1000)]
+    write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), str(tmp_path), word_tokenizer(), shard_bytes=20_000)
+    shards = spark.read.parquet(f"{tmp_path}/shards").collect()
+    assert max(shard.documents for shard in shards) < 500 and len({shard.task for shard in shards}) > 2
+    found = sorted((r.start, r.n_tokens, r.doc_id) for r in read_documents(spark, str(tmp_path)).collect())
+    assert found == [(i, 1, i if i < 1000 else None) for i in range(3000)]
+
+
 def test_empty_table(spark, tmp_path):
     write_tokens(spark.createDataFrame([], "doc_id bigint, text string"), str(tmp_path / "set"), word_tokenizer())
     assert read_documents(spark, str(tmp_path / "set")).count() == 0
