@@ -14,10 +14,13 @@ from orebed.llm.common import table
 from orebed.llm.decontaminate import find_leaks
 from orebed.llm.mixing import mix
 from orebed.llm.near_dup import near_duplicates
+from orebed.llm.search import search
 from orebed.llm.secrets import BASE_RULES, find_secrets, span_list
+from orebed.llm.sharding import shard_list
 from orebed.llm.sketch import compare_with_edit
 from orebed.llm.substring import remove_repeats
 from orebed.llm.tokens import read_documents, word_tokenizer, write_tokens
+from orebed.llm.variants import group_variants
 from orebed.session import fresh_dir
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,4 +94,19 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_conversations(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op11_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_list(table(spark, sf_dir, "documents"), weights=[1.0] * 40, grown=[1.0] * 41)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(table(spark, sf_dir, "documents"), every=199, least_length=6, least_count=5)
+
+
+@query
+def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 REGISTRY["pipeline"] = corpus_pipeline.run
