@@ -45,14 +45,19 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put a small file in place whole: written aside, then renamed."""
+    """Put a small file in place whole: written aside, then renamed over the old one.
+
+    A reader sees the old text or the new one, never none.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
     files, target = _resolve(spark, path)
-    aside = _resolve(spark, f"{path}.part")[1]
+    aside = hadoop.Path(f"{path}.part")
     stream = files.create(aside, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    files.delete(target, False)
-    if not files.rename(aside, target):
-        raise OSError(f"cannot write {path}")
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(aside), files.makeQualified(target), options)

@@ -8,11 +8,12 @@ from pyspark.sql import types as T
 from orebed import paths
 from orebed.functions.scalars import EMAIL_PATTERN, epoch_to_ts
 from orebed.operators.aggregates import profile_summary
-from orebed.operators.cdc import scd1
+from orebed.operators.cdc import scd1, scd2
 from orebed.operators.expectations import Expectation, apply_expectations
 from orebed.plans.layers import JobReport, Layers, open_layers
 from orebed.sources.files import RESCUED, ingest_json, read_stream_table, stream_json
 from orebed.sources.tables import note_path, write_path
+from orebed.streaming import history as kept_history
 from orebed.streaming.run import RunReport, run_available
 from orebed.streaming.snapshot import DEFAULT_BUCKETS, apply_scd1_stream, prune_versions, read_current
 
@@ -58,6 +59,8 @@ DELETE_WHEN = "operation = 'DELETE'"
 EXCEPT_COLUMNS = ["timestamp", RESCUED, "operation", "processing_time", "source_file"]
 SUMMARY_COLUMNS = ["customer_id", "name", "state", "city"]
 RAW, CLEAN, CURRENT, SUMMARY = "customer_events_raw", "customer_events_clean", "customers", "customers_summary"
+HISTORY = "customers_history"
+CLEAN_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("timestamp_datetime", T.TimestampType())])
 
 
 def checked_events(raw: DataFrame) -> DataFrame:
@@ -91,8 +94,7 @@ def current(
     path = layers.table("silver", CLEAN)
     if not paths.exists(spark, path):
         return RunReport()
-    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("timestamp_datetime", T.TimestampType())])
-    events = read_stream_table(spark, path, schema, max_files)
+    events = read_stream_table(spark, path, CLEAN_SCHEMA, max_files)
     state = layers.table("gold", CURRENT)
     report = apply_scd1_stream(
         events, state, layers.checkpoint(CURRENT), KEYS, SEQUENCE_BY, DELETE_WHEN, buckets
@@ -105,6 +107,24 @@ def read_customers(spark: SparkSession, layers: Layers) -> DataFrame | None:
     return read_current(spark, layers.table("gold", CURRENT), EXCEPT_COLUMNS)
 
 
+def past(spark: SparkSession, layers: Layers, buckets: int = DEFAULT_BUCKETS, max_files: int | None = None) -> RunReport:
+    """Every state of every customer, with the time it held."""
+    path = layers.table("silver", CLEAN)
+    if not paths.exists(spark, path):
+        return RunReport()
+    events = read_stream_table(spark, path, CLEAN_SCHEMA, max_files)
+    state = layers.table("gold", HISTORY)
+    report = kept_history.apply_scd2_stream(
+        events, state, layers.checkpoint(HISTORY), KEYS, SEQUENCE_BY, DELETE_WHEN, buckets
+    )
+    prune_versions(spark, state)
+    return report
+
+
+def read_history(spark: SparkSession, layers: Layers) -> DataFrame | None:
+    return kept_history.read_history(spark, layers.table("gold", HISTORY), EXCEPT_COLUMNS)
+
+
 def summary(spark: SparkSession, layers: Layers) -> None:
     customers = read_customers(spark, layers)
     if customers is not None:
@@ -120,13 +140,21 @@ def run(
     allow_reset: bool = False,
     buckets: int = DEFAULT_BUCKETS,
     max_files: int | None = None,
+    history: bool = False,
 ) -> JobReport:
-    """One triggered run over all new files; ``validate`` only checks the plans."""
+    """One triggered run over all new files; ``validate`` only checks the plans.
+
+    ``history`` also keeps every state of every customer; the first run with it catches up.
+    """
     if validate:
         raw = stream_json(spark, f"{source}/customers", EVENT_SCHEMA, rescue=True)
         clean = checked_events(raw)
         customers = scd1(clean, KEYS, SEQUENCE_BY, DELETE_WHEN, EXCEPT_COLUMNS)
         frames = {RAW: raw, CLEAN: clean, CURRENT: customers, SUMMARY: profile_summary(customers, SUMMARY_COLUMNS)}
+        if history:
+            # The shape of the history; a stream has no look-ahead of its own.
+            events = spark.createDataFrame([], clean.schema)
+            frames[HISTORY] = scd2(events, KEYS, SEQUENCE_BY, DELETE_WHEN, EXCEPT_COLUMNS)
         return JobReport(schemas={name: frame.schema.simpleString() for name, frame in frames.items()})
     layers = open_layers(spark, root, "customers", full_refresh, allow_reset)
     steps = {
@@ -134,6 +162,9 @@ def run(
         CLEAN: silver(spark, layers, max_files),
         CURRENT: current(spark, layers, buckets, max_files),
     }
+    if history:
+        steps[HISTORY] = past(spark, layers, buckets, max_files)
+        note_path(spark, layers.notes, HISTORY, "Customer history", {"quality": "gold", "domain": "marketplace"})
     summary(spark, layers)
     note_path(spark, layers.notes, RAW, "Change events as they came", {"quality": "bronze", "reset.allowed": "false"})
     note_path(spark, layers.notes, CLEAN, "Checked change events", {"quality": "silver"})

@@ -16,6 +16,7 @@ from orebed.plans import customers, orders, quality, status, transactions, verif
 from orebed.plans.layers import Layers
 from orebed.session import configure, fit_shuffle, fresh_dir
 from orebed.sources import files, tables
+from orebed.streaming.history import apply_scd2_stream, read_history
 from orebed.streaming.interval_join import interval_stream_join
 from orebed.streaming.run import run_available
 from orebed.streaming.snapshot import apply_scd1_stream, read_current
@@ -466,12 +467,43 @@ def c2_scd1_incremental(spark, sf_dir):
     return read_current(spark, f"{root}/state", ["event_id", "event_type"])
 
 
+def _event_arrivals(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """A stream of all events by kind, one kind a batch, so that most events come late."""
+    events = table(spark, sf_dir, "events").drop("props")
+    kinds = ["purchase", "click", "error", "view"]
+    for kind in kinds:
+        events.filter(F.col("event_type") == kind).write.mode("append").parquet(f"{root}/events")
+    events.filter(~F.col("event_type").isin(kinds)).write.mode("append").parquet(f"{root}/events")
+    return files.read_stream_table(spark, f"{root}/events", events.schema, max_files=1)
+
+
+@query
+def c4_keyed_log(spark, sf_dir):
+    """The current state from a log whose buckets split and merge on the way."""
+    root = fresh_dir(spark, "log")
+    stream = _event_arrivals(spark, sf_dir, root)
+    sizes = {"buckets": 2, "bucket_rows": 200, "folder_rows": 50}
+    apply_scd1_stream(stream, f"{root}/state", f"{root}/checkpoint", EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, **sizes)
+    return read_current(spark, f"{root}/state", ["event_id", "event_type"])
+
+
+HISTORY_HIDDEN = ["event_id", "event_type", "ts"]
+HISTORY_NAMES = {"start": "start_at", "end": "end_at", "current": "is_current"}
+
+
 @query
 def c5_scd2(spark, sf_dir):
     events = table(spark, sf_dir, "events").drop("props")
-    hidden = ["event_id", "event_type", "ts"]
-    names = {"start": "start_at", "end": "end_at", "current": "is_current"}
-    return cdc.scd2(events, EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, hidden, **names)
+    return cdc.scd2(events, EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, HISTORY_HIDDEN, **HISTORY_NAMES)
+
+
+@query
+def c5_scd2_incremental(spark, sf_dir):
+    """The same history from several batches, each of which cuts intervals of those before."""
+    root = fresh_dir(spark, "history")
+    stream = _event_arrivals(spark, sf_dir, root)
+    apply_scd2_stream(stream, f"{root}/state", f"{root}/checkpoint", EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, buckets=4)
+    return read_history(spark, f"{root}/state", HISTORY_HIDDEN, **HISTORY_NAMES)
 
 
 @query

@@ -1,60 +1,44 @@
-"""A keyed table kept up to date by a stream of change events.
+"""The current row of each key, kept up to date by a stream of change events.
 
-The table is parquet, split by key hash into buckets. Every batch rewrites the
-buckets it touches under its own version number; a manifest per version names
-the version that holds each bucket. Redoing a batch rewrites the same version
-from the one before it, so a retry changes nothing.
+The table is a log of the latest events per key, deletes included (see
+``logtable``): a run adds its events and rereads nothing but runs that are due
+to be merged.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from orebed import paths
-from orebed.operators.cdc import current_rows, latest_events, prepare_events
+from orebed.operators.cdc import DELETED, TIE, current_rows, latest_events, prepare_events
+from orebed.streaming.logtable import (
+    DEFAULT_BUCKET_ROWS,
+    DEFAULT_BUCKETS,
+    DEFAULT_FOLDER_ROWS,
+    Layout,
+    SnapshotMismatch,
+    base_for,
+    commit,
+    prune_versions,
+    read_table,
+    versions,
+)
 from orebed.streaming.run import RunReport, run_batches
 
-BUCKET = "_bucket"
-DEFAULT_BUCKETS = 16
-
-
-class SnapshotMismatch(RuntimeError):
-    """The checkpoint and the table do not belong together."""
-
-
-def _manifest_dir(root: str) -> str:
-    return f"{root}/manifest"
-
-
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Finished versions, oldest first."""
-    names = paths.list_names(spark, _manifest_dir(root))
-    return sorted(int(name[1:-5]) for name in names if name.startswith("v") and name.endswith(".json"))
-
-
-def _manifest(spark: SparkSession, root: str, version: int) -> dict[int, int]:
-    """Bucket number to the version holding it. At most one entry per bucket."""
-    text = paths.read_text(spark, f"{_manifest_dir(root)}/v{version}.json")
-    return {int(bucket): held for bucket, held in json.loads(text).items()}
-
-
-def _bucket_path(root: str, bucket: int, version: int) -> str:
-    return f"{root}/data/v{version}/{BUCKET}={bucket}"
+__all__ = [
+    "SnapshotMismatch",
+    "apply_scd1_stream",
+    "prune_versions",
+    "read_current",
+    "read_state",
+    "versions",
+]
 
 
 def read_state(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
     """The latest events per key with tombstones, or None before the first batch."""
-    known = versions(spark, root)
-    if version is None and known:
-        version = known[-1]
-    if version is None or version not in known:
-        return None
-    places = [_bucket_path(root, bucket, held) for bucket, held in sorted(_manifest(spark, root, version).items())]
-    return spark.read.parquet(*places) if places else None
+    return read_table(spark, root, version)
 
 
 def read_current(spark: SparkSession, root: str, except_columns: Sequence[str] = ()) -> DataFrame | None:
@@ -69,39 +53,15 @@ def _apply_batch(
     keys: Sequence[str],
     sequence_by: Sequence[str],
     delete_when: Column | str,
-    buckets: int,
+    buckets: int = DEFAULT_BUCKETS,
+    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    folder_rows: int = DEFAULT_FOLDER_ROWS,
 ) -> None:
-    spark = batch.sparkSession
-    known = versions(spark, root)
-    if known and known[-1] > batch_id:
-        raise SnapshotMismatch(f"{root} is at version {known[-1]}, but the checkpoint resumes at {batch_id}")
-    before = [version for version in known if version < batch_id]
-    manifest = _manifest(spark, root, before[-1]) if before else {}
-
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    news = latest_events(prepare_events(batch, delete_when), keys, sequence_by).withColumn(BUCKET, bucket)
-    # Needed twice: for the list of touched buckets and for the merge.
-    news = news.persist()
-    try:
-        touched = [row[0] for row in news.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
-        old = [_bucket_path(root, number, manifest[number]) for number in touched if number in manifest]
-        merged = news
-        if old:
-            held = spark.read.schema(news.drop(BUCKET).schema).parquet(*old)
-            held = held.select(*news.drop(BUCKET).columns).withColumn(BUCKET, bucket)
-            merged = latest_events(news.unionByName(held), keys, sequence_by)
-        if touched:
-            (
-                # Sized at run time: small buckets share a task, large ones are split.
-                merged.hint("rebalance", BUCKET)
-                .write.mode("overwrite")
-                .partitionBy(BUCKET)
-                .parquet(f"{root}/data/v{batch_id}")
-            )
-        entries = {**manifest, **{number: batch_id for number in touched}}
-        paths.write_text(spark, f"{_manifest_dir(root)}/v{batch_id}.json", json.dumps(entries))
-    finally:
-        news.unpersist()
+    """Add one batch of change events; doing it again changes nothing."""
+    order = [*sequence_by, DELETED, TIE]
+    layout = Layout(list(keys), list(keys), order, buckets, bucket_rows, folder_rows)
+    base = base_for(batch.sparkSession, root, layout, batch_id)
+    commit(latest_events(prepare_events(batch, delete_when), keys, sequence_by), batch_id, root, layout, base)
 
 
 def apply_scd1_stream(
@@ -112,43 +72,15 @@ def apply_scd1_stream(
     sequence_by: Sequence[str],
     delete_when: Column | str,
     buckets: int = DEFAULT_BUCKETS,
+    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    folder_rows: int = DEFAULT_FOLDER_ROWS,
 ) -> RunReport:
     """Apply all new change events to the table below ``root``.
 
-    ``buckets`` is fixed at the first run; choose it so that a bucket of the
-    finished table is a few hundred MB.
+    ``buckets`` is the number to begin with; buckets split as the table grows.
     """
-    spark = events.sparkSession
-    settled = paths.read_text(spark, f"{root}/buckets.json")
-    if settled is None:
-        paths.write_text(spark, f"{root}/buckets.json", json.dumps(buckets))
-    else:
-        buckets = json.loads(settled)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _apply_batch(batch, batch_id, root, keys, sequence_by, delete_when, buckets)
+        _apply_batch(batch, batch_id, root, keys, sequence_by, delete_when, buckets, bucket_rows, folder_rows)
 
     return run_batches(events, handle, checkpoint)
-
-
-def prune_versions(spark: SparkSession, root: str, keep: int = 3) -> None:
-    """Remove what only versions older than the last ``keep`` use."""
-    known = versions(spark, root)
-    if not known:
-        return
-    kept = known[-keep:]
-    in_use = {(bucket, held) for version in kept for bucket, held in _manifest(spark, root, version).items()}
-    live = {held for _, held in in_use} | set(kept)
-    for version in known:
-        if version not in kept:
-            paths.remove(spark, f"{_manifest_dir(root)}/v{version}.json")
-    for name in paths.list_names(spark, f"{root}/data"):
-        version = int(name[1:])
-        if version > kept[-1]:
-            continue
-        if version not in live:
-            paths.remove(spark, f"{root}/data/{name}")
-            continue
-        for part in paths.list_names(spark, f"{root}/data/{name}"):
-            if part.startswith(f"{BUCKET}=") and (int(part.split("=")[1]), version) not in in_use:
-                paths.remove(spark, f"{root}/data/{name}/{part}")

@@ -96,9 +96,9 @@ def test_stream_keeps_tombstones(spark, folder):
 
 def test_only_touched_buckets_are_rewritten(spark, folder):
     keys = [(f"k{i}", f"n{i}", "INSERT", 1, 1.0) for i in range(40)]
-    _apply_batch(feed(spark, keys), 0, folder, ["id"], ORDER, DELETE, buckets=8)
+    _apply_batch(feed(spark, keys), 0, folder, ["id"], ORDER, DELETE, buckets=8, folder_rows=1)
     first = paths.list_names(spark, f"{folder}/data/v0")
-    _apply_batch(feed(spark, [("k3", "new", "UPDATE", 2, 2.0)]), 1, folder, ["id"], ORDER, DELETE, buckets=8)
+    _apply_batch(feed(spark, [("k3", "new", "UPDATE", 2, 2.0)]), 1, folder, ["id"], ORDER, DELETE, buckets=8, folder_rows=1)
     second = [name for name in paths.list_names(spark, f"{folder}/data/v1") if name.startswith("_bucket")]
     assert len([name for name in first if name.startswith("_bucket")]) == 8
     assert len(second) == 1
