@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,11 +39,17 @@ MAX_LEVELS = 64
 TASK_BYTES, SHARD_BYTES = 32 << 20, 6 << 20
 # Rows that a task takes in at a time.
 ROWS = 500
-# Chunks of text whose ids a task remembers (at most twice as many), words encoded
-# together, and text worked on at a time.
-MAX_KNOWN = 250_000
-TOGETHER = 64
-GROUP_BYTES = 1 << 20
+# Bytes of pieces that a task remembers besides those of the last group, what a piece
+# counts for besides its letters, words encoded together, and text worked on at a time.
+MAX_KNOWN = 32 << 20
+KNOWN_BYTES = 160
+TOGETHER = 256
+GROUP_BYTES = 4 << 20
+# How the tokenizer's vocabulary marks the end of a word.
+END_OF_WORD = "</w>"
+# Letters of Latin-1 make one word, ASCII punctuation before and after it others.
+# An apostrophe before a word may be part of it ("'s").
+PLAIN = r"^(?P<lead>[!-&(-/:-@\[-`{-~]*)(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 # What a row counts for besides its text: its id, end id and place in the index.
 ROW_BYTES = 64
 
@@ -187,81 +194,125 @@ def _repeats(ids: np.ndarray, none: np.ndarray) -> np.ndarray:
 class Encoder:
     """Texts to id bytes, by a tokenizer whose words end at white space.
 
-    Chunks between ASCII white space are encoded once and remembered for a while. That gives the ids of
-    the whole text because white space always ends a word of this kind of tokenizer
-    and is dropped. Plain words, which are the bulk, are encoded many at a time, in lower
-    case as the tokenizer has them, and told apart by their end tokens.
+    Chunks between ASCII white space are told apart and numbered by Arrow. Most are a
+    word of Latin letters with ASCII punctuation around it, which this kind of
+    tokenizer splits off; the word counts in lower case, as the tokenizer has it. Each
+    different piece is encoded once and remembered for a while. That gives the ids of the whole text
+    because white space always ends a word of this kind of tokenizer and is dropped.
     """
 
     def __init__(self, definition: str, width: int):
-        import re
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.kind = f"<u{width}"
-        # Chunks met lately, and before that: when the first is full it takes the place of the second.
-        self.now: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        self.kind = np.dtype(f"<u{width}")
+        self.last = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
-            self.ends[number] = token.endswith("</w>")
-        # Letters of Latin-1 make one word, punctuation after them another.
-        self.plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+            self.last[number] = token.endswith(END_OF_WORD)
+        # Added tokens are found before a text is split, so a chunk that holds one is no plain word.
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self._start()
+
+    def _start(self) -> None:
+        """Nothing is known but the empty piece, which has no ids."""
+        self.places: dict[str, int] = {"": 0}
+        self.ids = np.empty(0, self.kind)
+        self.ends = np.zeros(2, np.int64)
+        self.uses = np.zeros(1, np.int64)
+        self.held = 0
+
+    def _forget(self) -> None:
+        """Keep what several groups had, if that is less than half."""
+        kept = np.flatnonzero(self.uses > 1)
+        pieces = [piece for piece, place in self.places.items() if place and self.uses[place] > 1]
+        ids, counts = self.ids[_runs(self.ends[kept], np.diff(self.ends)[kept])], np.diff(self.ends)[kept]
+        self._start()
+        size = sum(map(len, pieces)) + KNOWN_BYTES * len(pieces)
+        if size < MAX_KNOWN // 2:
+            # Places follow the order in which pieces were met, as the dictionary does.
+            self._add(pieces, [ids], [counts[len(counts) - len(pieces) :]])
+
+    def _add(self, pieces: list[str], runs: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+        """Remember pieces with their ids; their places."""
+        places = np.arange(len(pieces)) + len(self.uses)
+        self.places.update(zip(pieces, places.tolist()))
+        self.ids = np.concatenate([self.ids, *runs])
+        self.ends = np.r_[self.ends, self.ends[-1] + np.cumsum(np.concatenate(counts))] if len(pieces) else self.ends
+        self.uses = np.r_[self.uses, np.zeros(len(pieces), np.int64)]
+        self.held += sum(map(len, pieces)) + KNOWN_BYTES * len(pieces)
+        return places
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, self.kind) for one in found]
 
-    def _recall(self, chunks: set[bytes]) -> set[bytes]:
-        """Chunks that are not remembered."""
-        unknown = chunks.difference(self.now)
-        again = {chunk for chunk in unknown if chunk in self.old}
-        self.now.update((chunk, self.old[chunk]) for chunk in again)
-        return unknown - again
-
-    def _learn(self, words: set[bytes], others: set[bytes]) -> None:
-        """Encode words of plain lower-case letters together, other chunks one by one."""
-        listed = list(self._recall(words))
-        groups = [listed[place : place + TOGETHER] for place in range(0, len(listed), TOGETHER)]
-        for group, ids in zip(groups, self._ids([b" ".join(group).decode() for group in groups])):
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(group) or stops[-1] != len(ids):
-                others.update(group)  # not one end token for each word
-                continue
-            data, low = ids.tobytes(), 0
-            for word, high in zip(group, (stops * ids.itemsize).tolist()):
-                self.now[word] = data[low:high]
-                low = high
-        rest = list(self._recall(others))
-        for chunk, ids in zip(rest, self._ids([chunk.decode() for chunk in rest])):
-            self.now[chunk] = ids.tobytes()
-
-    def _know(self, chunks: set[bytes]) -> None:
-        """See to it that all chunks are in ``now``."""
-        split, others = [], set()
-        for chunk in self._recall(chunks):
-            if chunk.isalpha():  # ASCII letters alone: no need to decode
-                split.append((chunk, chunk.lower(), b""))
-            elif chunk[:-1].isalpha() and chunk[-1:] in b".,;:!?":
-                split.append((chunk, chunk[:-1].lower(), chunk[-1:]))
-            elif match := self.plain(chunk.decode()):
-                split.append((chunk, match[1].lower().encode(), match[2].encode()))
-            else:
-                others.add(chunk)
-        others.update({mark for _, _, mark in split if mark})
-        self._learn({word for _, word, _ in split}, others)
-        for chunk, word, mark in split:
-            self.now[chunk] = self.now[word] + self.now[mark] if mark else self.now[word]
+    def _each(self, pieces: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Runs of ids of pieces, and how many each piece has."""
+        ids = self._ids(pieces)
+        return ids, [np.array([len(one) for one in ids], np.int64)]
+
+    def _words(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The same of plain words: encoded many at a time and told apart by the ids that end a word."""
+        runs, counts = [], []
+        for first in range(0, len(words), TOGETHER):
+            group = words[first : first + TOGETHER]
+            ids = self._ids([" ".join(group)])[0]
+            stops = np.flatnonzero(self.last[ids]) + 1
+            if len(stops) == len(group) and stops[-1] == len(ids):
+                found = [ids], [np.diff(np.r_[0, stops])]
+            else:  # not one end for each word
+                found = self._each(group)
+            runs += found[0]
+            counts += found[1]
+        return runs, counts
+
+    def _know(self, pieces: pa.Array, plain: bool) -> np.ndarray:
+        """The place of each piece among the known ones."""
+        found = pieces.dictionary_encode()
+        listed = found.dictionary.to_pylist()
+        get = self.places.get
+        places = np.array([get(piece, -1) for piece in listed], np.int64)
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
+            news = [listed[place] for place in unknown.tolist()]
+            places[unknown] = self._add(news, *(self._words(news) if plain else self._each(news)))
+        self.uses[places] += 1
+        return places[found.indices.to_numpy(zero_copy_only=False)]
+
+    def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different chunks one after the other, and where each one's end."""
+        parts = pc.extract_regex(chunks, PLAIN)
+        whole = np.asarray(pc.is_valid(parts))
+        for token in self.added:
+            whole &= ~np.asarray(pc.match_substring(chunks, token, ignore_case=True))
+        places = np.zeros((len(chunks), 3), np.int64)
+        split = parts.filter(pa.array(whole))
+        places[whole, 0] = self._know(pc.struct_field(split, "lead"), False)
+        places[whole, 1] = self._know(pc.utf8_lower(pc.struct_field(split, "word")), True)
+        places[whole, 2] = self._know(pc.struct_field(split, "tail"), False)
+        places[~whole, 0] = self._know(chunks.filter(pa.array(~whole)), False)
+        flat = places.ravel()
+        counts = self.ends[flat + 1] - self.ends[flat]
+        return self.ids[_runs(self.ends[flat], counts)], np.r_[0, np.cumsum(counts.reshape(-1, 3).sum(axis=1))]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Id bytes of each text; the texts are taken together."""
-        chunked = [text.split() for text in texts]
-        self._know(set().union(*chunked))
-        result = [b"".join(map(self.now.__getitem__, chunks)) for chunks in chunked]
-        if len(self.now) > MAX_KNOWN:
-            self.old, self.now = self.now, {}
-        return result
+        if self.held > MAX_KNOWN:
+            self._forget()
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        found = lists.flatten().dictionary_encode()
+        ids, ends = self._chunk_ids(found.dictionary)
+        chunks = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        counts = ends[chunks + 1] - ends[chunks]
+        data = ids[_runs(ends[chunks], counts)].tobytes()
+        # Where each text's ids end, from where its chunks end.
+        sums = np.r_[0, np.cumsum(counts)][np.asarray(lists.offsets) - lists.offsets[0].as_py()] * self.kind.itemsize
+        return [data[low:high] for low, high in zip(sums[:-1].tolist(), sums[1:].tolist())]
+
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, ``counts`` of them, one run behind the other."""
+    return np.arange(counts.sum()) + np.repeat(starts - np.cumsum(counts) + counts, counts)
 
 
 def _groups(rows: Iterable[tuple[int | None, bytes]]) -> Iterator[list[tuple[int | None, bytes]]]:
