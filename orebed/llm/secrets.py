@@ -137,17 +137,18 @@ def _row(docs: DataFrame) -> Column:
 def candidates(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(row, kinds): the rules whose Boolean trigram query a document meets, by intersecting postings."""
     wanted = [
-        (rule.kind, number, trigram, place, len(clause))
+        (rule.kind, number, trigram, len(clause))
         for rule in rules
         for number, clause in enumerate(trigram_query(rule.pattern))
-        for place, trigram in enumerate(sorted(clause))
+        for trigram in sorted(clause)
     ]
     # As long as the rules are; unrelated to the data.
-    schema = "kind string, clause int, trigram string, place int, size int"
+    schema = "kind string, clause int, trigram string, size int"
     clauses = F.broadcast(docs.sparkSession.createDataFrame(wanted, schema))
-    index = postings(docs, sorted({trigram for _, _, trigram, _, _ in wanted}))
-    met = index.join(clauses, "trigram").groupBy("row", "kind", "clause", "size")
-    met = met.agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask")).filter("mask = shiftleft(1L, size) - 1")
+    # Repeated rows repeat their postings, so each trigram counts once; a clause may have any number of them.
+    index = postings(docs, sorted({trigram for _, _, trigram, _ in wanted}))
+    met = index.join(clauses, "trigram").groupBy("row", "kind", "clause", "size", "trigram").agg(F.count("*").alias("n"))
+    met = met.groupBy("row", "kind", "clause", "size").agg(F.count("*").alias("n")).filter("n = size")
     return met.groupBy("row").agg(F.collect_set("kind").alias("kinds"))
 
 

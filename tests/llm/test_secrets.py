@@ -57,6 +57,19 @@ def test_against_python(spark):
     assert sorted(found, key=repr) == sorted([(i, brute(text)) for i, text in rows], key=repr)
 
 
+def test_rules_of_any_length(spark):
+    """From ten to two hundred characters, so clauses of up to 198 trigrams."""
+    rng = random.Random(5)
+    literals = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=k)) for k in (10, 63, 64, 65, 66, 67, 70, 75, 130, 200)]
+    rules = [Rule(f"r{len(literal)}", literal, 0, 1) for literal in literals]
+    rows = [(i, f"x {literal} y {literal}") for i, literal in enumerate(literals)] + [(90, literals[4][:-1]), (91, literals[9][1:])]
+    rows += [(92, rows[2][1])] * 2 + [(93, literals[5][:40] + " " + literals[5][38:])]
+    found = find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string"), rules).collect()
+    spans = sorted((r.doc_id, [(s.start, s.rank, s.end, s.kind) for s in r.spans]) for r in found)
+    assert spans == sorted((i, brute(text, rules)) for i, text in rows)
+    assert sum(bool(s) for _, s in spans) == len(literals) + 2
+
+
 def test_only_candidates_are_matched(spark):
     docs = spark.createDataFrame([(1, "token here"), (2, "toke n"), (3, "nothing")], "doc_id bigint, text string")
     picked = secrets.candidates(docs, [Rule("t", "token")])
