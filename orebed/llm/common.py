@@ -66,20 +66,28 @@ def held_out(key: Column, folds: int, fold: int) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int, max_chars: int
 ) -> list[tuple[bytes, int]]:
-    """At most ``per_class`` labelled texts of each class, no longer than ``max_chars``.
+    """``per_class`` labelled texts of each class, fewer only where there are no more.
 
-    The ids are picked by hash from the narrow label table, so only the texts
-    picked move. Rows with contradicting labels count with the larger one.
+    Picked by a hash of the id among the ids that ``docs`` has; those with a text of at
+    most ``max_chars`` come first, and a longer text is taken as a piece of that
+    length from a place its hash decides. Of several texts with one id the
+    shorter kind, then the least by hash, is taken; rows with contradicting labels
+    count with the larger one. Only the texts picked move.
     """
     usable = labels.filter(train & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     ids = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("_label"))
-    ordered = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picks = [ids.filter(F.col("_label") == value).orderBy(*ordered).limit(per_class) for value in (0, 1)]
-    chosen = picks[0].unionByName(picks[1])  # at most 2 * per_class narrow rows
-    texts = docs.select("doc_id", "text").filter(F.length("text") <= max_chars)
-    found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "_label").dropDuplicates(["doc_id"])
-    rows = found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class).collect()
-    return [(row["text"].encode(), row["_label"]) for row in rows]
+    texts = docs.filter(docs["doc_id"].isNotNull()).select("doc_id", F.coalesce(docs["text"], F.lit("")).alias("text"))
+    texts = texts.withColumn("_long", F.length("text") > max_chars)
+    there = ids.join(texts.groupBy("doc_id").agg(F.min("_long").alias("_long")), "doc_id")
+    ordered = [F.col("_long"), F.xxhash64("doc_id"), F.col("doc_id")]
+    picks = [there.filter(F.col("_label") == value).orderBy(*ordered).limit(per_class) for value in (0, 1)]
+    chosen = picks[0].unionByName(picks[1]).select("doc_id", "_label")  # at most 2 * per_class narrow rows
+    seed = F.xxhash64("text")
+    start = F.when(F.col("_long"), F.pmod(seed, F.length("text") - max_chars + 1)).otherwise(0).cast("int") + 1
+    pieces = F.struct("_long", seed.alias("_seed"), F.substring("text", start, F.lit(max_chars)).alias("_piece"))
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.min(pieces).alias("_one"))
+    rows = found.select("doc_id", "_label", "_one._piece").orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class).collect()
+    return [(row["_piece"].encode(), row["_label"]) for row in rows]
 
 
 def by_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]):

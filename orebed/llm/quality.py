@@ -150,11 +150,14 @@ def train(sample: list[tuple[bytes, int]], seed: int = 7, steps: int = STEPS) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: Column) -> Weights:
-    """Train on at most 2,000 texts of each quality label, of up to 6,000 characters, picked by hash.
+    """Train on at most 2,000 texts of each quality label, or pieces of 6,000 characters of longer ones, picked by hash.
 
     Training sees both labels equally often; the odds are then set to those of all training labels.
     """
-    weights = train(labelled_sample(docs, labels, "quality", train_rows, PER_CLASS, MAX_CHARS))
+    sample = labelled_sample(docs, labels, "quality", train_rows, PER_CLASS, MAX_CHARS)
+    weights = train(sample)
+    if len({label for _, label in sample}) < 2:
+        return weights  # nothing was learnt whose odds could be set
     bad, good = labels.filter(train_rows).agg(F.count_if(F.col("quality") == 0), F.count_if(F.col("quality") == 1)).first()
     if bad and good:
         weights["base"] = weights["base"] + np.float32(np.log(good / bad))

@@ -297,7 +297,7 @@ def _grouped(model: Model, texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int) -> Model:
-    """Train on at most 1,000 texts of each label, of up to 6,000 characters, picked by hash.
+    """Train on at most 1,000 texts of each label, or pieces of 6,000 characters of longer ones, picked by hash.
 
     The curve's odds, those of the sample, are then set to those of all training labels.
     """

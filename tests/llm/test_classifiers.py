@@ -203,3 +203,81 @@ def test_network_gradients():
         down = loss()
         flat[spot] = kept
         assert grads[name].reshape(-1)[spot] == pytest.approx((up - down) / (2 * step), rel=0.02, abs=1e-5)
+
+
+def test_network_by_hand():
+    """Scores of whole texts, one window, filter and chunk at a time."""
+    rng = np.random.default_rng(5)
+    weights = {name: value + np.float32(0.05) for name, value in quality.initial(rng).items()}
+    weights["out"] = rng.normal(0, 1, len(weights["out"])).astype(np.float32)
+    texts = [b"", b"short", bytes(rng.integers(32, 255, 700).astype(np.uint8)), bytes(rng.integers(97, 123, 1300).astype(np.uint8))]
+
+    def by_hand(text):
+        hidden = []
+        for chunk in quality.chunks_of(text):
+            best = np.full(quality.FILTERS, -np.inf)
+            for place in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE):
+                seen = np.concatenate([weights["embed"][byte] for byte in chunk[place : place + quality.WIDTH]])
+                for number in range(quality.FILTERS):
+                    best[number] = max(best[number], float(seen @ weights["filters"][:, number]))
+            pooled = np.maximum(best + weights["bias"], 0)
+            hidden.append([max(0.0, float(pooled @ weights["dense"][:, n]) + weights["shift"][n]) for n in range(quality.HIDDEN)])
+        both = np.concatenate([np.mean(hidden, axis=0), np.max(hidden, axis=0)])
+        return 1 / (1 + np.exp(-(both @ weights["out"] + weights["base"][0])))
+
+    assert quality.score(texts, weights) == pytest.approx([by_hand(text) for text in texts], rel=1e-4)
+
+
+def test_worst_piece_by_hand():
+    """Every subsequence of every piece, letter by letter, for texts scored together."""
+    rng = np.random.default_rng(6)
+    model = toxicity.Model(rng.normal(0, 1, toxicity.LETTERS**4).astype(np.float32), 0.1, -0.2)
+    words = ["you", "i-d-i-o-t", "été", "дурак", "fine.", "a b c d e", "...", "\n", "x" * 40]
+    texts = [" ".join(rng.choice(words, n)).encode() for n in (1, 5, 40, 120)] + [b"", b"?!", b"idiot"]
+
+    def by_hand(text):
+        codes, places = toxicity._letters(text)
+        letters = [*codes.tolist(), *[0] * toxicity.REACH]
+        best = -np.inf
+        for low, high in zip(*toxicity._piece_bounds(text)):
+            answer = 0.0
+            for start in np.flatnonzero((places >= low) & (places < high)):
+                for one in range(1, 5):
+                    for two in range(one + 1, one + 5):
+                        for three in range(two + 1, min(two + 5, 7)):
+                            number = 0
+                            for step in (0, one, two, three):
+                                number = number * toxicity.LETTERS + letters[start + step]
+                            answer += float(model.table[number]) * toxicity.DECAY ** (three - 3)
+            best = max(best, answer)
+        return 1 / (1 + np.exp(-(model.slope * best + model.shift)))
+
+    assert model.scores(texts) == pytest.approx([by_hand(text) for text in texts], rel=1e-3)
+
+
+@pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (quality, "quality")])
+def test_long_labelled_texts_train_a_model(spark, small_steps, module, label):
+    """Forty labelled texts, all of them longer than a piece."""
+    words = {0: ["calm", "river", "stone"], 1: ["idiot", "worthless", "vile"]}
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices(words[i % 2], k=1600)) + ".") for i in range(40)]
+    assert min(len(text) for _, text in rows) > module.MAX_CHARS
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    scored = module.score_documents(docs, labels).collect()
+    assert {row.doc_id: row.predicted for row in scored} == {i: i % 2 for i in range(40)}
+    nothing = labels.withColumn("doc_id", F.col("doc_id") + 1000)  # labels of other documents
+    assert {row.score for row in module.score_documents(docs, nothing).collect()} == {0.5}
+
+
+def test_the_sample_is_full_and_always_the_same(spark):
+    from orebed.llm.common import labelled_sample
+
+    texts = [(i, "x" * (10 if i % 4 else 90) + str(i)) for i in range(60)] + [(7, "another text"), (7, None), (7, "z" * 80), (None, "none")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").withColumn("_label", F.lit(3))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 200)], "doc_id bigint, toxic int")
+    found = labelled_sample(docs, labels, "toxic", F.lit(True), 20, 50)
+    assert [sum(label == value for _, label in found) for value in (0, 1)] == [20, 20]
+    assert all(len(text) <= 50 for text, _ in found)
+    assert found == labelled_sample(docs.repartition(7).orderBy("text"), labels, "toxic", F.lit(True), 20, 50)
+    assert len(labelled_sample(docs, labels, "toxic", F.lit(True), 500, 50)) == 60
