@@ -10,10 +10,7 @@ from pyspark.sql import functions as F
 
 from orebed.functions.scalars import ladder
 from orebed.operators.projections import tagged
-from orebed.operators.skew import as_column, is_large, known_values, will_broadcast
-
-# More channels than this are compared by name.
-MAX_NUMBERED_CHANNELS = 64
+from orebed.operators.skew import as_column, will_broadcast
 
 
 def daily_counts(
@@ -37,33 +34,18 @@ def monthly_fact(df: DataFrame, customer: str, ts: str, amount: str, channel: st
 
     Channel ties go to the smallest name; a null channel is counted in the
     totals but cannot be the top one. Counting per channel first keeps the state
-    fixed-size and needs a single scan. On large input with few channels, these
-    are numbered and the top one is found as the maximum of a plain number, which
-    Spark does by hashing; a maximum over names needs two sorts.
+    fixed-size and needs a single scan.
     """
-    names = known_values(df, channel, limit=MAX_NUMBERED_CHANNELS) if is_large(df) else None
-    slot = F.col(channel)
-    if names:
-        names.sort(reverse=True)
-        size = len(names)
-        slot = F.when(slot.isNull(), None)
-        for number, name in enumerate(names):
-            slot = slot.when(F.col(channel) == name, F.lit(number))
-        best = F.max(F.col("_n") * size + F.col("_channel"))
-        place = (F.col("_best") % size + 1).cast("int")
-        top = F.element_at(F.array(*[F.lit(name) for name in names]), place)
-    else:
-        rank = F.when(F.col("_channel").isNotNull(), F.struct(-F.col("_n"), F.col("_channel")))
-        best, top = F.min_by("_channel", rank), F.col("_best")
+    rank = F.when(F.col("_channel").isNotNull(), F.struct(-F.col("_n"), F.col("_channel")))
     month = F.trunc(ts, "MM").alias("_month")
-    per_channel = df.groupBy(F.col(customer).alias("customer_id"), month, slot.alias("_channel")).agg(
+    per_channel = df.groupBy(F.col(customer).alias("customer_id"), month, F.col(channel).alias("_channel")).agg(
         F.count(F.lit(1)).alias("_n"), F.count(amount).alias("_priced"), F.sum(amount).alias("_sum")
     )
     monthly = per_channel.groupBy("customer_id", "_month").agg(
         F.sum("_n").alias("total_transactions"),
         F.sum("_sum").alias("_sum"),
         F.sum("_priced").alias("_priced"),
-        best.alias("_best"),
+        F.min_by("_channel", rank).alias("_best"),
     )
     return monthly.select(
         "customer_id",
@@ -71,7 +53,7 @@ def monthly_fact(df: DataFrame, customer: str, ts: str, amount: str, channel: st
         "total_transactions",
         F.round("_sum", 2).alias("total_amount"),
         F.round(F.try_divide("_sum", "_priced"), 6).alias("avg_ticket"),
-        top.alias("top_channel"),
+        F.col("_best").alias("top_channel"),
     )
 
 

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orebed.operators.cdc import dedupe_latest
-from orebed.operators.skew import skew_join, split_join
-from orebed.session import shared_root
+from orebed.operators.skew import skew_join
 
 
 def unique_on(dim: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
@@ -19,13 +18,8 @@ def unique_on(dim: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Inner join of a fact to dimensions that hold their key once."""
-    split = False
     for dim, keys in dims:
-        if split:
-            # Two branches by now; without a cut each further split doubles them.
-            shared_root(fact.sparkSession)
-            fact = fact.checkpoint()
-        fact, split = split_join(fact, dim, keys, "inner")
+        fact = skew_join(fact, dim, keys)
     return fact
 
 

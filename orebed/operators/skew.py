@@ -1,11 +1,10 @@
 """Joins and ordered look-ahead that hold up when one key has very many rows.
 
-A join or a window sends all rows of a key to one task. The helpers here first
-estimate the rows per key from a thin sample of the key columns. Keys above a
-row limit are *hot*: there can only be about ``total rows / limit`` of them, so
-the list is small and may be broadcast. Hot rows then stay where they are and
-everything else takes the ordinary shuffle. The estimate decides the way a row
-takes, never the result: all rows take part on either way.
+A join or a window sends all rows of a key to one task. Joins are laid out so
+that Spark may split such a task at run time: both sides come straight from an
+exchange made for the join. Windows cannot be split, so there the keys with very
+many rows are found first, by a frequent-items sketch that every task fills and
+Spark merges. The sketch decides the way a row takes, never the result.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orebed.session import plan_bytes, shared_root
@@ -21,13 +20,11 @@ from orebed.session import plan_bytes, shared_root
 # A key with more rows than this is hot.
 HOT_ROWS = "spark.orebed.hotRows"
 DEFAULT_HOT_ROWS = 2_000_000
-# Inputs estimated below this many bytes are joined without counting first.
-PROBE_BYTES = "spark.orebed.probeBytes"
-DEFAULT_PROBE_BYTES = 256 * 1024 * 1024
-# No more hot keys than this are treated apart; the rest take the shuffle.
-MAX_HOT_KEYS = 20_000
-# A key at the limit is expected this often in the sample; half of it is hot.
-SAMPLE_HITS = 200
+# The sketch follows so many keys and names the most frequent of them. Any key with more than
+# a few of 100,000ths of all rows is among those followed; a rarer one fits a task.
+FOLLOWED, NAMED = 100_000, 10_000
+# The joined rows' key hash, which makes the join ask for an exchange of its own.
+HASH = "_key_hash"
 
 
 def _broadcast_limit(df: DataFrame) -> int:
@@ -39,82 +36,30 @@ def will_broadcast(df: DataFrame) -> bool:
     return plan_bytes(df) <= _broadcast_limit(df)
 
 
-def _hot_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(HOT_ROWS, str(DEFAULT_HOT_ROWS)))
+def heavy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> dict[int, int]:
+    """Hashes of keys with more than ``hot_rows`` rows, and about how many.
 
-
-def is_large(df: DataFrame) -> bool:
-    """Whether it pays to look at the data before planning."""
-    return plan_bytes(df) >= int(df.sparkSession.conf.get(PROBE_BYTES, str(DEFAULT_PROBE_BYTES)))
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[Row]:
-    """Keys with more than ``hot_rows`` rows and their (estimated) count in ``_rows``.
-
-    Counted on a sample, so that nearly unique keys cost no shuffle of their
-    own. Limits below the sample size are counted exactly.
+    One pass over the key columns, of which a sketch of fixed size is left. A key
+    that shares a hash with a hot one is treated like it, which does no harm.
     """
-    picked = df.select(*keys)
-    fraction, least = 1.0, hot_rows
-    if hot_rows > SAMPLE_HITS:
-        fraction, least = SAMPLE_HITS / hot_rows, SAMPLE_HITS // 2
-        picked = picked.sample(fraction, seed=17)
-    counts = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > least)
-    rows = (F.col("_n") / fraction).cast("bigint").alias("_rows")
-    return counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).select(*keys, rows).collect()
-
+    sketch = F.expr(f"approx_top_k({HASH}, {NAMED}, {FOLLOWED})").alias("found")
+    found = df.select(F.xxhash64(*keys).alias(HASH)).agg(sketch).first()["found"] or []
+    return {row["item"]: row["count"] for row in found if row["count"] > hot_rows}
 
-def _mark_frame(df: DataFrame, keys: Sequence[str], hot: Sequence[Row]) -> DataFrame:
-    schema = df.select(*keys).schema
-    return F.broadcast(df.sparkSession.createDataFrame([tuple(row[key] for key in keys) for row in hot], schema))
 
-
-def _pick(df: DataFrame, keys: Sequence[str], marks: DataFrame, how: str) -> DataFrame:
-    renamed = marks.select(*[F.col(key).alias(f"_hot_{key}") for key in keys])
-    same = [df[key].eqNullSafe(renamed[f"_hot_{key}"]) for key in keys]
-    return df.join(F.broadcast(renamed), same, how)
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    hot_rows: int | None = None,
-) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal keys; ``right`` holds each key at most once.
 
-    Small right sides are left to Spark's size-checked broadcast. Otherwise the
-    hot keys of ``left`` are joined to a broadcast of their few right rows, and
-    the remaining keys are joined by shuffle. Passing ``hot_rows`` forces the
-    count of hot keys whatever the sizes.
+    A right side that Spark finds small is broadcast. Otherwise both sides are
+    exchanged for this join, also one that an aggregate has dealt by these keys
+    already: Spark can split the rows of a hot key over several tasks only when
+    nothing but a sort stands between exchange and join.
     """
-    return split_join(left, right, keys, how, hot_rows)[0]
-
-
-def split_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot_rows: int | None = None
-) -> tuple[DataFrame, bool]:
-    """The join of :func:`skew_join`, and whether hot keys were treated apart."""
     keys = list(keys)
     for key in keys:  # a null key matches nothing, and there may be many
         right = right.filter(F.col(key).isNotNull())
-    if hot_rows is None:
-        if will_broadcast(right) or not is_large(left):
-            return left.join(right, keys, how), False
-        hot_rows = _hot_limit(left)
-    hot = hot_keys(left, keys, hot_rows)
-    if not hot:
-        return left.join(right, keys, how), False
-    marks = _mark_frame(left, keys, hot)
-    # Read once: as a list this short it need not be worked out again below.
-    matches = _pick(right, keys, marks, "left_semi").limit(MAX_HOT_KEYS + 1).collect()
-    if len(matches) > MAX_HOT_KEYS:
-        return left.join(right, keys, how), False  # not unique: leave it to the shuffle
-    few = F.broadcast(left.sparkSession.createDataFrame(matches, right.schema))
-    spread = _pick(left, keys, marks, "left_semi").join(few, keys, how)
-    rest = _pick(left, keys, marks, "left_anti").join(right, keys, how)
-    return spread.unionByName(rest), True
+    hashed = F.xxhash64(*keys)
+    return left.withColumn(HASH, hashed).join(right.withColumn(HASH, hashed), [*keys, HASH], how).drop(HASH)
 
 
 def lead_by_key(
@@ -134,25 +79,27 @@ def lead_by_key(
     keys, order = list(keys), list(order)
     plain = Window.partitionBy(*keys).orderBy(*order)
     if hot_rows is None:
-        if not is_large(df):
-            return df.withColumn(out, F.lead(order[0]).over(plain))
-        hot_rows = _hot_limit(df)
-    hot = hot_keys(df, keys, hot_rows)
+        hot_rows = int(df.sparkSession.conf.get(HOT_ROWS, str(DEFAULT_HOT_ROWS)))
+    hot = heavy_keys(df, keys, hot_rows)
     if not hot:
         return df.withColumn(out, F.lead(order[0]).over(plain))
 
     shared_root(df.sparkSession)
-    marks = _mark_frame(df, keys, hot)
-    slices = math.ceil(sum(row["_rows"] for row in hot) / hot_rows) + 1
+    marks = F.broadcast(df.sparkSession.createDataFrame([(key,) for key in hot], f"{HASH} bigint"))  # NAMED at most
+
+    def pick(how: str) -> DataFrame:
+        return df.withColumn(HASH, F.xxhash64(*keys)).join(marks, HASH, how).drop(HASH)
+
+    slices = math.ceil(sum(hot.values()) / hot_rows) + 1
     sliced = (
-        _pick(df, keys, marks, "left_semi")
+        pick("left_semi")
         .repartitionByRange(slices, *keys, *order)
         .withColumn("_slice", F.spark_partition_id())
         # Slice numbers are read twice below and must not change in between.
         .checkpoint()
     )
     # Each key fills a run of slices, so there are at most ``slices`` plus the
-    # number of hot keys of these rows, few enough to broadcast.
+    # number of hot keys of these rows; Spark broadcasts them if they are small.
     heads = (
         sliced.groupBy("_slice", *keys)
         .agg(F.min(F.struct(*order)).alias("_head"))
@@ -164,10 +111,10 @@ def lead_by_key(
         "_last", F.lead(F.lit(True)).over(last).isNull()
     )
     same = [stepped[key].eqNullSafe(heads[f"_k_{key}"]) for key in keys] + [stepped["_slice"] == heads["_s"]]
-    spread = stepped.join(F.broadcast(heads), same, "left").select(
+    spread = stepped.join(heads, same, "left").select(
         *df.columns, F.when(F.col("_last"), F.col("_next")).otherwise(F.col(out)).alias(out)
     )
-    rest = _pick(df, keys, marks, "left_anti").withColumn(out, F.lead(order[0]).over(plain))
+    rest = pick("left_anti").withColumn(out, F.lead(order[0]).over(plain))
     return spread.unionByName(rest)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -44,20 +47,38 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put a small file in place whole: written aside, then renamed over the old one.
-
-    A reader sees the old text or the new one, never none.
-    """
+def _put(spark: SparkSession, path: str, text: str, over: bool) -> None:
+    """Write a small file aside and rename it, over an old one or only if there is none."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     hadoop = jvm.org.apache.hadoop.fs
     files, target = _resolve(spark, path)
-    aside = hadoop.Path(f"{path}.part")
+    aside = hadoop.Path(f"{path}.{uuid.uuid4().hex}.part")
     stream = files.create(aside, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
-    hadoop.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(aside), files.makeQualified(target), options)
+    kind = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE if over else kind.NONE
+    try:
+        hadoop.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(aside), files.makeQualified(target), options)
+    except Py4JJavaError:
+        files.delete(aside, False)
+        raise
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place whole. A reader sees the old text or the new one, never none."""
+    _put(spark, path, text, over=True)
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place whole unless there is one already. False if there is."""
+    try:
+        _put(spark, path, text, over=False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True

@@ -901,7 +901,7 @@ def l3_csv_medallion(spark, sf_dir):
     )
     source = tables.export_csv(handed_over, f"{root}/landing/transactions")
     layers = transactions.run(spark, source, root).layers
-    monthly = spark.read.parquet(layers.table("gold", transactions.MONTHLY))
+    monthly = transactions.read_table(spark, layers, transactions.MONTHLY)
     return monthly.withColumn("customer_id", F.col("customer_id").cast("bigint"))
 
 

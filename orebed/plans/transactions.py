@@ -9,8 +9,9 @@ from orebed.operators.aggregates import monthly_fact
 from orebed.operators.expectations import Expectation, apply_expectations
 from orebed.plans.layers import JobReport, Layers, open_layers
 from orebed.session import fit_shuffle
+from orebed.sources import commits
 from orebed.sources.files import RESCUED, read_csv, with_ingest_metadata
-from orebed.sources.tables import note_path, write_path
+from orebed.sources.tables import note_path
 from orebed.streaming.run import RunReport
 
 # The columns of the hand-over, its rules, the monthly table.
@@ -51,34 +52,35 @@ def monthly(clean: DataFrame) -> DataFrame:
     return monthly_fact(clean, "customer_id", "transaction_date", "amount", "channel")
 
 
-def bronze(spark: SparkSession, source: str, layers: Layers) -> None:
-    write_path(with_ingest_metadata(read_csv(spark, source, TRANSACTION_SCHEMA, rescue=True)), layers.table("bronze", RAW))
+def handed_over(spark: SparkSession, source: str) -> DataFrame:
+    return with_ingest_metadata(read_csv(spark, source, TRANSACTION_SCHEMA, rescue=True))
 
 
-def silver(spark: SparkSession, layers: Layers) -> RunReport:
-    observation = Observation(CLEAN)
-    raw = spark.read.parquet(layers.table("bronze", RAW)).drop(RESCUED)
-    write_path(apply_expectations(raw, TRANSACTION_RULES, observation), layers.table("silver", CLEAN))
-    counts = dict(observation.get)
-    return RunReport(rows_read=counts["rows"], batches=1, observed={CLEAN: counts})
-
-
-def gold(spark: SparkSession, layers: Layers) -> None:
-    clean = fit_shuffle(spark.read.parquet(layers.table("silver", CLEAN)))
-    write_path(monthly(clean), layers.table("gold", MONTHLY))
+def read_table(spark: SparkSession, layers: Layers, name: str) -> DataFrame | None:
+    """One of the job's tables as of its last finished run, or None before the first."""
+    return commits.read_table(spark, layers.base, name)
 
 
 def run(spark: SparkSession, source: str, root: str, validate: bool = False) -> JobReport:
-    """Rebuild all three tables from the CSV below ``source``."""
+    """Rebuild all three tables from the CSV below ``source``, as one change.
+
+    If a rule fails or the run ends early, all three stay as they were; readers
+    never see tables of different runs. Running it again gives the same tables.
+    """
     if validate:
-        raw = with_ingest_metadata(read_csv(spark, source, TRANSACTION_SCHEMA, rescue=True))
+        raw = handed_over(spark, source)
         clean = apply_expectations(raw.drop(RESCUED), TRANSACTION_RULES, CLEAN)
         frames = {RAW: raw, CLEAN: clean, MONTHLY: monthly(clean)}
         return JobReport(schemas={name: frame.schema.simpleString() for name, frame in frames.items()})
     layers = open_layers(spark, root, "transactions")
-    bronze(spark, source, layers)
-    steps = {CLEAN: silver(spark, layers)}
-    gold(spark, layers)
+    observation = Observation(CLEAN)
+    with commits.change(spark, layers.base) as tables:
+        raw = tables.write(RAW, handed_over(spark, source))
+        clean = tables.write(CLEAN, apply_expectations(raw.drop(RESCUED), TRANSACTION_RULES, observation))
+        tables.write(MONTHLY, monthly(fit_shuffle(clean)))
+    commits.prune(spark, layers.base)
+    counts = dict(observation.get)
+    steps = {CLEAN: RunReport(rows_read=counts["rows"], batches=1, observed={CLEAN: counts})}
     note_path(spark, layers.notes, RAW, "Transactions as handed over", {"quality": "bronze"})
     note_path(spark, layers.notes, CLEAN, "Checked transactions", {"quality": "silver"})
     note_path(spark, layers.notes, MONTHLY, "Transactions per customer and month", {"quality": "gold"})

@@ -15,9 +15,6 @@ FOLDERS = [
     ("bronze", customers.RAW),
     ("silver", customers.CLEAN),
     ("gold", customers.SUMMARY),
-    ("bronze", transactions.RAW),
-    ("silver", transactions.CLEAN),
-    ("gold", transactions.MONTHLY),
     ("bronze", status.RAW),
 ]
 
@@ -36,6 +33,8 @@ def register(spark: SparkSession, layers: Layers) -> list[str]:
     found[orders.DAILY] = orders.read_daily(spark, layers)
     found[customers.CURRENT] = customers.read_customers(spark, layers)
     found[status.LATEST] = status.latest_in(spark, layers)
+    for name in (transactions.RAW, transactions.CLEAN, transactions.MONTHLY):
+        found[name] = transactions.read_table(spark, layers, name)
     names = [name for name, df in found.items() if df is not None]
     for name in names:
         found[name].createOrReplaceTempView(name)

@@ -41,11 +41,8 @@ def test_daily_counts_nulls(spark):
     assert rows(A.daily_counts(df, "at", "customer")) == sorted([(dt.date(2025, 1, 1), 2, 1), (None, 1, 1)], key=repr)
 
 
-@pytest.mark.parametrize("probe_bytes, numbered", [("0", 64), ("0", 2), (str(2**60), 64)])
-def test_monthly_fact(spark, monkeypatch, movements, probe_bytes, numbered):
+def test_monthly_fact(spark, movements):
     data, df = movements
-    monkeypatch.setattr(A, "MAX_NUMBERED_CHANNELS", numbered)
-    spark.conf.set("spark.orebed.probeBytes", probe_bytes)
     groups = defaultdict(list)
     for customer, at, amount, channel in data:
         groups[(customer, f"{at:%Y-%m}")].append((amount, channel))
@@ -56,18 +53,14 @@ def test_monthly_fact(spark, monkeypatch, movements, probe_bytes, numbered):
         total = sum(amount for amount, _ in items)
         expected.append((customer, month, len(items), total, round(total / len(items), 6), top))
     found = rows(A.monthly_fact(df, "customer", "at", "amount", "channel"))
-    spark.conf.unset("spark.orebed.probeBytes")
     for here, there in zip(found, sorted(expected, key=repr), strict=True):
         assert here[:4] == there[:4] and here[5] == there[5]
         assert here[4] == pytest.approx(there[4])
 
 
-@pytest.mark.parametrize("probe_bytes", ["0", str(2**60)])
-def test_monthly_fact_without_channel(spark, probe_bytes):
-    spark.conf.set("spark.orebed.probeBytes", probe_bytes)
+def test_monthly_fact_without_channel(spark):
     df = spark.createDataFrame([("a", dt.date(2025, 1, 1), None, None)], "c string, d date, m double, ch string")
     found = rows(A.monthly_fact(df, "c", "d", "m", "ch"))
-    spark.conf.unset("spark.orebed.probeBytes")
     assert found == [("a", "2025-01", 1, None, None, None)]
 
 

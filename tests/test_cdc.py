@@ -222,7 +222,7 @@ def test_merge_against_brute_force(spark, large):
     change = {key: (op, v) for key, v, op in source if op in ("UPDATE", "DELETE") and key is not None}
     expected = [(key, change[key][1] if key in change else v) for key, v in target if change.get(key, ("",))[0] != "DELETE"]
     expected += [(key, v) for key, v, op in source if op == "INSERT" and key not in present]
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.orebed.probeBytes": "0", "spark.orebed.hotRows": "3"}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     for name, value in settings.items() if large else ():
         spark.conf.set(name, value)
     try:

@@ -172,10 +172,44 @@ def test_transactions_job(spark, folder):
         step = report.steps[transactions.CLEAN]
         assert (step.rows_read, step.rows_added) == (6, 4)
         assert step.observed[transactions.CLEAN]["failed_valid_amount"] == 2
-    monthly = spark.read.parquet(report.layers.table("gold", transactions.MONTHLY))
+    monthly = transactions.read_table(spark, report.layers, transactions.MONTHLY)
     assert monthly.schema.simpleString() == transactions.MONTHLY_SCHEMA.simpleString()
     assert rows(monthly) == [("a", "2025-01", 3, 15.0, 5.0, "Web"), ("b", "2025-02", 1, -3.0, -3.0, "ATM")]
     assert transactions.MONTHLY in transactions.run(spark, f"{folder}/csv", folder, validate=True).schemas
+    assert set(views.register(spark, report.layers)) == {transactions.RAW, transactions.CLEAN, transactions.MONTHLY}
+
+
+def test_transactions_change_together(spark, folder, monkeypatch):
+    """A failing rule or an end between steps leaves all three tables of the run before."""
+    day = dt.date(2025, 1, 5)
+
+    def hand_over(*ids):
+        data = [(key, "a", "B", day, 10.0, "Pago", "App", "P", "USD", "Aprobada") for key in ids]
+        frame = spark.createDataFrame(data, transactions.TRANSACTION_SCHEMA)
+        frame.write.mode("overwrite").option("header", True).csv(f"{folder}/csv")
+        return transactions.run(spark, f"{folder}/csv", folder).layers
+
+    def counts(layers):
+        tables = [transactions.read_table(spark, layers, name) for name in (transactions.RAW, transactions.CLEAN, transactions.MONTHLY)]
+        return [tables[0].count(), tables[1].count(), tables[2].first().total_transactions]
+
+    layers = hand_over("T1", "T2")
+    assert counts(layers) == [2, 2, 2]
+    early = transactions.read_table(spark, layers, transactions.CLEAN)
+    with pytest.raises(Exception, match="valid_id"):
+        hand_over("T1", None, "T3")
+    assert counts(layers) == [2, 2, 2]
+    with monkeypatch.context() as patch:
+        patch.setattr(transactions, "monthly", lambda clean: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            hand_over("T1", "T2", "T3")
+    assert counts(layers) == [2, 2, 2]
+    assert len(paths.list_names(spark, f"{layers.base}/data/{transactions.RAW}")) == 1  # nothing is left behind
+    assert counts(hand_over("T1", "T2", "T3")) == [3, 3, 3]
+    assert early.count() == 2  # a reader that began before still has its files
+    for _ in range(3):
+        assert counts(hand_over("T1", "T2", "T3")) == [3, 3, 3]
+    assert len(paths.list_names(spark, f"{layers.base}/data/{transactions.RAW}")) == 2
 
 
 @pytest.mark.parametrize("max_files", [None, 1])

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orebed.operators.skew import _broadcast_limit, hot_keys, lead_by_key, skew_join
+from orebed.operators.skew import _broadcast_limit, heavy_keys, lead_by_key, skew_join
 from orebed.session import fit_shuffle, plan_bytes
 from tests.conftest import rows
 
@@ -16,53 +16,64 @@ def sides(spark):
     return spark.createDataFrame(left, "k string, n int"), spark.createDataFrame(right, "k string, v int")
 
 
-def test_hot_keys(spark, sides):
-    found = hot_keys(sides[0], ["k"], 200)
-    assert [row["k"] for row in found] == ["hot", None]
-    assert found[0]["_rows"] > found[1]["_rows"] > 200
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+# Partitions of a few KB count as skewed.
+SMALL_SKEW = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+}
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_split_join_equals_plain_join(sides, how):
-    left, right = sides
-    expected = left.join(right.filter("k is not null"), ["k"], how)
-    split = skew_join(left, right, ["k"], how, hot_rows=200)
-    assert split.columns == expected.columns
-    assert rows(split) == rows(expected)
-    assert rows(skew_join(left, right, ["k"], how)) == rows(expected)
+@pytest.fixture
+def as_if_large(spark):
+    for name, value in {**NO_BROADCAST, **SMALL_SKEW}.items():
+        spark.conf.set(name, value)
+    yield
+    for name in {**NO_BROADCAST, **SMALL_SKEW}:
+        spark.conf.unset(name)
 
 
-def test_hot_rows_are_not_shuffled_by_key(spark, sides):
-    left, right = sides
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = skew_join(left, right, ["k"], "inner", hot_rows=200)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    hot_half, _, rest_half = plan.partition("SortMergeJoin")
-    assert "hashpartitioning(k" not in hot_half
-    assert "hashpartitioning(k" in rest_half
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_heavy_keys(spark, sides):
+    found = heavy_keys(sides[0], ["k"], 200)
+    hashes = [row[0] for row in spark.createDataFrame([("hot",), (None,)], "k string").select(F.xxhash64("k")).collect()]
+    assert list(found) == hashes and found[hashes[0]] > found[hashes[1]] > 200
+    assert heavy_keys(sides[0].limit(0), ["k"], 0) == {}
 
 
-def test_join_counts_only_large_inputs(spark, sides):
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_join_equals_plain_join(sides, as_if_large, how):
     left, right = sides
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.orebed.probeBytes", "1")
-    spark.conf.set("spark.orebed.hotRows", "200")
-    try:
-        joined = skew_join(left, right, ["k"], "left")
-        assert "Union" in joined._jdf.queryExecution().analyzed().toString()
-        assert rows(joined) == rows(left.join(right.filter("k is not null"), ["k"], "left"))
-    finally:
-        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.orebed.probeBytes", "spark.orebed.hotRows"):
-            spark.conf.unset(name)
+    expected = left.join(right.filter("k is not null"), ["k"], how)
+    joined = skew_join(left, right, ["k"], how)
+    assert joined.columns == expected.columns
+    assert rows(joined) == rows(expected)
 
 
-def test_two_key_columns(spark):
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_hot_key_is_split_beside_an_aggregate(spark, as_if_large, how):
+    """The left side is read once, and its hot rows meet the right one in several tasks."""
+    left = spark.range(0, 40_000, numPartitions=16).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    counted = spark.range(0, 60_000, 2).select((F.col("id") % 30_000).alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+    joined = skew_join(left, counted, ["k"], how)
+    plan = final_plan(joined).split("Initial Plan")[0]
+    assert "skew=true" in plan and plan.count("Range (0, 40000") == 1
+    expected = left.join(counted, "k", how)
+    assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
+    # Without the exchange of its own it is not split.
+    assert "skew=true" not in final_plan(left.join(counted, "k", how)).split("Initial Plan")[0]
+
+
+def test_two_key_columns(spark, as_if_large):
     left = spark.createDataFrame([("a", 1, i) for i in range(50)] + [("a", 2, 1), ("b", None, 2)], "a string, b int, n int")
     right = spark.createDataFrame([("a", 1, 10), ("b", 2, 20)], "a string, b int, v int")
     for how in ("inner", "left", "left_semi", "left_anti"):
-        assert rows(skew_join(left, right, ["a", "b"], how, hot_rows=10)) == rows(left.join(right, ["a", "b"], how))
+        assert rows(skew_join(left, right, ["a", "b"], how)) == rows(left.join(right, ["a", "b"], how))
 
 
 @pytest.mark.parametrize("hot_rows", [10_000, 300, 60])
@@ -89,30 +100,16 @@ def test_slices_bound_the_window(spark):
     assert "hashpartitioning(_slice" in plan
 
 
-def test_sampled_hot_keys(spark):
+def test_one_heavy_key_among_many(spark):
     """Nearly unique keys beside one key with a third of all rows."""
     df = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
-    found = hot_keys(df, ["k"], 20_000)
-    assert [row["k"] for row in found] == [-1]
-    assert 60_000 < found[0]["_rows"] < 140_000
-    dim = spark.range(0, 300_000, 2).withColumnRenamed("id", "k").union(spark.createDataFrame([(-1,)], "k bigint"))
-    joined = skew_join(df, dim, ["k"], "inner", hot_rows=20_000)
-    assert joined.count() == 100_000 + 100_000
+    found = heavy_keys(df, ["k"], 20_000)
+    assert len(found) == 1 and 90_000 < sum(found.values()) < 110_000
     out = lead_by_key(df, ["k"], ["id"], "nxt", hot_rows=20_000)
     assert out.filter("nxt = id + 3 AND k = -1").count() == 99_999
     assert out.filter("nxt IS NULL").count() == 200_001
 
 
-def test_repeated_right_keys_are_not_broadcast(spark, monkeypatch):
-    from orebed.operators import skew
-
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 5)
-    left = spark.createDataFrame([("a", i) for i in range(30)], "k string, n int")
-    right = spark.createDataFrame([("a", i) for i in range(9)], "k string, v int")
-    joined, split = skew.split_join(left, right, ["k"], "inner", hot_rows=10)
-    assert not split and joined.count() == 270
-
-
 def test_fit_shuffle_only_raises(spark):
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     df = spark.range(100_000)
@@ -135,7 +132,7 @@ def test_star_join_with_two_hot_dimensions(spark):
     first = spark.createDataFrame([("hot", 1), *[(f"c{i}", i) for i in range(9)]], "a string, x int")
     second = spark.range(20).selectExpr("cast(id as int) as b", "id * 2 as y")
     expected = rows(fact.join(first, "a").join(second, "b").select("a", "b", "n", "x", "y"))
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.orebed.probeBytes": "0", "spark.orebed.hotRows": "20"}
+    settings = {**NO_BROADCAST, **SMALL_SKEW}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
