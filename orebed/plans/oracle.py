@@ -186,6 +186,9 @@ where rn = 1
 -- a1_daily_orders
 select cast(o_orderdate as date) as order_date, count(*) as total_daily_orders, count(distinct o_custkey) as unique_customers
 from orders group by 1
+-- a1_daily_incremental
+select cast(o_orderdate as date) as order_date, count(*) as total_daily_orders, count(distinct o_custkey) as unique_customers
+from orders group by 1
 -- a2_monthly_fact
 with r as (select o_custkey, strftime(o_orderdate, '%Y-%m') as ym, o_orderpriority,
                   row_number() over (partition by o_custkey, strftime(o_orderdate, '%Y-%m')

@@ -13,6 +13,7 @@ from orebed.operators.expectations import Expectation, apply_expectations
 from orebed.plans.layers import JobReport, Layers, open_layers
 from orebed.sources.files import ingest_json, read_stream_table, stream_json
 from orebed.sources.tables import export_jsonl, note_path
+from orebed.streaming.daily import keep_daily_counts, read_daily_counts
 from orebed.streaming.run import RunReport, run_available
 from orebed.streaming.touched import read_days, refresh_days
 
@@ -42,6 +43,7 @@ ORDER_RULES = [
     Expectation("valid_timestamp", "order_timestamp > '2020-01-01'"),
 ]
 RAW, CLEAN, DAILY = "orders_raw", "orders_clean", "orders_daily"
+COUNTS = "orders_daily_counts"
 
 
 def checked_orders(raw: DataFrame, mode: str = "strict") -> DataFrame:
@@ -93,8 +95,20 @@ def gold(spark: SparkSession, layers: Layers) -> RunReport:
     )
 
 
+def gold_by_differences(spark: SparkSession, layers: Layers, max_files: int | None = None) -> RunReport:
+    """Add the new orders to the counts of their days; earlier orders are not read again."""
+    path = layers.table("silver", CLEAN)
+    if not paths.exists(spark, path):
+        return RunReport()
+    clean = read_stream_table(spark, path, CLEAN_SCHEMA, max_files)
+    root, checkpoint = layers.table("gold", COUNTS), layers.checkpoint(COUNTS)
+    return keep_daily_counts(clean, root, checkpoint, "order_timestamp", "customer_id")
+
+
 def read_daily(spark: SparkSession, layers: Layers) -> DataFrame | None:
-    return read_days(spark, layers.table("gold", DAILY))
+    """The daily table, whichever way it is kept; if both ways are, that of whole days."""
+    whole = read_days(spark, layers.table("gold", DAILY))
+    return read_daily_counts(spark, layers.table("gold", COUNTS)) if whole is None else whole
 
 
 def run(
@@ -106,8 +120,13 @@ def run(
     allow_reset: bool = False,
     mode: str = "strict",
     max_files: int | None = None,
+    by_differences: bool = False,
 ) -> JobReport:
-    """One triggered run over all new files; ``validate`` only checks the plans."""
+    """One triggered run over all new files; ``validate`` only checks the plans.
+
+    ``by_differences`` keeps the daily table from counts per day and customer, so that a
+    run reads its new orders alone; otherwise the days with new orders are read again.
+    """
     if validate:
         raw = stream_json(spark, f"{source}/orders", ORDER_SCHEMA, rescue=True)
         clean = checked_orders(raw, mode)
@@ -115,7 +134,7 @@ def run(
         return JobReport(schemas={name: frame.schema.simpleString() for name, frame in frames.items()})
     layers = open_layers(spark, root, "orders", full_refresh, allow_reset)
     steps = {RAW: bronze(spark, source, layers, max_files), CLEAN: silver(spark, layers, mode, max_files)}
-    steps[DAILY] = gold(spark, layers)
+    steps[DAILY] = gold_by_differences(spark, layers, max_files) if by_differences else gold(spark, layers)
     note_path(spark, layers.notes, RAW, "Order files as they came", {"quality": "bronze", "reset.allowed": "false"})
     note_path(spark, layers.notes, CLEAN, "Typed and checked orders", {"quality": "silver"})
     note_path(spark, layers.notes, DAILY, "Orders and customers per day", {"quality": "gold", "domain": "marketplace"})

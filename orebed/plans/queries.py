@@ -16,6 +16,7 @@ from orebed.plans import customers, orders, quality, status, transactions, verif
 from orebed.plans.layers import Layers
 from orebed.session import configure, fit_shuffle, fresh_dir
 from orebed.sources import files, tables
+from orebed.streaming.daily import keep_daily_counts, read_daily_counts
 from orebed.streaming.history import apply_scd2_stream, read_history
 from orebed.streaming.interval_join import interval_stream_join
 from orebed.streaming.run import run_available
@@ -536,6 +537,18 @@ def a1_daily_orders(spark, sf_dir):
     return A.daily_counts(table(spark, sf_dir, "orders"), "o_orderdate", "o_custkey")
 
 
+@query
+def a1_daily_incremental(spark, sf_dir):
+    """The same counts from three batches, two of them full of late orders, by differences alone."""
+    root = fresh_dir(spark, "daily")
+    book = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), "o_orderstatus")
+    for status in ("P", "O", "F"):
+        book.filter(F.col("o_orderstatus") == status).write.mode("append").parquet(f"{root}/orders")
+        stream = files.read_stream_table(spark, f"{root}/orders", book.schema)
+        keep_daily_counts(stream, f"{root}/state", f"{root}/checkpoint", "o_orderdate", "o_custkey", buckets=4)
+    return read_daily_counts(spark, f"{root}/state")
+
+
 @query
 def a2_monthly_fact(spark, sf_dir):
     return A.monthly_fact(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
