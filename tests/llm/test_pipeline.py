@@ -27,7 +27,7 @@ def tables(spark, sf_dir, folder, **changed):
 def test_registered():
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     names = [name for name in entry.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None
 
 
