@@ -29,6 +29,37 @@ def mask_columns(df: DataFrame, masks: Mapping[str, Column], cleared: bool = Fal
     return df if cleared else df.withColumns(dict(masks))
 
 
+def governed(
+    df: DataFrame,
+    table: str,
+    policies: DataFrame,
+    members: DataFrame,
+    rows_by: str,
+    masks: Mapping[str, Column],
+    user: Column | None = None,
+) -> DataFrame:
+    """What one user may see of a table, by policies that are data.
+
+    ``policies`` has (table_name, role, kind, column_name, value): a role sees the rows
+    whose column has a value (kind ``rows``), and the plain text of a column (kind
+    ``plain``). ``members`` has (user_name, role). A user's rights are those of all their
+    roles; without any there are no rows, and columns in ``masks`` stay masked. The user
+    is the session's, read whenever the frame runs, so one view serves everybody; a
+    change of policies or members counts from the next run on. Rights are looked up
+    before the table is read and pruned with them.
+    """
+    mine = members.filter(F.col("user_name") == (F.current_user() if user is None else user)).select("role")
+    rights = policies.filter(F.col("table_name") == table).join(mine, "role", "left_semi")
+    visible = rights.filter((F.col("kind") == "rows") & (F.col("column_name") == rows_by)).select(F.col("value").alias("_seen"))
+    seen = df.join(visible, df[rows_by].cast("string") == F.col("_seen"), "left_semi")
+    for name, mask in masks.items():
+        plain = rights.filter((F.col("kind") == "plain") & (F.col("column_name") == name))
+        # One number for the whole table, not a join.
+        cleared = plain.agg(F.count("*").alias("n")).scalar() > 0
+        seen = seen.withColumn(name, F.when(cleared, F.col(name)).otherwise(mask))
+    return seen
+
+
 def schema_hash(df: DataFrame) -> str:
     """A fingerprint of names and types."""
     return hashlib.sha256(df.schema.simpleString().encode()).hexdigest()

@@ -359,6 +359,11 @@ from orders group by o_custkey
 select c_custkey, r_name, c_acctbal
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 where r_name in ('ASIA', 'EUROPE')
+-- g1_policy_view
+with u as (select 0 as viewer, min(n_name) as u from nation union all select 1, max(n_name) from nation)
+select u.viewer, c_custkey, r.r_name, case when r.r_regionkey % 2 = 0 then c_acctbal end as c_acctbal
+from u join nation m on m.n_name = u.u join region r on m.n_regionkey = r.r_regionkey
+join nation n on n.n_regionkey = r.r_regionkey join customer on c_nationkey = n.n_nationkey
 -- g2_column_mask
 select c_custkey, concat(substr(c_name, 1, 3), repeat('*', length(c_name) - 3)) as c_name,
        case when r_name in ('ASIA', 'EUROPE') then c_acctbal end as c_acctbal

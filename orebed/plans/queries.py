@@ -990,6 +990,27 @@ def g2_column_mask(spark, sf_dir):
     return masked.select("c_custkey", "c_name", "c_acctbal")
 
 
+@query
+def g1_policy_view(spark, sf_dir):
+    """One view, two users: a nation's user sees its region, and balances where the region's number is even."""
+    lands = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    members = lands.select(F.col("n_name").alias("user_name"), F.col("r_name").alias("role"))
+    regions = table(spark, sf_dir, "region")
+    rights = F.array(
+        F.struct(F.lit("rows").alias("kind"), F.lit("r_name").alias("column_name"), F.col("r_name").alias("value")),
+        F.struct(F.lit("plain").alias("kind"), F.when(F.col("r_regionkey") % 2 == 0, "c_acctbal").alias("column_name"), F.lit(None).cast("string").alias("value")),
+    )
+    policies = regions.select(F.lit("customer").alias("table_name"), F.col("r_name").alias("role"), F.inline(rights))
+    users = [table(spark, sf_dir, "nation").agg(pick("n_name")).scalar() for pick in (F.min, F.max)]
+    views = [
+        governance.governed(
+            _customer_regions(spark, sf_dir), "customer", policies, members, "r_name", {"c_acctbal": F.lit(None)}, user
+        ).select(F.lit(place).alias("viewer"), "c_custkey", "r_name", "c_acctbal")
+        for place, user in enumerate(users)
+    ]
+    return views[0].unionByName(views[1])
+
+
 @query
 def g3_audit_log(spark, sf_dir):
     """Two runs of a report in one trail."""

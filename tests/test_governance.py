@@ -16,6 +16,31 @@ def test_row_filter_and_masks(spark):
     assert rows(G.mask_columns(df, masks, cleared=True)) == rows(df)
 
 
+def test_policies_are_data(spark, folder):
+    """One frame for everybody; rights follow the tables of roles and policies."""
+    df = spark.createDataFrame([(1, "N", 10.0), (2, "S", 20.0), (3, None, 30.0)], "id int, region string, balance double")
+    policy = "table_name string, role string, kind string, column_name string, value string"
+    policies = spark.createDataFrame([
+        ("loans", "north", "rows", "region", "N"), ("loans", "south", "rows", "region", "S"), ("loans", "south", "rows", "region", "S"),
+        ("loans", "risk", "plain", "balance", None), ("other", "north", "plain", "balance", None),
+    ], policy)
+    pairs = [("ana", "north"), ("ben", "south"), ("ben", "risk"), ("eva", "north"), ("eva", "south"), ("eva", "risk"), ("eva", "risk")]
+    masks = {"balance": F.lit(None)}
+
+    def seen(user, granted=pairs):
+        members = spark.createDataFrame(granted, "user_name string, role string")
+        return rows(G.governed(df, "loans", policies, members, "region", masks, user and F.lit(user)))
+
+    assert seen("ana") == [(1, "N", None)] and seen("ben") == [(2, "S", 20.0)]
+    assert seen("eva") == [(1, "N", 10.0), (2, "S", 20.0)] and seen("nobody") == []
+    me = spark.sql("SELECT current_user()").first()[0]
+    assert seen(None) == [] and seen(None, [*pairs, (me, "north")]) == [(1, "N", None)]
+    spark.createDataFrame([(me, "south")], "user_name string, role string").write.parquet(f"{folder}/members")
+    members = spark.read.schema("user_name string, role string").parquet(f"{folder}/members")
+    G.governed(df, "loans", policies, members, "region", masks).createOrReplaceTempView("my_loans")
+    assert rows(spark.sql("SELECT * FROM my_loans")) == [(2, "S", None)]
+
+
 def test_audit_trail(spark, folder):
     df = spark.createDataFrame([(-1.0,), (2.0,)], "amount double")
     report = rules.dq_report([rules.TableChecks("t", df, {"negative": rules.negative_when("amount")})])
