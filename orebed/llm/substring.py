@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orebed.llm.common import by_batch, run_hashes, stored, text_bytes, word_hashes
+from orebed.operators.skew import skew_join
 
 # Words in a seed. A repeat of ``length`` words then holds ``length - SEED + 1``
 # seeds, the smallest of which is its anchor.
 SEED = 5
 # Anchors only pick candidates, so 48 bits of their hash will do.
 ANCHOR_BITS = np.uint64(16)
+# Windows that start in one block of a document are compared together.
+BLOCK = 256
 
-KEY = "none boolean, doc bigint"
+KEY = "none boolean, doc bigint, key bigint"
+SPANS = "array<struct<start bigint, length bigint>>"
 
 
 def _window_anchors(hashes: np.ndarray, length: int, seed: int) -> np.ndarray:
@@ -40,41 +45,44 @@ def _lists(column: pa.Array) -> list[np.ndarray | None]:
     return [values[end - n : end] if n else None for n, end in zip(lengths.tolist(), ends.tolist())]
 
 
-def _emit(name: str, found, batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Rows (value, none, doc) from one array per row of the batch; ``found`` has (row, array) pairs."""
-    rows = np.concatenate([np.full(len(part), row) for row, part in found]) if found else np.empty(0, np.int64)
-    values = np.concatenate([part for _, part in found]) if found else np.empty(0, np.int64)
+def _keys(batch: pa.RecordBatch, rows: np.ndarray) -> list[pa.Array]:
+    """The document's key for each of the picked rows."""
     picks = pa.array(rows)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(values), batch.column("none").take(picks), batch.column("doc").take(picks)], names=[name, "none", "doc"]
-    )
+    return [batch.column(name).take(picks) for name in ("none", "doc", "key")]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """(none, doc, doc_id, text): the order of documents, null ids last.
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
-    A document without id is looked up by its text instead.
-    """
-    none = docs["doc_id"].isNull()
-    doc = F.coalesce(docs["doc_id"], F.xxhash64(docs["text"]))
-    return docs.select(none.alias("none"), doc.alias("doc"), docs["doc_id"], text_bytes(docs).alias("text"))
 
-
-def _place() -> Column:
-    """What orders documents; all without id rank alike."""
-    return F.struct(F.col("none"), F.when(F.col("none"), 0).otherwise(F.col("doc")).alias("doc"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(none, doc, key, doc_id, text): documents are ordered by (none, doc), so all without id
+    rank alike and last; with the hash of the text that tells apart texts that share an id."""
+    none = docs["doc_id"].isNull()
+    doc = F.coalesce(docs["doc_id"], F.lit(0).cast("bigint"))
+    return docs.select(none.alias("none"), doc.alias("doc"), F.xxhash64("text").alias("key"), docs["doc_id"], text_bytes(docs).alias("text"))
 
 
-def _sets(rows: DataFrame, value: str) -> DataFrame:
-    """The set of values per document of ``rows`` (value, none, doc)."""
-    return rows.groupBy("none", "doc").agg(F.collect_set(value).alias(value))
+def _with(docs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
+    """The documents with what was found for them."""
+    names = ["none", "doc", "key"]
+    found = found.select(*[F.col(name).alias(f"_{name}") for name in names], *columns)
+    same = [F.col(name) == F.col(f"_{name}") for name in names]
+    return docs.join(found, same[0] & same[1] & same[2], "left").select(*names, "doc_id", "text", *columns)
 
 
-def _joined(docs: DataFrame, sets: DataFrame, value: str) -> DataFrame:
-    """The documents with their sets."""
-    sets = sets.withColumnRenamed("none", "_none").withColumnRenamed("doc", "_doc")
-    joined = docs.join(sets, (F.col("none") == F.col("_none")) & (F.col("doc") == F.col("_doc")), "left")
-    return joined.select("none", "doc", "doc_id", "text", value)
+def _agreeing(own: list[bytes], other: list[bytes], length: int) -> Iterator[tuple[int, int]]:
+    """Maximal runs (start, end) of at least ``length`` places where both have the same word."""
+    if own == other:
+        if len(own) >= length:
+            yield 0, len(own)
+        return
+    start = 0
+    for place in range(min(len(own), len(other)) + 1):
+        if place == min(len(own), len(other)) or own[place] != other[place]:
+            if place - start >= length:
+                yield start, place
+            start = place + 1
 
 
 def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataFrame:
@@ -91,67 +99,109 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
 
     Seeds are runs of five words. The smallest seed hash of each window is its
     anchor, so equal windows have equal anchors, and only about one seed in five
-    is an anchor. Documents are joined on anchors that occur more than once; there,
-    each is extended to the windows on both sides that it anchors, which are matched
-    by a 64-bit hash of all their words; matched windows that overlap or touch
-    make a maximal repeat. A passage in very many documents costs one row per
-    document and window: occurrences are matched with the smallest id, not with each other.
+    is an anchor. Documents are joined on anchors that occur more than once. What
+    such anchors hold together, a window, joins a document with the earliest one that has
+    it, at a place in each; places at one distance from each other lie on one
+    alignment of the two documents. Along it both texts are compared word by word
+    and the match extended both ways as far as words are equal, within blocks of 256
+    words that overlap by a window. Runs of equal words of the whole length or more go; those that
+    overlap or touch make a maximal repeat. Only words that were compared are
+    removed, so two windows with one hash remove nothing; they could at most hide a repeat.
+    A passage in very many documents costs one row per document and window: it is matched with its
+    earliest holder, not with each other.
     """
     if length < seed:
         raise ValueError("a repeat cannot be shorter than its seed")
     keyed = _keyed(docs)
 
-    def hashes_of(text: bytes) -> np.ndarray:
-        return word_hashes(text.split())
-
     def anchors(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [
-            (row, np.unique(_window_anchors(hashes_of(text), length, seed)))
-            for row, text in enumerate(batch.column("text").to_pylist())
-        ]
-        return _emit("anchor", found, batch)
+        found = [np.unique(_window_anchors(word_hashes(text.split()), length, seed)) for text in batch.column("text").to_pylist()]
+        rows = np.repeat(np.arange(len(found)), [len(part) for part in found])
+        return pa.RecordBatch.from_arrays([pa.array(_joined(found)), *_keys(batch, rows)], names=["anchor", "none", "doc", "key"])
 
-    placed = keyed.select("none", "doc", "text").mapInArrow(by_batch(anchors), f"anchor bigint, {KEY}")
+    placed = keyed.select("none", "doc", "key", "text").mapInArrow(by_batch(anchors), f"anchor bigint, {KEY}")
     seen = placed.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     again = seen.select(F.col("anchor").alias("_anchor"))
     shared = placed.join(again, F.col("anchor") == F.col("_anchor"), "left_semi")
-
-    def extended(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = []
-        for row, (text, known) in enumerate(zip(batch.column("text").to_pylist(), _lists(batch.column("anchor")))):
-            if known is not None:
-                hashes = hashes_of(text)
-                near = np.isin(_window_anchors(hashes, length, seed), known)
-                found.append((row, np.unique(run_hashes(hashes, length)[near].view(np.int64))))
-        return _emit("window", found, batch)
-
-    # Written once: the windows are read for their smallest document, and again to be compared with it.
-    windows = stored(_joined(keyed, _sets(shared, "anchor"), "anchor").mapInArrow(by_batch(extended), f"window bigint, {KEY}"), "windows")
-    first = windows.groupBy("window").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
-    first = first.filter("first < last").select(F.col("window").alias("_window"), "first")
-    later = windows.join(first, F.col("window") == F.col("_window")).filter(_place() > F.col("first"))
+    sets = shared.groupBy("none", "doc", "key").agg(F.collect_set("anchor").alias("anchors"))
+
+    def windows_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Windows at shared anchors with their places, and the blocks of words they start in."""
+        rows, windows, places, texts = [], [], [], []
+        for row, (text, known) in enumerate(zip(batch.column("text").to_pylist(), _lists(batch.column("anchors")))):
+            if known is None:
+                continue
+            words = text.split()
+            hashes = word_hashes(words)
+            near = np.flatnonzero(np.isin(_window_anchors(hashes, length, seed), known))
+            values = run_hashes(hashes, length)[near].view(np.int64)
+            blocks = np.unique(near // BLOCK)
+            rows.append(np.full(len(near) + len(blocks), row))
+            windows += [values, blocks]
+            places += [near, np.full(len(blocks), -1)]
+            texts += [None] * len(near)
+            texts += [b" ".join(words[at * BLOCK : (at + 1) * BLOCK + length - 1]) for at in blocks.tolist()]
+        place = _joined(places)
+        arrays = [pa.array(_joined(windows)), pa.array(place), pa.array(place < 0), pa.array(texts, pa.binary()), *_keys(batch, _joined(rows))]
+        return pa.RecordBatch.from_arrays(arrays, names=["window", "at", "block", "words", "none", "doc", "key"])
+
+    # Written once: the windows are read for their earliest document, and again to be matched with it.
+    schema = f"window bigint, at bigint, block boolean, words binary, {KEY}"
+    pieces = stored(_with(keyed, sets, "anchors").mapInArrow(by_batch(windows_of), schema), "windows")
+    windows = pieces.filter("not block").select("window", "at", "none", "doc", "key")
+    # Plain numbers only, so that Spark aggregates by hashing.
+    ids = F.when(~F.col("none"), F.col("doc"))
+    spread = windows.groupBy("window").agg(F.min(ids).alias("first"), F.max(ids).alias("last"), F.max("none").alias("any_none"))
+    spread = spread.filter("first is not null and (first < last or any_none)").select("window", "first")
+    held = stored(skew_join(windows, spread, ["window"]), "seeds")
+    earliest = held.filter("not none and doc = first").groupBy("window").agg(F.min(F.struct("key", "at")).alias("from"))
+    earliest = earliest.select("window", F.col("from.key").alias("of_key"), F.col("from.at").alias("of_at"))
+    later = skew_join(held.filter("none or doc > first"), earliest, ["window"])
+    # One row per alignment of a document with a block of an earlier one.
+    aligned = ["none", "doc", "key", "first", "of_key", F.floor(F.col("of_at") / BLOCK).alias("of_block"), (F.col("at") - F.col("of_at")).alias("shift")]
+    matches = later.groupBy(*aligned).agg(F.min("of_at").alias("low"), F.max("of_at").alias("high"))
+    blocks = pieces.filter("block and not none").groupBy("doc", "key", "window").agg(F.first("words").alias("words"))
+    blocks = blocks.select(F.col("doc").alias("first"), F.col("key").alias("of_key"), F.col("window").alias("of_block"), "words")
+    found = skew_join(matches, blocks, ["first", "of_key", "of_block"])
+
+    def passages(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The earlier document's words from the first to the last seed of an alignment."""
+        texts = []
+        for low, high, block, words in zip(*[batch.column(name).to_pylist() for name in ("low", "high", "of_block", "words")]):
+            texts.append(b" ".join(words.split()[low - block * BLOCK : high - block * BLOCK + length]))
+        start = pa.array([low + shift for low, shift in zip(batch.column("low").to_pylist(), batch.column("shift").to_pylist())], pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [start, pa.array(texts, pa.binary()), *_keys(batch, np.arange(batch.num_rows))], names=["start", "words", "none", "doc", "key"]
+        )
+
+    held_words = found.mapInArrow(by_batch(passages), f"start bigint, words binary, {KEY}")
     # Written by document, so that the shuffles of windows are gone before texts move again.
-    gone = stored(_sets(later.select("window", "none", "doc"), "window"), "repeats")
+    gone = held_words.groupBy("none", "doc", "key").agg(F.collect_set(F.struct("start", "words")).alias("others"))
+    gone = stored(gone, "repeats")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, removed, kept, spans = [], [], [], []
-        for text, known in zip(batch.column("text").to_pylist(), _lists(batch.column("window"))):
+        for text, others in zip(batch.column("text").to_pylist(), batch.column("others").to_pylist()):
             words = text.split()
             runs = []
-            if known is not None:
-                hits = np.flatnonzero(np.isin(run_hashes(word_hashes(words), length).view(np.int64), known))
-                starts = hits[np.r_[True, np.diff(hits) > length]] if len(hits) else hits
-                ends = hits[np.r_[np.diff(hits) > length, True]] + length if len(hits) else hits
-                runs = list(zip(starts.tolist(), ends.tolist()))
+            for other in others or ():
+                start, theirs = other["start"], other["words"].split()
+                runs += [(start + low, start + high) for low, high in _agreeing(words[start : start + len(theirs)], theirs, length)]
+            whole: list[list[int]] = []
+            for start, end in sorted(runs):
+                if whole and start <= whole[-1][1]:
+                    whole[-1][1] = max(whole[-1][1], end)
+                else:
+                    whole.append([start, end])
             left, place = [], 0
-            for start, end in runs:
+            for start, end in whole:
                 left += words[place:start]
                 place = end
             left += words[place:]
             counts.append(len(words))
             removed.append(len(words) - len(left))
             kept.append(hashlib.sha256(b" ".join(left)).hexdigest())
-            spans.append([{"start": start, "length": end - start} for start, end in runs])
+            spans.append([{"start": start, "length": end - start} for start, end in whole])
         arrays = [
             batch.column("doc_id"),
             pa.array(counts, pa.int64()),
@@ -161,5 +211,5 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
         ]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "n_removed", "kept_sha256", "repeats"])
 
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, repeats array<struct<start bigint, length bigint>>"
-    return _joined(keyed, gone, "window").mapInArrow(by_batch(cut), schema)
+    result = f"doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, repeats {SPANS}"
+    return _with(keyed, gone, "others").mapInArrow(by_batch(cut), result)

@@ -2,9 +2,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from orebed.llm import substring
 from orebed.llm.queries import REGISTRY
 from orebed.llm.substring import remove_repeats
 
@@ -64,3 +66,22 @@ def test_query(spark, sf_dir):
     expected = brute(rows, 13)
     assert sum(r[2] for r in expected) > 0
     assert found(REGISTRY["op10_substring_dedup"](spark, sf_dir)) == expected
+
+
+def test_windows_of_one_hash_remove_only_equal_words(spark, monkeypatch):
+    """With one hash for all windows, words that differ from the earlier document's stay."""
+    monkeypatch.setattr(substring, "run_hashes", lambda words, length: np.full(max(len(words) - length + 1, 0), 7, np.uint64))
+    shared = [f"s{i}" for i in range(20)]
+    rows = [(1, " ".join(shared)), (2, " ".join(shared))]
+    rows += [(10 + i, " ".join([f"t{i}"] * 12 + shared[i : i + 9] + [f"u{i}"] * 12)) for i in range(11)]
+    result = remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    # Of document 2 only the window that the one hash points at is confirmed.
+    assert {r.doc_id: r.n_removed for r in result} == {i: 13 if i == 2 else 0 for i, _ in rows}
+
+
+def test_texts_sharing_an_id_are_told_apart(spark):
+    passage = " ".join(f"p{i}" for i in range(400))
+    other = " ".join(f"q{i}" for i in range(400))
+    rows = [(1, passage), (1, other), (1, passage), (2, f"a {other} b {passage}"), (None, passage), (None, f"{passage} z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(remove_repeats(docs)) == brute(rows, 13)
