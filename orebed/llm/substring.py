@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from orebed.llm.common import by_batch, run_hashes, stored, text_bytes, word_hashes
 from orebed.operators.skew import skew_join
 
-# Words in a seed. A repeat of ``length`` words then holds ``length - SEED + 1``
-# seeds, the smallest of which is its anchor.
-SEED = 5
+# Words of a seed for each eight of a repeat. The smallest of the seeds in a
+# repeat is its anchor. Longer seeds are seldom shared by chance, shorter ones make fewer anchors.
+SEED_EIGHTHS = 5
 # Anchors only pick candidates, so 48 bits of their hash will do.
 ANCHOR_BITS = np.uint64(16)
 # Windows that start in one block of a document are compared together.
@@ -85,7 +85,7 @@ def _agreeing(own: list[bytes], other: list[bytes], length: int) -> Iterator[tup
             start = place + 1
 
 
-def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 13, seed: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, repeats) of every document.
 
     A word goes if a window of ``length`` words that covers it also starts in a
@@ -97,9 +97,9 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
     goes on account of them. Rows that share an id do not count against each
     other. Other columns are ignored.
 
-    Seeds are runs of five words. The smallest seed hash of each window is its
-    anchor, so equal windows have equal anchors, and only about one seed in five
-    is an anchor. Documents are joined on anchors that occur more than once. What
+    Seeds are runs of ``seed`` words, five eighths of the length unless stated: eight of 13. The smallest seed hash of each
+    window is its anchor, so equal windows have equal anchors, and only about two seeds in seven
+    are anchors. Documents are joined on anchors that occur more than once. What
     such anchors hold together, a window, joins a document with the earliest one that has
     it, at a place in each; places at one distance from each other lie on one
     alignment of the two documents. Along it both texts are compared word by word
@@ -110,6 +110,8 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
     A passage in very many documents costs one row per document and window: it is matched with its
     earliest holder, not with each other.
     """
+    if seed is None:
+        seed = max(length * SEED_EIGHTHS // 8, 1)
     if length < seed:
         raise ValueError("a repeat cannot be shorter than its seed")
     keyed = _keyed(docs)
@@ -135,14 +137,15 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
             hashes = word_hashes(words)
             near = np.flatnonzero(np.isin(_window_anchors(hashes, length, seed), known))
             values = run_hashes(hashes, length)[near].view(np.int64)
-            blocks = np.unique(near // BLOCK)
+            blocks, first = np.unique(near // BLOCK, return_index=True)
+            lows, highs = near[first], near[np.append(first[1:], len(near)) - 1] + length
             rows.append(np.full(len(near) + len(blocks), row))
             windows += [values, blocks]
-            places += [near, np.full(len(blocks), -1)]
+            places += [near, lows]
             texts += [None] * len(near)
-            texts += [b" ".join(words[at * BLOCK : (at + 1) * BLOCK + length - 1]) for at in blocks.tolist()]
-        place = _joined(places)
-        arrays = [pa.array(_joined(windows)), pa.array(place), pa.array(place < 0), pa.array(texts, pa.binary()), *_keys(batch, _joined(rows))]
+            texts += [b" ".join(words[low:high]) for low, high in zip(lows.tolist(), highs.tolist())]
+        texts = pa.array(texts, pa.binary())
+        arrays = [pa.array(_joined(windows)), pa.array(_joined(places)), texts.is_valid(), texts, *_keys(batch, _joined(rows))]
         return pa.RecordBatch.from_arrays(arrays, names=["window", "at", "block", "words", "none", "doc", "key"])
 
     # Written once: the windows are read for their earliest document, and again to be matched with it.
@@ -160,15 +163,15 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
     # One row per alignment of a document with a block of an earlier one.
     aligned = ["none", "doc", "key", "first", "of_key", F.floor(F.col("of_at") / BLOCK).alias("of_block"), (F.col("at") - F.col("of_at")).alias("shift")]
     matches = later.groupBy(*aligned).agg(F.min("of_at").alias("low"), F.max("of_at").alias("high"))
-    blocks = pieces.filter("block and not none").groupBy("doc", "key", "window").agg(F.first("words").alias("words"))
-    blocks = blocks.select(F.col("doc").alias("first"), F.col("key").alias("of_key"), F.col("window").alias("of_block"), "words")
+    blocks = pieces.filter("block and not none").groupBy("doc", "key", "window", "at").agg(F.first("words").alias("words"))
+    blocks = blocks.select(F.col("doc").alias("first"), F.col("key").alias("of_key"), F.col("window").alias("of_block"), F.col("at").alias("from"), "words")
     found = skew_join(matches, blocks, ["first", "of_key", "of_block"])
 
     def passages(batch: pa.RecordBatch) -> pa.RecordBatch:
         """The earlier document's words from the first to the last seed of an alignment."""
         texts = []
-        for low, high, block, words in zip(*[batch.column(name).to_pylist() for name in ("low", "high", "of_block", "words")]):
-            texts.append(b" ".join(words.split()[low - block * BLOCK : high - block * BLOCK + length]))
+        for low, high, start, words in zip(*[batch.column(name).to_pylist() for name in ("low", "high", "from", "words")]):
+            texts.append(b" ".join(words.split()[low - start : high - start + length]))
         start = pa.array([low + shift for low, shift in zip(batch.column("low").to_pylist(), batch.column("shift").to_pylist())], pa.int64())
         return pa.RecordBatch.from_arrays(
             [start, pa.array(texts, pa.binary()), *_keys(batch, np.arange(batch.num_rows))], names=["start", "words", "none", "doc", "key"]
