@@ -183,11 +183,14 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
     schema = f"seed bigint, at bigint, windows array<bigint>, block boolean, words binary, {KEY}"
     pieces = stored(_with(keyed, sets, "anchors").mapInArrow(by_batch(stretches_of), schema), "stretches")
     stretches = pieces.filter("not block").select("seed", "at", "windows", "none", "doc", "key")
-    held = stored(_held(stretches), "held")
-    alone = held.filter("not later").select(F.posexplode("windows").alias("_place", "seed"), "at", "none", "doc", "key")
-    alone = stored(alone.select("seed", (F.col("at") + F.col("_place")).alias("at"), "none", "doc", "key"), "windows")
     matched = ["none", "doc", "key", "first", "of_key", "of_at", "at"]
-    later = held.filter("later").select(*matched, (F.size("windows") - 1).alias("more"))
+    # The windows of a stretch are needed again only where it has no earlier holder.
+    windows = F.when(~F.col("later"), F.col("windows")).alias("windows")
+    held = _held(stretches).select(*matched, "later", (F.size("windows") - 1).alias("more"), windows)
+    held = stored(held, "held")
+    alone = held.filter("not later").select(F.posexplode("windows").alias("_place", "seed"), "at", "none", "doc", "key")
+    alone = alone.select("seed", (F.col("at") + F.col("_place")).alias("at"), "none", "doc", "key")
+    later = held.filter("later").select(*matched, "more")
     later = later.unionByName(_held(alone).filter("later").select(*matched, F.lit(0).alias("more")))
     # One row per alignment of a document with a block of an earlier one.
     aligned = ["none", "doc", "key", "first", "of_key", F.floor(F.col("of_at") / BLOCK).alias("of_block"), (F.col("at") - F.col("of_at")).alias("shift")]
