@@ -255,6 +255,23 @@ select c_custkey from customer where not exists (select 1 from orders where o_cu
 select a.event_id as click_id, b.event_id as purchase_id
 from events a join events b on a.user_id = b.user_id and a.event_type = 'click' and b.event_type = 'purchase'
      and b.ts >= a.ts and b.ts <= a.ts + interval 1 hour
+-- j6_stream_late
+with due as (
+  select *, least(cast(floor((day(ts) - 1) / 8) as int), 3) as slice from events where event_type in ('click', 'purchase')
+), came as (
+  select *, least(slice + case when event_id % 50 = 7 then 1 else 0 end, 3) as batch from due
+), marks as (
+  select b.batch, max(epoch_ms(c.ts)) - 7200000 as mark from (select distinct batch from came) b left join came c on c.batch < b.batch
+  group by b.batch
+), judged as (
+  select came.*, coalesce(epoch_us(ts) < 1000 * mark, false) as late from came join marks using (batch)
+)
+select 'pair' as kind, a.event_id as click_id, b.event_id as purchase_id
+from judged a join judged b on a.user_id = b.user_id and a.event_type = 'click' and b.event_type = 'purchase'
+     and b.ts >= a.ts and b.ts <= a.ts + interval 1 hour and not a.late and not b.late
+union all
+select 'late', case when event_type = 'click' then event_id end, case when event_type = 'purchase' then event_id end
+from judged where late
 -- u1_union_all
 select o_custkey as k from orders union all select c_custkey from customer
 -- u2_except_distinct

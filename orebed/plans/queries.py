@@ -19,6 +19,7 @@ from orebed.sources import files, tables
 from orebed.streaming.daily import keep_daily_counts, read_daily_counts
 from orebed.streaming.history import apply_scd2_stream, read_history
 from orebed.streaming.interval_join import interval_stream_join
+from orebed.streaming.late_join import interval_join_keeping_late, with_rocksdb
 from orebed.streaming.run import run_available
 from orebed.streaming.snapshot import apply_scd1_stream, read_current
 
@@ -712,6 +713,31 @@ def j6_stream_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/pairs")
 
 
+@query
+def j6_stream_late(spark, sf_dir):
+    """Clicks and purchases that come in four batches, by day; every fiftieth event comes one batch late."""
+    root = fresh_dir(spark, "late")
+    events = table(spark, sf_dir, "events").filter("event_type in ('click', 'purchase')")
+    due = F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
+    events = events.withColumn("batch", F.least(due + (F.col("event_id") % 50 == 7).cast("int"), F.lit(3)).cast("int"))
+    events.repartition("batch").write.partitionBy("batch").parquet(f"{root}/due")
+    schema = events.drop("batch").schema
+    for batch in range(4):
+        # A run takes the folders that have come in since the one before.
+        came = spark.read.parquet(f"{root}/due").filter(F.col("batch") == batch).drop("batch")
+        came.write.parquet(f"{root}/feed/{batch}")
+        stream = files.read_stream_table(spark, f"{root}/feed/*", schema)
+
+        def side(event_type: str) -> DataFrame:
+            return stream.filter(F.col("event_type") == event_type).select("user_id", F.col("event_id").alias("id"), "ts")
+
+        with with_rocksdb(spark):
+            found = interval_join_keeping_late(side("click"), side("purchase"), "user_id", 3600, "2 hours", 86400, buckets=16)
+            run_available(found, f"{root}/found", f"{root}/checkpoint")
+    found = spark.read.schema("kind string, left_id bigint, right_id bigint").parquet(f"{root}/found")
+    return found.select("kind", F.col("left_id").alias("click_id"), F.col("right_id").alias("purchase_id"))
+
+
 # Sets, sorts, limits
 
 

@@ -1,0 +1,71 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from orebed.streaming.late_join import interval_join_keeping_late, with_rocksdb
+from orebed.streaming.run import run_available
+
+START = datetime(2024, 1, 1)
+SCHEMA = "user bigint, id bigint, ts timestamp, side string"
+
+
+def brute(batches, gap, delay):
+    """Pairs and late rows, batch by batch: the watermark is the latest time of the batches before, less the delay."""
+    pairs, late, lefts, rights, seen = [], [], [], [], None
+    for batch in batches:
+        mark = None if seen is None else seen - delay
+        for user, id_, ts, side in batch:
+            if user is None or ts is None:
+                continue
+            if mark is not None and ts < mark:
+                late.append(("late", id_ if side == "l" else None, id_ if side == "r" else None))
+            else:
+                (lefts if side == "l" else rights).append((user, id_, ts))
+        times = [row[2] for row in batch if row[0] is not None and row[2] is not None]
+        seen = max([*times, *([seen] if seen else [])], default=seen)
+    for user, left, at in lefts:
+        pairs += [("pair", left, right) for other, right, ts in rights if other == user and at <= ts <= at + gap]
+    return sorted(pairs + late, key=repr)
+
+
+def streamed(spark, folder, batches, gap, **layout):
+    with with_rocksdb(spark):
+        for place, batch in enumerate(batches):
+            spark.createDataFrame(batch, SCHEMA).coalesce(1).write.parquet(f"{folder}/feed/{place}")
+            stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/feed/*")
+            left, right = (stream.filter(f"side = '{side}'") for side in "lr")
+            found = interval_join_keeping_late(left, right, "user", gap, "30 minutes", **layout)
+            run_available(found, f"{folder}/out", f"{folder}/checkpoint")
+    return sorted((tuple(row) for row in spark.read.parquet(f"{folder}/out").collect()), key=repr)
+
+
+@pytest.mark.parametrize("layout", [{"buckets": 2}, {"buckets": 3, "slot_seconds": 600, "spread": 3}])
+def test_batches_late_rows_and_a_hot_key(spark, folder, layout):
+    rng = random.Random(7)
+    batches = []
+    for place in range(4):
+        batch = []
+        for _ in range(60):
+            minute = place * 60 + rng.randrange(60) - rng.choice([0, 0, 0, 20, 120])
+            ts = START + timedelta(minutes=minute, microseconds=rng.choice([0, 0, 1]))
+            batch.append((rng.choice([1, 1, 1, 2, 3]), rng.randrange(10**6), ts, rng.choice("lr")))
+        batch += [batch[0], (None, 5, START, "l"), (4, 6, None, "r")]
+        batches.append(batch)
+    expected = brute(batches, timedelta(minutes=10), timedelta(minutes=30))
+    assert {row[0] for row in expected} == {"pair", "late"}
+    assert streamed(spark, folder, batches, 600, **layout) == expected
+
+
+def test_state_of_old_slots_goes(spark, folder):
+    """What the store holds at the end follows the delay, not the length of the stream."""
+    batches = [[(u, 100 * hour + u, START + timedelta(hours=hour), "l") for u in range(20)] for hour in range(5)]
+    streamed(spark, folder, batches, 600, buckets=1)
+    state = spark.read.format("statestore").option("stateVarName", "lefts").load(f"{folder}/checkpoint")
+    assert 0 < state.count() <= 40
+
+
+def test_a_slot_narrower_than_the_gap_is_refused(spark):
+    rows = spark.createDataFrame([], SCHEMA)
+    with pytest.raises(ValueError):
+        interval_join_keeping_late(rows, rows, "user", 600, "1 hour", slot_seconds=60)
