@@ -235,6 +235,15 @@ group by n_regionkey, cast(o_orderdate as date)
 select r_name, n_name, count(*) as n_customers, round(sum(c_acctbal), 2) as balance
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 group by rollup(r_name, n_name)
+-- a9_measures
+select r_name, c_mktsegment, cast(grouping(r_name, c_mktsegment) as bigint) as level,
+       cast(sum(cast(o_totalprice as decimal(18,2))) as double) as portfolio,
+       cast(sum(case when o_orderstatus = 'P' then cast(o_totalprice as decimal(18,2)) else 0 end) as double) as overdue,
+       round(cast(sum(case when o_orderstatus = 'P' then cast(o_totalprice as decimal(18,2)) else 0 end) as double)
+             / cast(sum(cast(o_totalprice as decimal(18,2))) as double), 6) as npl_ratio,
+       count(distinct o_custkey) as n_customers
+from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+group by grouping sets ((r_name), (c_mktsegment), ())
 -- a10_distinct
 select distinct o_orderstatus, o_orderpriority from orders
 -- j1_star_join

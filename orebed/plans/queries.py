@@ -12,6 +12,7 @@ from orebed.functions import scalars as S
 from orebed.operators import aggregates as A
 from orebed.operators import alerts, cdc, governance, joins, projections, rules, scoring, sets
 from orebed.operators import expectations as E
+from orebed.operators.measures import Members, Ratio, Total, measured
 from orebed.plans import customers, orders, quality, status, transactions, verify
 from orebed.plans.layers import Layers
 from orebed.session import configure, fit_shuffle, fresh_dir
@@ -642,6 +643,24 @@ def a9_metric_rollup(spark, sf_dir):
     return A.metric(_customer_regions(spark, sf_dir), ["r_name", "n_name"], measures, rollup=True)
 
 
+@query
+def a9_measures(spark, sf_dir):
+    """The overdue share of the book and its customers, by region, by segment and in all."""
+    homes = _customer_regions(spark, sf_dir).select("c_custkey", "c_mktsegment", "r_name")
+    book = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_totalprice", "o_orderstatus")
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    measures = [
+        Total("portfolio", price),
+        Total("overdue", F.when(overdue(), price).otherwise(0)),
+        Ratio("npl_ratio", "overdue", "portfolio"),
+        Members("n_customers", "c_custkey"),
+    ]
+    found = measured(joins.star_join(book, [(homes, ["c_custkey"])]), measures, ["r_name", "c_mktsegment"], [["r_name"], ["c_mktsegment"], []])
+    return found.select("r_name", "c_mktsegment", F.col("level").cast("bigint").alias("level"), *[
+        F.col(name).cast("double").alias(name) for name in ("portfolio", "overdue", "npl_ratio")
+    ], "n_customers")
+
+
 @query
 def a10_distinct(spark, sf_dir):
     return A.distinct_values(table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
