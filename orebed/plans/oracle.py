@@ -8,6 +8,19 @@ _TEXT = r"""
 select o_orderkey as order_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as order_timestamp, o_custkey as customer_id,
        o_orderpriority = '1-URGENT' as wants_email, o_orderstatus = 'P' as wants_sms
 from orders
+-- s1_schema_log
+select case when o_orderstatus = 'P' then concat('P', o_orderkey) else cast(o_orderkey as varchar) end as order_id,
+       case when o_orderstatus = 'F' then floor(o_totalprice) else o_totalprice end as amount, o_custkey as customer_id,
+       case when o_orderstatus = 'O' then o_orderpriority end as priority,
+       case when o_orderstatus = 'P' then 2 end as n_tags, cast(null as varchar) as _rescued_data
+from orders
+-- s1_schema_versions
+select 1 as version, count(*) as n_rows, count(*) filter (o_orderstatus <> 'P') as n_ids,
+       count(*) filter (o_orderstatus = 'F' or o_totalprice = floor(o_totalprice)) as n_amounts,
+       count(*) filter (o_orderstatus <> 'F') as n_rescued
+from orders
+union all select 2, count(*), count(*) filter (o_orderstatus <> 'P'), count(*), count(*) filter (o_orderstatus = 'P') from orders
+union all select 3, count(*), count(*), count(*), 0 from orders
 -- l9_run_metrics
 select cast(1 as bigint) as run, count(*) as rows_added from orders where o_orderstatus <> 'P'
 union all select 2, count(*) from orders where o_orderstatus = 'P'

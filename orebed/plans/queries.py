@@ -17,6 +17,7 @@ from orebed.plans import customers, orders, quality, status, transactions, verif
 from orebed.plans.layers import Layers
 from orebed.session import configure, fit_shuffle, fresh_dir
 from orebed.sources import files, tables
+from orebed.sources.schemalog import ingest_inferred, read_inferred, schema_versions
 from orebed.streaming.daily import keep_daily_counts, read_daily_counts
 from orebed.streaming.history import apply_scd2_stream, read_history
 from orebed.streaming.interval_join import interval_stream_join
@@ -89,6 +90,62 @@ def s1_ingest_incremental(spark, sf_dir):
     )
 
 
+def _changing_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Land the orders by status, each arrival in a wider form than the one before, and ingest after each."""
+    root = fresh_dir(spark, "schema")
+    book = table(spark, sf_dir, "orders")
+    key, price, buyer = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_custkey").alias("id")
+    forms = {
+        "F": [key.alias("order_id"), F.floor(price).alias("amount"), F.struct(buyer).alias("customer")],
+        "O": [
+            key.alias("order_id"),
+            price.alias("amount"),
+            F.struct(buyer, F.col("o_orderpriority").alias("priority")).alias("customer"),
+        ],
+        "P": [
+            F.concat(F.lit("P"), key).alias("order_id"),
+            price.alias("amount"),
+            F.struct(buyer).alias("customer"),
+            F.array(F.col("o_orderpriority"), F.col("o_orderstatus")).alias("tags"),
+        ],
+    }
+    for code, columns in forms.items():
+        arrival = book.filter(F.col("o_orderstatus") == code).select(*columns)
+        tables.export_jsonl(arrival, f"{root}/feed", "append")
+        ingest_inferred(spark, f"{root}/feed", f"{root}/bronze")
+    return f"{root}/bronze"
+
+
+@query
+def s1_schema_log(spark, sf_dir):
+    """A feed that gains fields and widens types between runs, read in its newest schema."""
+    return read_inferred(spark, _changing_feed(spark, sf_dir)).select(
+        "order_id",
+        "amount",
+        F.col("customer.id").alias("customer_id"),
+        F.col("customer.priority").alias("priority"),
+        F.size("tags").alias("n_tags"),
+        files.RESCUED,
+    )
+
+
+@query
+def s1_schema_versions(spark, sf_dir):
+    """The same feed as readers of each version see it: all rows, and what their version cannot hold."""
+    bronze = _changing_feed(spark, sf_dir)
+    lines = [
+        read_inferred(spark, bronze, number).agg(
+            F.lit(number).alias("version"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count("order_id").alias("n_ids"),
+            F.count("amount").alias("n_amounts"),
+            F.count(files.RESCUED).alias("n_rescued"),
+        )
+        for number in schema_versions(spark, bronze)
+    ]
+    return sets.union_all(lines)
+
+
 @query
 def l9_run_metrics(spark, sf_dir):
     _, added = _ingest_arrivals(spark, sf_dir)

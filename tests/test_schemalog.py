@@ -1,0 +1,134 @@
+import json
+
+import pytest
+from pyspark.sql import types as T
+
+from orebed import paths
+from orebed.sources import schemalog
+from orebed.sources.schemalog import batches, ingest_inferred, read_inferred, schema_versions, seen_schema, widen
+
+
+@pytest.fixture
+def feed(tmp_path):
+    (tmp_path / "feed").mkdir()
+
+    def land(name, *lines):
+        text = "\n".join(line if isinstance(line, str) else json.dumps(line) for line in lines)
+        (tmp_path / "feed" / name).write_text(text + "\n")
+
+    return str(tmp_path / "feed"), f"{tmp_path}/table", land
+
+
+def found(df, *columns):
+    return sorted((tuple(row) for row in df.select(*columns).collect()), key=repr)
+
+
+def test_new_fields_and_wider_types(spark, feed):
+    source, root, land = feed
+    land("a.json", {"id": 1, "n": 5, "at": {"x": 1}}, {"id": 2, "n": None, "list": [1]})
+    assert ingest_inferred(spark, source, root).rows_read == 2
+    land("b.json", {"id": 3, "n": 2.5, "at": {"x": 2, "y": True}, "list": [1.5, 2]})
+    assert ingest_inferred(spark, source, root).rows_read == 1
+    land("c.json", {"id": "z9", "n": 7, "at": {"x": "far"}, "note": "new"})
+    ingest_inferred(spark, source, root)
+    assert ingest_inferred(spark, source, root).rows_read == 0
+    kinds = {number: schema.simpleString() for number, schema in schema_versions(spark, root).items()}
+    assert kinds == {
+        1: "struct<at:struct<x:bigint>,id:bigint,list:array<bigint>,n:bigint>",
+        2: "struct<at:struct<x:bigint,y:boolean>,id:bigint,list:array<double>,n:double>",
+        3: "struct<at:struct<x:string,y:boolean>,id:string,list:array<double>,n:double,note:string>",
+    }
+    latest = read_inferred(spark, root)
+    assert found(latest, "id", "n", "at.x", "at.y", "list", "note", "_rescued_data") == sorted(
+        [
+            ("1", 5.0, "1", None, None, None, None),
+            ("2", None, None, None, [1.0], None, None),
+            ("3", 2.5, "2", True, [1.5, 2.0], None, None),
+            ("z9", 7.0, "far", None, None, "new", None),
+        ],
+        key=repr,
+    )
+
+
+def test_older_reader_sees_all_rows(spark, feed):
+    source, root, land = feed
+    land("a.json", {"id": 1, "n": 5})
+    ingest_inferred(spark, source, root)
+    land("b.json", {"id": 2, "n": 2.5, "more": [1]}, {"id": 3, "n": 4.0})
+    ingest_inferred(spark, source, root)
+    rows = {row["id"]: row for row in read_inferred(spark, root, 1).collect()}
+    assert "more" not in rows[1].asDict()
+    assert (rows[1]["n"], rows[1]["_rescued_data"]) == (5, None)
+    assert rows[2]["n"] is None and json.loads(rows[2]["_rescued_data"]) == {"n": "2.5", "more": "[1]"}
+    assert (rows[3]["n"], rows[3]["_rescued_data"]) == (4, None)
+
+
+def test_bad_lines_and_names_are_rescued(spark, feed):
+    source, root, land = feed
+    land("a.json", "no json", "[1]", {"id": 1, "ID": 2, "source_file": "q", "gone": None, "empty": {}}, " ")
+    ingest_inferred(spark, source, root)
+    table = read_inferred(spark, root)
+    assert table.count() == 3
+    ((number, kept),) = found(table.filter("ID IS NOT NULL"), "ID", "_rescued_data")
+    assert number == 2 and json.loads(kept) == {"id": "1", "source_file": "q", "empty": "{}"}
+    assert found(table.filter("ID IS NULL"), "_rescued_data") == [("[1]",), ("no json",)]
+    assert len(schema_versions(spark, root)) == 1
+
+
+def test_only_bad_lines_then_fields(spark, feed):
+    source, root, land = feed
+    land("a.json", "nothing")
+    ingest_inferred(spark, source, root)
+    assert found(read_inferred(spark, root), "_rescued_data") == [("nothing",)]
+    land("b.json", {"a b": 1, "c.d": {"e`f": 2}})
+    ingest_inferred(spark, source, root)
+    assert found(read_inferred(spark, root), "`a b`", "_rescued_data") == [(1, None), (None, "nothing")]
+
+
+def test_empty_feed(spark, feed):
+    source, root, land = feed
+    assert ingest_inferred(spark, source, root).rows_read == 0
+    assert read_inferred(spark, root) is None
+
+
+def test_unchanged_feed_is_not_inferred_again(spark, feed, monkeypatch):
+    source, root, land = feed
+    land("a.json", {"id": 1})
+    ingest_inferred(spark, source, root)
+    monkeypatch.setattr(schemalog, "seen_schema", lambda *_: pytest.fail("inferred"))
+    land("b.json", {"id": 2}, {"id": None})
+    assert ingest_inferred(spark, source, root, max_files=1).rows_read == 2
+    assert batches(spark, root) == [(0, 1), (1, 1)]
+
+
+def test_a_retried_batch_changes_nothing(spark, feed, monkeypatch):
+    source, root, land = feed
+    land("a.json", {"id": 1})
+    ingest_inferred(spark, source, root)
+    land("b.json", {"id": "x", "n": 1})
+    write = paths.write_text
+
+    def dies(session, path, text):
+        if "/commits/" in path:
+            raise OSError("lost")
+        write(session, path, text)
+
+    monkeypatch.setattr(paths, "write_text", dies)
+    with pytest.raises(Exception, match="lost"):
+        ingest_inferred(spark, source, root)
+    assert found(read_inferred(spark, root), "id") == [("1",)]
+    monkeypatch.setattr(paths, "write_text", write)
+    assert ingest_inferred(spark, source, root).rows_read == 1
+    assert found(read_inferred(spark, root), "id", "n") == [("1", None), ("x", 1)]
+    assert list(schema_versions(spark, root)) == [1, 2]
+
+
+def test_widening(spark):
+    def kind(ddl):
+        return T.StructType.fromDDL(ddl)
+
+    assert widen(kind("a bigint"), kind("a boolean, b void, c decimal(5,2)")) == kind("a string, c double")
+    assert widen(kind("a struct<x:bigint>"), kind("a bigint")) == kind("a string")
+    assert widen(kind("a array<bigint>"), kind("a array<struct<x:bigint>>")) == kind("a array<string>")
+    lines = spark.createDataFrame([('{"OBJECT<": {"a": [1, "x"]}}',), ('{"k": 1',)], "value string")
+    assert widen(T.StructType(), seen_schema(lines)) == kind("`OBJECT<` struct<a:array<string>>")
