@@ -25,6 +25,14 @@ union all select 3, count(*), count(*), count(*), 0 from orders
 select cast(1 as bigint) as run, count(*) as rows_added from orders where o_orderstatus <> 'P'
 union all select 2, count(*) from orders where o_orderstatus = 'P'
 union all select 3, 0
+-- l9_metric_log
+with c as (
+  select 'rows_read' as metric, count(*) as value from orders
+  union all select 'rows', count(*) from orders
+  union all select 'rows_kept', count(*) from orders
+  union all select 'failed_valid_price', count(*) from orders where not o_totalprice > 50000
+  union all select 'failed_valid_status', count(*) from orders where o_orderstatus not in ('F', 'O'))
+select sink, metric, value from c, (values ('file'), ('batch')) s(sink)
 -- p1_bronze_metadata
 select *, 'orders.parquet' as source_file from orders
 -- s3_rescued

@@ -22,6 +22,7 @@ from orebed.streaming.daily import keep_daily_counts, read_daily_counts
 from orebed.streaming.history import apply_scd2_stream, read_history
 from orebed.streaming.interval_join import interval_stream_join
 from orebed.streaming.late_join import interval_join_keeping_late, with_rocksdb
+from orebed.streaming.metriclog import read_metrics, run_counted
 from orebed.streaming.run import run_available
 from orebed.streaming.snapshot import apply_scd1_stream, read_current
 
@@ -152,6 +153,25 @@ def l9_run_metrics(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(added, 1)), "run bigint, rows_added bigint")
 
 
+@query
+def l9_metric_log(spark, sf_dir):
+    """Counts of the price rules over batches of several files, from the logs of both kinds of sink."""
+    root = fresh_dir(spark, "metrics")
+    book = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    book.repartition(3, "o_orderkey").write.parquet(f"{root}/feed")
+    stream = files.read_stream_table(spark, f"{root}/feed", book.schema, max_files=1)
+    run_available(E.apply_expectations(stream, PRICE_RULES, "prices"), f"{root}/kept", f"{root}/file")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/batches/b{number}")
+
+    run_counted(stream, PRICE_RULES, write, f"{root}/batch", "prices")
+    logs = [
+        read_metrics(spark, f"{root}/{kind}").withColumn("sink", F.lit(kind)) for kind in ("file", "batch")
+    ]
+    return sets.union_all(logs).groupBy("sink", "metric").agg(F.sum("value").alias("value"))
+
+
 @query
 def p1_bronze_metadata(spark, sf_dir):
     return files.with_ingest_metadata(table(spark, sf_dir, "orders")).drop("processing_time")

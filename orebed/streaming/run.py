@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
+from orebed.streaming.metriclog import MetricLog, following, metrics_folder
+
 
 @dataclass
 class RunReport:
@@ -39,16 +41,23 @@ def report_of(query: StreamingQuery) -> RunReport:
 
 
 def run_available(df: DataFrame, dst: str, checkpoint: str) -> RunReport:
-    """Append everything new to the parquet table ``dst``."""
-    query = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(dst)
-    )
-    query.awaitTermination()
-    return report_of(query)
+    """Append everything new to the parquet table ``dst``. The counts of each batch stay beside the checkpoint."""
+    spark = df.sparkSession
+    log = MetricLog(spark, metrics_folder(checkpoint))
+    earlier = log.totals
+    with following(spark, log) as follower:
+        query = (
+            df.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(dst)
+        )
+        follower.follow(str(query.runId))
+        query.awaitTermination()
+        follower.finish()
+    added = log.since(earlier)
+    return RunReport(rows_read=added["rows"], batches=added["batches"], observed=added["counts"])
 
 
 def run_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> RunReport:
