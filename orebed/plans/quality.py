@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orebed.functions.scalars import DPD_EDGES
 from orebed.operators import rules as R
-from orebed.operators.rules import TableChecks, surplus_rows
+from orebed.operators.rules import Known, TableChecks, Unique
 
 # Code domains and limits of the bank tables.
 SEGMENTS = ["Retail", "PYME", "Corporativo", "Premium"]
@@ -33,7 +33,7 @@ def _customers(df: DataFrame, as_of) -> TableChecks:
             "segment_case": R.wrong_case_when("segment", SEGMENTS),
             "score_range": R.outside_when("credit_score", *SCORE_RANGE),
         },
-        {"duplicate_id": surplus_rows(df, ["customer_id"])},
+        key_rules={"duplicate_id": Unique(["customer_id"])},
     )
 
 
@@ -45,11 +45,11 @@ def _branches(df: DataFrame) -> TableChecks:
             "missing_region": R.missing_when(df, "country_code"),
             "type_case": R.wrong_case_when("branch_type", BRANCH_TYPES),
         },
-        {"duplicate_id": surplus_rows(df, ["branch_id"])},
+        key_rules={"duplicate_id": Unique(["branch_id"])},
     )
 
 
-def _transactions(df: DataFrame, customers: DataFrame, branches: DataFrame) -> TableChecks:
+def _transactions(df: DataFrame) -> TableChecks:
     return TableChecks(
         TRANSACTIONS,
         df,
@@ -58,9 +58,9 @@ def _transactions(df: DataFrame, customers: DataFrame, branches: DataFrame) -> T
             "missing_date": R.missing_when(df, "transaction_date"),
             "negative_amount": R.negative_when("amount"),
         },
-        {
-            "orphan_customer": R.orphan_count(df, customers, ["customer_id"]),
-            "orphan_branch": R.orphan_count(df, branches, ["branch_id"]),
+        key_rules={
+            "orphan_customer": Known(["customer_id"], CUSTOMERS),
+            "orphan_branch": Known(["branch_id"], BRANCHES),
         },
     )
 
@@ -98,7 +98,7 @@ def bank_report(tables: Mapping[str, DataFrame], as_of, total: str | None = "all
         [
             _customers(tables[CUSTOMERS], as_of),
             _branches(tables[BRANCHES]),
-            _transactions(tables[TRANSACTIONS], tables[CUSTOMERS], tables[BRANCHES]),
+            _transactions(tables[TRANSACTIONS]),
             _loans(tables[LOANS]),
             _kpis(tables[KPIS]),
         ],

@@ -441,7 +441,6 @@ def q15_zero_with_rows(spark, sf_dir):
 def q16_dq_report(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     book = table(spark, sf_dir, "orders")
-    settled = book.filter(~overdue())
     negative_balance = {"negative_balance": rules.negative_when("c_acctbal")}
     return rules.dq_report(
         [
@@ -458,9 +457,9 @@ def q16_dq_report(spark, sf_dir):
                 "lineitem",
                 lines,
                 {"zero_discount": rules.zero_while_when("l_discount", F.col("l_returnflag") == "R")},
-                {
-                    "duplicate_key": rules.surplus_rows(lines, ["l_orderkey", "l_linenumber"]),
-                    "orphan_order": rules.orphan_count(lines, settled, {"l_orderkey": "o_orderkey"}),
+                key_rules={
+                    "duplicate_key": rules.Unique(["l_orderkey", "l_linenumber"]),
+                    "orphan_order": rules.Known(["l_orderkey"], "orders", ["o_orderkey"], ~overdue()),
                 },
             ),
         ],

@@ -1,0 +1,84 @@
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from orebed.operators.rules import Known, TableChecks, Unique, dq_report, negative_when, orphan_count, surplus_rows
+from orebed.plans.queries import REGISTRY
+
+
+def report(*checks):
+    return {(row.table_name, row.rule): row.n_violations for row in dq_report(checks).collect()}
+
+
+KEY = st.one_of(st.none(), st.integers(0, 4))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.tuples(KEY, st.sampled_from(["a", "b", "1:a", "", None])), max_size=12),
+    st.lists(st.tuples(KEY, KEY, st.integers(-2, 2)), max_size=12),
+)
+def test_counts_equal_the_rules_one_by_one(spark, parents, children):
+    left = spark.createDataFrame(parents, "id int, code string")
+    right = spark.createDataFrame(children, "owner bigint, other bigint, n int")
+    found = report(
+        TableChecks("parent", left, key_rules={"twice": Unique(["id"]), "pair_twice": Unique(["id", "code"])}),
+        TableChecks(
+            "child",
+            right,
+            {"negative": negative_when("n")},
+            key_rules={
+                "owner": Known(["owner"], "parent", ["id"]),
+                "other": Known(["other"], "parent", ["id"], null_is_unknown=False),
+                "settled": Known(["owner"], "parent", ["id"], F.col("code") == "a"),
+                "own": Known(["other"], "child", ["owner"]),
+            },
+        ),
+    )
+
+    def one(df):
+        return df.first()[0]
+
+    ids = {"owner": "id"}
+    assert found == {
+        ("parent", "twice"): one(surplus_rows(left, ["id"])),
+        ("parent", "pair_twice"): one(surplus_rows(left, ["id", "code"])),
+        ("child", "negative"): sum(n < 0 for _, _, n in children),
+        ("child", "owner"): one(orphan_count(right, left, ids)),
+        ("child", "other"): one(orphan_count(right.filter("other is not null"), left, {"other": "id"})),
+        ("child", "settled"): one(orphan_count(right, left.filter("code = 'a'"), ids)),
+        ("child", "own"): one(orphan_count(right, right, {"other": "owner"})),
+    }
+
+
+def test_parts_of_a_key_do_not_run_together(spark):
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), ("1:a", "-"), ("1:a", None)], "x string, y string")
+    assert report(TableChecks("t", df, key_rules={"twice": Unique(["x", "y"])})) == {("t", "twice"): 0}
+
+
+def test_keys_of_other_types_are_an_error(spark):
+    left, right = spark.range(3), spark.createDataFrame([("1",)], "id string")
+    with pytest.raises(ValueError, match="looked up among"):
+        dq_report([TableChecks("a", left), TableChecks("b", right, key_rules={"known": Known(["id"], "a")})])
+
+
+def test_rules_without_keys_need_no_exchange_of_rows(spark):
+    df = spark.range(10).select((F.col("id") - 3).alias("n"))
+    made = dq_report([TableChecks("t", df, {"negative": negative_when("n")})])
+    assert made.collect()[0].n_violations == 3
+    assert "Generate explode" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(df):
+    # The simple form of the plan: each node once.
+    return re.findall(r"FileScan parquet .*?/(\w+)\.parquet", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_each_table_is_scanned_once(spark, sf_dir):
+    assert sorted(scans(REGISTRY["q16_dq_report"](spark, sf_dir))) == ["customer", "lineitem", "orders", "supplier"]
+    # The daily figures are an aggregate of the orders, so these are read for both tables made of them.
+    found = scans(REGISTRY["q16_bank_report"](spark, sf_dir))
+    assert sorted(found) == ["customer", "lineitem", "orders", "orders", "supplier"]
