@@ -7,11 +7,12 @@ A written set is a folder:
     bytes, each document closed by the end id; then the shard's index; then the end id once more.
 ``shards``  a Parquet table with one row per shard: its file, range of ids, numbers and first place.
 
-A shard's index, little-endian: the bit arrays and slots of a minimal perfect hash over the
-shard's keys, the keys in the order of the documents, and a footer. A key is a
+A shard's index, little-endian: the bit arrays of a minimal perfect hash over the shard's keys, with
+the number of bits set before each 64 bits, its slots, the keys in the order of the documents, and a footer. A key is a
 document id and the number of its repeat. The hash sends a key to a slot, and the slot holds a
 fingerprint of the key, the place of its ids in the shard and their number, so
-that one look finds a document, and a key that was never written is told by its fingerprint.
+that one look finds a document, and a key that was never written is told by its fingerprint. A look
+reads one word of bits and its count per level, then one slot, however many keys there are.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import struct
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from mmap import ACCESS_READ, mmap
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from orebed.llm.common import CLEANUP, by_batch, mix, settings, stored
 
-MAGIC = b"ORETOK01"
+MAGIC = b"ORETOK02"
 # Footer: documents, ids, levels, bytes of the index, width, magic.
 FOOTER = "<QQIQI8s"
 # Bits per key on each level of the hash, and the most levels tried.
@@ -78,30 +80,55 @@ def _spots(hashes: np.ndarray, level: int, size: int) -> np.ndarray:
         return mix(hashes + np.uint64(level + 1) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(size)
 
 
-def build_levels(hashes: np.ndarray) -> list[np.ndarray]:
-    """Bit arrays of a minimal perfect hash: a key that is alone in its spot stays, the others go on to the next level."""
-    levels, left = [], hashes
+@dataclass
+class Level:
+    """A bit array with the number of bits set before each word of 64, those of earlier levels included."""
+
+    size: int
+    words: np.ndarray
+    before: np.ndarray
+
+    @classmethod
+    def of(cls, bits: np.ndarray, base: int) -> Level:
+        padded = np.zeros(-(-len(bits) // 64) * 64, bool)
+        padded[: len(bits)] = bits
+        words = np.packbits(padded, bitorder="little").view("<u8")
+        ones = np.bitwise_count(words).astype(np.int64)
+        return cls(len(bits), words, (np.cumsum(ones) - ones + base).astype("<u4"))
+
+    def ranks(self, spots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the bit of each spot is set, and how many are set before it."""
+        word = (spots >> np.uint64(6)).astype(np.int64)
+        # The bits up to and with the spot's own, which comes out on top.
+        up_to = self.words[word] << (np.uint64(63) - (spots & np.uint64(63)))
+        return (up_to >> np.uint64(63)).astype(bool), self.before[word].astype(np.int64) + np.bitwise_count(up_to) - 1
+
+
+def build_levels(hashes: np.ndarray) -> list[Level]:
+    """A minimal perfect hash: a key that is alone in its spot stays, the others go on to the next level."""
+    levels, left, base = [], hashes, 0
     while len(left):
         if len(levels) == MAX_LEVELS:
             raise ValueError("two keys have the same hash")
         size = GAMMA * len(left) + 1
-        spots = _spots(left, len(levels), size)
-        taken = np.bincount(spots.astype(np.int64), minlength=size)
-        levels.append(taken == 1)
-        left = left[taken[spots.astype(np.int64)] > 1]
+        spots = _spots(left, len(levels), size).astype(np.int64)
+        taken = np.bincount(spots, minlength=size)
+        levels.append(Level.of(taken == 1, base))
+        alone = taken[spots] == 1
+        left, base = left[~alone], base + int(alone.sum())
     return levels
 
 
-def slots_of(levels: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
+def slots_of(levels: list[Level], hashes: np.ndarray) -> np.ndarray:
     """The slot of each key: the number of set bits before its own. -1 for keys that meet no set bit."""
     result = np.full(len(hashes), -1, np.int64)
-    left, before = np.arange(len(hashes)), 0
-    for number, bits in enumerate(levels):
-        ranks = np.cumsum(bits) - 1 + before
-        spots = _spots(hashes[left], number, len(bits)).astype(np.int64)
-        hit = bits[spots]
-        result[left[hit]] = ranks[spots[hit]]
-        left, before = left[~hit], before + int(bits.sum())
+    left = np.arange(len(hashes))
+    for number, level in enumerate(levels):
+        if not len(left):
+            break
+        hit, ranks = level.ranks(_spots(hashes[left], number, level.size))
+        result[left[hit]] = ranks[hit]
+        left = left[~hit]
     return result
 
 
@@ -111,15 +138,16 @@ def _prints(hashes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """The index of one shard."""
+    """The index of one shard. Its arrays may lie in a file; ``nulls`` are bits, null ids come last."""
 
-    levels: list[np.ndarray]
+    levels: list[Level]
     prints: np.ndarray
     places: np.ndarray
     counts: np.ndarray
     ids: np.ndarray
-    none: np.ndarray
+    nulls: np.ndarray
     width: int
+    total: int
 
     @classmethod
     def build(cls, ids: np.ndarray, none: np.ndarray, counts: np.ndarray, width: int) -> Index:
@@ -130,19 +158,23 @@ class Index:
         prints[slots] = _prints(hashes)
         places[slots] = np.cumsum(counts) - counts
         sizes[slots] = counts
-        return cls(levels, prints, places, sizes, ids, none, width)
+        return cls(levels, prints, places, sizes, ids, np.packbits(none), width, int(counts.sum()))
+
+    @property
+    def none(self) -> np.ndarray:
+        return np.unpackbits(self.nulls)[: len(self.ids)].astype(bool)
 
     def pack(self) -> bytes:
-        parts = [np.array([len(bits) for bits in self.levels], "<u8").tobytes()]
-        parts += [np.packbits(bits).tobytes() for bits in self.levels]
+        parts = [np.array([level.size for level in self.levels], "<u8").tobytes()]
+        parts += [array.tobytes() for level in self.levels for array in (level.words, level.before)]
         parts += [array.astype(array.dtype.newbyteorder("<")).tobytes() for array in (self.prints, self.places, self.counts)]
-        parts += [self.ids.astype("<i8").tobytes(), np.packbits(self.none).tobytes()]
+        parts += [self.ids.astype("<i8").tobytes(), self.nulls.tobytes()]
         body = b"".join(parts)
-        total = int(self.counts.sum())
-        return body + struct.pack(FOOTER, len(self.ids), total, len(self.levels), len(body), self.width, MAGIC)
+        return body + struct.pack(FOOTER, len(self.ids), self.total, len(self.levels), len(body), self.width, MAGIC)
 
     @classmethod
-    def unpack(cls, content: bytes) -> Index:
+    def unpack(cls, content: bytes | mmap) -> Index:
+        """The index at the end of a shard. Nothing but its footer and the sizes of its levels is read here."""
         end = len(content)
         for width in (2, 4):  # the closing end id, which the footer precedes
             if content[end - width - 8 : end - width] == MAGIC:
@@ -150,7 +182,7 @@ class Index:
         else:
             raise ValueError("not a shard of token ids")
         foot = end - width - struct.calcsize(FOOTER)
-        count, _, depth, size, width, _ = struct.unpack_from(FOOTER, content, foot)
+        count, total, depth, size, width, _ = struct.unpack_from(FOOTER, content, foot)
         at = foot - size
 
         def take(kind: str, number: int) -> np.ndarray:
@@ -160,10 +192,10 @@ class Index:
             return array
 
         sizes = take("<u8", depth).tolist()
-        levels = [np.unpackbits(take("u1", -(-n // 8)))[:n].astype(bool) for n in sizes]
+        levels = [Level(n, take("<u8", -(-n // 64)), take("<u4", -(-n // 64))) for n in sizes]
         prints, places, counts = take("<u4", count), take("<u8", count), take("<u8", count)
         ids = take("<i8", count)
-        return cls(levels, prints, places, counts, ids, np.unpackbits(take("u1", -(-count // 8)))[:count].astype(bool), width)
+        return cls(levels, prints, places, counts, ids, take("u1", -(-count // 8)), width, total)
 
     def find(self, ids: np.ndarray, none: np.ndarray, repeats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place and number of ids of each key; number -1 for keys that are not there."""
@@ -395,18 +427,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
     def summary(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [(place, Index.unpack(content)) for place, content in enumerate(batch.column("content").to_pylist())]
         real = [(index.ids[~index.none]) for _, index in found]
+        highest = [int((ids == ids[-1]).sum()) if len(ids) else 0 for ids in real]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("file"),
                 pa.array([int(ids[0]) if len(ids) else None for ids in real], pa.int64()),
                 pa.array([int(ids[-1]) if len(ids) else None for ids in real], pa.int64()),
+                pa.array(highest, pa.int64()),
+                pa.array([len(index.ids) - len(ids) for (_, index), ids in zip(found, real)], pa.int64()),
                 pa.array([len(index.ids) for _, index in found], pa.int64()),
-                pa.array([int(index.counts.sum()) for _, index in found], pa.int64()),
+                pa.array([index.total for _, index in found], pa.int64()),
             ],
-            names=["file", "low", "high", "documents", "ids"],
+            names=["file", "low", "high", "at_high", "nulls", "documents", "ids"],
         )
 
-    fields = "file string, low bigint, high bigint, documents bigint, ids bigint"
+    fields = "file string, low bigint, high bigint, at_high bigint, nulls bigint, documents bigint, ids bigint"
     shards = stored(_files(spark, path).mapInArrow(by_batch(summary), fields), "shards")
     # The first place of a shard, by way of sums over groups of 1,024 tasks. A task's files are numbered by name.
     number = F.regexp_extract("file", r"-c(\d+)", 1).cast("bigint")
@@ -419,7 +454,23 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
     start = F.coalesce(F.sum("ids").over(inner), F.lit(0))
     placed = shards.withColumn("inner", start).join(parts, F.col("part") == F.col("_part"))
     placed = placed.withColumn("start", F.col("base") + F.col("inner"))
-    placed.select("task", "shard", "file", "start", "low", "high", "documents", "ids").write.parquet(f"{path}/shards")
+    names = ["task", "shard", "file", "start", "low", "high", "nulls", "documents", "ids"]
+    placed = placed.select(*names, "at_high")
+    repeats = _first_repeats(placed, "low", "high", "at_high", "low_repeat")
+    # Null ids are one key more, which several shards may share likewise.
+    has_nulls = F.when(F.col("nulls") > 0, 0)
+    nulls = _first_repeats(placed.withColumn("null", has_nulls), "null", "null", "nulls", "null_repeat")
+    named = placed.select(*names).join(repeats, ["task", "shard"], "left").join(nulls, ["task", "shard"], "left")
+    named.write.parquet(f"{path}/shards")
+
+
+def _first_repeats(shards: DataFrame, first: str, last: str, count: str, name: str) -> DataFrame:
+    """(task, shard, name): how many rows of each shard's first key lie in the shards before it, as their last key."""
+    asked = shards.select(F.col(first).alias("key"), "task", "shard", F.lit(0).alias("held"), F.lit(0).cast("bigint").alias("n"))
+    held = shards.select(F.col(last).alias("key"), "task", "shard", F.lit(1).alias("held"), F.col(count).alias("n"))
+    order = Window.partitionBy("key").orderBy("task", "shard", "held").rowsBetween(Window.unboundedPreceding, 0)
+    sums = asked.unionByName(held).filter("key IS NOT NULL").withColumn(name, F.sum("n").over(order))
+    return sums.filter("held = 0").select("task", "shard", name)
 
 
 def _files(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
@@ -444,7 +495,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             at, number = index.find(*index.keys())
             if (number < 0).any():
                 raise ValueError(f"{file}: a key is missing from its index")
-            payload = np.frombuffer(content, f"<u{index.width}", int(index.counts.sum()))
+            payload = np.frombuffer(content, f"<u{index.width}", index.total)
             files += [file] * len(at)
             ids += [None if none else key for key, none in zip(index.ids.tolist(), index.none.tolist())]
             places += at.tolist()
@@ -460,33 +511,57 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return joined.select("doc_id", (F.col("_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def lookup(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
+def lookup(spark: SparkSession, path: str, doc_ids: Sequence[int | None]) -> DataFrame:
     """(doc_id, repeat, ids) of the documents with the given ids; ids that were not written give no row.
 
-    Only the shards whose range holds a wanted id are read, and in them only the
-    slots of the wanted keys are looked at.
+    None stands for the documents without id. Rows that share an id are numbered from 0 in the
+    order in which they were written, over all shards. Only the shards whose range holds a wanted id are read.
     """
-    wanted = sorted(set(doc_ids))
-    ranges = spark.read.parquet(f"{path}/shards").select("file", "low", "high").filter("low IS NOT NULL").collect()
-    names = sorted(row["file"] for row in ranges if np.searchsorted(wanted, row["low"]) < np.searchsorted(wanted, row["high"], "right"))
+    wanted = sorted({key for key in doc_ids if key is not None})
+    nulls = None in doc_ids
+    inside = F.exists(F.lit(wanted).cast("array<bigint>"), lambda key: key.between(F.col("low"), F.col("high")))
+    held = F.coalesce(inside, F.lit(False)) | ((F.col("nulls") > 0) & F.lit(nulls))
+    shards = spark.read.parquet(f"{path}/shards").filter(held)
+    names = sorted(row["file"] for row in shards.select("file").collect())
     schema = "doc_id bigint, repeat bigint, ids array<bigint>"
     if not names:
         return spark.createDataFrame([], schema)
 
     def pick(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for content in batch.column("content").to_pylist():
+        for content, low, *firsts in zip(*[batch.column(name).to_pylist() for name in ("content", "low", "low_repeat", "null_repeat")]):
             index = Index.unpack(content)
-            payload = np.frombuffer(content, f"<u{index.width}", int(index.counts.sum()))
-            keys, repeat = np.array(wanted, np.int64), 0
-            while len(keys):
-                at, number = index.find(keys, np.zeros(len(keys), bool), np.full(len(keys), repeat))
-                there = number >= 0
-                for key, low, n in zip(keys[there].tolist(), at[there].tolist(), number[there].tolist()):
-                    rows.append((key, repeat, payload[low : low + n].tolist()))
-                keys, repeat = keys[there], repeat + 1
+            payload = np.frombuffer(content, f"<u{index.width}", index.total)
+            for none, all_keys, first in ((False, wanted, firsts[0]), (True, [0] * nulls, firsts[1])):
+                keys, repeat = np.array(all_keys, np.int64), 0
+                while len(keys):
+                    at, number = index.find(keys, np.full(len(keys), none), np.full(len(keys), repeat))
+                    there = number >= 0
+                    for key, place, n in zip(keys[there].tolist(), at[there].tolist(), number[there].tolist()):
+                        before = first if none or key == low else 0
+                        rows.append((None if none else key, before + repeat, payload[place : place + n].tolist()))
+                    keys, repeat = keys[there], repeat + 1
         columns = list(zip(*rows)) or [(), (), ()]
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "repeat", "ids"])
 
-    return _files(spark, path, names).mapInArrow(by_batch(pick), schema)
+    known = shards.select(F.col("file").alias("_file"), "low", "low_repeat", "null_repeat")
+    files = _files(spark, path, names).join(known, F.col("file") == F.col("_file"))
+    return files.select("content", "low", "low_repeat", "null_repeat").mapInArrow(by_batch(pick), schema)
+
+
+def read_one(file: str, doc_id: int | None, repeat: int = 0) -> np.ndarray | None:
+    """The ids of one document of a shard file that this machine can open, or None if the shard has not got it.
+
+    The file is mapped, so only the pages with its footer, one word of bits a level, one slot
+    and the ids are read. ``repeat`` counts within the shard.
+    """
+    with open(file, "rb") as opened, mmap(opened.fileno(), 0, access=ACCESS_READ) as content:
+        index = Index.unpack(content)
+        none = np.array([doc_id is None])
+        (at,), (number,) = index.find(np.array([doc_id or 0], np.int64), none, np.array([repeat]))
+        found = None
+        if number >= 0:
+            found = np.frombuffer(content, f"<u{index.width}", number, at * index.width).copy()
+        del index
+    return found

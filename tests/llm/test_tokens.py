@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from orebed.llm import tokens
 from orebed.llm.queries import REGISTRY
-from orebed.llm.tokens import Encoder, Index, build_levels, key_hashes, lookup, read_documents, slots_of, word_tokenizer, write_tokens
+from orebed.llm.tokens import Encoder, Index, build_levels, key_hashes, lookup, read_documents, read_one, slots_of, word_tokenizer, write_tokens
 
 
 def expected(rows):
@@ -41,6 +41,45 @@ def test_index_round_trip():
     assert (again.find(absent, np.zeros(2000, bool), np.zeros(2000, int))[1] == -1).all()
 
 
+def test_a_look_reads_a_few_words_only():
+    """The same work for one key of a thousand and of half a million."""
+    for count in (1000, 500_000):
+        ids, none = np.arange(count), np.zeros(count, bool)
+        index = Index.unpack(Index.build(ids, none, np.ones(count, np.int64), 2).pack() + b"\x01\x00")
+        touched = []
+
+        class Watched(np.ndarray):
+            def __getitem__(self, key):
+                found = np.asarray(super().__getitem__(key))
+                touched.append(found.size)
+                return found
+
+        for level in index.levels:
+            level.words, level.before = level.words.view(Watched), level.before.view(Watched)
+        place, number = index.find(np.array([count // 3]), np.zeros(1, bool), np.zeros(1, int))
+        assert (place.tolist(), number.tolist()) == ([count // 3], [1])
+        assert 0 < sum(touched) <= 2 * len(index.levels)
+
+
+def test_repeats_are_numbered_over_all_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokens, "TASK_BYTES", 3000)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 500)
+    texts = [f"text {n}" for n in range(40)]
+    rows = [(7, text) for text in texts] + [(None, text) for text in texts] + [(n, "x") for n in (3, 3, 9)]
+    write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), str(tmp_path), word_tokenizer(), shard_bytes=1000)
+    assert spark.read.parquet(f"{tmp_path}/shards").count() > 3
+    found = lookup(spark, str(tmp_path), [7, None, 3, 9, 4]).collect()
+    for key, number in ((7, 40), (None, 40), (3, 2), (9, 1)):
+        assert sorted(row.repeat for row in found if row.doc_id == key) == list(range(number))
+    tokenizer = Tokenizer.from_file(word_tokenizer())
+    wanted = sorted([*tokenizer.encode(text, add_special_tokens=False).ids, 1] for text in texts)
+    assert sorted(row.ids for row in found if row.doc_id is None) == wanted
+    (shard,) = spark.read.parquet(f"{tmp_path}/shards").filter("low <= 3").collect()
+    file = f"{tmp_path}/ids/{shard.file}"
+    assert read_one(file, 3, 1).tolist() == [*tokenizer.encode("x", add_special_tokens=False).ids, 1]
+    assert read_one(file, 3, 2) is None and read_one(file, 4) is None
+
+
 def hard_texts():
     rng = random.Random(8)
     pieces = ["Hello", "l'été", "it's", "'s", "don't!?", "ÀÉß", "İstanbul", "áb", "́x", "naïve,", "x1y2", "...", "#tag", "日本語",
