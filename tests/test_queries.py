@@ -19,7 +19,6 @@ WRITERS = {name for name in REGISTRY if name[0] in "l"} | {
     "s1_ingest_incremental", "s6_csv_export", "s7_jsonl_export", "s9_ensure_table", "c2_scd1_incremental",
     "g3_audit_log", "s12_status_feed", "j6_stream_stream", "j6_stream_late", "c4_keyed_log", "c5_scd2_incremental",
     "a1_daily_incremental", "m5_credit_score", "s1_schema_log", "s1_schema_versions",
-    "l9_metric_log",
 }
 LIBRARY = Path(__file__).parent.parent / "orebed"
 
