@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -546,23 +546,23 @@ def c2_scd1_incremental(spark, sf_dir):
     return read_current(spark, f"{root}/state", ["event_id", "event_type"])
 
 
-def _event_arrivals(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """A stream of all events by kind, one kind a batch, so that most events come late."""
+def _event_arrivals(spark: SparkSession, sf_dir: str, root: str) -> Iterator[DataFrame]:
+    """A stream of the events after each arrival. One kind arrives at a time, as a batch however
+    many files it has, so that most events come late."""
     events = table(spark, sf_dir, "events").drop("props")
     kinds = ["purchase", "click", "error", "view"]
-    for kind in kinds:
-        events.filter(F.col("event_type") == kind).write.mode("append").parquet(f"{root}/events")
-    events.filter(~F.col("event_type").isin(kinds)).write.mode("append").parquet(f"{root}/events")
-    return files.read_stream_table(spark, f"{root}/events", events.schema, max_files=1)
+    for arrived in [*[F.col("event_type") == kind for kind in kinds], ~F.col("event_type").isin(kinds)]:
+        events.filter(arrived).write.mode("append").parquet(f"{root}/events")
+        yield files.read_stream_table(spark, f"{root}/events", events.schema)
 
 
 @query
 def c4_keyed_log(spark, sf_dir):
     """The current state from a log whose buckets split and merge on the way."""
     root = fresh_dir(spark, "log")
-    stream = _event_arrivals(spark, sf_dir, root)
     sizes = {"buckets": 2, "bucket_rows": 200, "folder_rows": 50}
-    apply_scd1_stream(stream, f"{root}/state", f"{root}/checkpoint", EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, **sizes)
+    for stream in _event_arrivals(spark, sf_dir, root):
+        apply_scd1_stream(stream, f"{root}/state", f"{root}/checkpoint", EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, **sizes)
     return read_current(spark, f"{root}/state", ["event_id", "event_type"])
 
 
@@ -580,8 +580,8 @@ def c5_scd2(spark, sf_dir):
 def c5_scd2_incremental(spark, sf_dir):
     """The same history from several batches, each of which cuts intervals of those before."""
     root = fresh_dir(spark, "history")
-    stream = _event_arrivals(spark, sf_dir, root)
-    apply_scd2_stream(stream, f"{root}/state", f"{root}/checkpoint", EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, buckets=4)
+    for stream in _event_arrivals(spark, sf_dir, root):
+        apply_scd2_stream(stream, f"{root}/state", f"{root}/checkpoint", EVENT_KEYS, EVENT_ORDER, EVENT_DELETE, buckets=4)
     return read_history(spark, f"{root}/state", HISTORY_HIDDEN, **HISTORY_NAMES)
 
 

@@ -31,6 +31,8 @@ BUCKET = "_bucket"
 DEFAULT_BUCKETS = 16
 DEFAULT_BUCKET_ROWS = 4_000_000
 DEFAULT_FOLDER_ROWS = 500_000
+# A run has more folders than this only if each has the rows of a default one: files cost the same whatever they hold.
+MOST_FOLDERS = 256
 # A run is merged with the newer ones unless it has so many times their rows.
 RATIO = 2
 # Runs of few rows wait for each other until a bucket has more than this.
@@ -47,7 +49,8 @@ class Layout:
 
     Rows with equal ``keys`` share a bucket; ``identity`` includes them. The table
     begins with ``buckets`` buckets and splits one whenever there are more than
-    ``bucket_rows`` rows a bucket. A folder takes about ``folder_rows`` rows.
+    ``bucket_rows`` rows a bucket. A folder takes about ``folder_rows`` rows, more
+    where a run would else have very many small ones.
     """
 
     keys: Sequence[str]
@@ -142,7 +145,7 @@ def address(keys: Sequence[str], buckets: int) -> Column:
 
 def _folder_count(rows: int, folder_rows: int, buckets: int) -> int:
     """A folder per bucket if the rows fill them, else a power of two that buckets share evenly."""
-    need = max(1, rows // folder_rows)
+    need = min(max(1, rows // folder_rows), max(MOST_FOLDERS, rows // DEFAULT_FOLDER_ROWS))
     return buckets if need >= buckets else min(_power(need), _power(buckets))
 
 
@@ -198,8 +201,8 @@ def read_table(spark: SparkSession, root: str, version: int | None = None) -> Da
     return _read(spark, root, manifest, sorted(settled)).unionByName(last_rows(merged, manifest))
 
 
-def read_keys(spark: SparkSession, root: str, base: Manifest, chosen: DataFrame) -> DataFrame | None:
-    """The rows that count of the keys in ``chosen``, from their buckets' runs alone."""
+def runs_of_keys(spark: SparkSession, root: str, base: Manifest, chosen: DataFrame) -> DataFrame | None:
+    """The rows of the keys in ``chosen``, from their buckets' runs alone; a row may have been replaced in a later run."""
     keys = base.keys
     numbers = chosen.select(address(keys, base.buckets).alias(BUCKET)).distinct().collect()  # a row per bucket
     folders = base.folders(row[0] for row in numbers)
@@ -208,7 +211,13 @@ def read_keys(spark: SparkSession, root: str, base: Manifest, chosen: DataFrame)
     rows = _read(spark, root, base, folders)
     wanted = chosen.select(*[F.col(key).alias(f"_want_{key}") for key in keys])
     same = [rows[key].eqNullSafe(wanted[f"_want_{key}"]) for key in keys]
-    return last_rows(rows.join(wanted, same, "left_semi"), base)
+    return rows.join(wanted, same, "left_semi")
+
+
+def read_keys(spark: SparkSession, root: str, base: Manifest, chosen: DataFrame) -> DataFrame | None:
+    """The rows that count of the keys in ``chosen``, from their buckets' runs alone."""
+    rows = runs_of_keys(spark, root, base, chosen)
+    return None if rows is None else last_rows(rows, base)
 
 
 def base_for(spark: SparkSession, root: str, layout: Layout, batch_id: int) -> Manifest:

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from orebed import paths
 from orebed.operators.cdc import scd1, scd2
-from orebed.plans import customers
+from orebed.plans import customers, queries
 from orebed.streaming import history, snapshot
 from orebed.streaming.logtable import (
+    DEFAULT_FOLDER_ROWS,
+    MOST_FOLDERS,
     Layout,
     _folder_count,
     _newest_to_merge,
@@ -66,6 +68,41 @@ def test_folder_and_merge_rules():
     assert _newest_to_merge([3, 2], 10) == 0 and _newest_to_merge([1] * 9, 10) == 9
 
 
+def test_small_folders_of_a_run_are_bounded():
+    for buckets in (450, 2700, 100_000):
+        assert _folder_count(90_000, 50, buckets) <= MOST_FOLDERS
+    # Folders of the usual size are as many as the rows need.
+    assert _folder_count(1000 * DEFAULT_FOLDER_ROWS, DEFAULT_FOLDER_ROWS, 900) == 900
+
+
+def test_buckets_sharing_bounded_folders(spark, folder, monkeypatch):
+    monkeypatch.setattr("orebed.streaming.logtable.MOST_FOLDERS", 4)
+    layout = Layout(["k"], ["k"], ["v"], buckets=2, bucket_rows=10, folder_rows=2)
+    for number in range(5):
+        news = spark.range(0, 300, number + 1).select(F.col("id").alias("k"), F.lit(number).alias("v"))
+        commit(news, number, folder, layout, base_for(spark, folder, layout, number))
+        prune_versions(spark, folder, keep=1)
+    assert len(os.listdir(f"{folder}/data")) and manifest_of(spark, folder, 4).buckets > 8
+    for name in paths.list_names(spark, f"{folder}/data"):
+        assert len([part for part in os.listdir(f"{folder}/data/{name}") if part.startswith("_bucket=")]) <= 4
+    found = dict(read_table(spark, folder).select("k", "v").collect())
+    assert found == {k: max(n for n in range(5) if k % (n + 1) == 0) for k in range(300)}
+
+
+@pytest.mark.parametrize("name", ["c4_keyed_log", "c5_scd2_incremental"])
+def test_a_kind_in_several_files_is_one_batch(spark, folder, monkeypatch, name):
+    kinds = ["purchase", "click", "error", "view", "signup"]
+    events = [(i, i % 7, kinds[i % 5], float(i)) for i in range(100)]
+    data = spark.createDataFrame(events, "event_id bigint, user_id bigint, event_type string, value double")
+    data = data.select("event_id", F.timestamp_seconds(F.col("event_id") % 50).alias("ts"), "user_id", "event_type", "value", F.lit("").alias("props"))
+    data.repartition(6).write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(queries, "fresh_dir", lambda spark, label: f"{folder}/{label}")
+    monkeypatch.setattr(queries, "table", lambda spark, sf_dir, table: spark.read.parquet(f"{sf_dir}/{table}.parquet").repartition(6))
+    assert queries.REGISTRY[name](spark, folder).count() == {"c4_keyed_log": 6, "c5_scd2_incremental": 80}[name]
+    state = f"{folder}/{'log' if name == 'c4_keyed_log' else 'history'}/state"
+    assert versions(spark, state) == [0, 1, 2, 3, 4]
+
+
 @pytest.mark.parametrize("seed", range(2, 4))
 def test_current_state_with_splits_and_merges(spark, folder, seed):
     rng = random.Random(seed)
