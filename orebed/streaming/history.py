@@ -13,9 +13,11 @@ counts. Whatever the slicing and order of the events, the table is that of
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orebed.operators.cdc import DELETED, TIE, prepare_events
 from orebed.operators.skew import lead_by_key
@@ -26,8 +28,8 @@ from orebed.streaming.logtable import (
     Layout,
     base_for,
     commit,
-    read_keys,
     read_table,
+    runs_of_keys,
 )
 from orebed.streaming.run import RunReport, run_batches
 
@@ -55,24 +57,28 @@ def _apply_batch(
     events = prepare_events(batch, delete_when).withColumn(START, F.col(sequence_by[0])).withColumn(COPIES, F.lit(1).cast("bigint"))
     kinds = {column.name: column.dataType for column in [*base.schema, *events.schema]}
     payload = [name for name in kinds if name not in {*identity, COPIES, END, WRITTEN}]
-    kinds |= {"_was": kinds[START], "_held": kinds[COPIES]}
-
-    def once(rows: DataFrame) -> DataFrame:
-        """A row per identity; equal events are counted, so that repeats keep their number."""
-        filled = rows.withColumns({name: F.lit(None).cast(kinds[name]) for name in kinds if name not in rows.columns})
-        kept = F.any_value(F.struct(*payload)).alias("_payload")
-        counts = [F.sum(COPIES).alias(COPIES), F.max("_was").alias("_was"), F.max("_held").alias("_held")]
-        return filled.groupBy(*identity).agg(kept, *counts).select(*identity, "_payload.*", COPIES, "_was", "_held")
-
-    rows = once(events)
-    stored = read_keys(spark, root, base, rows.select(*keys).distinct())
-    if stored is not None:
-        held = stored.withColumnRenamed(END, "_was").withColumn("_held", F.col(COPIES)).drop(WRITTEN)
-        rows = once(rows.unionByName(held, allowMissingColumns=True))
-    ended = lead_by_key(rows, keys, order, END)
-    changed = ~F.col(COPIES).eqNullSafe(F.col("_held")) | ~F.col(END).eqNullSafe(F.col("_was"))
-    written = ended.filter(changed).drop("_was", "_held").withColumn(WRITTEN, F.lit(batch_id).cast("bigint"))
-    commit(written, batch_id, root, layout, base)
+    kinds |= {END: kinds[START], WRITTEN: T.LongType()}
+    stored = F.col(WRITTEN).isNotNull()
+    parts = [events]
+    held = runs_of_keys(spark, root, base, batch.select(*keys).distinct())
+    if held is not None:
+        parts.append(held)
+    filled = [part.withColumns({name: F.lit(None).cast(kinds[name]) for name in kinds if name not in part.columns}) for part in parts]
+    # A row per identity; equal events are counted, so that repeats keep their number. Of stored rows the last written counts.
+    last = F.max_by(F.struct(F.col(END).alias("was"), F.col(COPIES).alias("held")), F.when(stored, F.col(WRITTEN))).alias("_last")
+    fresh = F.coalesce(F.sum(F.when(~stored, F.col(COPIES))), F.lit(0)).alias("_fresh")
+    one = F.any_value(F.struct(*payload)).alias("_payload")
+    rows = reduce(DataFrame.unionByName, filled).groupBy(*identity).agg(one, last, fresh)
+    copies = F.col("_fresh") + F.coalesce(F.col("_last.held"), F.lit(0))
+    rows = rows.select(*identity, "_payload.*", copies.alias(COPIES), F.col("_last.was").alias("_was"), F.col("_last.held").alias("_held"))
+    rows = rows.persist()  # looked through for hot keys, then used
+    try:
+        ended = lead_by_key(rows, keys, order, END)
+        changed = ~F.col(COPIES).eqNullSafe(F.col("_held")) | ~F.col(END).eqNullSafe(F.col("_was"))
+        written = ended.filter(changed).drop("_was", "_held").withColumn(WRITTEN, F.lit(batch_id).cast("bigint"))
+        commit(written, batch_id, root, layout, base)
+    finally:
+        rows.unpersist()
 
 
 def apply_scd2_stream(
