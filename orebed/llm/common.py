@@ -39,17 +39,18 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, path: str | None = None, apart: Sequence[str] = (), **options: str) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     Cuts the lineage: what follows reads files that outlive any executor, and
     expensive work above is done once. The shuffles of the write serve nothing
-    else, so their files go at its end.
+    else, so their files go at its end. A caller that names the ``path`` may remove it
+    once nothing reads it; rows that differ in ``apart`` get folders of their own.
     """
     spark = df.sparkSession
-    path = fresh_dir(spark, label)
+    path = path or fresh_dir(spark, label)
     with settings(spark, {CLEANUP: "true"}):
-        df.write.parquet(path)
+        df.write.options(**options).partitionBy(*apart).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,8 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orebed import paths
 from orebed.llm.common import by_batch, mix, run_hashes, stored, text_bytes, word_hashes
 from orebed.operators.skew import skew_join
+from orebed.session import fresh_dir
 
 # Words in a seed. A repeat of ``length`` words then holds ``length - SEED + 1``
 # seeds, the smallest of which is its anchor.
@@ -83,9 +85,9 @@ def _stretches(near: np.ndarray, anchors: np.ndarray, most: int) -> np.ndarray:
 
 def _held(rows: DataFrame) -> DataFrame:
     """Rows (seed, at, none, doc, key, ...) with the earliest document (first, of_key) that has the
-    seed, its place there (of_at), and whether that document comes before the row's own."""
-    place = F.struct("doc", "key", "at")
-    first = rows.filter("not none").groupBy("seed").agg(F.min(place).alias("_from"))
+    seed, its place there (of_at), and whether that document comes before the row's own. A seed of one row has none."""
+    place = F.when(~F.col("none"), F.struct("doc", "key", "at"))
+    first = rows.groupBy("seed").agg(F.min(place).alias("_from"), F.count("*").alias("_n")).filter("_n > 1 and _from is not null")
     first = first.select("seed", F.col("_from.doc").alias("first"), F.col("_from.key").alias("of_key"), F.col("_from.at").alias("of_at"))
     later = F.coalesce(F.col("none") | (F.col("doc") > F.col("first")), F.lit(False))
     return skew_join(rows, first, ["seed"], "left").withColumn("later", later & F.col("first").isNotNull())
@@ -181,17 +183,23 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
 
     # Written once: the stretches are read for their earliest document, and again to be matched with it.
     schema = f"seed bigint, at bigint, windows array<bigint>, block boolean, words binary, {KEY}"
-    pieces = stored(_with(keyed, sets, "anchors").mapInArrow(by_batch(stretches_of), schema), "stretches")
+    spark = docs.sparkSession
+    pieces_path, held_path, later_path = [fresh_dir(spark, label) for label in ("stretches", "held", "later")]
+    pieces = _with(keyed, sets, "anchors").mapInArrow(by_batch(stretches_of), schema)
+    pieces = stored(pieces, "stretches", pieces_path, ["block"], compression="zstd")
     stretches = pieces.filter("not block").select("seed", "at", "windows", "none", "doc", "key")
     matched = ["none", "doc", "key", "first", "of_key", "of_at", "at"]
     # The windows of a stretch are needed again only where it has no earlier holder.
     windows = F.when(~F.col("later"), F.col("windows")).alias("windows")
     held = _held(stretches).select(*matched, "later", (F.size("windows") - 1).alias("more"), windows)
-    held = stored(held, "held")
+    held = stored(held, "held", held_path, ["later"], compression="zstd")
+    paths.remove(spark, f"{pieces_path}/block=false")  # read for the last time
     alone = held.filter("not later").select(F.posexplode("windows").alias("_place", "seed"), "at", "none", "doc", "key")
     alone = alone.select("seed", (F.col("at") + F.col("_place")).alias("at"), "none", "doc", "key")
     later = held.filter("later").select(*matched, "more")
     later = later.unionByName(_held(alone).filter("later").select(*matched, F.lit(0).alias("more")))
+    later = stored(later, "later", later_path, compression="zstd")
+    paths.remove(spark, held_path)
     # One row per alignment of a document with a block of an earlier one.
     aligned = ["none", "doc", "key", "first", "of_key", F.floor(F.col("of_at") / BLOCK).alias("of_block"), (F.col("at") - F.col("of_at")).alias("shift")]
     matches = later.groupBy(*aligned).agg(F.min("of_at").alias("low"), F.max(F.col("of_at") + F.col("more")).alias("high"))
@@ -212,7 +220,9 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = SEED) -> DataF
     held_words = found.mapInArrow(by_batch(passages), f"start bigint, words binary, {KEY}")
     # Written by document, so that the shuffles of windows are gone before texts move again.
     gone = held_words.groupBy("none", "doc", "key").agg(F.collect_set(F.struct("start", "words")).alias("others"))
-    gone = stored(gone, "repeats")
+    gone = stored(gone, "repeats", compression="zstd")
+    for path in (pieces_path, later_path):
+        paths.remove(spark, path)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, removed, kept, spans = [], [], [], []

@@ -81,6 +81,17 @@ def test_windows_of_one_hash_remove_only_equal_words(spark, monkeypatch):
     assert set(removed.values()) == {0}
 
 
+def test_files_between_stages_go_when_read(spark, monkeypatch, tmp_path):
+    """Only what the result reads is left: the words to compare with, by document."""
+    monkeypatch.setattr("orebed.llm.common.fresh_dir", lambda spark, label: f"{tmp_path}/{label}")
+    monkeypatch.setattr(substring, "fresh_dir", lambda spark, label: f"{tmp_path}/{label}", raising=False)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(1, f"a {passage}"), (2, f"b {passage} c"), (None, passage)]
+    result = remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert [path.name for path in tmp_path.iterdir()] == ["repeats"]
+    assert found(result) == brute(rows, 13)
+
+
 def test_texts_sharing_an_id_are_told_apart(spark):
     passage = " ".join(f"p{i}" for i in range(400))
     other = " ".join(f"q{i}" for i in range(400))
