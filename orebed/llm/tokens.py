@@ -444,8 +444,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
     fields = "file string, low bigint, high bigint, at_high bigint, nulls bigint, documents bigint, ids bigint"
     shards = stored(_files(spark, path).mapInArrow(by_batch(summary), fields), "shards")
     # The first place of a shard, by way of sums over groups of 1,024 tasks. A task's files are numbered by name.
-    number = F.regexp_extract("file", r"-c(\d+)", 1).cast("bigint")
-    shards = shards.withColumn("task", F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint"))
+    # A group of the run's id, between the two numbers, may start like the second ("-c4a1-").
+    number = F.regexp_extract("file", r"-c(\d+)[^-]*$", 1).cast("bigint")
+    shards = shards.withColumn("task", F.regexp_extract("file", r"^part-(\d+)-", 1).cast("bigint"))
     shards = shards.withColumn("shard", number).withColumn("part", F.floor(F.col("task") / 1024))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = shards.groupBy("part").agg(F.sum("ids").alias("n"))

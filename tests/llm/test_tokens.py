@@ -125,6 +125,26 @@ def test_repeated_and_null_ids(spark, tmp_path):
     assert sorted(r.repeat for r in lookup(spark, str(tmp_path / "set"), [5, 6]).collect()) == [0, 1, 2]
 
 
+def test_run_ids_that_look_like_file_numbers(spark, tmp_path, monkeypatch):
+    """Spark puts a random id into file names: every thirteenth or so has a group of c and digits."""
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 500)
+    files = tokens._files
+
+    def renamed(*args):
+        name = F.regexp_replace("file", r"^(part-\d+-).*(-c\d+[^-]*)$", f"$1{run}$2")
+        return files(*args).withColumn("file", name)
+
+    monkeypatch.setattr(tokens, "_files", renamed)
+    rows = [(i, f"text {i} " * 20) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for place, run in enumerate(["5b0c9a1e-c12f-4d3a-9c55-0a0ffee12345", "5b0c9a1e-12cf-4d3a-9c55-c7ffee123456"]):
+        path = f"{tmp_path}/{place}"
+        write_tokens(docs, path, word_tokenizer(), shard_bytes=1000)
+        shards = spark.read.parquet(f"{path}/shards").select("task", "shard", "file").collect()
+        assert len({(s.task, s.shard) for s in shards}) == len({s.file for s in shards}) == len(shards) > 3
+        assert sorted(tuple(r) for r in read_documents(spark, path).collect()) == expected(rows)
+
+
 def test_empty_texts_weigh_something(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tokens, "TASK_BYTES", 40_000)
     monkeypatch.setattr(tokens, "GROUP_BYTES", 2000)
