@@ -21,6 +21,7 @@ import struct
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 from mmap import ACCESS_READ, mmap
 
 import numpy as np
@@ -223,6 +224,22 @@ def _repeats(ids: np.ndarray, none: np.ndarray) -> np.ndarray:
 # --- encoding ---------------------------------------------------------------
 
 
+@lru_cache(maxsize=2)
+def _loaded(definition: str) -> tuple:
+    """A tokenizer, which of its ids end a word, and its added tokens.
+
+    A tokenizer that has encoded texts leaves some megabytes behind when it is dropped,
+    so the tasks that a Python worker runs one after the other share one.
+    """
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(definition)
+    last = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
+    for token, number in tokenizer.get_vocab(with_added_tokens=False).items():
+        last[number] = token.endswith(END_OF_WORD)
+    return tokenizer, last, [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+
+
 class Encoder:
     """Texts to id bytes, by a tokenizer whose words end at white space.
 
@@ -234,15 +251,9 @@ class Encoder:
     """
 
     def __init__(self, definition: str, width: int):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.kind = np.dtype(f"<u{width}")
-        self.last = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
-        for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
-            self.last[number] = token.endswith(END_OF_WORD)
         # Added tokens are found before a text is split, so a chunk that holds one is no plain word.
-        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer, self.last, self.added = _loaded(definition)
+        self.kind = np.dtype(f"<u{width}")
         self._start()
 
     def _start(self) -> None:

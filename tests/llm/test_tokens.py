@@ -100,6 +100,17 @@ def test_encoder_matches_the_library(monkeypatch, most):
         assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_tasks_of_a_worker_share_a_tokenizer():
+    """Each tokenizer that has encoded something leaves memory behind, so its number must not grow with the tasks."""
+    with open(word_tokenizer(), encoding="utf-8") as file:
+        definition = file.read()
+    first, second = Encoder(definition, 2), Encoder(definition, 4)
+    assert first.tokenizer is second.tokenizer and first.places is not second.places
+    texts = [text.encode() for text in hard_texts()]
+    narrow, wide = first.encode(texts), second.encode(texts)
+    assert [np.frombuffer(ids, "<u2").tolist() for ids in narrow] == [np.frombuffer(ids, "<u4").tolist() for ids in wide]
+
+
 @pytest.mark.parametrize("shard_bytes", [1 << 24, 5000])
 def test_write_and_read(spark, tmp_path, monkeypatch, shard_bytes):
     monkeypatch.setattr(tokens, "TASK_BYTES", 40_000)
