@@ -40,8 +40,9 @@ GAMMA = 2
 MAX_LEVELS = 64
 # Text per task and per shard; shards are read whole, a task writes several.
 TASK_BYTES, SHARD_BYTES = 32 << 20, 6 << 20
-# Rows that a task takes in at a time.
-ROWS = 500
+# Spark's setting for the rows that a task takes in at a time: documents, or shards, which are large.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS, SHARDS = 500, 1
 # Bytes of pieces that a task remembers besides those of the last group, what a piece
 # counts for besides its letters, words encoded together, and text worked on at a time.
 MAX_KNOWN = 32 << 20
@@ -174,7 +175,7 @@ class Index:
         return body + struct.pack(FOOTER, len(self.ids), self.total, len(self.levels), len(body), self.width, MAGIC)
 
     @classmethod
-    def unpack(cls, content: bytes | mmap) -> Index:
+    def unpack(cls, content: bytes | memoryview | mmap) -> Index:
         """The index at the end of a shard. Nothing but its footer and the sizes of its levels is read here."""
         end = len(content)
         for width in (2, 4):  # the closing end id, which the footer precedes
@@ -432,11 +433,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
 
     dealt = dealt.select("doc_id", F.col("text").cast("binary").alias("text"))
     raw = dealt.mapInArrow(shard, "value binary").select(F.col("value").cast("string"))
-    with settings(spark, {CLEANUP: "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS)}):
+    with settings(spark, {CLEANUP: "true", BATCH: str(ROWS)}):
         raw.write.option("lineSep", mark).option("maxRecordsPerFile", 2).text(f"{path}/ids")
 
     def summary(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [(place, Index.unpack(content)) for place, content in enumerate(batch.column("content").to_pylist())]
+        found = list(enumerate(map(Index.unpack, _contents(batch))))
         real = [(index.ids[~index.none]) for _, index in found]
         highest = [int((ids == ids[-1]).sum()) if len(ids) else 0 for ids in real]
         return pa.RecordBatch.from_arrays(
@@ -453,7 +454,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
         )
 
     fields = "file string, low bigint, high bigint, at_high bigint, nulls bigint, documents bigint, ids bigint"
-    shards = stored(_files(spark, path).mapInArrow(by_batch(summary), fields), "shards")
+    with settings(spark, {BATCH: str(SHARDS)}):
+        shards = stored(_files(spark, path).mapInArrow(by_batch(summary), fields), "shards")
     # The first place of a shard, by way of sums over groups of 1,024 tasks. A task's files are numbered by name.
     # A group of the run's id, between the two numbers, may start like the second ("-c4a1-").
     number = F.regexp_extract("file", r"-c(\d+)[^-]*$", 1).cast("bigint")
@@ -492,17 +494,24 @@ def _files(spark: SparkSession, path: str, names: Sequence[str] | None = None) -
     return files.select(F.substring_index("path", "/", -1).alias("file"), "content")
 
 
+def _contents(batch: pa.RecordBatch) -> list[memoryview]:
+    """The contents of the batch's files, not copied."""
+    return [memoryview(content.as_buffer()).cast("B") for content in batch.column("content")]
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document of a written set.
 
     Every key of a shard is looked up in the shard's index, and the ids found
     there are read: ``start`` counts the ids of all documents before, ``n_tokens`` includes
     the end id, ``ids_crc32`` is over the ids as unsigned little-endian 32-bit numbers.
+
+    The rows are stored, as a task holds one shard at a time only under a setting of the run.
     """
 
     def documents(batch: pa.RecordBatch) -> pa.RecordBatch:
         files, ids, places, counts, sums = [], [], [], [], []
-        for file, content in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist()):
+        for file, content in zip(batch.column("file").to_pylist(), _contents(batch)):
             index = Index.unpack(content)
             at, number = index.find(*index.keys())
             if (number < 0).any():
@@ -517,7 +526,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, names=["file", "doc_id", "place", "n_tokens", "ids_crc32"])
 
     fields = "file string, doc_id bigint, place bigint, n_tokens bigint, ids_crc32 bigint"
-    found = _files(spark, path).mapInArrow(by_batch(documents), fields)
+    with settings(spark, {BATCH: str(SHARDS)}):
+        found = stored(_files(spark, path).mapInArrow(by_batch(documents), fields), "found")
     starts = spark.read.parquet(f"{path}/shards").select(F.col("file").alias("_file"), F.col("start").alias("_start"))
     joined = found.join(starts, F.col("file") == F.col("_file"))
     return joined.select("doc_id", (F.col("_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")

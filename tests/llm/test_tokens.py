@@ -156,6 +156,20 @@ def test_run_ids_that_look_like_file_numbers(spark, tmp_path, monkeypatch):
         assert sorted(tuple(r) for r in read_documents(spark, path).collect()) == expected(rows)
 
 
+def test_shards_are_read_one_at_a_time(spark, tmp_path, monkeypatch):
+    held, store = {}, tokens.stored
+
+    def noted(df, label, *args, **options):
+        held[label] = spark.conf.get(tokens.BATCH)
+        return store(df, label, *args, **options)
+
+    monkeypatch.setattr(tokens, "stored", noted)
+    before = spark.conf.get(tokens.BATCH)
+    write_tokens(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), str(tmp_path), word_tokenizer())
+    assert sorted(tuple(r) for r in read_documents(spark, str(tmp_path)).collect()) == expected([(1, "a b")])
+    assert held == {"shards": "1", "found": "1"} and spark.conf.get(tokens.BATCH) == before
+
+
 def test_empty_texts_weigh_something(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tokens, "TASK_BYTES", 40_000)
     monkeypatch.setattr(tokens, "GROUP_BYTES", 2000)
